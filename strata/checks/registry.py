@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.checks import silver_gold
+from strata.checks import merging, silver_gold, storage
 
-MODULES = (silver_gold,)
+MODULES = (silver_gold, merging, storage)
 
 Query = Callable[[SparkSession, str], DataFrame]
 

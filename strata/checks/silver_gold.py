@@ -9,6 +9,7 @@ from strata.checks.fixtures import AS_OF, bronze_customers, bronze_orders, table
 from strata.functions import business_columns, epoch_batch_id, row_hash, with_ingest_metadata
 from strata.operators.dedupe import dedupe_latest, replace_with_latest
 from strata.plans import models
+from strata.session import settle
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,7 +26,9 @@ def dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def revenue_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.agg_revenue_daily(facts(spark, sf_dir), customers(spark, sf_dir), orders_unique=True)
+    """Silver is stored first, as in a layered run; gold then scans it per part."""
+    stored = settle(facts(spark, sf_dir), "fct_orders"), settle(customers(spark, sf_dir), "dim_customers")
+    return models.agg_revenue_daily(*stored, orders_unique=True)
 
 
 def customer_ltv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,10 +110,11 @@ _REVENUE = """
   WHERE o.status <> 'cancelled'
   GROUP BY 1, 2, 3"""
 
-# Spark rounds the decimal text of a double half up; scaling first does the same here.
+# Spark rounds the decimal text of a double half up; rounding a decimal does the same here.
 _LTV = """
   SELECT c.customer_id, c.email, c.tier, c.region, lifetime_orders,
-         round(revenue, 2) AS lifetime_revenue, round(average * 100) / 100 AS avg_order_value,
+         round(revenue, 2) AS lifetime_revenue, 
+         CAST(round(CAST(average AS DECIMAL(18, 6)), 2) AS DOUBLE) AS avg_order_value,
          first_order_date, last_order_date,
          CAST(last_order_date - first_order_date AS INTEGER) AS customer_tenure_days,
          CASE WHEN revenue > 10000 THEN 'Champion' WHEN revenue > 5000 THEN 'Loyal'

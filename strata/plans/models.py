@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,27 +92,53 @@ def dim_customers(bronze: DataFrame, as_of: Moment = None, loaded: DataFrame | N
 def agg_revenue_daily(orders: DataFrame, customers: DataFrame, orders_unique: bool = False) -> DataFrame:
     """Revenue per day, region and tier over non-cancelled orders.
 
-    ``orders_unique`` says that ``orders`` holds one row per order, as
-    :func:`fct_orders` guarantees; a plain count then replaces the distinct
-    one and the facts are not expanded and shuffled by order.
+    A distinct count beside percentiles makes Spark build one percentile
+    sketch per group *and* distinct value.  So measures and distinct counts
+    are aggregated apart, each with its own map-side combine, and the small
+    results are merged per group.  ``orders`` is scanned once per part: pass a
+    stored table.  ``orders_unique`` says it holds one row per order, as
+    :func:`fct_orders` guarantees, and saves the pass that counts orders.
     """
-    current = customers.filter("_is_current").select("customer_id", "region", "tier")
+    groups = ["order_date", "region", "customer_tier"]
+    current = customers.filter("_is_current").select(
+        "customer_id", "region", F.col("tier").alias("customer_tier")
+    )
+    kept = orders.filter(F.col("status") != "cancelled")
     returned = F.sum(F.when(F.col("status") == "returned", 1))
-    order_count = F.count("order_id") if orders_unique else F.count_distinct("order_id")
+    measures = {
+        "total_revenue": F.sum("amount"),
+        "avg_order_value": F.avg("amount"),
+        "_percentiles": F.percentile_approx("amount", [0.5, 0.95]),
+        "avg_fulfillment_days": F.avg("fulfillment_days"),
+        "returns": returned,
+        "return_rate_pct": percent_of(returned, F.count(F.lit(1))),
+    }
+    if orders_unique:
+        measures["order_count"] = F.count("order_id")
+    rollup = kept.join(current, "customer_id").groupBy(*groups)
+    parts = [rollup.agg(*[m.alias(name) for name, m in measures.items()])]
+
+    buyers = kept.select("order_date", "customer_id").distinct().join(current, "customer_id")
+    parts.append(buyers.groupBy(*groups).agg(F.count_distinct("customer_id").alias("unique_customers")))
+    if not orders_unique:
+        bought = kept.join(current, "customer_id").select(*groups, "order_id").distinct()
+        parts.append(bought.groupBy(*groups).agg(F.count("order_id").alias("order_count")))
+
+    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return (
-        orders.filter(F.col("status") != "cancelled")
-        .join(current, "customer_id")
-        .groupBy("order_date", "region", F.col("tier").alias("customer_tier"))
-        .agg(
-            order_count.alias("order_count"),
-            F.count_distinct("customer_id").alias("unique_customers"),
-            F.sum("amount").alias("total_revenue"),
-            F.avg("amount").alias("avg_order_value"),
-            F.percentile_approx("amount", 0.5).alias("median_order_value"),
-            F.percentile_approx("amount", 0.95).alias("p95_order_value"),
-            F.avg("fulfillment_days").alias("avg_fulfillment_days"),
-            returned.alias("returns"),
-            percent_of(returned, F.count(F.lit(1))).alias("return_rate_pct"),
+        merged.groupBy(*groups)
+        .agg(*[F.max(c).alias(c) for c in merged.columns if c not in groups])
+        .select(
+            *groups,
+            "order_count",
+            "unique_customers",
+            "total_revenue",
+            "avg_order_value",
+            F.col("_percentiles")[0].alias("median_order_value"),
+            F.col("_percentiles")[1].alias("p95_order_value"),
+            "avg_fulfillment_days",
+            "returns",
+            "return_rate_pct",
         )
     )
 

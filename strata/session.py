@@ -74,3 +74,8 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     """Remove one folder through the Hadoop file system (any store Spark can write)."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def struct(**fields: T.DataType) -> T.StructType:
+    """A schema from keyword arguments; needs no running session."""
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
