@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.checks import merging, silver_gold, storage
+from strata.checks import ingestion, merging, silver_gold, storage, upkeep
 
-MODULES = (silver_gold, merging, storage)
+MODULES = (silver_gold, merging, storage, ingestion, upkeep)
 
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import fields
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.checks import merging
 from strata.checks.fixtures import (
     AS_OF,
     bronze_customers,
@@ -19,11 +22,15 @@ from strata.checks.silver_gold import _LTV, _MODELS, customer_ltv, customers, fa
 from strata.functions import epoch_batch_id, with_ingest_metadata
 from strata.operators.dedupe import dedupe_latest, to_silver
 from strata.operators.scd2 import scd2_bootstrap, scd2_changes
+from strata.plans import models
 from strata.plans.gold import GoldSpec, GoldStore
+from strata.plans.lakehouse import Lakehouse
 from strata.session import scratch_dir, settle
 from strata.sources import bronze
+from strata.sources.bucketed import BucketedTable
 from strata.sources.tables import capped_query, register_external, register_views
 from strata.sources.versions import VersionedTable, latest_commit
+from strata.tables import Layer, TableSpec
 
 DAYS = ["2024-01-01 00:00:00", "2024-01-02 00:00:00", "2024-01-03 00:00:00"]
 
@@ -87,7 +94,7 @@ DAILY_SQL = """
 def gold_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     _silver_views(spark, sf_dir)
     store = GoldStore(spark, scratch_dir(spark, "gold"))
-    store.build(GoldSpec("daily", DAILY_SQL, partition_field="order_date", cluster_fields=("region",)))
+    store.build(GoldSpec("daily", DAILY_SQL, partition_field="year(order_date)", cluster_fields=("region",)))
     return store.read("daily")
 
 
@@ -211,7 +218,55 @@ def scd2_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bucketed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order facts merged into their stored, bucketed table."""
+    stored = BucketedTable(spark, scratch_dir(spark, "facts"), keys=("order_id",), n_buckets=8)
+    bronze_rows = bronze_orders(spark, sf_dir)
+    stored.merge(models.fct_orders(round_of(bronze_rows, 0), FIRST_LOAD))
+    stored.merge(models.fct_orders(bronze_rows, AS_OF, loaded=stored.current()))
+    return stored.current()
+
+
+def bucketed_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer dimension after a stored type-2 merge and its replay."""
+    stored = BucketedTable(
+        spark, scratch_dir(spark, "dimension"), ("_is_current",), keys=("customer_id",), n_buckets=8
+    )
+    first, second = (
+        dedupe_latest(round_of(bronze_customers(spark, sf_dir), r), ["customer_id"]).drop("_ingestion_ts")
+        for r in (0, 1)
+    )
+    for batch, at in ((first, FIRST_LOAD), (second, AS_OF), (second, "2024-02-02 00:00:00")):
+        stored.merge_scd2(batch, at, HASHED)
+    return stored.current()
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two arrivals through bronze and silver, with the promotion's numbers."""
+    lake = Lakehouse(spark, scratch_dir(spark, "lake"), n_buckets=8)
+    lake.register(
+        TableSpec("customers", Layer.SILVER, keys=("customer_id",), scd_type=2, hash_cols=tuple(HASHED))
+    )
+    for ingest_round, day in enumerate(DAYS[:2]):
+        rows = round_of(bronze_customers(spark, sf_dir), ingest_round).drop("_ingestion_ts")
+        lake.ingest("customers", rows, "crm", f"b{ingest_round}", day)
+        result = lake.promote("customers", as_of=day)
+    lake.build_gold("tiers", _tier_query(spark, lake), cluster_by=["tier"])
+    numbers = {f.name: F.lit(getattr(result, f.name)).cast("bigint") for f in fields(result) if f.name != "table"}
+    return lake.gold.read("tiers").withColumns(numbers)
+
+
+def _tier_query(spark: SparkSession, lake: Lakehouse) -> str:
+    register_views(spark, {"lake_customers": lake.table("silver", "customers").current()})
+    return """
+      SELECT tier, count_if(_is_current) AS current_rows, count_if(NOT _is_current) AS closed_rows
+      FROM lake_customers GROUP BY tier"""
+
+
 QUERIES = {
+    "bucketed_merge": bucketed_merge,
+    "bucketed_scd2": bucketed_scd2,
+    "lakehouse_pipeline": pipeline,
     "bronze_append": bronze_append,
     "day_partitioned": day_partitioned,
     "json_landing": json_landing,
@@ -241,6 +296,28 @@ _DAILY = """
 _HASH = "coalesce(email, '') || '|' || tier || '|' || region"
 
 ORACLES = {
+    "bucketed_merge": merging.ORACLES["fct_orders_merge"],
+    "bucketed_scd2": merging.ORACLES["scd2_merge"],
+    "lakehouse_pipeline": with_inputs(
+        "bronze_customers customers_v0 customers_v1",
+        f""",
+        old AS (SELECT customer_id, tier, {_HASH} AS h FROM customers_v0),
+        new AS (SELECT customer_id, tier, {_HASH} AS h FROM customers_v1),
+        added AS (SELECT * FROM new n WHERE NOT EXISTS
+                    (SELECT 1 FROM old o WHERE o.customer_id = n.customer_id AND o.h = n.h)),
+        closed AS (SELECT o.* FROM old o JOIN new n ON o.customer_id = n.customer_id AND o.h <> n.h),
+        states AS (
+          SELECT tier, customer_id IN (SELECT customer_id FROM closed) AS was_closed FROM old
+          UNION ALL SELECT tier, false FROM added)
+        SELECT tier, count(*) FILTER (WHERE NOT was_closed) AS current_rows,
+               count(*) FILTER (WHERE was_closed) AS closed_rows,
+               (SELECT count(*) FROM bronze_customers) AS rows_in,
+               (SELECT count(DISTINCT customer_id) FROM bronze_customers) AS rows_out,
+               (SELECT count(*) - count(DISTINCT customer_id) FROM bronze_customers) AS duplicates_dropped,
+               (SELECT count(*) FROM added) AS scd2_inserts,
+               (SELECT count(*) FROM closed) AS scd2_updates
+        FROM states GROUP BY tier""",
+    ),
     "bronze_append": """
       SELECT * EXCLUDE (b), TIMESTAMP '2024-01-01 00:00:00' + to_days(b) AS _ingestion_ts, 'orders_api' AS _source,
              'b' || b AS _batch_id, DATE '2024-01-01' + b AS _ingestion_date

@@ -6,18 +6,22 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.functions.stamps import Moment
 from strata.operators.incremental import newer_than
 from strata.sources.tables import run_query
 from strata.sources.versions import VersionedTable
 
+HIDDEN_PARTITION = "_partition"
+
 
 @dataclass(frozen=True)
 class GoldSpec:
     name: str
     query: str
     partition_field: str | None = None
+    """A column of the result, or an expression over it such as ``year(day)``."""
     cluster_fields: tuple[str, ...] = ()
     description: str = ""
     labels: dict[str, str] = field(default_factory=dict)
@@ -48,8 +52,8 @@ class GoldStore:
     def build_incremental(self, spec: GoldSpec, watermark_col: str, committed_at: Moment = None) -> int:
         """Append the rows past the table's own mark (everything on a first run)."""
         self.specs[spec.name] = spec
-        table = self.table(spec.name, spec.partition_field, spec.cluster_fields)
         rows = run_query(self.spark, spec.query)
+        table = self.table(spec.name, rows, spec.partition_field, spec.cluster_fields)
         if table.latest() is not None:
             rows = newer_than(rows, watermark_col, table.current())
         return table.append(_shaped(rows, spec.partition_field), committed_at=committed_at)["rows_added"]
@@ -67,21 +71,38 @@ class GoldStore:
         committed_at: Moment = None,
     ) -> int:
         """Replace a table by a frame, for models written as DataFrames."""
-        table = self.table(name, partition_field, cluster_fields)
-        return table.overwrite(_shaped(df, partition_field), "build", committed_at=committed_at)["rows_added"]
+        table = self.table(name, df, partition_field, cluster_fields)
+        shaped = _shaped(df, partition_field)
+        return table.overwrite(shaped, "build", committed_at=committed_at)["rows_added"]
 
     def read(self, name: str) -> DataFrame:
-        return self.table(name).current()
+        return VersionedTable(self.spark, self._path(name)).current().drop(HIDDEN_PARTITION)
 
     def table(
-        self, name: str, partition_field: str | None = None, cluster_fields: Sequence[str] = ()
+        self,
+        name: str,
+        df: DataFrame,
+        partition_field: str | None = None,
+        cluster_fields: Sequence[str] = (),
     ) -> VersionedTable:
-        partitions = (partition_field,) if partition_field else ()
-        return VersionedTable(
-            self.spark, f"{self.root.rstrip('/')}/{name}", partitions, (*partitions, *cluster_fields)
-        )
+        partitions = _partitions(df, partition_field)
+        return VersionedTable(self.spark, self._path(name), partitions, (*partitions, *cluster_fields))
+
+    def _path(self, name: str) -> str:
+        return f"{self.root.rstrip('/')}/{name}"
+
+
+def _partitions(df: DataFrame, partition_field: str | None) -> tuple[str, ...]:
+    if partition_field is None:
+        return ()
+    return (partition_field,) if partition_field in df.columns else (HIDDEN_PARTITION,)
 
 
 def _shaped(df: DataFrame, partition_field: str | None) -> DataFrame:
-    """Bring each partition's rows together; AQE splits the large ones."""
-    return df.hint("rebalance", partition_field) if partition_field else df
+    """Add the hidden partition column of an expression and bring each
+    partition's rows together; AQE splits the large ones."""
+    if partition_field is None:
+        return df
+    if partition_field not in df.columns:
+        df = df.withColumn(HIDDEN_PARTITION, F.expr(partition_field))
+    return df.hint("rebalance", *_partitions(df, partition_field))

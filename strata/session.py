@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -57,12 +56,9 @@ def settle(df: DataFrame, label: str = "settled", partition_cols: list[str] | No
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
     """Scan ``path`` with a declared schema; an absent path is an empty table."""
-    try:
+    if path_exists(spark, path):
         return spark.read.schema(schema).format(fmt).load(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from strata.functions.stamps import Moment, moment
 from strata.operators.metrics import observed
 from strata.operators.scd2 import CLOSE, INSERT, KEEP
-from strata.session import delete_path, read_or_empty, struct
+from strata.session import delete_path, path_exists, read_or_empty, struct
 
 COMMITS = struct(
     version=T.LongType(),
@@ -42,6 +42,8 @@ COMMITS = struct(
     rows_added=T.LongType(),
     rows_removed=T.LongType(),
     schema_json=T.StringType(),
+    buckets=T.ArrayType(T.IntegerType()),
+    n_buckets=T.IntegerType(),
 )
 VERSION_ONLY = struct(version=T.LongType())
 
@@ -57,15 +59,15 @@ class VersionedTable:
 
     def commits(self) -> DataFrame:
         """One row per commit still kept."""
-        logged = read_or_empty(self.spark, f"{self.path}/commits", COMMITS)
-        return logged.join(self._expired(), "version", "left_anti").select(*COMMITS.fieldNames())
+        expired = f"{self.path}/expired"
+        if not path_exists(self.spark, expired):
+            return self._all_commits()
+        gone = self.spark.read.schema(VERSION_ONLY).parquet(expired)
+        return self._all_commits().join(gone, "version", "left_anti").select(*COMMITS.fieldNames())
 
     def latest(self) -> Row | None:
         return latest_commit(self.commits()).first()
 
-    def _expired(self) -> DataFrame:
-        return read_or_empty(self.spark, f"{self.path}/expired", VERSION_ONLY)
-
     # -- reads -----------------------------------------------------------
 
     def current(self) -> DataFrame:
@@ -93,16 +95,25 @@ class VersionedTable:
             raise LookupError(f"{self.path}: {message}")
         return row
 
-    def _content(self, commit: Row) -> DataFrame:
+    def _content(self, commit: Row, only: Column | None = None) -> DataFrame:
         """Rows of one commit, by partition-pruned folders and its own schema."""
         schema = T.StructType.fromJson(json.loads(commit["schema_json"]))
-        stored = T.StructType([*schema.fields, T.StructField("_version", T.LongType())])
+        stored = T.StructType([*schema.fields, *self.folder_fields()])
+        data = read_or_empty(self.spark, f"{self.path}/data", stored)
+        live = self.live_filter(commit)
+        return data.filter(live if only is None else live & only).select(*schema.fieldNames())
+
+    def folder_fields(self) -> list[T.StructField]:
+        """Partition columns of the folders that are not columns of the table."""
+        return [T.StructField("_version", T.LongType())]
+
+    def live_filter(self, commit: Row) -> Column:
+        """Which folders a commit reads; touches partition columns only."""
         version = F.col("_version")
         live = version.between(commit["base"], commit["version"])
         if commit["current_base"] is not None:
             live = live & (~F.col("_is_current") | (version >= commit["current_base"]))
-        data = read_or_empty(self.spark, f"{self.path}/data", stored)
-        return data.filter(live).select(*schema.fieldNames())
+        return live
 
     # -- writes ----------------------------------------------------------
 
@@ -114,10 +125,9 @@ class VersionedTable:
 
     def append(self, df: DataFrame, batch_id: str | None = None, committed_at: Moment = None) -> Row:
         """Add rows; a batch id that was committed before changes nothing."""
-        done = self._committed(batch_id)
+        last, done = self._state(batch_id)
         if done is not None:
             return done
-        last = self.latest()
         version = _next_version(last)
         schema = T.StructType([f for f in df.schema if f.name != "_version"])
         if last is not None:
@@ -136,15 +146,20 @@ class VersionedTable:
         rows_removed: int | None = None,
     ) -> Row:
         """Replace the whole content and its schema."""
-        done = self._committed(batch_id)
+        last, done = self._state(batch_id)
         if done is not None:
             return done
-        version = _next_version(self.latest())
+        version = _next_version(last)
         rows = self._write(df, version)()
         return self._commit(version, version, operation, batch_id, committed_at, df.schema, rows, rows_removed)
 
     def apply_scd2(
-        self, changes: DataFrame, batch_id: str | None = None, committed_at: Moment = None
+        self,
+        changes: DataFrame,
+        batch_id: str | None = None,
+        committed_at: Moment = None,
+        current_base: int | None = None,
+        buckets: Sequence[int] | None = None,
     ) -> Row:
         """Commit the tagged changes of a type-2 merge.
 
@@ -153,10 +168,9 @@ class VersionedTable:
         inserted rows as added and closed ones as removed, taken while the
         data is written.
         """
-        done = self._committed(batch_id)
+        last, done = self._state(batch_id)
         if done is not None:
             return done
-        last = self.latest()
         version = _next_version(last)
         counts = self._write(
             changes.drop("_change"),
@@ -177,7 +191,8 @@ class VersionedTable:
             changes.drop("_change").schema,
             counts("inserted"),
             counts("closed"),
-            current_base=version,
+            current_base=version if current_base is None else current_base,
+            buckets=buckets,
         )
 
     def restore(self, version: int, committed_at: Moment = None) -> Row:
@@ -199,22 +214,28 @@ class VersionedTable:
         Commits are marked expired before any folder goes, so a crash midway
         leaves only unreferenced folders, removed by the next run.
         """
-        live = live_versions(self.commits(), keep)
-        dead = [r["version"] for r in self._logged_versions().join(live, "version", "left_anti").collect()]
+        logged = self._all_commits().select("version")
+        live = live_versions(logged, keep)
+        dead = [row["version"] for row in logged.join(live, "version", "left_anti").collect()]
         gone = self.commits().join(keep.select("version"), "version", "left_anti").select("version")
         gone.coalesce(1).write.mode("append").parquet(f"{self.path}/expired")
         removed = [v for v in sorted(dead) if delete_path(self.spark, f"{self.path}/data/_version={v}")]
         return self.spark.createDataFrame([(v,) for v in removed], VERSION_ONLY)
 
-    def _logged_versions(self) -> DataFrame:
-        return read_or_empty(self.spark, f"{self.path}/commits", COMMITS).select("version")
+    def _all_commits(self) -> DataFrame:
+        return read_or_empty(self.spark, f"{self.path}/commits", COMMITS)
 
     # -- internals -------------------------------------------------------
 
-    def _committed(self, batch_id: str | None) -> Row | None:
-        if batch_id is None:
-            return None
-        return self.commits().filter(F.col("batch_id") == batch_id).first()
+    def _state(self, batch_id: str | None) -> tuple[Row | None, Row | None]:
+        """The newest commit, and the one that already holds ``batch_id``."""
+        commits = self._all_commits()
+        newest = F.col("version") == commits.agg(F.max("version")).scalar()
+        repeated = F.col("batch_id") == batch_id if batch_id is not None else F.lit(False)
+        rows = commits.filter(newest | repeated).collect()
+        last = max(rows, key=lambda row: row["version"], default=None)
+        done = [row for row in rows if batch_id is not None and row["batch_id"] == batch_id]
+        return last, done[0] if done else None
 
     def _write(
         self,
@@ -223,14 +244,23 @@ class VersionedTable:
         before: Callable[[], tuple[DataFrame, Callable[..., int]]] | None = None,
     ) -> Callable[..., int]:
         watched, counts = observed(df) if before is None else before()
-        watched = watched.select(*df.columns)
+        shaped = self._shape(watched.select(*df.columns))
         if self.sort_cols:
-            watched = watched.sortWithinPartitions(*self.sort_cols)
-        watched.write.mode("overwrite").partitionBy(*self.partition_cols).parquet(
+            shaped = shaped.sortWithinPartitions(*self.sort_cols)
+        shaped.write.mode("overwrite").partitionBy(*self._folders()).parquet(
             f"{self.path}/data/_version={version}"
         )
         return counts
 
+    def _shape(self, df: DataFrame) -> DataFrame:
+        return df
+
+    def _folders(self) -> tuple[str, ...]:
+        return self.partition_cols
+
+    def _bucket_count(self) -> int | None:
+        return None
+
     def _commit(
         self,
         version: int,
@@ -242,6 +272,7 @@ class VersionedTable:
         rows_added: int,
         rows_removed: int | None = None,
         current_base: int | None = None,
+        buckets: Sequence[int] | None = None,
     ) -> Row:
         batch = batch_id or str(uuid.uuid4())
         values: dict[str, Column] = {
@@ -255,12 +286,15 @@ class VersionedTable:
             "rows_added": F.lit(rows_added),
             "rows_removed": F.lit(rows_removed or 0),
             "schema_json": F.lit(schema.json()),
+            "buckets": F.lit(None if buckets is None else list(buckets)),
+            "n_buckets": F.lit(self._bucket_count()),
         }
         row = self.spark.range(1).select(
             *[values[f.name].cast(f.dataType).alias(f.name) for f in COMMITS]
-        )
-        row.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
-        return self._required(self.commits().filter(F.col("version") == version), "commit lost")
+        ).first()
+        logged = self.spark.createDataFrame([row], COMMITS)
+        logged.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
+        return row
 
 
 def latest_commit(commits: DataFrame) -> DataFrame:
@@ -281,7 +315,7 @@ def keep_younger_than(commits: DataFrame, retain_hours: int, now: Moment = None)
 
 
 def live_versions(commits: DataFrame, keep: DataFrame) -> DataFrame:
-    """Versions whose folder some kept commit reads.
+    """Versions whose folder some kept commit reads, among all ever committed.
 
     The commit table holds one row per write, so expanding the ranges of the
     kept commits is cheap and needs no range join.
