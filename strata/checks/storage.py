@@ -28,7 +28,7 @@ from strata.plans.lakehouse import Lakehouse
 from strata.session import scratch_dir, settle
 from strata.sources import bronze
 from strata.sources.bucketed import BucketedTable
-from strata.sources.tables import capped_query, register_external, register_views
+from strata.sources.tables import capped_query, page_of, register_external, register_views
 from strata.sources.versions import VersionedTable, latest_commit
 from strata.tables import Layer, TableSpec
 
@@ -146,6 +146,11 @@ def capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def page_with_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers_by_balance = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    return page_of(customers_by_balance.orderBy(F.col("c_acctbal").desc(), "c_custkey"), 20)
+
+
 # -- versions --------------------------------------------------------------
 
 
@@ -277,6 +282,7 @@ QUERIES = {
     "mv_refresh": mv_refresh,
     "external_table": external_table,
     "capped_query": capped,
+    "capped_page_with_count": page_with_count,
     "as_of_version": lambda s, d: _versioned(s, d).as_of_version(1),
     "as_of_snapshot": as_of_snapshot,
     "as_of_timestamp": lambda s, d: _versioned(s, d).as_of_timestamp("2024-01-02 23:59:59"),
@@ -351,6 +357,9 @@ ORACLES = {
       FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_name""",
     "capped_query": """
       SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100""",
+    "capped_page_with_count": """
+      SELECT c_custkey, c_acctbal, (SELECT count(*) FROM customer) AS row_count
+      FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 20""",
     "as_of_version": _BATCH.format(extra="", where="WHERE o_orderkey % 3 <= 1"),
     "as_of_snapshot": _BATCH.format(extra="", where="WHERE o_orderkey % 3 <= 1"),
     "as_of_timestamp": _BATCH.format(extra="", where="WHERE o_orderkey % 3 <= 1"),

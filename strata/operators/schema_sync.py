@@ -29,13 +29,13 @@ def sync_append(stored: DataFrame, batch: DataFrame) -> DataFrame:
     return aligned.unionByName(batch, allowMissingColumns=True).select(*batch.columns)
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType, drop_unknown: bool = False) -> DataFrame:
     """``df`` in the shape of a declared schema: cast, ordered, gaps null.
 
-    A column the schema does not know is an error, not silent loss.
+    A column the schema does not know is an error unless it may be dropped.
     """
     unknown = [c for c in df.columns if c not in schema.fieldNames()]
-    if unknown:
+    if unknown and not drop_unknown:
         raise ValueError(f"columns not in the declared schema: {unknown}")
     return df.select(
         *[

@@ -147,7 +147,8 @@ class Lakehouse:
         if strategy == "merge":
             spec = self.registry.get(layer, name)
             if stored.latest() is not None:
-                rows = upsert(stored.current(), rows, spec.keys, update_cols)
+                target = conform(stored.current(), rows.schema, drop_unknown=True)
+                rows = upsert(target, rows, spec.keys, update_cols)
             return stored.overwrite(rows, "merge", committed_at=committed_at)["rows_added"]
         if strategy != "table":
             raise ValueError(f"unknown strategy {strategy!r}")

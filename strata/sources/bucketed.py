@@ -19,8 +19,9 @@ from pyspark.sql import types as T
 from strata.functions.stamps import Moment
 from strata.operators.merge import upsert
 from strata.operators.scd2 import scd2_bootstrap, scd2_changes, with_row_hash
+from strata.operators.schema_sync import conform
 from strata.session import settle
-from strata.sources.versions import VersionedTable, _next_version
+from strata.sources.versions import VersionedTable, evolved, next_version, stored_schema
 
 BUCKET = "_bucket"
 
@@ -43,7 +44,11 @@ class BucketedTable(VersionedTable):
         batch_id: str | None = None,
         committed_at: Moment = None,
     ) -> Row:
-        """Upsert ``source`` (one row per key), rewriting its buckets only."""
+        """Upsert ``source`` (one row per key), rewriting its buckets only.
+
+        The table takes the columns of the source: new ones are null in rows
+        it does not touch, missing ones leave the current schema.
+        """
         last, done = self._state(batch_id)
         if done is not None:
             return done
@@ -51,9 +56,11 @@ class BucketedTable(VersionedTable):
             return self.overwrite(source, "merge", batch_id, committed_at)
         self._check_layout(last)
         source = settle(source, "batch")
+        schema = evolved(stored_schema(last), source.schema, keep_missing=False)
         touched = self._touched(source)
-        merged = upsert(self._buckets_of(last, touched), source, self.keys, update_cols)
-        version = _next_version(last)
+        target = conform(self._buckets_of(last, touched), schema, drop_unknown=True)
+        merged = upsert(target, source, self.keys, update_cols)
+        version = next_version(last)
         rows = self._write(merged, version)()
         return self._commit(
             version, last["base"], "merge", batch_id, committed_at, merged.schema, rows, buckets=touched
@@ -88,7 +95,7 @@ class BucketedTable(VersionedTable):
         touched = self._touched(news)
         if not touched:
             return self._commit(
-                _next_version(last),
+                next_version(last),
                 last["base"],
                 "merge",
                 batch_id,

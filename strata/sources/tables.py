@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.tables import database_name
 
@@ -38,3 +39,10 @@ def run_query(spark: SparkSession, sql: str) -> DataFrame:
 def capped_query(spark: SparkSession, sql: str, max_rows: int = MAX_ROWS) -> DataFrame:
     """At most ``max_rows`` rows of a query, for display."""
     return run_query(spark, sql).limit(max_rows)
+
+
+def page_of(df: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+    """The first ``max_rows`` rows of an ordered result, each with the full
+    ``row_count``."""
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return df.limit(max_rows).withColumn("row_count", total)

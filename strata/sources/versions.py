@@ -28,7 +28,8 @@ from pyspark.sql import types as T
 
 from strata.functions.stamps import Moment, moment
 from strata.operators.metrics import observed
-from strata.operators.scd2 import CLOSE, INSERT, KEEP
+from strata.operators.scd2 import CLOSE, INSERT
+from strata.operators.schema_sync import schema_changes
 from strata.session import delete_path, path_exists, read_or_empty, struct
 
 COMMITS = struct(
@@ -97,7 +98,7 @@ class VersionedTable:
 
     def _content(self, commit: Row, only: Column | None = None) -> DataFrame:
         """Rows of one commit, by partition-pruned folders and its own schema."""
-        schema = T.StructType.fromJson(json.loads(commit["schema_json"]))
+        schema = stored_schema(commit)
         stored = T.StructType([*schema.fields, *self.folder_fields()])
         data = read_or_empty(self.spark, f"{self.path}/data", stored)
         live = self.live_filter(commit)
@@ -123,15 +124,26 @@ class VersionedTable:
             self.spark.createDataFrame([], schema), operation="create", committed_at=committed_at
         )
 
-    def append(self, df: DataFrame, batch_id: str | None = None, committed_at: Moment = None) -> Row:
-        """Add rows; a batch id that was committed before changes nothing."""
+    def append(
+        self,
+        df: DataFrame,
+        batch_id: str | None = None,
+        committed_at: Moment = None,
+        drop_missing: bool = False,
+    ) -> Row:
+        """Add rows; a batch id that was committed before changes nothing.
+
+        New columns join the schema and are null in old rows.  Columns the
+        batch lacks stay, or with ``drop_missing`` leave the current schema;
+        older versions keep them either way.
+        """
         last, done = self._state(batch_id)
         if done is not None:
             return done
-        version = _next_version(last)
-        schema = T.StructType([f for f in df.schema if f.name != "_version"])
+        version = next_version(last)
+        schema = df.schema
         if last is not None:
-            schema = _evolved(T.StructType.fromJson(json.loads(last["schema_json"])), schema)
+            schema = evolved(stored_schema(last), schema, keep_missing=not drop_missing)
         rows = self._write(df, version)()
         return self._commit(
             version, version if last is None else last["base"], "append", batch_id, committed_at, schema, rows
@@ -149,7 +161,7 @@ class VersionedTable:
         last, done = self._state(batch_id)
         if done is not None:
             return done
-        version = _next_version(last)
+        version = next_version(last)
         rows = self._write(df, version)()
         return self._commit(version, version, operation, batch_id, committed_at, df.schema, rows, rows_removed)
 
@@ -171,7 +183,7 @@ class VersionedTable:
         last, done = self._state(batch_id)
         if done is not None:
             return done
-        version = _next_version(last)
+        version = next_version(last)
         counts = self._write(
             changes.drop("_change"),
             version,
@@ -179,7 +191,6 @@ class VersionedTable:
                 changes,
                 inserted=F.count_if(F.col("_change") == INSERT),
                 closed=F.count_if(F.col("_change") == CLOSE),
-                kept=F.count_if(F.col("_change") == KEEP),
             ),
         )
         return self._commit(
@@ -324,12 +335,23 @@ def live_versions(commits: DataFrame, keep: DataFrame) -> DataFrame:
     return commits.select("version").join(spans, "version", "left_semi")
 
 
-def _next_version(last: Row | None) -> int:
+def stored_schema(commit: Row) -> T.StructType:
+    return T.StructType.fromJson(json.loads(commit["schema_json"]))
+
+
+def next_version(last: Row | None) -> int:
     return 0 if last is None else last["version"] + 1
 
 
-def _evolved(old: T.StructType, new: T.StructType) -> T.StructType:
-    """Columns of the batch first decide; older columns it lacks stay readable."""
-    names: Sequence[str] = new.fieldNames()
-    kept = [f for f in old if f.name not in names]
-    return T.StructType([*new.fields, *kept])
+def evolved(old: T.StructType, new: T.StructType, keep_missing: bool) -> T.StructType:
+    """Schema after a batch of shape ``new``: its columns, then, if kept, the
+    older ones it lacks.
+
+    Stored files are not rewritten, so a column cannot change its type here.
+    """
+    retyped = schema_changes(old, new)["retyped"]
+    if retyped:
+        raise ValueError(f"columns change type: {retyped}; overwrite the table to retype them")
+    if not keep_missing:
+        return new
+    return T.StructType([*new.fields, *[f for f in old if f.name not in new.fieldNames()]])
