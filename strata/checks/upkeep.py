@@ -7,17 +7,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.checks.fixtures import AS_OF, bronze_orders, table, with_inputs
+from strata.checks.fixtures import AS_OF, SCHEMAS, bronze_orders, table, with_inputs
 from strata.operators import catalog, layout, quality
 from strata.operators.vectors import centroid, vector_topk
 from strata.plans.models import fct_orders
 from strata.session import scratch_dir
 from strata.sources.versions import VersionedTable
 
-CATALOGUED = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages "
-    "benchmark labels conversations"
-).split()
+CATALOGUED = tuple(SCHEMAS)
 RULES = [quality.not_null("order_id"), quality.not_null("status"), quality.non_negative("amount")]
 SMALL = 64 * 1024
 
@@ -85,7 +82,8 @@ def table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "stats")
     orders = table(spark, sf_dir, "orders").repartition("o_orderpriority")
     orders.write.partitionBy("o_orderpriority").parquet(path)
-    stats = layout.table_stats(layout.file_listing(spark, path), ["o_orderpriority"])
+    priority = orders.schema["o_orderpriority"]
+    stats = layout.table_stats(layout.file_listing(spark, path, [priority]), ["o_orderpriority"])
     rows = spark.read.parquet(path).agg(F.count(F.lit(1))).scalar()
     return stats.select(
         "num_files",
@@ -153,10 +151,10 @@ def catalog_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalog_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames = {n: df for n, df in _frames(spark, sf_dir).items() if n in ("region", "orders", "labels", "customer")}
+    frames = _frames(spark, sf_dir)
     tables, columns = catalog.describe_frames(spark, frames)
-    kinds = {n: df.select(*[c for c, t in df.dtypes if t in ("int", "bigint", "string")]) for n, df in frames.items()}
-    return catalog.documents(tables, columns, *catalog.profiles(spark, kinds))
+    sampled = {n: df.select(*[c for c, t in df.dtypes if t in _SAMPLED]) for n, df in frames.items()}
+    return catalog.documents(tables, columns, *catalog.profiles(spark, sampled))
 
 
 def index_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,25 +215,13 @@ _SAMPLES = """
          '  {col}: [' || (SELECT string_agg(CAST(v AS VARCHAR), ', ' ORDER BY v)
                           FROM (SELECT DISTINCT {col} AS v FROM {table} WHERE {col} IS NOT NULL
                                 ORDER BY v LIMIT 3)) || ']' AS shown"""
-# Columns of the documented tables as (name, type, sampled).
+# Type names as the catalog shows them; whole numbers and texts are sampled.
+_TYPES = {"INT": "int", "BIGINT": "bigint", "STRING": "string", "DOUBLE": "double",
+          "TIMESTAMP_NTZ": "timestamp_ntz", "ARRAY<FLOAT>": "array<float>"}
+_SAMPLED = ("int", "bigint", "string")
 _DOCUMENTED = {
-    "region": [("r_regionkey", "int", 1), ("r_name", "string", 1)],
-    "labels": [("doc_id", "bigint", 1), ("quality", "int", 1), ("toxic", "int", 1)],
-    "customer": [
-        ("c_custkey", "bigint", 1),
-        ("c_name", "string", 1),
-        ("c_nationkey", "int", 1),
-        ("c_acctbal", "double", 0),
-        ("c_mktsegment", "string", 1),
-    ],
-    "orders": [
-        ("o_orderkey", "bigint", 1),
-        ("o_custkey", "bigint", 1),
-        ("o_orderstatus", "string", 1),
-        ("o_totalprice", "double", 0),
-        ("o_orderdate", "timestamp_ntz", 0),
-        ("o_orderpriority", "string", 1),
-    ],
+    name: [(c, _TYPES[t], _TYPES[t] in _SAMPLED) for c, t in (part.split() for part in ddl.split(", "))]
+    for name, ddl in SCHEMAS.items()
 }
 
 

@@ -13,11 +13,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.session import struct
-from strata.sources.versions import VersionedTable
+from strata.sources.versions import VersionedTable, stored_schema
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 MIN_INPUT_FILES = 5
-
+# One short row per partition: below this the list is a few megabytes at most.
+MAX_BROADCAST_PARTITIONS = 20_000
+
+# The columns of Spark's binary-file source.
+FILE = struct(
+    path=T.StringType(),
+    modificationTime=T.TimestampType(),
+    length=T.LongType(),
+    content=T.BinaryType(),
+)
 OPTIMIZE_RESULT = struct(
     table_name=T.StringType(),
     files_before=T.LongType(),
@@ -29,14 +38,17 @@ OPTIMIZE_RESULT = struct(
 )
 
 
-def file_listing(spark: SparkSession, path: str) -> DataFrame:
-    """One row per data file: path, length and the partition columns.
+def file_listing(
+    spark: SparkSession, path: str, partition_fields: Sequence[T.StructField] = ()
+) -> DataFrame:
+    """One row per data file: path, length and the declared partition columns.
 
     The binary-file source lists in parallel and, with the content pruned,
-    opens nothing.
+    opens nothing.  Declared types keep folder names such as ``01`` as they are.
     """
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-    return listed.drop("content", "modificationTime")
+    schema = T.StructType([*FILE, *partition_fields])
+    reader = spark.read.format("binaryFile").schema(schema).option("pathGlobFilter", "*.parquet")
+    return reader.load(path).drop("content", "modificationTime")
 
 
 def table_stats(files: DataFrame, partition_cols: Sequence[str] = ()) -> DataFrame:
@@ -50,10 +62,10 @@ def table_stats(files: DataFrame, partition_cols: Sequence[str] = ()) -> DataFra
 
 def live_files(table: VersionedTable) -> DataFrame:
     """Listing of the files the newest version of a table reads."""
-    files = file_listing(table.spark, f"{table.path}/data")
-    if "_is_current" in files.columns:
-        files = files.withColumn("_is_current", F.col("_is_current").cast("boolean"))
-    return files.filter(table.live_filter(table.latest()))
+    last = table.latest()
+    columns = {f.name: f for f in stored_schema(last)}
+    fields = [*table.folder_fields(), *[columns[c] for c in table.partition_cols]]
+    return file_listing(table.spark, f"{table.path}/data", fields).filter(table.live_filter(last))
 
 
 def compact(df: DataFrame, size_bytes: int, target_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
@@ -194,20 +206,25 @@ def rewrite_partitions(
     overwrite leaves the other partitions alone.  Returns the number of
     partitions rewritten.
     """
-    candidates = rewrite_candidates(file_listing(spark, path), partition_cols, target_bytes, min_input_files)
-    chosen = candidates.collect()
+    # Partition values stay the text of their folder, so each row returns to
+    # the folder it came from whatever its type looks like.
+    fields = [T.StructField(c, T.StringType()) for c in partition_cols]
+    files = file_listing(spark, path, fields)
+    chosen = rewrite_candidates(files, partition_cols, target_bytes, min_input_files).collect()
     if not chosen:
         return 0
-    rows = spark.read.option("basePath", path).parquet(*[r["folder"] for r in chosen])
+    stored = spark.read.parquet(path).schema
+    schema = T.StructType([*[f for f in stored if f.name not in partition_cols], *fields])
+    rows = spark.read.schema(schema).option("basePath", path).parquet(*[r["folder"] for r in chosen])
     columns = rows.columns
     needed = spark.createDataFrame(
         [tuple(r[c] for c in partition_cols) + (r["files_needed"],) for r in chosen],
-        T.StructType(
-            [rows.schema[c] for c in partition_cols] + [T.StructField("_files", T.LongType())]
-        ),
+        T.StructType([*fields, T.StructField("_files", T.LongType())]),
     )
     same = [rows[c].eqNullSafe(needed[c]) for c in partition_cols]
-    sized = rows.join(needed.hint("broadcast"), same, "inner").select(*[rows[c] for c in columns], "_files")
+    if len(chosen) <= MAX_BROADCAST_PARTITIONS:
+        needed = needed.hint("broadcast")
+    sized = rows.join(needed, same, "inner").select(*[rows[c] for c in columns], "_files")
     total = sum(r["files_needed"] for r in chosen)
     if strategy == "zorder":
         sized = with_curve(sized, sort_cols)
