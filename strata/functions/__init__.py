@@ -1,15 +1,16 @@
 """Column functions: pure expressions over columns, all inside codegen."""
 
 from strata.functions.hashing import business_columns, row_hash
-from strata.functions.ingest import epoch_batch_id, epoch_to_timestamp, hour_path, with_ingest_metadata
+from strata.functions.ingest import epoch_batch_id, hour_path, with_ingest_metadata
 from strata.functions.measures import ltv_segment, percent_of
-from strata.functions.stamps import moment
+from strata.functions.stamps import epoch_micros, from_epoch_seconds, moment
 from strata.functions.urls import query_params
 
 __all__ = [
     "business_columns",
     "epoch_batch_id",
-    "epoch_to_timestamp",
+    "epoch_micros",
+    "from_epoch_seconds",
     "hour_path",
     "ltv_segment",
     "moment",

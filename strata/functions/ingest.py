@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.stamps import Moment, moment
+from strata.functions.stamps import Moment, epoch_micros, moment
 
 
 def with_ingest_metadata(
@@ -37,15 +37,10 @@ def with_ingest_metadata(
 
 def epoch_batch_id(source: str, as_of: Moment = None) -> Column:
     """Batch id of the JSON landing: the source and whole epoch seconds."""
-    seconds = F.unix_timestamp(moment(as_of).cast("timestamp"))
+    seconds = F.floor(epoch_micros(moment(as_of)) / F.lit(1_000_000))
     return F.concat_ws("_", F.lit(source), seconds.cast("string"))
 
 
-def epoch_to_timestamp(seconds: Column) -> Column:
-    """Epoch seconds (maybe fractional) to the engine's timestamp type."""
-    return F.timestamp_seconds(seconds).cast("timestamp_ntz")
-
-
 def hour_path(stamp: Column) -> Column:
     """Landing folder of an instant, ``yyyy/MM/dd/HH``."""
     return F.date_format(stamp, "yyyy/MM/dd/HH")

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.ingest import epoch_to_timestamp, with_ingest_metadata
-from strata.functions.stamps import Moment, moment
+from strata.functions.ingest import with_ingest_metadata
+from strata.functions.stamps import Moment, epoch_micros, from_epoch_seconds, moment
 from strata.operators.metrics import observed
 
 HIDDEN_DAY = "_day"
@@ -69,7 +69,7 @@ def land_json(df: DataFrame, path: str, ts_col: str = "_ingestion_ts") -> int:
     stamp = F.col(ts_col)
     parts = {"y": "yyyy", "m": "MM", "d": "dd", "h": "HH"}
     rows = df.withColumns({name: F.date_format(stamp, fmt) for name, fmt in parts.items()})
-    seconds = F.unix_micros(stamp.cast("timestamp")) / F.lit(1_000_000)
+    seconds = epoch_micros(stamp) / F.lit(1_000_000)
     watched, counts = observed(rows.withColumn(ts_col, seconds))
     watched.write.mode("append").partitionBy(*parts).json(path)
     return counts()
@@ -83,7 +83,7 @@ def read_json(
         [T.StructField(f.name, T.DoubleType() if f.name == ts_col else f.dataType) for f in schema]
     )
     rows = spark.read.schema(landed).json(path)
-    return rows.withColumn(ts_col, epoch_to_timestamp(F.col(ts_col))).select(*schema.fieldNames())
+    return rows.withColumn(ts_col, from_epoch_seconds(F.col(ts_col))).select(*schema.fieldNames())
 
 
 def _write(

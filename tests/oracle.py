@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime
 import math
 import os
 
@@ -34,10 +33,16 @@ def _plain(value):
     return value
 
 
-def _kind(value):
-    if isinstance(value, bool) or not isinstance(value, (int, datetime.date)):
-        return type(value).__name__
-    return "datetime" if isinstance(value, datetime.datetime) else type(value).__name__
+SPARK_TYPE = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "VARCHAR": "string",
+    "DOUBLE": "double",
+    "FLOAT": "float",
+    "BOOLEAN": "boolean",
+    "DATE": "date",
+    "TIMESTAMP": "timestamp_ntz",
+}
 
 
 def _bag(columns, rows):
@@ -57,10 +62,10 @@ def differences(query, sql, spark, con, sf_dir: str = DATA) -> list[str]:
     found = []
     if len(got) != len(want):
         found.append(f"rows {len(got)} != {len(want)}")
-    kinds = [({_kind(r[i]) for r in side} - {"NoneType"}) for i in range(len(got_cols)) for side in (got, want)]
-    for i, name in enumerate(got_cols):
-        if kinds[2 * i] != kinds[2 * i + 1]:
-            found.append(f"type of {name}: {kinds[2 * i]} != {kinds[2 * i + 1]}")
+    types = dict(frame.dtypes)
+    for name, kind in con.execute(f"SELECT column_name, column_type FROM (DESCRIBE {sql})").fetchall():
+        if types[name] != SPARK_TYPE.get(kind, kind):
+            found.append(f"type of {name}: {types[name]} != {kind}")
     for mine, theirs in zip(got, want):
         if mine != theirs:
             found.append(f"{mine} != {theirs}")
