@@ -17,10 +17,12 @@ One writer at a time is assumed.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -240,13 +242,13 @@ class VersionedTable:
 
     def _state(self, batch_id: str | None) -> tuple[Row | None, Row | None]:
         """The newest commit, and the one that already holds ``batch_id``."""
-        commits = self._all_commits()
-        newest = F.col("version") == commits.agg(F.max("version")).scalar()
-        repeated = F.col("batch_id") == batch_id if batch_id is not None else F.lit(False)
-        rows = commits.filter(newest | repeated).collect()
-        last = max(rows, key=lambda row: row["version"], default=None)
-        done = [row for row in rows if batch_id is not None and row["batch_id"] == batch_id]
-        return last, done[0] if done else None
+        commit = F.struct(*COMMITS.fieldNames())
+        same = F.col("batch_id") == F.lit(batch_id)
+        found = self._all_commits().agg(
+            F.max_by(commit, "version").alias("last"),
+            F.max_by(F.when(same, commit), F.when(same, F.col("version"))).alias("done"),
+        )
+        return tuple(found.first())
 
     def _write(
         self,
@@ -286,27 +288,34 @@ class VersionedTable:
         buckets: Sequence[int] | None = None,
     ) -> Row:
         batch = batch_id or str(uuid.uuid4())
-        values: dict[str, Column] = {
-            "version": F.lit(version),
-            "base": F.lit(base),
-            "current_base": F.lit(current_base),
-            "snapshot_id": F.abs(F.xxhash64(F.lit(batch), F.lit(version))),
-            "batch_id": F.lit(batch),
-            "committed_at": moment(committed_at),
-            "operation": F.lit(operation),
-            "rows_added": F.lit(rows_added),
-            "rows_removed": F.lit(rows_removed or 0),
-            "schema_json": F.lit(schema.json()),
-            "buckets": F.lit(None if buckets is None else list(buckets)),
-            "n_buckets": F.lit(self._bucket_count()),
+        digest = hashlib.sha256(f"{batch}/{version}".encode()).digest()
+        values = {
+            "version": version,
+            "base": base,
+            "current_base": current_base,
+            "snapshot_id": int.from_bytes(digest[:8], "big") >> 1,
+            "batch_id": batch,
+            "committed_at": self._instant(committed_at),
+            "operation": operation,
+            "rows_added": rows_added,
+            "rows_removed": rows_removed or 0,
+            "schema_json": schema.json(),
+            "buckets": None if buckets is None else list(buckets),
+            "n_buckets": self._bucket_count(),
         }
-        row = self.spark.range(1).select(
-            *[values[f.name].cast(f.dataType).alias(f.name) for f in COMMITS]
-        ).first()
-        logged = self.spark.createDataFrame([row], COMMITS)
+        row = Row(**values)
+        logged = self.spark.createDataFrame([tuple(row)], COMMITS)
         logged.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
         return row
 
+    def _instant(self, at: Moment) -> datetime:
+        """A commit time as a plain UTC value."""
+        if at is None:
+            return datetime.now(UTC).replace(tzinfo=None)
+        if isinstance(at, Column):
+            return self.spark.range(1).select(at).first()[0]
+        return datetime.fromisoformat(str(at))
+
 
 def latest_commit(commits: DataFrame) -> DataFrame:
     """Newest entry of a commit history."""
