@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.session import struct
+from strata.sources.bucketed import BucketedTable
 from strata.sources.versions import VersionedTable, stored_schema
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
@@ -80,8 +81,11 @@ def compact(df: DataFrame, size_bytes: int, target_bytes: int = TARGET_FILE_BYTE
 # -- clustering --------------------------------------------------------------
 
 
-def zorder(df: DataFrame, cols: Sequence[str], n_files: int, bits: int = 8) -> DataFrame:
-    """``df`` in ``n_files`` range partitions along a Z-curve over ``cols``.
+def zorder(
+    df: DataFrame, cols: Sequence[str], n_files: int, bits: int = 8, within: Sequence[str] = ()
+) -> DataFrame:
+    """``df`` in ``n_files`` range partitions along a Z-curve over ``cols``,
+    inside each value of the partition columns ``within``.
 
     Ranks come from quantiles, so skewed values spread over the curve.  A hash
     of the row breaks ties, so a value that fills a third of the table is
@@ -89,8 +93,10 @@ def zorder(df: DataFrame, cols: Sequence[str], n_files: int, bits: int = 8) -> D
     """
     curve = with_curve(df, cols, bits)
     salt = F.xxhash64(*[F.col(c) for c in df.columns if not isinstance(df.schema[c].dataType, T.MapType)])
-    spread = curve.withColumn("_salt", salt).repartitionByRange(max(1, n_files), "_curve", "_salt")
-    return spread.sortWithinPartitions("_curve", *cols).drop("_curve", "_salt")
+    spread = curve.withColumn("_salt", salt).repartitionByRange(
+        max(1, n_files), *within, "_curve", "_salt"
+    )
+    return spread.sortWithinPartitions(*within, "_curve", *cols).drop("_curve", "_salt")
 
 
 def with_curve(df: DataFrame, cols: Sequence[str], bits: int = 8) -> DataFrame:
@@ -146,13 +152,20 @@ def optimize(
     name: str | None = None,
 ) -> DataFrame:
     """Rewrite the newest version into files of about the target size, clustered
-    if asked; returns a before/after record.  Older versions stay readable."""
+    if asked; returns a before/after record.  Older versions stay readable.
+
+    A bucketed table keeps its bucket layout and clusters by its sort columns.
+    """
+    if z_order_cols and isinstance(table, BucketedTable):
+        raise ValueError(f"{table.path} is bucketed by its keys; cluster it by sort_cols")
     started = time.monotonic()
     before = table_stats(live_files(table)).first()
     n_files = max(1, math.ceil(before["size_bytes"] / target_bytes))
     content = table.current()
     if z_order_cols:
-        content = zorder(content, z_order_cols, n_files)
+        content = zorder(content, z_order_cols, n_files, within=table.partition_cols)
+    elif isinstance(table, BucketedTable):
+        pass  # the table brings its buckets together itself
     elif table.partition_cols:
         content = content.hint("rebalance", *table.partition_cols)
     else:

@@ -55,6 +55,8 @@ class BucketedTable(VersionedTable):
         if last is None:
             return self.overwrite(source, "merge", batch_id, committed_at)
         self._check_layout(last)
+        if last["current_base"] is not None:
+            raise ValueError(f"{self.path}: a type-2 table takes type-2 merges only")
         source = settle(source, "batch")
         schema = evolved(stored_schema(last), source.schema, keep_missing=False)
         touched = self._touched(source)
@@ -88,6 +90,8 @@ class BucketedTable(VersionedTable):
             changes = first.withColumn("_change", F.lit("insert"))
             return self.apply_scd2(changes, batch_id, as_of)
         self._check_layout(last)
+        # After an overwrite (restore, compaction) the base holds the current rows too.
+        current_base = last["base"] if last["current_base"] is None else last["current_base"]
         hashed = settle(with_row_hash(batch, hash_cols, style), "batch")
         known = self._buckets_of(last, self._touched(hashed)).filter("_is_current")
         identity = [*self.keys, "_row_hash"]
@@ -102,12 +106,12 @@ class BucketedTable(VersionedTable):
                 as_of,
                 known.schema,
                 rows_added=0,
-                current_base=last["current_base"],
+                current_base=current_base,
                 buckets=[],
             )
         current = self._buckets_of(last, touched).filter("_is_current")
         changes = scd2_changes(current, news, self.keys, as_of, hash_cols, style)
-        return self.apply_scd2(changes, batch_id, as_of, last["current_base"], touched)
+        return self.apply_scd2(changes, batch_id, as_of, current_base, touched)
 
     # -- layout ----------------------------------------------------------
 

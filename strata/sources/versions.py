@@ -144,6 +144,8 @@ class VersionedTable:
             return done
         version = next_version(last)
         schema = df.schema
+        if last is not None and last["current_base"] is not None:
+            raise ValueError(f"{self.path}: a type-2 table takes merges only")
         if last is not None:
             schema = evolved(stored_schema(last), schema, keep_missing=not drop_missing)
         rows = self._write(df, version)()

@@ -7,6 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from strata.operators import layout
 from strata.operators.scd2 import scd2_bootstrap, scd2_changes
 from strata.plans.gold import GoldSpec, GoldStore
 from strata.plans.lakehouse import Lakehouse
@@ -121,6 +122,8 @@ def test_scd2_table_never_rewrites_history(spark, tmp_path):
         assert (commit["rows_added"], commit["rows_removed"]) == (1, 1)
     assert [table.as_of_version(v).count() for v in range(3)] == [2, 3, 4]
     assert table.current_rows().count() == 2
+    with pytest.raises(ValueError, match="merges only"):
+        table.append(rows(spark, 5))
     closed = spark.read.parquet(f"{table.path}/data/_version=2/_is_current=false")
     assert [r["name"] for r in closed.collect()] == ["v2"]
 
@@ -172,6 +175,32 @@ def test_bucketed_scd2_replay_writes_no_data(spark, tmp_path):
     assert table.as_of_version(0).count() == 50
 
 
+def test_bucketed_scd2_merges_again_after_a_rewrite(spark, tmp_path):
+    table = bucketed(spark, tmp_path, partition_cols=("_is_current",))
+    table.merge_scd2(rows(spark, *range(30)), "2024-01-01")
+    table.merge_scd2(spark.createDataFrame([(1, "x")], "id INT, name STRING"), "2024-01-02")
+    layout.optimize(table)
+    assert (table.current().count(), table.current_rows().count()) == (31, 30)
+    table.merge_scd2(spark.createDataFrame([(2, "y")], "id INT, name STRING"), "2024-01-03")
+    assert (table.current().count(), table.current_rows().count()) == (32, 30)
+    table.restore(0)
+    table.merge_scd2(spark.createDataFrame([(3, "z")], "id INT, name STRING"), "2024-01-04")
+    assert (table.current().count(), table.current_rows().count()) == (31, 30)
+    with pytest.raises(ValueError, match="sort_cols"):
+        layout.optimize(table, ["name"])
+
+
+def test_zorder_of_a_partitioned_table_keeps_files_few(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), ("day",))
+    df = spark.range(4000).select("id", (F.xxhash64("id") % 100).alias("a"), (F.col("id") % 10).alias("day"))
+    table.append(df.repartition(4))
+    size = layout.table_stats(layout.live_files(table)).first()["size_bytes"]
+    record = layout.optimize(table, ["a", "id"], target_bytes=size // 8).first()
+    # eight ranges over ten days: each range border adds at most one file
+    assert record["files_before"] == 40 and record["files_after"] <= 19
+    assert table.current().count() == 4000
+
+
 def test_bronze_append_counts_and_partitions(spark, tmp_path):
     path = str(tmp_path / "bronze")
     wrote = bronze.append(rows(spark, 1, 2), path, "crm", "b1", "2024-01-02", sort_cols=["id"], even_files=True)
