@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 _local_scratch: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def local_session(cpus: int = 8, app_name: str = "strata") -> SparkSession:
@@ -42,6 +45,23 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application.
+
+    Needed for the Python data source where the package is not installed there
+    (``spark-submit --py-files`` does the same).
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = Path(__file__).parent
+    archive = shutil.make_archive(
+        f"{tempfile.mkdtemp(prefix='strata-')}/{package.name}", "zip", package.parent, package.name
+    )
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)
+
+
 def settle(df: DataFrame, label: str = "settled", partition_cols: list[str] | None = None) -> DataFrame:
     """Write a frame to scratch and read it back.
 

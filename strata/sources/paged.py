@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from strata.session import struct
+from strata.session import ship_package, struct
 
 Fetch = Callable[[dict[str, Any]], Any]
 
@@ -109,6 +109,7 @@ def paged_source(
 
 def read_pages(spark: SparkSession, api: PagedApi, name: str = "paged", **options: Any) -> DataFrame:
     """All fetched pages, one row each.  Every action on it fetches again."""
+    ship_package(spark)
     spark.dataSource.register(paged_source(api, name, **options))
     return spark.read.format(name).load()
 
