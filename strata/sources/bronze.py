@@ -89,9 +89,8 @@ def read_json(
 def _write(
     df: DataFrame, path: str, partition_cols: Sequence[str], sort_cols: Sequence[str], even_files: bool
 ) -> int:
-    watched, counts = observed(df)
-    if even_files:
-        watched = watched.hint("rebalance", *[F.col(c) for c in partition_cols])
+    shaped = df.hint("rebalance", *[F.col(c) for c in partition_cols]) if even_files else df
+    watched, counts = observed(shaped)
     if sort_cols:
         watched = watched.sortWithinPartitions(*partition_cols, *sort_cols)
     watched.write.mode("append").partitionBy(*partition_cols).parquet(path)

@@ -189,13 +189,11 @@ class VersionedTable:
             return done
         version = next_version(last)
         counts = self._write(
-            changes.drop("_change"),
+            changes,
             version,
-            before=lambda: observed(
-                changes,
-                inserted=F.count_if(F.col("_change") == INSERT),
-                closed=F.count_if(F.col("_change") == CLOSE),
-            ),
+            drop=["_change"],
+            inserted=F.count_if(F.col("_change") == INSERT),
+            closed=F.count_if(F.col("_change") == CLOSE),
         )
         return self._commit(
             version,
@@ -253,19 +251,18 @@ class VersionedTable:
         return tuple(found.first())
 
     def _write(
-        self,
-        df: DataFrame,
-        version: int,
-        before: Callable[[], tuple[DataFrame, Callable[..., int]]] | None = None,
+        self, df: DataFrame, version: int, drop: Sequence[str] = (), **counts: Column
     ) -> Callable[..., int]:
-        watched, counts = observed(df) if before is None else before()
-        shaped = self._shape(watched.select(*df.columns))
+        """Write one version's folder; rows are counted in the writing stage, so
+        repeated tasks of earlier stages do not count."""
+        watched, read_counts = observed(self._shape(df), **counts)
+        written = watched.drop(*drop)
         if self.sort_cols:
-            shaped = shaped.sortWithinPartitions(*self.sort_cols)
-        shaped.write.mode("overwrite").partitionBy(*self._folders()).parquet(
+            written = written.sortWithinPartitions(*self.sort_cols)
+        written.write.mode("overwrite").partitionBy(*self._folders()).parquet(
             f"{self.path}/data/_version={version}"
         )
-        return counts
+        return read_counts
 
     def _shape(self, df: DataFrame) -> DataFrame:
         return df
