@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.quality import score_quality
 from strata.llm.secret_scan import scan_secrets
+from strata.llm.toxicity import score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +29,10 @@ def _count(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda x: x["kind"] == kind)).cast("long")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.col("secret_spans")
     base = F.filter(spans, lambda x: x["kind"] != "entropy")
@@ -38,8 +44,14 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
+    "op2_quality": op2_quality,
     "op6_secret_scan": op6_secret_scan,
+    "op8_toxicity": op8_toxicity,
 }
 
 ORACLES: dict[str, str] = {}

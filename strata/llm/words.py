@@ -41,7 +41,7 @@ def _byte_values() -> np.ndarray:
     return values
 
 
-_BYTES = _byte_values()
+BYTES = _byte_values()
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -115,12 +115,16 @@ def _cuts(texts: Texts) -> Iterator[tuple[int, int]]:
         at = to
 
 
-def words_of(texts: Texts) -> Words:
-    """All words with 64-bit hashes that depend on their letters and length."""
+def words_of(texts: Texts, gap: np.ndarray = _WS, values: np.ndarray = BYTES) -> Words:
+    """All words with 64-bit hashes that depend on their letters and length.
+
+    ``gap`` marks the bytes between words (white space among them), ``values``
+    gives the bytes that count as equal equal numbers.
+    """
     begins, ends, hashes = [], [], []
     for at, to in _cuts(texts):
         data = texts.data[at:to]
-        space = _WS[data]
+        space = gap[data]
         # a text's first byte begins a word even if the byte before is a letter
         edge = np.zeros(len(data) + 1, bool)
         lo, hi = np.searchsorted(texts.start, [at, to + 1])
@@ -135,7 +139,7 @@ def words_of(texts: Texts) -> Words:
         after[:-1] = space[1:]
         end = np.flatnonzero(~space & (after | edge[1:])) + 1
         total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTES[data] * _power("up", len(data))[: len(data)], out=total[1:])
+        np.cumsum(values[data] * _power("up", len(data))[: len(data)], out=total[1:])
         value = (total[end] - total[begin]) * _power("down", len(data))[begin]
         hashes.append(mix(value + (end - begin).astype(np.uint64)))
         begins.append(begin + at)
@@ -148,6 +152,21 @@ def words_of(texts: Texts) -> Words:
     return Words(row, begin, end, value, first)
 
 
+def row_sums(texts: Texts, member: np.ndarray) -> np.ndarray:
+    """Bytes of each text that are members."""
+    count = np.zeros(len(texts.data) + 1, np.int64)
+    np.cumsum(member[texts.data], out=count[1:])
+    return np.diff(count[texts.start])
+
+
+def merged(values: np.ndarray, equal: dict[str, str]) -> np.ndarray:
+    """A table of byte values in which each key counts as its letter."""
+    values = values.copy()
+    for key, letter in equal.items():
+        values[ord(key)] = values[ord(letter)]
+    return values
+
+
 def hash_words(words: list[str]) -> np.ndarray:
     """Hashes of given words, as ``words_of`` computes them."""
     return words_of(texts_of(pa.array(words, pa.string()))).hash
