@@ -93,7 +93,7 @@ def _word_keys(texts: Texts, words: Words) -> tuple[np.ndarray, np.ndarray]:
     keys, real = [words.hash], [size >= 4]
     for k in _STEMS:
         mask = np.uint64((1 << 8 * k) - 1)
-        keys.append(mix((packed & mask) + np.uint64(k) * np.uint64(0x9E3779B97F4A7C15)))
+        keys.append(mix((packed & mask) + np.uint64(k << 56)))
         real.append(size >= k)
     return np.column_stack(keys), np.column_stack(real)
 
