@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.katz import katz_scores
 from strata.llm.quality import score_quality
 from strata.llm.secret_scan import scan_secrets
 from strata.llm.toxicity import score_toxicity
@@ -48,10 +49,15 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz_scores(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_quality": op2_quality,
     "op6_secret_scan": op6_secret_scan,
     "op8_toxicity": op8_toxicity,
+    "op10_katz": op10_katz,
 }
 
 ORACLES: dict[str, str] = {}
