@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.katz import katz_scores
+from strata.llm.ngram_join import ngram_components
 from strata.llm.quality import score_quality
 from strata.llm.secret_scan import scan_secrets
 from strata.llm.toxicity import score_toxicity
@@ -34,6 +35,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(table(spark, sf_dir, "documents"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.col("secret_spans")
     base = F.filter(spans, lambda x: x["kind"] != "entropy")
@@ -55,6 +60,7 @@ def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_quality": op2_quality,
+    "op3_ngram_join": op3_ngram_join,
     "op6_secret_scan": op6_secret_scan,
     "op8_toxicity": op8_toxicity,
     "op10_katz": op10_katz,
