@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.katz import katz_scores
+from strata.llm.lattice import near_duplicates
 from strata.llm.ngram_join import ngram_components
 from strata.llm.quality import score_quality
 from strata.llm.secret_scan import scan_secrets
@@ -54,6 +55,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz_scores(table(spark, sf_dir, "documents"))
 
@@ -63,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "op3_ngram_join": op3_ngram_join,
     "op6_secret_scan": op6_secret_scan,
     "op8_toxicity": op8_toxicity,
+    "op9_lattice": op9_lattice,
     "op10_katz": op10_katz,
 }
 
