@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK = 2_000_000
+BLOCK = 1_000_000
 _WS = np.zeros(256, bool)
 _WS[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 #: Odd multiplier of the polynomial word hash (mod 2^64).
@@ -42,6 +42,8 @@ def _byte_values() -> np.ndarray:
 
 
 BYTES = _byte_values()
+#: Byte values for words whose capitals count.
+EXACT_BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_R))
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -178,11 +180,11 @@ def as_long(values: np.ndarray) -> np.ndarray:
 
 
 def parts(column: pa.Array | pa.ChunkedArray) -> Iterator[Texts]:
-    """Consecutive rows with about ``4 * BLOCK`` bytes of text each, rows whole."""
+    """Consecutive rows with about ``2 * BLOCK`` bytes of text each, rows whole."""
     texts = texts_of(column)
     at = 0
     while at < texts.rows:
-        to = int(np.searchsorted(texts.start, texts.start[at] + 4 * BLOCK, "right")) - 1
+        to = int(np.searchsorted(texts.start, texts.start[at] + 2 * BLOCK, "right")) - 1
         to = min(max(to, at + 1), texts.rows)
         first, last = texts.start[at], texts.start[to]
         yield Texts(texts.data[first:last], texts.start[at : to + 1] - first)
