@@ -12,8 +12,12 @@ from strata.llm.lattice import near_duplicates
 from strata.llm.ngram_join import ngram_components
 from strata.llm.quality import score_quality
 from strata.llm.secret_scan import scan_secrets
+from strata.llm.sentencepiece_codec import decode_ids, encode_texts
 from strata.llm.toxicity import score_toxicity
 
+#: A public model of 32,000 pieces; any model of its kind will do.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -32,6 +36,16 @@ def _count(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda x: x["kind"] == kind)).cast("long")
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), PIECES)
+    return decode_ids(encoded, PIECES).select(
+        "doc_id",
+        F.size("token_ids").cast("long").alias("n_tokens"),
+        "token_ids",
+        F.col("decoded").eqNullSafe(F.replace("text", F.lit("\u2581"), F.lit(" "))).alias("round_trip"),
+    )
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -64,6 +78,7 @@ def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_quality": op2_quality,
     "op3_ngram_join": op3_ngram_join,
     "op6_secret_scan": op6_secret_scan,
