@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.html_text import extract_text
 from strata.llm.katz import katz_scores
 from strata.llm.lattice import near_duplicates
 from strata.llm.ngram_join import ngram_components
@@ -54,6 +55,11 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(table(spark, sf_dir, "documents"))
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    return extract_text(pages).select("page_id", F.length("text").cast("long").alias("n_chars"), "text")
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.col("secret_spans")
     base = F.filter(spans, lambda x: x["kind"] != "entropy")
@@ -81,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality": op2_quality,
     "op3_ngram_join": op3_ngram_join,
+    "op4_html": op4_html,
     "op6_secret_scan": op6_secret_scan,
     "op8_toxicity": op8_toxicity,
     "op9_lattice": op9_lattice,
