@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.decontaminate import contaminated_pairs
 from strata.llm.html_text import extract_text
 from strata.llm.katz import katz_scores
 from strata.llm.lattice import near_duplicates
@@ -71,6 +72,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -89,6 +94,7 @@ QUERIES: dict[str, Query] = {
     "op3_ngram_join": op3_ngram_join,
     "op4_html": op4_html,
     "op6_secret_scan": op6_secret_scan,
+    "op7_decontaminate": op7_decontaminate,
     "op8_toxicity": op8_toxicity,
     "op9_lattice": op9_lattice,
     "op10_katz": op10_katz,
