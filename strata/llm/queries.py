@@ -12,6 +12,7 @@ from strata.llm.html_text import extract_text
 from strata.llm.katz import katz_scores
 from strata.llm.lattice import near_duplicates
 from strata.llm.ngram_join import ngram_components
+from strata.llm.pii import find_personal_data
 from strata.llm.quality import score_quality
 from strata.llm.secret_scan import scan_secrets
 from strata.llm.sentencepiece_codec import decode_ids, encode_texts
@@ -61,6 +62,17 @@ def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(pages).select("page_id", F.length("text").cast("long").alias("n_chars"), "text")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.col("pii_spans")
+    base = F.filter(spans, lambda x: x["kind"] != "context")
+    return find_personal_data(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        *(_count(spans, kind).alias(f"n_{kind}") for kind in ("email", "ip", "card", "phone", "context")),
+        F.sha2(_joined(base), 256).alias("base_sha256"),
+        _joined(spans).alias("spans"),
+    )
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.col("secret_spans")
     base = F.filter(spans, lambda x: x["kind"] != "entropy")
@@ -93,6 +105,7 @@ QUERIES: dict[str, Query] = {
     "op2_quality": op2_quality,
     "op3_ngram_join": op3_ngram_join,
     "op4_html": op4_html,
+    "op5_pii": op5_pii,
     "op6_secret_scan": op6_secret_scan,
     "op7_decontaminate": op7_decontaminate,
     "op8_toxicity": op8_toxicity,
