@@ -35,11 +35,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.labelled import held_out
-from strata.llm.words import mix, parts, words_of
+from strata.llm.words import bounded_batches, mix, parts, words_of
 from strata.session import settle
 
 END, START = np.uint64(1), np.uint64(2)
-BLOCK_TOKENS = 1_500_000
+BLOCK_TOKENS = 1_000_000
 #: Counts up to this one are discounted by Good-Turing.
 K = 5
 #: What higher counts give up, so that every history keeps mass for unseen words.
@@ -305,18 +305,19 @@ def _meet_words(hot: Hot, n_parts: int):
             return pd.DataFrame(out, columns=["kind", "part", "head", "body"])
         word = np.concatenate([x[0][x[1]] for x in loaded])
         history = np.concatenate([x[2][x[3]] for x in loaded])
-        train = np.concatenate([x[4] for x in loaded]).astype(np.int64)
-        uw, wi = np.unique(word, return_inverse=True)
-        uh, hi = np.unique(history, return_inverse=True)
-        _, pi = np.unique(wi * len(uh) + hi, return_inverse=True)
+        train = np.concatenate([x[4] for x in loaded])
+        uw, wi = _numbered(word)
+        uh, hi = _numbered(history)
+        del word, history
+        _, pi = _numbered(wi.astype(np.int64) * len(uh) + hi)
         c = np.bincount(pi, train).astype(np.int64)
         own_count = np.bincount(wi, train, len(uw)).astype(np.int64)
         known = _lookup(hot.words, hot.word_counts, uw)
         wc = np.where(known >= 0, known, own_count)
 
         # histories: pairs by count, then words after it by count
-        one = np.zeros(len(c), np.int64)
-        one[pi] = np.arange(len(pi))
+        one = np.zeros(len(c), np.int32)
+        one[pi] = np.arange(len(pi), dtype=np.int32)
         pair_h, pair_w = hi[one], wc[wi[one]]
         seen = c > 0
         stats = [np.bincount(pair_h[seen], c[seen], len(uh))]
@@ -367,6 +368,12 @@ def _meet_words(hot: Hot, n_parts: int):
     return meet
 
 
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values and each value's number among them, in four bytes."""
+    distinct, number = np.unique(values, return_inverse=True)
+    return distinct, number.astype(np.int32)
+
+
 def _by_part(part: np.ndarray, chosen: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """The chosen positions by their part."""
     order = chosen[np.argsort(part[chosen], kind="stable")]
@@ -421,11 +428,10 @@ def _answer(model: Model):
         keys, weights = model.hot, model.hot_weights
         tables = [_unpack(x) for x in rows.loc[rows["kind"] == "history", "body"]]
         if tables:
-            h = np.concatenate([x[0] for x in tables])
-            stats = np.concatenate([np.column_stack([y.astype(np.int64) for y in x[1:]]) for x in tables])
-            u, at = np.unique(h, return_inverse=True)
-            total = np.zeros((len(u), stats.shape[1]))
-            np.add.at(total, at, stats)
+            u, at = _numbered(np.concatenate([x[0] for x in tables]))
+            total = np.column_stack(
+                [np.bincount(at, np.concatenate(column), len(u)) for column in zip(*(x[1:] for x in tables), strict=True)]
+            )
             keys, weights = np.concatenate([keys, u]), np.concatenate([weights, model.weight(total)])
             order = np.argsort(keys)
             keys, weights = keys[order], weights[order]
@@ -521,6 +527,7 @@ def katz_scores(
     Learns from the rows whose crc32 of the id modulo ``folds`` is not 1.
     """
     spark: SparkSession = docs.sparkSession
+    bounded_batches(spark)
     n_parts = n_parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
     rows = docs.select(
         F.col(id_col).alias("id"), (~held_out(id_col, folds)).alias("train"), F.col(text_col).alias("text")

@@ -9,14 +9,17 @@ Null texts are empty texts.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 BLOCK = 1_000_000
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 _WS = np.zeros(256, bool)
 _WS[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 #: Odd multiplier of the polynomial word hash (mod 2^64).
@@ -180,15 +183,36 @@ def as_long(values: np.ndarray) -> np.ndarray:
 
 
 def parts(column: pa.Array | pa.ChunkedArray) -> Iterator[Texts]:
-    """Consecutive rows with about ``2 * BLOCK`` bytes of text each, rows whole."""
-    texts = texts_of(column)
+    """Consecutive rows with about ``2 * BLOCK`` bytes of text each, rows whole.
+
+    Only one part is copied at a time, and freed memory goes back to the system,
+    since a worker process outlives its tasks.
+    """
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    if not (pa.types.is_string(column.type) or pa.types.is_large_string(column.type)):
+        column = column.cast(pa.large_string())
+    kind = np.int32 if pa.types.is_string(column.type) else np.int64
+    start = np.frombuffer(column.buffers()[1] or b"\0" * 8, kind)[column.offset : column.offset + len(column) + 1]
     at = 0
-    while at < texts.rows:
-        to = int(np.searchsorted(texts.start, texts.start[at] + 2 * BLOCK, "right")) - 1
-        to = min(max(to, at + 1), texts.rows)
-        first, last = texts.start[at], texts.start[to]
-        yield Texts(texts.data[first:last], texts.start[at : to + 1] - first)
+    while at < len(column):
+        to = int(np.searchsorted(start, start[at] + 2 * BLOCK, "right")) - 1
+        to = min(max(to, at + 1), len(column))
+        yield texts_of(column.slice(at, to - at))
         at = to
+    release()
+
+
+def bounded_batches(spark: SparkSession, mb: int = 8) -> None:
+    """Let Arrow batches hold this much at most, so neither side of a worker buffers more."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{mb}m")
+
+
+def release() -> None:
+    """Give freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 def runs(texts: Texts, member: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
