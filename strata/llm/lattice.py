@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.components import connected_components
-from strata.llm.words import mix
+from strata.llm.groups import group_starts, whole_groups
+from strata.llm.words import bounded_batches, mix
 from strata.session import settle
 
 #: Tables, neighbouring cells probed per table, and the width of a cell for unit
@@ -113,30 +114,6 @@ def _standing(tables: int, probes: int, with_vectors: bool):
     return place
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
-    """Tables that hold whole groups of rows sorted by the keys."""
-    rest: pa.Table | None = None
-    for batch in batches:
-        rest = pa.concat_tables([rest, pa.Table.from_batches([batch])]) if rest else pa.Table.from_batches([batch])
-        if not rest.num_rows:
-            continue
-        starts = _starts(rest, keys)
-        if starts[-1] > 0:
-            yield rest.slice(0, starts[-1])
-            rest = rest.slice(starts[-1])
-    if rest is not None and rest.num_rows:
-        yield rest
-
-
-def _starts(table: pa.Table, keys: tuple[str, ...]) -> np.ndarray:
-    new = np.zeros(table.num_rows, bool)
-    new[:1] = True
-    for key in keys:
-        values = table.column(key).to_numpy()
-        new[1:] |= values[1:] != values[:-1]
-    return np.flatnonzero(new)
-
-
 def _tile_links(x: np.ndarray, threshold: float) -> np.ndarray:
     linked = x @ x.T >= threshold
     np.fill_diagonal(linked, False)
@@ -148,7 +125,7 @@ def _labels(threshold: float):
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "cell", "i", "j"):
-            starts = np.append(_starts(table, ("cell", "i", "j")), table.num_rows)
+            starts = np.append(group_starts(table, ("cell", "i", "j")), table.num_rows)
             rep = table.column("rep").to_numpy()
             vectors = table.column("vector").combine_chunks()
             a, b = [], []
@@ -182,7 +159,7 @@ def _counts(threshold: float):
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "cell", "i", "j"):
-            starts = np.append(_starts(table, ("cell", "i", "j")), table.num_rows)
+            starts = np.append(group_starts(table, ("cell", "i", "j")), table.num_rows)
             rep, copies = table.column("rep").to_numpy(), table.column("copies").to_numpy()
             i, j, own = (table.column(c).to_numpy() for c in ("i", "j", "block"))
             vectors = table.column("vector").combine_chunks()
@@ -232,6 +209,7 @@ def near_duplicates(
     tables: int = TABLES, probes: int = PROBES,
 ) -> DataFrame:
     """Per row: id, ``n_links``, ``component_id`` and ``kept`` (the smallest id of its component)."""
+    bounded_batches(vectors.sparkSession)
     finite = F.forall(
         F.col("vector"), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
     ) & F.exists(F.col("vector"), lambda x: x != 0)

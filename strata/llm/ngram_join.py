@@ -10,7 +10,10 @@ threshold.  Every link is found:
   cut into bands of sizes that can link at all.
 * First every set of a tile is compared with one of them only.  What these
   comparisons link falls into components; then pairs of one tile that still lie
-  in different components are compared, so no tile emits its pairs.
+  in different components are compared.  Tiles of frequent shingles hang
+  together in clusters; there, sets outside the cluster's largest component are
+  compared with all sets of similar size, block by block, and a block emits no
+  more links than join its components.
 * A comparison first bounds the overlap from above by hashed bitmaps (bits that
   only one side has are shingles that only one side has), then intersects the
   sorted arrays.
@@ -34,7 +37,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm.components import connected_components
-from strata.llm.words import Texts, mix, parts, words_of
+from strata.llm.groups import group_starts, whole_groups
+from strata.llm.words import Texts, bounded_batches, mix, parts, words_of
 from strata.session import settle
 
 SHINGLE = 4
@@ -43,6 +47,8 @@ PERCENT = 85
 HOT_KEPT, HOT_SETS = 65_536, 24
 #: A tile of a hot shingle is dealt out to this many groups (numbered from 1, others have 0).
 SALTS = 64
+#: Sets of a block in a cluster of sets that share frequent shingles.
+BLOCK_SETS = 384
 #: Bits of the filter that says which texts' sets are needed again.
 FILTER_BITS = 1 << 23
 _WINDOW = 2_000_000
@@ -185,8 +191,8 @@ def _prefixes(k: int, percent: int, hot: np.ndarray):
     return emit
 
 
-def _needed_sets(k: int, wanted: np.ndarray):
-    """Sorted arrays and bitmaps of the texts that the filter lets pass."""
+def _needed_sets(k: int, wanted: np.ndarray, column: str):
+    """Sorted arrays or bitmaps of the texts that the filter lets pass."""
     mask = np.uint64(FILTER_BITS - 1)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,10 +216,11 @@ def _needed_sets(k: int, wanted: np.ndarray):
                         pa.array([i for i, _ in rows], pa.int64()),
                         pa.array([key for _, key in rows], pa.int64()),
                         pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([_bits(s) for s in sets], pa.binary()),
-                        pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                        pa.array([_bits(s) for s in sets], pa.binary())
+                        if column == "bits"
+                        else pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
                     ],
-                    names=["id", "key", "size", "bits", "items"],
+                    names=["id", "key", "size", column],
                 )
 
     return emit
@@ -254,22 +261,26 @@ def _filter_of(ids: DataFrame) -> np.ndarray:
     return table
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that link: bitmap bound first, then exact intersection."""
+def _side(sets: DataFrame, name: str, *columns: str) -> DataFrame:
+    return sets.select(F.col("key").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in columns))
 
-    def side(name: str, *columns: str) -> DataFrame:
-        return sets.select(F.col("key").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in columns))
 
-    likely = settle(
-        pairs.join(side("b", "size", "bits"), "b")
-        .join(side("a", "size", "bits"), "a")
+def _likely(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose bitmaps leave room for enough overlap."""
+    return settle(
+        pairs.join(_side(bitmaps, "b", "size", "bits"), "b")
+        .join(_side(bitmaps, "a", "size", "bits"), "a")
         .where(_may_link(percent)("bits_a", "bits_b", "size_a", "size_b"))
         .select("a", "b"),
         "likely",
     )
+
+
+def _links(likely: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sorted arrays overlap enough."""
     return settle(
-        likely.join(side("b", "items"), "b")
-        .join(side("a", "items"), "a")
+        likely.join(_side(arrays, "b", "items"), "b")
+        .join(_side(arrays, "a", "items"), "a")
         .where(_do_link(percent)("items_a", "items_b"))
         .select("a", "b"),
         "linked",
@@ -284,6 +295,7 @@ def ngram_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
     """Per row: id, ``n_shingles`` and ``component_id``, the smallest id that links reach."""
+    bounded_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     found = settle(texts.mapInArrow(_summaries(shingle), "id long, size long, key long, n long"), "sets")
     rows = found.where("size >= 0").select("id", "size", "key")
@@ -299,11 +311,29 @@ def ngram_components(
     order = np.sort(hot.column("key").to_numpy().view(np.uint64))
 
     tiles = _tiles(texts, shingle, percent, order)
-    sets = _sets_of(texts, rows, tiles, shingle)
+    chosen = settle(
+        rows.where("id is not null")
+        .join(tiles.select("key").distinct(), "key")
+        .groupBy("key")
+        .agg(F.min("id").alias("id")),
+        "chosen",
+    )
+    bitmaps = settle(_sets_of(texts, chosen, shingle, "bits"), "bitmaps")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        likely = _likely(pairs, bitmaps, percent)
+        keys = likely.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+        arrays = settle(_sets_of(texts, settle(chosen.join(keys, "key"), "chosen"), shingle, "items"), "arrays")
+        return _links(likely, arrays, percent)
+
     first = settle(_first_pairs(tiles, percent), "pairs")
-    links = _verify(first, sets, percent)
-    more = _cross_pairs(tiles, connected_components(links), percent).join(first, ["a", "b"], "left_anti")
-    links = links.unionByName(_verify(settle(more, "pairs"), sets, percent))
+    links = verified(first)
+    joined = connected_components(links)
+    more = _cross_pairs(tiles.where("salt = 0"), joined, percent).join(first, ["a", "b"], "left_anti")
+    links = links.unionByName(verified(settle(more, "pairs")))
+    member = _cluster_members(tiles.where("salt > 0"), joined, percent)
+    arrays = _sets_of(texts, settle(chosen.join(member.select("key"), "key"), "chosen"), shingle, "items")
+    links = links.unionByName(_cluster_links(member, arrays, percent))
     component = connected_components(links).withColumnRenamed("id", "key")
 
     labelled = rows.join(component, "key", "left").withColumn("label", F.coalesce("component", "key"))
@@ -317,6 +347,21 @@ def ngram_components(
     )
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The row with the smallest id of each component, all columns.
+
+    Of repeated rows one stays; rows with a null id all stay.
+    """
+    found = settle(ngram_components(docs, id_col, text_col), "components")
+    gone = found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
+    kept = docs.join(gone, id_col, "left_anti")
+    if found.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").isEmpty():
+        return kept
+    return kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(
+        kept.where(F.col(id_col).isNull())
+    )
+
+
 def _tiles(texts: DataFrame, shingle: int, percent: int, hot: np.ndarray) -> DataFrame:
     """Sets by prefix shingle, with each tile's smallest set; lone sets are left out."""
     members = (
@@ -390,25 +435,137 @@ def _cross_pairs(tiles: DataFrame, component: DataFrame, percent: int) -> DataFr
     )
 
 
-def _sets_of(texts: DataFrame, rows: DataFrame, tiles: DataFrame, shingle: int) -> DataFrame:
-    """Arrays and bitmaps of the tiles' sets, from one text each.
+def _cluster_members(hot: DataFrame, component: DataFrame, percent: int) -> DataFrame:
+    """Sets of clusters that are not one component yet, with their blocks.
 
-    A filter of fixed size lets few other texts pass; the join is exact.
+    A cluster is what shared frequent shingles connect.  ``minor`` marks sets
+    outside its largest component; ``blocks`` has, for each band of sizes, how
+    many blocks of all sets and of minor sets there are.
     """
-    chosen = settle(
-        rows.where("id is not null")
-        .join(tiles.select("key").distinct(), "key")
-        .groupBy("key")
-        .agg(F.min("id").alias("id")),
-        "chosen",
+    heads = hot.select("shingle", "pivot").distinct()
+    top = heads.groupBy("shingle").agg(F.min("pivot").alias("top"))
+    edges = hot.select(F.col("key").alias("a"), F.col("pivot.key").alias("b")).unionByName(
+        heads.join(top, "shingle").select(F.col("pivot.key").alias("a"), F.col("top.key").alias("b"))
+    )
+    cluster = connected_components(edges).select(F.col("id").alias("key"), F.col("component").alias("cluster"))
+    # bands so wide that sets that can link are at most one band apart
+    band = F.floor(F.log(F.col("size").cast("double")) / (float(np.log(100 / percent)) + 1e-9)).cast("int")
+    labelled = settle(
+        hot.groupBy("key")
+        .agg(F.first("size").alias("size"))
+        .join(cluster, "key")
+        .join(component.withColumnRenamed("id", "key"), "key", "left")
+        .select("key", "cluster", F.coalesce("component", "key").alias("label"), band.alias("band")),
+        "clusters",
+    )
+    largest = (
+        labelled.groupBy("cluster", "label")
+        .count()
+        .groupBy("cluster")
+        .agg(F.max(F.struct("count", "label")).alias("most"), F.count("*").alias("labels"))
+        .where("labels > 1")
+        .select("cluster", F.col("most.label").alias("largest"))
+    )
+    member = labelled.join(largest, "cluster").withColumn("minor", F.col("label") != F.col("largest"))
+    count = F.ceil(F.count("*") / F.lit(BLOCK_SETS)).cast("int")
+    minor = F.ceil(F.sum(F.col("minor").cast("int")) / F.lit(BLOCK_SETS)).cast("int")
+    blocks = (
+        member.groupBy("cluster", "band")
+        .agg(F.struct(count.alias("all"), minor.alias("minor")).alias("n"))
+        .groupBy("cluster")
+        .agg(F.map_from_entries(F.collect_list(F.struct("band", "n"))).alias("blocks"))
     )
-    arrays = texts.select("id", F.xxhash64("id").alias("place"), "text").where("id is not null")
     return settle(
-        arrays.mapInArrow(
-            _needed_sets(shingle, _filter_of(chosen)),
-            "id long, key long, size long, bits binary, items array<long>",
+        member.join(blocks, "cluster").select("key", "cluster", "label", "band", "minor", "blocks"), "cluster_members"
+    )
+
+
+def _cluster_links(member: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
+    """Links of minor sets to any sets of similar size in their cluster, one block against another."""
+
+    def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
+        """Each set in a block of its band, once for each block it meets."""
+        near = F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))
+        block = F.pmod(F.xxhash64("key"), F.col("blocks")[F.col("band")][own])
+        met = F.explode(F.sequence(F.lit(0), F.col("blocks")[F.col("near")][other] - 1))
+        at = rows.withColumn("block", block).withColumn("near", near)
+        at = at.where(F.col("blocks")[F.col("near")][other] > 0).withColumn("met", met)
+        mine = (F.col("band"), F.col("block"))
+        theirs = (F.col("near"), F.col("met"))
+        place = (*mine, *theirs) if own == "minor" else (*theirs, *mine)
+        return at.select(
+            F.xxhash64("cluster", *(c.cast("long") for c in place)).alias("tile"), F.lit(own == "minor").alias("minor"), "key", "label"
+        )
+
+    rows = dealt(member.where("minor"), "minor", "all").unionByName(dealt(member, "all", "minor"))
+    return settle(
+        rows.join(arrays.select("key", "items"), "key")
+        .repartition("tile")
+        .sortWithinPartitions("tile")
+        .mapInArrow(_compare_blocks(percent), "a long, b long")
+        .distinct(),
+        "cluster_links",
+    )
+
+
+def _bit_rows(sets: list[np.ndarray], width: int) -> np.ndarray:
+    bits = np.zeros((len(sets), width), bool)
+    for row, items in zip(bits, sets, strict=True):
+        row[(items & np.uint64(width - 1)).astype(np.int64)] = True
+    return np.packbits(bits, axis=1).view(np.uint64)
+
+
+def _compare_blocks(percent: int):
+    """Per tile: bitmap bounds of a minor set against all, then exact overlaps where they allow a link."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, "tile"):
+            starts = np.append(group_starts(table, ("tile",)), table.num_rows)
+            keys, labels = table.column("key").to_numpy(), table.column("label").to_numpy()
+            minor = table.column("minor").to_numpy(zero_copy_only=False)
+            items = table.column("items").combine_chunks()
+            found: list[tuple[int, int]] = []
+            for first, last in zip(starts[:-1], starts[1:], strict=True):
+                sets = [items[i].values.to_numpy().view(np.uint64) for i in range(first, last)]
+                sets = [np.sort(x) for x in sets]
+                size = np.array([len(x) for x in sets])
+                width = min(max(256, 1 << int(2 * size.max() - 1).bit_length()), 65_536)
+                bits = _bit_rows(sets, width)
+                side = minor[first:last]
+                some = np.flatnonzero(~side)
+                label = labels[first:last].copy()
+                for i in np.flatnonzero(side):
+                    left = np.bitwise_count(bits[i] & ~bits[some]).sum(1)
+                    right = np.bitwise_count(bits[some] & ~bits[i]).sum(1)
+                    bound = np.minimum(size[i] - left.astype(np.int64), size[some] - right.astype(np.int64))
+                    may = some[(label[some] != label[i]) & _linked(bound, size[i], size[some], percent)]
+                    if not len(may):
+                        continue
+                    flat = np.concatenate([sets[j] for j in may])
+                    at = np.minimum(np.searchsorted(sets[i], flat), size[i] - 1)
+                    both = np.add.reduceat(sets[i][at] == flat, np.cumsum(size[may]) - size[may], dtype=np.int64)
+                    for j in may[_linked(both, size[i], size[may], percent)]:
+                        if label[j] != label[i]:
+                            found.append((keys[first + i], keys[first + j]))
+                            label[label == label[j]] = label[i]
+            if found:
+                a, b = np.array(found, np.int64).T
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return compare
+
+
+def _sets_of(texts: DataFrame, chosen: DataFrame, shingle: int, column: str) -> DataFrame:
+    """Bitmaps or arrays of the chosen sets, from one text each.
+
+    A filter of fixed size lets few other texts pass; the join is exact.
+    """
+    kind = {"bits": "binary", "items": "array<long>"}[column]
+    found = texts.select("id", F.xxhash64("id").alias("place"), "text").where("id is not null")
+    return (
+        found.mapInArrow(
+            _needed_sets(shingle, _filter_of(chosen), column), f"id long, key long, size long, {column} {kind}"
         )
         .join(chosen, ["id", "key"])
-        .select("key", "size", "bits", "items"),
-        "arrays",
+        .select("key", "size", column)
     )
