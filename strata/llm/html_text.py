@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.words import release
+from strata.llm.words import bounded_batches, release
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noframes noembed iframe".split())
@@ -371,7 +371,7 @@ def render(page: str) -> str:
 
 @F.arrow_udf(T.StringType())
 def _render(column: pa.Array) -> pa.Array:
-    out = pa.array([None if page is None else render(page) for page in map(pa.Scalar.as_py, column)], pa.string())
+    out = pa.array([None if page is None else render(page) for page in column.to_pylist()], pa.string())
     release()
     return out
 
@@ -383,4 +383,5 @@ def visible_text(page: Column) -> Column:
 
 def extract_text(pages: DataFrame, html_col: str = "html", text_col: str = "text") -> DataFrame:
     """All columns of ``pages`` and the text; a column named like it is replaced."""
+    bounded_batches(pages.sparkSession)
     return pages.withColumn(text_col, visible_text(F.col(html_col)))
