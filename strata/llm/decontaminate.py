@@ -85,27 +85,14 @@ def _is_slot(word: Column) -> Column:
 
 
 def _prepared(rows: DataFrame, id_col: str, text_col: str, name: str) -> DataFrame:
-    """Id, template words and slots (place and value) of each text with words."""
+    """Id and template words of each text with words; its own words where there are placeholders."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     frame = rows.where(F.col(id_col).isNotNull() & text.rlike(r"[^\x20\x09-\x0D]")).select(
         F.col(id_col).alias(name), text.alias("_text")
     )
     marked = F.col("_low").contains("<num>") | F.col("_low").contains("<name>")
-    places = F.filter(
-        F.sequence(F.lit(0), F.size("_words") - 1), lambda i: F.get("_words", i).isin("<num>", "<unit>", "<name>")
-    )
-    return (
-        _with_template(frame, "_text")
-        .withColumn("_words", _words(F.col("_low")))
-        .withColumn("_raw", F.when(marked, _words(F.col("_text"))))
-        .select(
-            name,
-            F.col("_words").alias("words"),
-            F.when(
-                marked,
-                F.transform(places, lambda i: F.struct(i.alias("at"), F.lower(F.get("_raw", i)).alias("value"))),
-            ).alias("slots"),
-        )
+    return _with_template(frame, "_text").select(
+        name, _words(F.col("_low")).alias("words"), F.when(marked, _words(F.lower("_text"))).alias("own")
     )
 
 
@@ -136,21 +123,21 @@ def _with_windows(frame: DataFrame, length: int) -> DataFrame:
     )
 
 
-def _window_rows(prepared: DataFrame, name: str, lengths: list[int]) -> DataFrame:
-    # the outer form infers no filter on the windows, which would be pushed down and compute them again
-    frames = [
-        _with_windows(prepared, n)
-        .select(name, "slots", F.posexplode_outer("_windows").alias(f"{name}_at", "hash"))
-        .withColumn("length", F.lit(n))
-        for n in lengths
-    ]
-    return reduce(DataFrame.unionAll, frames)
+def _window_rows(prepared: DataFrame, name: str, length: int) -> DataFrame:
+    """One row per window: place, hash, and the words that stand there if some are replaced.
 
-
-def _within(slots: Column, at: Column, length: Column) -> Column:
-    return F.transform(
-        F.filter(slots, lambda s: (s["at"] >= at) & (s["at"] < at + length)), lambda s: s["value"]
+    The outer explode infers no filter on the windows, which would be pushed
+    down and compute them again.
+    """
+    placed = F.transform(
+        "_windows",
+        lambda h, i: F.struct(h.alias("hash"), i.alias("at"), F.slice("own", i + 1, F.lit(length)).alias("own")),
     )
+    rows = _with_windows(prepared, length).withColumn("_rows", placed)
+    return rows.select(name, F.explode_outer("_rows").alias("w")).select(
+        name, F.col("w.at").alias(f"{name}_at"), "w.hash", F.col("w.own").alias(f"{name}_own"),
+        F.lit(length).alias("length"),
+    )
 
 
 def contaminated_pairs(
@@ -163,37 +150,36 @@ def contaminated_pairs(
     )
     short = prepared.where(F.col("n_words") < window).select("n_words").distinct().limit(window)
     lengths = [window, *sorted(r["n_words"] for r in short.collect())]
-    plain = F.size(F.filter(F.slice("words", F.col("item_at") + 1, F.col("length")), lambda w: ~_is_slot(w)))
     of_items = reduce(
         DataFrame.unionAll,
         [
-            _with_windows(prepared.where(F.col("n_words") == n if n < window else F.col("n_words") >= window), n)
-            .select("item", "slots", "words", F.posexplode_outer("_windows").alias("item_at", "hash"))
-            .withColumn("length", F.lit(n))
+            _window_rows(
+                prepared.where(F.col("n_words") == n if n < window else F.col("n_words") >= window), "item", n
+            )
             for n in lengths
         ],
-    )
-    of_items = settle(
-        of_items.where("hash is not null").where(plain >= F.least(F.lit(PLAIN), F.col("length"))).select(
-            "item", F.col("slots").alias("item_slots"), "item_at", "hash", "length"
-        ),
-        "item_windows",
-    )
+    ).where("hash is not null")
+    kinds = F.slice("words", F.col("item_at") + 1, F.col("length"))
+    of_items = of_items.join(prepared.select("item", "words"), "item").withColumn("kinds", kinds).drop("words")
+    plain = F.size(F.filter("kinds", lambda w: ~_is_slot(w)))
+    of_items = settle(of_items.where(plain >= F.least(F.lit(PLAIN), F.col("length"))), "item_windows")
     sizes = of_items.groupBy("item").agg(F.countDistinct("item_at").alias("n_windows"))
     small = of_items.count() <= BROADCAST_WINDOWS
     side = F.broadcast(of_items) if small else of_items
+    texts = _prepared(docs, id_col, text_col, "doc")
     met = (
-        _window_rows(_prepared(docs, id_col, text_col, "doc"), "doc", lengths)
+        reduce(DataFrame.unionAll, [_window_rows(texts, "doc", n) for n in lengths])
         .join(side, ["hash", "length"])
         .withColumn("shift", F.col("doc_at") - F.col("item_at"))
     )
-    pairs = F.arrays_zip(
-        _within(F.col("item_slots"), F.col("item_at"), F.col("length")).alias("a"),
-        _within(F.col("slots"), F.col("doc_at"), F.col("length")).alias("b"),
+    # what stands in each placeholder of the item, and in the text
+    pairs = F.transform(
+        F.filter(F.sequence(F.lit(0), F.col("length") - 1), lambda k: _is_slot(F.get("kinds", k))),
+        lambda k: F.struct(F.get("item_own", k).alias("a"), F.get("doc_own", k).alias("b")),
     )
     # along one alignment an item has each window once, so these groups are as small as the item
     aligned = (
-        met.select("doc", "item", "shift", "item_at", F.coalesce(pairs, F.array()).alias("pairs"))
+        met.select("doc", "item", "shift", "item_at", pairs.alias("pairs"))
         .groupBy("doc", "item", "shift")
         .agg(
             F.collect_set("item_at").alias("places"),
