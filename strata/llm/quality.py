@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm.labelled import TRAIN_ROWS, bin_edges, binned, held_out, matrix, sigmoid, training_sample
-from strata.llm.words import Texts, byte_class, parts, row_sums, words_of
+from strata.llm.words import Texts, bounded_batches, byte_class, parts, row_sums, words_of
 from strata.session import settle
 
 FEATURES = (
@@ -210,6 +210,17 @@ def _scorer(model: AdditiveModel) -> Column:
     return score
 
 
+def _fitted(
+    docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, train_rows: int
+) -> tuple[DataFrame, AdditiveModel]:
+    """Stored features of every row, and the model of the labelled ones."""
+    bounded_batches(docs.sparkSession)
+    featured = settle(
+        docs.select(F.col(id_col), _feature_column(F.col(text_col)).alias("features")), "quality"
+    )
+    return featured, fit_additive(*training_sample(featured, labels, id_col, label_col, train_rows))
+
+
 def score_quality(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     label_col: str = "quality", threshold: float = 0.5, train_rows: int = TRAIN_ROWS,
@@ -219,12 +230,21 @@ def score_quality(
     The model is fitted on at most ``train_rows`` labelled rows, none of them
     held out; every row is scored.
     """
-    featured = settle(
-        docs.select(F.col(id_col), _feature_column(F.col(text_col)).alias("features")), "quality"
-    )
-    model = fit_additive(*training_sample(featured, labels, id_col, label_col, train_rows))
+    featured, model = _fitted(docs, labels, id_col, text_col, label_col, train_rows)
     return featured.select(
         id_col,
         held_out(id_col).alias("held_out"),
         _scorer(model)("features").alias("score"),
     ).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def keep_good(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    label_col: str = "quality", threshold: float = 0.5, train_rows: int = TRAIN_ROWS,
+) -> DataFrame:
+    """The rows of ``docs`` that ``score_quality`` predicts as 1, all columns.
+
+    Features are computed once more where the rows stand, which moves no text.
+    """
+    _, model = _fitted(docs, labels, id_col, text_col, label_col, train_rows)
+    return docs.where(_scorer(model)(_feature_column(F.col(text_col))) >= threshold)
