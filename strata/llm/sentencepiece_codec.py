@@ -20,6 +20,7 @@ decodes with spaces instead.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from dataclasses import dataclass, field
 
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.words import EXACT_BYTES, byte_class, mix, parts, words_of
+from strata.llm.words import EXACT_BYTES, bounded_batches, byte_class, mix, parts, words_of
 
 SPACE = "▁"
 #: Characters of distinct words that are indexed at once.
@@ -45,6 +46,7 @@ _CACHE_BITS = 21
 class Model:
     """Pieces as arrays; what merging needs to know about each."""
 
+    name: str
     pieces: list[str]
     #: Output bytes of each id.
     output: list[bytes]
@@ -120,7 +122,9 @@ def load(path: str) -> Model:
     spelled = np.full((len(searched), longest), -1, np.int32)
     for row, i in enumerate(searched):
         spelled[row, : len(pieces[i])] = [code_of[c] for c in pieces[i]]
+    name = hashlib.sha256(p.serialized_model_proto()).hexdigest()
     return Model(
+        name,
         pieces,
         [bytes([int(x[3:5], 16)]) if p.is_byte(i) else b"" if p.is_control(i) else x.replace(SPACE, " ").encode() for i, x in enumerate(pieces)],
         np.array([p.piece_to_id(f"<0x{b:02X}>") for b in range(256)], np.int32),
@@ -370,49 +374,70 @@ def _stops(texts) -> tuple[np.ndarray, ...]:
     return row, begin, end, kind, hashed, spaces
 
 
+#: Words a worker remembers at most, by model: hashes in order, where their ids begin, how many, all ids.
+REMEMBERED = 1_500_000
+_memory: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
+
+
+def _nothing() -> tuple[np.ndarray, ...]:
+    return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+
 def encode_column(model: Model, column: pa.Array) -> pa.Array:
-    """Ids of each text: the library's encoding."""
+    """Ids of each text: the library's encoding.
+
+    Every distinct word is matched once; a worker remembers those of earlier batches.
+    """
     known = pc.replace_substring(pc.fill_null(column.cast(pa.large_string()), ""), SPACE, " ")
-    blocks, table = [], {}
-    unit_hash, unit_word = [], []
+    keys, begins, sizes, ids = _memory.get(model.name, _nothing())
+    blocks = []
+    new: dict[int, str] = {}
     for texts in parts(known):
         row, begin, end, kind, hashed, spaces = _stops(texts)
         word = kind == 0
-        unit = np.where(spaces > 0, hashed, mix(hashed)) if len(hashed) else hashed
+        # the same letters with and without a space before them are two units
+        unit = np.where(spaces > 0, hashed, mix(hashed))
         at = np.flatnonzero(word)
         at = at[np.argsort(unit[at])]
         fresh = unit[at]
         some = np.append(True, fresh[1:] != fresh[:-1])[: len(fresh)]
         fresh, at = fresh[some], at[some]
+        if len(keys):
+            some = keys[np.minimum(np.searchsorted(keys, fresh), len(keys) - 1)] != fresh
+            fresh, at = fresh[some], at[some]
         raw = texts.data.tobytes()
-        for h, i in zip(fresh.tolist(), at.tolist(), strict=True):
-            if h not in table:
-                table[h] = len(unit_word)
-                unit_hash.append(h)
-                unit_word.append((SPACE if spaces[i] else "") + raw[begin[i] : end[i]].decode("utf-8"))
+        spans = zip(fresh.tolist(), begin[at].tolist(), end[at].tolist(), (spaces[at] > 0).tolist(), strict=True)
+        for h, b, e, spaced in spans:
+            if h not in new:
+                new[h] = (SPACE if spaced else "") + raw[b:e].decode("utf-8")
         blocks.append((texts.rows, row, kind, unit, spaces))
-    ids, starts = _encode_distinct(model, unit_word)
-    order = np.argsort(np.array(unit_hash, np.uint64))
-    keys = np.array(unit_hash, np.uint64)[order]
+    if new:
+        more, starts = _encode_distinct(model, list(new.values()))
+        keys = np.concatenate([keys, np.fromiter(new, np.uint64, len(new))])
+        order = np.argsort(keys)
+        begins = np.concatenate([begins, starts[:-1] + len(ids)])[order]
+        sizes = np.concatenate([sizes, np.diff(starts)])[order]
+        keys, ids = keys[order], np.concatenate([ids, more])
+    _memory[model.name] = (keys, begins, sizes, ids) if len(keys) <= REMEMBERED else _nothing()
     longest, newline = model.run_length, model.byte_ids[10]
     short = np.array([len(x) for x in model.short_runs])
     short_ids, short_at = np.concatenate(model.short_runs), np.cumsum(short) - short
+    lone = ids[np.minimum(begins, max(len(ids) - 1, 0))] == model.space if len(ids) else np.zeros(0, bool)
     out, counts = [], []
-    lone = np.array([starts[k + 1] > starts[k] and ids[starts[k]] == model.space for k in range(len(unit_word))], bool)
     for rows, row, kind, unit, spaces in blocks:
         word = kind == 0
-        number = np.zeros(len(row), np.int64)
-        if len(keys):
-            number[word] = order[np.searchsorted(keys, unit[word])]
         marked = word & (spaces > 0)
+        first, size = np.zeros(len(row), np.int64), (kind == 1).astype(np.int64)
         # a space that no merge joins to its word belongs to the spaces before it
         split = np.zeros(len(row), bool)
-        if len(keys):
-            split[marked] = lone[number[marked]]
+        if word.any():
+            number = np.searchsorted(keys, unit[word])
+            split[word] = lone[number]
+            split &= marked
+            first[word] = begins[number] + split[word]
+            size[word] = sizes[number] - split[word]
         run = spaces - marked + split
         run_ids = run // longest + short[run % longest]
-        begin = np.where(word, starts[number] + split, 0) if len(keys) else np.zeros(len(row), np.int64)
-        size = np.where(word, starts[number + 1] - begin, kind == 1) if len(keys) else (kind == 1).astype(np.int64)
         total = run_ids + size
         place = np.cumsum(total) - total
         tokens = np.empty(int(total.sum()), np.int32)
@@ -421,8 +446,7 @@ def encode_column(model: Model, column: pa.Array) -> pa.Array:
         tokens[_spread(place[some], whole)] = model.run
         tokens[_spread(place[some] + whole, short[rest])] = short_ids[_spread(short_at[rest], short[rest])]
         tokens[place[kind == 1] + run_ids[kind == 1]] = newline
-        if word.any():
-            tokens[_spread((place + run_ids)[word], size[word])] = ids[_spread(begin[word], size[word])]
+        tokens[_spread((place + run_ids)[word], size[word])] = ids[_spread(first[word], size[word])]
         out.append(tokens)
         counts.append(np.bincount(row, total, rows).astype(np.int64))
     offsets = np.concatenate([[0], np.cumsum(np.concatenate(counts))]) if counts else np.zeros(1)
@@ -492,9 +516,11 @@ def decoder(model: Model) -> Column:
 
 def encode_texts(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "token_ids") -> DataFrame:
     """All columns of ``docs`` and the ids; a column named like them is replaced."""
+    bounded_batches(docs.sparkSession, 24)
     return docs.withColumn(ids_col, encoder(load(path))(F.col(text_col)))
 
 
 def decode_ids(rows: DataFrame, path: str, ids_col: str = "token_ids", text_col: str = "decoded") -> DataFrame:
     """All columns of ``rows`` and the decoded text; a column named like it is replaced."""
+    bounded_batches(rows.sparkSession, 24)
     return rows.withColumn(text_col, decoder(load(path))(F.col(ids_col)))
