@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.words import Texts, byte_class, code_points, parts, runs
+from strata.llm.words import Texts, bounded_batches, byte_class, code_points, parts, runs
 
 KINDS = ("assign", "access", "hex", "entropy")
 #: Fixed patterns of the base kinds.
@@ -80,14 +80,14 @@ def random_span(word: str) -> tuple[int, int] | None:
     counts: dict[str, int] = {}
     terms, first, last = 0.0, -1, -1
     for i, c in enumerate(word):
-        n = counts.get(c, 0)
-        terms += _TERM[n + 1] - _TERM[n]
-        counts[c] = n + 1
         if i >= WINDOW:
             gone = word[i - WINDOW]
             n = counts[gone]
             terms += _TERM[n - 1] - _TERM[n]
             counts[gone] = n - 1
+        n = counts.get(c, 0)
+        terms += _TERM[n + 1] - _TERM[n]
+        counts[c] = n + 1
         if i >= WINDOW - 1 and math.log2(WINDOW) - terms / WINDOW >= least:
             first = i - WINDOW + 1 if first < 0 else first
             last = i + 1
@@ -179,10 +179,12 @@ def _redact(column: pa.Array) -> pa.Array:
 
 def redact_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Replace every secret by its kind in brackets; null texts stay null."""
+    bounded_batches(docs.sparkSession)
     text = F.col(text_col)
     return docs.withColumn(text_col, F.when(text.isNotNull(), _redact(text)))
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: the id and ``secret_spans``; other columns are not read."""
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col(id_col), secret_spans(F.col(text_col)).alias("secret_spans"))

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from strata.llm.labelled import TRAIN_ROWS, bin_edges, binned, held_out, matrix, sigmoid, training_sample
 from strata.llm.words import (
-    BYTES, Texts, Words, byte_class, hash_words, merged, mix, parts, row_sums, words_of,
+    BYTES, Texts, Words, bounded_batches, byte_class, hash_words, merged, mix, parts, row_sums, words_of,
 )
 from strata.session import settle
 
@@ -384,6 +384,7 @@ def score_toxicity(
     The model is fitted on at most ``train_rows`` labelled rows, none of them
     held out; every row is scored.
     """
+    bounded_batches(docs.sparkSession)
     lexicon = learn_lexicon(docs, labels, id_col, text_col, label_col)
     featured = settle(
         docs.select(F.col(id_col), _feature_column(lexicon)(F.col(text_col)).alias("features")), "toxicity"
