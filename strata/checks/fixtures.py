@@ -126,7 +126,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     quotient by four.
     """
     key = F.col("event_id")
-    payload = F.to_json(F.struct("event_id", "event_type", "user_id", "props"))
+    payload = F.to_json(F.struct("event_id", "event_type", "user_id", "props", "value", F.col("ts").cast("string").alias("ts")))
     return table(spark, sf_dir, "events").select(
         F.lit("events").alias("topic"),
         (key % 4).cast("int").alias("partition"),
@@ -213,7 +213,7 @@ CTES = {
       SELECT * FROM bronze_orders WHERE _ingestion_ts = TIMESTAMP '2024-01-02 00:00:00'""",
     "messages": """
       SELECT event_id, 'events' AS topic, CAST(event_id % 4 AS INTEGER) AS part,
-             event_id // 4 AS pos, event_type, user_id, props,
+             event_id // 4 AS pos, event_type, user_id, props, value, ts,
              CASE event_id % 50 WHEN 0 THEN 'not json' WHEN 1 THEN '5'
                                 WHEN 3 THEN '[1]' WHEN 2 THEN NULL ELSE '{}' END AS kind
       FROM events""",

@@ -13,11 +13,16 @@ from strata.session import scratch_dir, settle, struct
 from strata.sources.messages import bad_messages, decode_messages, encode_messages
 from strata.sources.paged import PagedApi, page_records, read_pages, until_last_page
 from strata.sources.versions import VersionedTable
-from strata.streaming.ingest import bronze_handler, dedup_stream, read_files, run_batches
+from strata.streaming.ingest import bronze_handler, dedup_handler, read_files, run_batches
 
 ORDER = struct(o_orderkey=T.LongType(), o_custkey=T.LongType(), o_totalprice=T.DoubleType())
 EVENT = struct(
-    event_id=T.LongType(), event_type=T.StringType(), user_id=T.LongType(), props=T.StringType()
+    event_id=T.LongType(),
+    event_type=T.StringType(),
+    user_id=T.LongType(),
+    props=T.StringType(),
+    value=T.DoubleType(),
+    ts=T.TimestampNTZType(),
 )
 POSITION = ["_kafka_topic", "_kafka_partition", "_kafka_offset"]
 
@@ -26,19 +31,16 @@ class TableApi:
     """A paged API served from a stored table with a dense key: page ``p`` holds
     the keys of its slice, found through the file's row-group statistics."""
 
-    def __init__(self, path: str, key: str, columns: list[str], by_cursor: bool = False) -> None:
-        self.path, self.key, self.columns, self.by_cursor = path, key, columns, by_cursor
+    def __init__(self, path: str, key: str, columns: list[str]) -> None:
+        self.path, self.key, self.columns = path, key, columns
 
     def __call__(self, params: dict) -> dict:
         size, page = params["limit"], params["page"]
-        first = int(params.get("after", 0)) if self.by_cursor else (page - 1) * size
+        first = (page - 1) * size
         key = ds.field(self.key)
         wanted = (key >= first) & (key < first + size)
         records = ds.dataset(self.path).to_table(columns=self.columns, filter=wanted).to_pylist()
-        body = {"results": records}
-        if self.by_cursor and len(records) == size:
-            body["next"] = f"https://api.example.com/v1/orders?after={first + size}&x=a%20b"
-        return body
+        return {"results": records}
 
 
 def _order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,13 +53,6 @@ def paged_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_records(_order_pages(spark, sf_dir), ORDER)
 
 
-def cursor_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same records by following next links."""
-    fetch = TableApi(f"{sf_dir}/orders.parquet", "o_orderkey", ORDER.fieldNames(), by_cursor=True)
-    pages = read_pages(spark, PagedApi(fetch), "cursor_pages", follow_cursor=True)
-    return page_records(pages, ORDER)
-
-
 def page_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _order_pages(spark, sf_dir).select("page", "n_records")
 
@@ -139,15 +134,16 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events arrive, then all of them are redelivered."""
-    landing, out, offsets = (scratch_dir(spark, f"dedup-{part}") for part in ("in", "out", "offsets"))
+    """The later events arrive; then all of them are delivered, so that the
+    earlier ones come late for the first time and the rest are copies."""
+    landing, offsets = (scratch_dir(spark, f"dedup-{part}") for part in ("in", "offsets"))
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "value", F.col("ts").cast("timestamp"))
-    for _ in range(2):
-        events.write.mode("append").parquet(landing)
-        fresh = dedup_stream(read_files(spark, landing, events.schema), ["event_id"], "ts", "1 hour")
-        query = fresh.writeStream.format("parquet").option("checkpointLocation", offsets)
-        query.trigger(availableNow=True).start(out).awaitTermination()
-    return spark.read.parquet(out).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    out = VersionedTable(spark, scratch_dir(spark, "dedup-out"))
+    for part in (events.filter("event_id % 3 > 0"), events, events):
+        part.write.mode("append").parquet(landing)
+        handle = dedup_handler(out, ["event_id"], "ts")
+        run_batches(read_files(spark, landing, events.schema), handle, offsets).awaitTermination()
+    return out.current().withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 # -- federation ----------------------------------------------------------------
@@ -171,7 +167,6 @@ def federated_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "paged_source": paged_source,
-    "paged_source_cursor": cursor_source,
     "page_counts": page_counts,
     "page_records": envelopes,
     "cursor_params": cursor_params,
@@ -187,7 +182,7 @@ QUERIES = {
 
 _ORDERS = "SELECT o_orderkey, o_custkey, o_totalprice FROM orders"
 _GOOD = """
-  SELECT event_id, event_type, user_id, props, topic AS _kafka_topic, part AS _kafka_partition,
+  SELECT event_id, event_type, user_id, props, value, ts, topic AS _kafka_topic, part AS _kafka_partition,
          pos AS _kafka_offset{extra}
   FROM messages WHERE kind = '{{}}'"""
 _BAD = """
@@ -198,7 +193,6 @@ _INGESTED = """, TIMESTAMP '2024-02-01 00:00:00' AS _ingestion_ts, 'kafka' AS _s
 
 ORACLES = {
     "paged_source": _ORDERS,
-    "paged_source_cursor": _ORDERS,
     "page_counts": """
       SELECT o_orderkey // 500 + 1 AS page, count(*) AS n_records FROM orders GROUP BY 1
       UNION ALL
@@ -212,7 +206,7 @@ ORACLES = {
     "decode_messages": with_inputs("messages", _GOOD.format(extra="")),
     "bad_messages": with_inputs("messages", _BAD),
     "encode_messages": """
-      SELECT event_id, event_type, user_id, props, count(*) OVER (PARTITION BY user_id) AS keyed FROM events""",
+      SELECT event_id, event_type, user_id, props, value, ts, count(*) OVER (PARTITION BY user_id) AS keyed FROM events""",
     "stream_ingest": with_inputs("messages", _GOOD.format(extra=_INGESTED)),
     "stream_bad_messages": with_inputs("messages", _BAD),
     "stream_bronze": with_inputs(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import fields
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +21,7 @@ from strata.functions import epoch_batch_id, with_ingest_metadata
 from strata.operators.dedupe import dedupe_latest, to_silver
 from strata.operators.scd2 import scd2_bootstrap, scd2_changes
 from strata.plans import models
-from strata.plans.gold import GoldSpec, GoldStore
+from strata.plans.gold import GoldStore
 from strata.plans.lakehouse import Lakehouse
 from strata.session import scratch_dir, settle
 from strata.sources import bronze
@@ -94,7 +92,7 @@ DAILY_SQL = """
 def gold_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     _silver_views(spark, sf_dir)
     store = GoldStore(spark, scratch_dir(spark, "gold"))
-    store.build(GoldSpec("daily", DAILY_SQL, partition_field="year(order_date)", cluster_fields=("region",)))
+    store.build("daily", DAILY_SQL, "year(order_date)", ["region"])
     return store.read("daily")
 
 
@@ -103,15 +101,15 @@ def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     _silver_views(spark, sf_dir)
     store = GoldStore(spark, scratch_dir(spark, "gold"))
     early = f"SELECT * FROM ({DAILY_SQL}) WHERE order_date <= DATE '1997-12-31'"
-    store.build(GoldSpec("daily", early, cluster_fields=("region",)))
-    store.build_incremental(GoldSpec("daily", DAILY_SQL, cluster_fields=("region",)), "order_date")
+    store.build("daily", early, cluster_by=["region"])
+    store.build_incremental("daily", DAILY_SQL, "order_date", cluster_by=["region"])
     return store.read("daily")
 
 
 def gold_ltv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lifetime-value model stored clustered by tier and region."""
     store = GoldStore(spark, scratch_dir(spark, "gold"))
-    store.write("agg_customer_ltv", customer_ltv(spark, sf_dir), cluster_fields=("tier", "region"))
+    store.write("agg_customer_ltv", customer_ltv(spark, sf_dir), cluster_by=("tier", "region"))
     return store.read("agg_customer_ltv")
 
 
@@ -121,10 +119,11 @@ def mv_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze_rows = bronze_customers(spark, sf_dir)
     register_views(spark, {"mv_customers": round_of(bronze_rows, 0)})
     sql = "SELECT tier, count(*) AS customers FROM mv_customers GROUP BY tier"
-    store.build(GoldSpec("by_tier", sql))
+    store.build("by_tier", sql)
     register_views(spark, {"mv_customers": dedupe_latest(bronze_rows, ["customer_id"])})
-    store.refresh("by_tier")
-    return store.read("by_tier")
+    another = GoldStore(spark, store.root)  # as another session would
+    another.refresh("by_tier")
+    return another.read("by_tier")
 
 
 def external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,10 +254,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     for ingest_round, day in enumerate(DAYS[:2]):
         rows = round_of(bronze_customers(spark, sf_dir), ingest_round).drop("_ingestion_ts")
         lake.ingest("customers", rows, "crm", f"b{ingest_round}", day)
-        result = lake.promote("customers", as_of=day)
+        counts = lake.promote("customers", as_of=day)
     lake.build_gold("tiers", _tier_query(spark, lake), cluster_by=["tier"])
-    numbers = {f.name: F.lit(getattr(result, f.name)).cast("bigint") for f in fields(result) if f.name != "table"}
-    return lake.gold.read("tiers").withColumns(numbers)
+    return lake.gold.read("tiers").withColumns(
+        {name: F.lit(n).cast("bigint") for name, n in counts.first().asDict().items()}
+    )
 
 
 def _tier_query(spark: SparkSession, lake: Lakehouse) -> str:

@@ -153,8 +153,7 @@ def catalog_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalog_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = _frames(spark, sf_dir)
     tables, columns = catalog.describe_frames(spark, frames)
-    sampled = {n: df.select(*[c for c, t in df.dtypes if t in _SAMPLED]) for n, df in frames.items()}
-    return catalog.documents(tables, columns, *catalog.profiles(spark, sampled))
+    return catalog.documents(tables, columns, *catalog.profiles(spark, frames))
 
 
 def index_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,32 +208,25 @@ _CENTROID = """
           FROM embeddings, parts GROUP BY i))
   SELECT vec_id, label, round({score}, 6) AS score
   FROM (SELECT *, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), q
-  ORDER BY score DESC, vec_id LIMIT 5"""
-_SAMPLES = """
-  SELECT '{table}' AS t, '{col}' AS c,
-         '  {col}: [' || (SELECT string_agg(CAST(v AS VARCHAR), ', ' ORDER BY v)
-                          FROM (SELECT DISTINCT {col} AS v FROM {table} WHERE {col} IS NOT NULL
-                                ORDER BY v LIMIT 3)) || ']' AS shown"""
-# Type names as the catalog shows them; whole numbers and texts are sampled.
+  ORDER BY {score} DESC, vec_id LIMIT 5"""
+# Type names as the catalog shows them; arrays have no samples.
 _TYPES = {"INT": "int", "BIGINT": "bigint", "STRING": "string", "DOUBLE": "double",
           "TIMESTAMP_NTZ": "timestamp_ntz", "ARRAY<FLOAT>": "array<float>"}
-_SAMPLED = ("int", "bigint", "string")
 _DOCUMENTED = {
-    name: [(c, _TYPES[t], _TYPES[t] in _SAMPLED) for c, t in (part.split() for part in ddl.split(", "))]
-    for name, ddl in SCHEMAS.items()
+    name: [(c, _TYPES[t]) for c, t in (part.split() for part in ddl.split(", "))] for name, ddl in SCHEMAS.items()
 }
 
 
 def _document_sql(name: str) -> str:
-    lines = "\n".join(f"  - {c} ({t}): " for c, t, _ in _DOCUMENTED[name])
-    samples = " || chr(10) || ".join(
-        f"(SELECT shown FROM ({_SAMPLES.format(table=name, col=c)}))" for c, _, s in _DOCUMENTED[name] if s
-    )
+    def line(col: str, kind: str) -> str:
+        seen = f"""coalesce(' e.g. ' || (SELECT string_agg(left(CAST(v AS VARCHAR), 40), ' / ' ORDER BY v)
+            FROM (SELECT DISTINCT {col} AS v FROM {name} WHERE {col} IS NOT NULL ORDER BY v LIMIT 3)), '')"""
+        return f"chr(10) || '* {col} {kind}'" + ("" if kind.startswith("array") else f" || {seen}")
+
+    lines = " || ".join(line(c, t) for c, t in _DOCUMENTED[name])
     return f"""
       SELECT 'spark.main.{name}' AS full_name, 'spark' AS catalog,
-             'Table: spark.main.{name}' || chr(10) || 'Description: ' || chr(10) || 'Row count: '
-             || (SELECT count(*) FROM {name}) || chr(10) || 'Columns:' || chr(10) || '{lines}'
-             || chr(10) || 'Sample values:' || chr(10) || {samples} AS document"""
+             'spark.main.{name} holds ' || (SELECT count(*) FROM {name}) || ' rows' || {lines} AS document"""
 
 
 ORACLES = {

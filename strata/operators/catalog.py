@@ -15,6 +15,8 @@ from strata.session import struct
 
 SYSTEM_SCHEMAS = ("information_schema", "system")
 MAX_LISTED = 50
+#: Characters of a sample value that a document shows.
+SHOWN = 40
 
 TABLES = struct(
     catalog=T.StringType(), schema=T.StringType(), table_name=T.StringType(), description=T.StringType()
@@ -95,23 +97,24 @@ def profile(df: DataFrame, samples: int = 3) -> dict[str, object]:
     """Row count and the smallest distinct values of each orderable column.
 
     One aggregation per sample: the next value is the smallest above the last,
-    for all columns at once.  Nothing is shuffled but one row per task.
+    for all columns at once.  Nothing is shuffled but one row per task; the
+    values themselves, texts cut to ``SHOWN`` characters, are all that comes to
+    the driver.
     """
     columns = [f.name for f in df.schema if isinstance(f.dataType, T.AtomicType)]
     rows: int | None = None
+    above: dict[str, Column] = {}
     found: dict[str, list] = {c: [] for c in columns}
     for _ in range(samples):
-        nexts = [
-            F.min(F.when(F.col(c) > F.lit(found[c][-1]).cast(df.schema[c].dataType), F.col(c)) if found[c] else F.col(c))
-            .cast("string")
-            .alias(c)
-            for c in columns
-        ]
-        row = df.agg(F.count(F.lit(1)).alias("_rows"), *nexts).first()
+        nexts = [F.min(F.when(above[c], F.col(c)) if c in above else F.col(c)).alias(c) for c in columns]
+        smallest = df.agg(F.count(F.lit(1)).alias("_rows"), *nexts)
+        shown = [F.substring(F.col(c).cast("string"), 1, SHOWN).alias(c) for c in columns]
+        row = smallest.select("_rows", *shown).first()
         rows = row["_rows"] if rows is None else rows
         for c in columns:
-            if row[c] is not None and (not found[c] or row[c] != found[c][-1]):
+            if row[c] is not None:
                 found[c].append(row[c])
+        above = {c: F.col(c) > smallest.select(c).scalar() for c in columns}
     return {"row_count": rows, "samples": {c: v for c, v in found.items() if v}}
 
 
@@ -140,35 +143,27 @@ def documents(
     Tables meet their columns in one join; each table's columns are gathered
     in order (a table has few columns).
     """
-    line = F.concat(
-        F.lit("  - "), "name", F.lit(" ("), "type", F.lit("): "), F.coalesce("description", F.lit(""))
-    )
+    line = F.concat_ws(" ", F.lit("*"), "name", "type", F.concat(F.lit("-- "), F.nullif("description", F.lit(""))))
     lines = columns.select(*TABLE_KEY, "position", "name", line.alias("line"))
     if samples is not None:
-        shown = F.concat(
-            F.lit("  "), "name", F.lit(": ["), F.array_join(F.slice("samples", 1, 3), ", "), F.lit("]")
-        )
-        lines = lines.join(samples.select("table_name", "name", shown.alias("shown")), ["table_name", "name"], "left")
+        lines = lines.join(samples.select("table_name", "name", "samples"), ["table_name", "name"], "left")
     else:
-        lines = lines.withColumn("shown", F.lit(None).cast("string"))
+        lines = lines.withColumn("samples", F.lit(None).cast("array<string>"))
+    seen = F.concat(F.lit(" e.g. "), F.array_join(F.slice("samples", 1, 3), " / "))
     gathered = lines.groupBy(*TABLE_KEY).agg(
-        F.sort_array(F.collect_list(F.struct("position", "line", "shown"))).alias("cols")
+        F.sort_array(F.collect_list(F.struct("position", F.concat("line", F.coalesce(seen, F.lit(""))).alias("line")))).alias(
+            "cols"
+        )
     )
     described = tables.join(gathered, TABLE_KEY, "left")
     if counts is not None:
         described = described.join(counts, "table_name", "left")
     else:
         described = described.withColumn("row_count", F.lit(None).cast("long"))
-    # A count of zero is shown as unknown too.
-    shown_count = F.coalesce(F.nullif("row_count", F.lit(0)).cast("string"), F.lit("unknown"))
-    sample_lines = F.array_join(F.array_compact(F.col("cols.shown")), "\n")
-    text = F.concat(
-        F.lit("Table: "), full_name(),
-        F.lit("\nDescription: "), F.coalesce("description", F.lit("")),
-        F.lit("\nRow count: "), shown_count,
-        F.lit("\nColumns:\n"), F.coalesce(F.array_join(F.col("cols.line"), "\n"), F.lit("")),
-        F.when(sample_lines != "", F.concat(F.lit("\nSample values:\n"), sample_lines)).otherwise(""),
-    )
+    head = F.concat_ws(
+        " ", full_name(), F.concat(F.lit("holds "), F.col("row_count").cast("string"), F.lit(" rows"))
+    )
+    text = F.concat_ws("\n", head, F.nullif("description", F.lit("")), F.array_join(F.col("cols.line"), "\n"))
     return described.select(full_name().alias("full_name"), "catalog", text.alias("document"))
 
 

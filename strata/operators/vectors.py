@@ -41,11 +41,12 @@ def vector_topk(
     """The ``k`` most similar rows with their ``score``, exactly.
 
     The query travels as a literal, every task keeps its own best ``k`` and
-    only those are merged.  Scores equal to ``digits`` places tie by id.
+    only those are merged.  Rows are ranked by the exact score (ties by id);
+    only the score shown is rounded to ``digits`` places.
     """
     score = {"dot": dot, "cosine": cosine}[metric](F.col(vector_col), F.lit([float(x) for x in query]))
-    scored = vectors.withColumn("score", F.round(score, digits))
-    return scored.orderBy(F.col("score").desc(), F.col(id_col)).limit(k)
+    best = vectors.withColumn("score", score).orderBy(F.col("score").desc_nulls_last(), F.col(id_col)).limit(k)
+    return best.withColumn("score", F.round("score", digits))
 
 
 def centroid(vectors: DataFrame, vector_col: str = "embedding", digits: int = 6) -> list[float]:

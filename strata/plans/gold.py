@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,15 +16,7 @@ from strata.sources.versions import VersionedTable
 HIDDEN_PARTITION = "_partition"
 
 
-@dataclass(frozen=True)
-class GoldSpec:
-    name: str
-    query: str
-    partition_field: str | None = None
-    """A column of the result, or an expression over it such as ``year(day)``."""
-    cluster_fields: tuple[str, ...] = ()
-    description: str = ""
-    labels: dict[str, str] = field(default_factory=dict)
+DEFINITION = "name STRING, query STRING, partition_by STRING, cluster_by ARRAY<STRING>"
 
 
 @dataclass
@@ -32,47 +24,73 @@ class GoldStore:
     """Gold tables under one root, built from SQL over registered views.
 
     Every build is a new version, so readers of the old one are not disturbed.
+    The query that made a table is stored beside it, so any session can refresh
+    the table by name.
     """
 
     spark: SparkSession
     root: str
-    specs: dict[str, GoldSpec] = field(default_factory=dict)
-
-    def build(self, spec: GoldSpec, committed_at: Moment = None) -> int:
-        """Replace the table by the query's result; returns the rows written."""
-        self.specs[spec.name] = spec
-        return self.write(
-            spec.name,
-            run_query(self.spark, spec.query),
-            spec.partition_field,
-            spec.cluster_fields,
-            committed_at,
-        )
-
-    def build_incremental(self, spec: GoldSpec, watermark_col: str, committed_at: Moment = None) -> int:
+
+    def build(
+        self,
+        name: str,
+        query: str,
+        partition_by: str | None = None,
+        cluster_by: Sequence[str] = (),
+        committed_at: Moment = None,
+    ) -> int:
+        """Replace the table by the query's result; returns the rows written.
+
+        ``partition_by`` is a column of the result or an expression over it
+        such as ``year(day)``.
+        """
+        written = self.write(name, run_query(self.spark, query), partition_by, cluster_by, committed_at)
+        self._define(name, query, partition_by, cluster_by)
+        return written
+
+    def build_incremental(
+        self,
+        name: str,
+        query: str,
+        watermark_col: str,
+        partition_by: str | None = None,
+        cluster_by: Sequence[str] = (),
+        committed_at: Moment = None,
+    ) -> int:
         """Append the rows past the table's own mark (everything on a first run)."""
-        self.specs[spec.name] = spec
-        rows = run_query(self.spark, spec.query)
-        table = self.table(spec.name, rows, spec.partition_field, spec.cluster_fields)
+        rows = run_query(self.spark, query)
+        table = self.table(name, rows, partition_by, cluster_by)
         if table.latest() is not None:
             rows = newer_than(rows, watermark_col, table.current())
-        return table.append(_shaped(rows, spec.partition_field), committed_at=committed_at)["rows_added"]
+        written = table.append(_shaped(rows, partition_by), committed_at=committed_at)["rows_added"]
+        self._define(name, query, partition_by, cluster_by)
+        return written
 
     def refresh(self, name: str, committed_at: Moment = None) -> int:
         """Rerun the stored query of a table."""
-        return self.build(self.specs[name], committed_at)
+        stored = self.spark.read.schema(DEFINITION).json(self._definition(name)).first()
+        if stored is None:
+            raise KeyError(name)
+        return self.build(name, stored["query"], stored["partition_by"], stored["cluster_by"] or (), committed_at)
+
+    def _define(self, name: str, query: str, partition_by: str | None, cluster_by: Sequence[str]) -> None:
+        row = self.spark.createDataFrame([(name, query, partition_by, [*cluster_by])], DEFINITION)
+        row.coalesce(1).write.mode("overwrite").json(self._definition(name))
+
+    def _definition(self, name: str) -> str:
+        return f"{self.root.rstrip('/')}/_definitions/{name}"
 
     def write(
         self,
         name: str,
         df: DataFrame,
-        partition_field: str | None = None,
-        cluster_fields: Sequence[str] = (),
+        partition_by: str | None = None,
+        cluster_by: Sequence[str] = (),
         committed_at: Moment = None,
     ) -> int:
         """Replace a table by a frame, for models written as DataFrames."""
-        table = self.table(name, df, partition_field, cluster_fields)
-        shaped = _shaped(df, partition_field)
+        table = self.table(name, df, partition_by, cluster_by)
+        shaped = _shaped(df, partition_by)
         return table.overwrite(shaped, "build", committed_at=committed_at)["rows_added"]
 
     def read(self, name: str) -> DataFrame:
@@ -82,27 +100,27 @@ class GoldStore:
         self,
         name: str,
         df: DataFrame,
-        partition_field: str | None = None,
-        cluster_fields: Sequence[str] = (),
+        partition_by: str | None = None,
+        cluster_by: Sequence[str] = (),
     ) -> VersionedTable:
-        partitions = _partitions(df, partition_field)
-        return VersionedTable(self.spark, self._path(name), partitions, (*partitions, *cluster_fields))
+        partitions = _partitions(df, partition_by)
+        return VersionedTable(self.spark, self._path(name), partitions, (*partitions, *cluster_by))
 
     def _path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
 
-def _partitions(df: DataFrame, partition_field: str | None) -> tuple[str, ...]:
-    if partition_field is None:
+def _partitions(df: DataFrame, partition_by: str | None) -> tuple[str, ...]:
+    if partition_by is None:
         return ()
-    return (partition_field,) if partition_field in df.columns else (HIDDEN_PARTITION,)
+    return (partition_by,) if partition_by in df.columns else (HIDDEN_PARTITION,)
 
 
-def _shaped(df: DataFrame, partition_field: str | None) -> DataFrame:
+def _shaped(df: DataFrame, partition_by: str | None) -> DataFrame:
     """Add the hidden partition column of an expression and bring each
     partition's rows together; AQE splits the large ones."""
-    if partition_field is None:
+    if partition_by is None:
         return df
-    if partition_field not in df.columns:
-        df = df.withColumn(HIDDEN_PARTITION, F.expr(partition_field))
-    return df.hint("rebalance", *_partitions(df, partition_field))
+    if partition_by not in df.columns:
+        df = df.withColumn(HIDDEN_PARTITION, F.expr(partition_by))
+    return df.hint("rebalance", *_partitions(df, partition_by))

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.ingest import with_ingest_metadata
@@ -17,7 +16,7 @@ from strata.operators.metrics import observed
 from strata.operators.merge import upsert
 from strata.operators.scd2 import out_of_order
 from strata.operators.schema_sync import conform
-from strata.plans.gold import GoldSpec, GoldStore
+from strata.plans.gold import GoldStore
 from strata.session import scratch_dir
 from strata.sources.bucketed import BucketedTable
 from strata.sources.tables import register_external
@@ -25,24 +24,7 @@ from strata.sources.versions import VersionedTable
 from strata.tables import Layer, Registry, TableSpec, layer_path
 
 
-@dataclass(frozen=True)
-class IngestResult:
-    table: str
-    path: str
-    rows: int
-    batch_id: str
-    version: int
-    snapshot_id: int
-
-
-@dataclass(frozen=True)
-class PromoteResult:
-    table: str
-    rows_in: int
-    rows_out: int
-    duplicates_dropped: int
-    scd2_inserts: int
-    scd2_updates: int
+PROMOTED = "rows_in LONG, rows_out LONG, duplicates_dropped LONG, scd2_inserts LONG, scd2_updates LONG"
 
 
 class Lakehouse:
@@ -75,8 +57,8 @@ class Lakehouse:
 
     def ingest(
         self, name: str, df: DataFrame, source: str, batch_id: str | None = None, as_of: Moment = None
-    ) -> IngestResult:
-        """Append a batch to bronze with its arrival metadata.
+    ) -> Row:
+        """Append a batch to bronze with its arrival metadata; returns the commit.
 
         A batch is conformed to the declared schema if there is one.  A
         repeated batch id is not stored again.
@@ -85,18 +67,16 @@ class Lakehouse:
         rows = df if spec.schema is None else conform(df, spec.schema)
         stored = self.table(Layer.BRONZE, name)
         enriched = with_ingest_metadata(rows, source, batch_id, as_of)
-        commit = stored.append(enriched, batch_id, as_of)
-        return IngestResult(
-            name, stored.path, commit["rows_added"], commit["batch_id"], commit["version"], commit["snapshot_id"]
-        )
+        return stored.append(enriched, batch_id, as_of)
 
-    def promote(self, name: str, bronze: DataFrame | None = None, as_of: Moment = None) -> PromoteResult:
+    def promote(self, name: str, bronze: DataFrame | None = None, as_of: Moment = None) -> DataFrame:
         """Deduplicate bronze rows into silver: a type-2 merge, or a full
         replace for type 1.
 
         The bronze rows are read once: the deduplicated batch is written to
         scratch while both sides are counted, and every later step reads that.
         A type-2 batch that does not lie after the current rows is refused.
+        Returns one row of counts in the shape of ``transform_metrics``.
         """
         spec = self.registry.get(Layer.SILVER, name)
         rows = self.table(Layer.BRONZE, name).current() if bronze is None else bronze
@@ -114,7 +94,8 @@ class Lakehouse:
         else:
             stored.overwrite(batch, committed_at=as_of)
             inserted, closed = rows_out(), 0
-        return PromoteResult(name, rows_in(), rows_out(), rows_in() - rows_out(), inserted, closed)
+        counts = [(rows_in(), rows_out(), rows_in() - rows_out(), inserted, closed)]
+        return self.spark.createDataFrame(counts, PROMOTED)
 
     def _merge_scd2(
         self, stored: VersionedTable, spec: TableSpec, batch: DataFrame, as_of: Moment
@@ -157,7 +138,7 @@ class Lakehouse:
     def build_gold(
         self, name: str, sql: str, partition_by: str | None = None, cluster_by: Sequence[str] = ()
     ) -> int:
-        return self.gold.build(GoldSpec(name, sql, partition_by, tuple(cluster_by)))
+        return self.gold.build(name, sql, partition_by, cluster_by)
 
     def register_external(self, name: str, path: str) -> DataFrame:
         return register_external(self.spark, name, path)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,53 +18,33 @@ MESSAGE = struct(
 )
 POSITION = {"_kafka_topic": "topic", "_kafka_partition": "partition", "_kafka_offset": "offset"}
 _CORRUPT = "_corrupt_record"
+#: Stamps are published to the microsecond.
+_STAMPS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
-@dataclass(frozen=True)
-class TopicConfig:
-    """Connection of a topic, turned into options of Spark's Kafka source."""
-
-    bootstrap_servers: str
-    group_id: str
-    topics: tuple[str, ...] = ()
-    starting_offsets: str = "earliest"
-    security_protocol: str = "PLAINTEXT"
-    sasl_mechanism: str | None = None
-    sasl_username: str | None = None
-    sasl_password: str | None = None
-    batch_size: int = 1000
-    batch_timeout_ms: int = 5000
-    fail_on_data_loss: bool = True
-    extra: dict[str, str] = field(default_factory=dict)
-
-    def source_options(self) -> dict[str, str]:
-        options = {
-            "kafka.bootstrap.servers": self.bootstrap_servers,
-            "kafka.group.id": self.group_id,
-            "kafka.security.protocol": self.security_protocol,
-            "subscribe": ",".join(self.topics),
-            "startingOffsets": self.starting_offsets,
-            "maxOffsetsPerTrigger": str(self.batch_size),
-            "failOnDataLoss": str(self.fail_on_data_loss).lower(),
-        }
-        if self.sasl_mechanism:
-            options["kafka.sasl.mechanism"] = self.sasl_mechanism
-            options["kafka.sasl.jaas.config"] = self._jaas()
-        return options | {f"kafka.{name}": value for name, value in self.extra.items()}
-
-    def sink_options(self) -> dict[str, str]:
-        options = {"kafka.bootstrap.servers": self.bootstrap_servers}
-        if self.topics:
-            options["topic"] = self.topics[0]
-        return options
-
-    def _jaas(self) -> str:
-        module = (
-            "org.apache.kafka.common.security.plain.PlainLoginModule"
-            if self.sasl_mechanism == "PLAIN"
-            else "org.apache.kafka.common.security.scram.ScramLoginModule"
-        )
-        return f'{module} required username="{self.sasl_username}" password="{self.sasl_password}";'
+def read_options(servers: str, *topics: str, records: int | None = None, **more: str) -> dict[str, str]:
+    """Options of Spark's Kafka source.
+
+    ``records`` bounds a micro-batch.  Without a start position a new query
+    begins at the oldest record; later it goes on where its checkpoint ends.
+    Any other option of the source can be given, dots written as two
+    underscores.
+    """
+    options = {"kafka.bootstrap.servers": servers, "subscribe": ",".join(topics), "startingOffsets": "earliest"}
+    if records is not None:
+        options["maxOffsetsPerTrigger"] = str(records)
+    return options | {name.replace("__", "."): value for name, value in more.items()}
+
+
+def login(mechanism: str, user: str, password: str) -> dict[str, str]:
+    """Options by which a source or sink logs in to its servers."""
+    module = "plain.PlainLoginModule" if mechanism == "PLAIN" else "scram.ScramLoginModule"
+    return {
+        "kafka.security.protocol": "SASL_SSL",
+        "kafka.sasl.mechanism": mechanism,
+        "kafka.sasl.jaas.config": f"org.apache.kafka.common.security.{module} required "
+        f'username="{user}" password="{password}";',
+    }
 
 
 def _parsed(raw: DataFrame, schema: T.StructType) -> DataFrame:
@@ -108,16 +86,14 @@ def encode_messages(df: DataFrame, key_col: str, topic: str | None = None) -> Da
     """Rows as keyed JSON messages, ready for a message sink."""
     encoded = {
         "key": F.encode(F.col(key_col).cast("string"), "UTF-8"),
-        "value": F.encode(F.to_json(F.struct(*df.columns)), "UTF-8"),
+        "value": F.encode(F.to_json(F.struct(*df.columns), _STAMPS), "UTF-8"),
     }
     if topic is not None:
         encoded = {"topic": F.lit(topic), **encoded}
     return df.select(*[c.alias(n) for n, c in encoded.items()])
 
 
-def publish(df: DataFrame, config: TopicConfig, key_col: str, fmt: str = "kafka", **options: str) -> None:
-    """Write rows to a topic, or to any other sink of the same two columns."""
-    writer = encode_messages(df, key_col).write.format(fmt)
-    if fmt == "kafka":
-        writer = writer.options(**config.sink_options())
-    writer.options(**options).mode("append").save()
+def publish(df: DataFrame, key_col: str, fmt: str = "kafka", topic: str | None = None, **options: str) -> None:
+    """Write rows to a topic, or to any other sink of the same columns."""
+    rows = encode_messages(df, key_col, topic)
+    rows.write.format(fmt).options(**options).mode("append").save()

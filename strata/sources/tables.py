@@ -19,9 +19,13 @@ def register_views(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None
 
 
 def register_external(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> DataFrame:
-    """Register stored files as a table of the catalog (replaced if known); the
-    files stay where they are."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    """Register stored files as a table of the catalog; the files stay where they
+    are.  A known external table is registered anew; a managed table of that
+    name is refused, since dropping it would delete its files."""
+    if spark.catalog.tableExists(name):
+        if spark.catalog.getTable(name).tableType == "MANAGED":
+            raise ValueError(f"{name} is a managed table")
+        spark.sql(f"DROP TABLE {name}")
     return spark.catalog.createTable(name, path=path, source=fmt)
 
 

@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.functions.ingest import with_ingest_metadata
 from strata.functions.stamps import Moment
-from strata.sources.messages import MESSAGE, TopicConfig, bad_messages, decode_messages
+from strata.sources.messages import MESSAGE, bad_messages, decode_messages
+from strata.session import settle
 from strata.sources.versions import VersionedTable
 
 Handler = Callable[[DataFrame, int], None]
 
 
-def read_topic(spark: SparkSession, config: TopicConfig, fmt: str = "kafka") -> DataFrame:
-    """A stream of messages from a topic connector."""
-    stream = spark.readStream.format(fmt).options(**config.source_options()).load()
+def read_topic(spark: SparkSession, options: Mapping[str, str], fmt: str = "kafka") -> DataFrame:
+    """A stream of messages from a topic connector, by the connector's options."""
+    stream = spark.readStream.format(fmt).options(**options).load()
     return stream.select(*MESSAGE.fieldNames())
 
 
@@ -80,11 +83,25 @@ def bronze_handler(
     return handle
 
 
-def dedup_stream(stream: DataFrame, keys: Sequence[str], ts_col: str, delay: str = "1 hour") -> DataFrame:
-    """Drop redelivered rows that arrive within ``delay`` of the first copy.
+def dedup_handler(table: VersionedTable, keys: Sequence[str], ts_col: str, stream_id: str = "stream") -> Handler:
+    """A handler that appends the rows of a batch whose keys ``table`` lacks.
 
-    The state holds the keys of that window only.  Rows later than the delay
-    are not passed on; silver deduplication over the whole of bronze remains
-    the complete one.
+    A redelivered row has the stamp of its first copy, so only stored rows
+    within the batch's own range of stamps are compared (null stamps with null
+    stamps).  Rows may be late by any time: a new one is stored whenever it
+    comes, a copy never twice.
     """
-    return stream.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark([*keys])
+
+    def handle(batch: DataFrame, number: int) -> None:
+        rows = settle(batch.dropDuplicates([*keys]), "stream-dedup")
+        if table.latest() is not None:
+            span = rows.agg(F.min(ts_col).alias("low"), F.max(ts_col).alias("high"))
+            low, high = span.select("low").scalar(), span.select("high").scalar()
+            stored = table.current()
+            stored = stored.filter(F.col(ts_col).between(low, high) | F.col(ts_col).isNull())
+            known = stored.select(*[F.col(k).alias(f"_{k}") for k in keys])
+            same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+            rows = rows.join(known, same, "left_anti")
+        table.append(rows, batch_id=f"{stream_id}-{number}")
+
+    return handle

@@ -5,10 +5,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.session import struct
-from strata.sources.messages import MESSAGE, TopicConfig, bad_messages, decode_messages, encode_messages, publish
+from strata.sources.messages import (
+    MESSAGE, bad_messages, decode_messages, encode_messages, login, publish, read_options,
+)
 from strata.sources.paged import PagedApi, page_records, paged_source, read_pages, until_last_page
 from strata.sources.versions import VersionedTable
-from strata.streaming.ingest import bronze_handler, dedup_stream, read_files, run_batches
+from strata.streaming.ingest import bronze_handler, dedup_handler, read_files, run_batches
 from tests.test_silver import bag
 
 ID = struct(id=T.LongType())
@@ -94,15 +96,16 @@ def test_records_of_every_body_shape(spark):
 
 
 def test_topic_options():
-    plain = TopicConfig("localhost:9092", "g", ("a", "b")).source_options()
-    assert plain["kafka.bootstrap.servers"] == "localhost:9092" and plain["subscribe"] == "a,b"
-    assert plain["startingOffsets"] == "earliest" and plain["maxOffsetsPerTrigger"] == "1000"
-    assert "kafka.sasl.mechanism" not in plain
-    sasl = TopicConfig("b:9093", "g", sasl_mechanism="PLAIN", sasl_username="u", sasl_password="p", extra={"x.y": "1"})
-    options = sasl.source_options()
-    assert options["kafka.sasl.mechanism"] == "PLAIN" and options["kafka.x.y"] == "1"
-    assert 'username="u" password="p"' in options["kafka.sasl.jaas.config"]
-    assert TopicConfig("b", "g", ("t",)).sink_options() == {"kafka.bootstrap.servers": "b", "topic": "t"}
+    plain = read_options("localhost:9092", "a", "b", records=1000)
+    assert plain == {
+        "kafka.bootstrap.servers": "localhost:9092",
+        "subscribe": "a,b",
+        "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": "1000",
+    }
+    more = read_options("b:9093", "t", startingOffsets="latest", kafka__group__id="g") | login("PLAIN", "u", "p")
+    assert more["startingOffsets"] == "latest" and more["kafka.group.id"] == "g" and "maxOffsetsPerTrigger" not in more
+    assert 'PlainLoginModule required username="u" password="p"' in more["kafka.sasl.jaas.config"]
 
 
 def topic(spark, *payloads):
@@ -128,7 +131,7 @@ def test_publish_to_any_sink(spark, tmp_path):
     row = encode_messages(df, "id", "t").first()
     assert (row["topic"], bytes(row["key"]), bytes(row["value"])) == ("t", b"1", b'{"id":1,"name":"a"}')
     path = str(tmp_path / "sink")
-    publish(df, TopicConfig("b", "g"), "id", fmt="parquet", path=path)
+    publish(df, "id", fmt="parquet", path=path)
     assert spark.read.parquet(path).columns == ["key", "value"]
 
 
@@ -171,12 +174,18 @@ def test_idle_trigger_keeps_running(spark, tmp_path):
         query.stop()
 
 
-def test_redelivery_within_the_delay_is_dropped(spark, tmp_path):
-    landing, out, offsets = (str(tmp_path / p) for p in ("in", "out", "off"))
-    rows = spark.range(4).select("id", (F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(mins=F.col("id").cast("int"))).alias("ts"))
-    for _ in range(2):
+def test_redelivered_rows_are_dropped_and_late_ones_kept(spark, tmp_path):
+    landing, offsets = (str(tmp_path / p) for p in ("in", "off"))
+    out = VersionedTable(spark, str(tmp_path / "out"))
+
+    def deliver(*ids):
+        stamp = F.when(F.col("id") != 9, F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(F.col("id").cast("int")))
+        rows = spark.createDataFrame([(i,) for i in ids], "id LONG").withColumn("ts", stamp)
         rows.write.mode("append").parquet(landing)
-        stream = dedup_stream(read_files(spark, landing, rows.schema), ["id"], "ts", "1 hour")
-        writer = stream.writeStream.format("parquet").option("checkpointLocation", offsets)
-        writer.trigger(availableNow=True).start(out).awaitTermination()
-    assert bag(spark.read.parquet(out).select("id")) == [(0,), (1,), (2,), (3,)]
+        stream = read_files(spark, landing, rows.schema)
+        run_batches(stream, dedup_handler(out, ["id"], "ts"), offsets).awaitTermination()
+        return [r[0] for r in bag(out.current().select("id"))]
+
+    assert deliver(2, 3, 3, 9) == [2, 3, 9]
+    assert deliver(3, 2, 9, 0) == [0, 2, 3, 9]  # days late and new
+    assert deliver(0, 1, 9) == [0, 1, 2, 3, 9]

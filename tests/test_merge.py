@@ -149,6 +149,11 @@ def test_incremental_marks(spark):
     rows = rows.withColumn("d", F.to_date("d"))
     assert [r["id"] for r in newer_than(rows, "d", rows.filter("id = 2")).collect()] == [3]
     assert newer_than(rows, "d", rows.filter("false")).count() == 3
+    old = rows.unionByName(frame(spark, [(4, None), (5, "1950-01-01")], "id INT, d STRING").withColumn("d", F.to_date("d")))
+    assert newer_than(old, "d", old.filter("false")).count() == 5  # a first run takes every row
+    assert newer_than(old, "id", old.filter("false")).count() == 5
+    assert high_water_mark(old.filter("false"), "id").first()[0] is None
+    assert sorted(r["id"] for r in newer_than(old, "id", old.filter("id < 4")).collect()) == [4, 5]
     late = newer_than(rows, "d", rows.filter("id = 3"), lookback="3 days")
     assert sorted(r["id"] for r in late.collect()) == [2, 3]
     assert str(high_water_mark(rows.filter("false"), "d").first()[0]) == "1970-01-01"

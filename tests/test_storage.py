@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import layout
 from strata.operators.scd2 import scd2_bootstrap, scd2_changes
-from strata.plans.gold import GoldSpec, GoldStore
+from strata.plans.gold import GoldStore
 from strata.plans.lakehouse import Lakehouse
 from strata.session import scratch_dir, settle
 from strata.sources import bronze
@@ -235,13 +235,13 @@ def test_json_landing_folders_and_epoch_stamps(spark, tmp_path):
 def test_gold_build_incremental_refresh(spark, tmp_path):
     store = GoldStore(spark, str(tmp_path / "gold"))
     register_views(spark, {"g_src": rows(spark, 1, 2)})
-    spec = GoldSpec("g", "SELECT id, name FROM g_src;", partition_field="id % 2", cluster_fields=("name",))
-    assert store.build_incremental(spec, "id") == 2  # first run loads everything
+    query = ("g", "SELECT id, name FROM g_src;", "id", "id % 2", ["name"])
+    assert store.build_incremental(*query) == 2  # first run loads everything
     register_views(spark, {"g_src": rows(spark, 1, 2, 3)})
-    assert store.build_incremental(spec, "id") == 1
+    assert store.build_incremental(*query) == 1
     assert ids(store.read("g")) == [1, 2, 3] and store.read("g").columns == ["id", "name"]
     register_views(spark, {"g_src": rows(spark, 8)})
-    assert store.refresh("g") == 1
+    assert GoldStore(spark, store.root).refresh("g") == 1
     assert ids(store.read("g")) == [8]
 
 
@@ -256,6 +256,13 @@ def test_external_tables_and_capped_queries(spark, tmp_path):
     assert [r["id"] for r in page] == [0, 1, 2, 3, 4] and page[0]["row_count"] == 150
     spark.sql("DROP TABLE ext_people")
     assert os.path.isdir(path)
+    rows(spark, 1, 2).write.saveAsTable("managed_people")
+    try:
+        with pytest.raises(ValueError, match="managed"):
+            register_external(spark, "managed_people", path)
+        assert spark.table("managed_people").count() == 2
+    finally:
+        spark.sql("DROP TABLE managed_people")
 
 
 def test_registry_keys_by_layer_and_name():
@@ -278,8 +285,8 @@ def test_pipeline_reports_and_refuses_old_batches(spark, tmp_path):
     lake.register(TableSpec("people", Layer.SILVER, keys=("id",), scd_type=2))
     lake.register(TableSpec("people", Layer.BRONZE, schema=rows(spark, 1).schema))
     got = lake.ingest("people", rows(spark, 1, 1, 2), "crm", "b1", "2024-01-01")
-    assert (got.rows, got.version, got.batch_id) == (3, 0, "b1")
-    first = lake.promote("people", as_of="2024-01-01")
+    assert (got.rows_added, got.version, got.batch_id) == (3, 0, "b1")
+    first = lake.promote("people", as_of="2024-01-01").first()
     assert (first.rows_in, first.rows_out, first.duplicates_dropped) == (3, 2, 1)
     assert (first.scd2_inserts, first.scd2_updates) == (2, 0)
     with pytest.raises(ValueError, match="not after"):
@@ -287,7 +294,7 @@ def test_pipeline_reports_and_refuses_old_batches(spark, tmp_path):
     with pytest.raises(ValueError, match="declared schema"):
         lake.ingest("people", rows(spark, 1).withColumn("x", F.lit(1)), "crm")
     # a type-1 table is replaced whole
-    result = lake.promote("plain", rows(spark, 1, 1, 3).withColumn("_ingestion_ts", F.lit(1)))
+    result = lake.promote("plain", rows(spark, 1, 1, 3).withColumn("_ingestion_ts", F.lit(1))).first()
     assert (result.rows_out, result.scd2_inserts) == (2, 2)
     assert ids(lake.table("silver", "plain").current()) == [1, 3]
 

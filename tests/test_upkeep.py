@@ -130,8 +130,7 @@ def test_catalog_crawl_documents_and_search(spark, tmp_path):
         assert catalog.visible_tables(tables, ["elsewhere"]).count() == 0
         text = catalog.documents(*(d.filter("table_name = 'crawl_orders'") for d in (tables, columns))).first()
         assert text["document"] == (
-            "Table: spark_catalog.default.crawl_orders\nDescription: \nRow count: unknown\n"
-            "Columns:\n  - order_id (int): \n  - status (string): "
+            "spark_catalog.default.crawl_orders\n* order_id int\n* status string"
         )
     finally:
         spark.sql("DROP TABLE crawl_orders")
@@ -144,7 +143,7 @@ def test_profiles_and_sample_lines(spark):
     frames = {"t": df}
     docs = catalog.documents(*catalog.describe_frames(spark, frames), *catalog.profiles(spark, frames))
     text = docs.first()["document"]
-    assert "Row count: 6" in text and text.endswith("Sample values:\n  n: [1, 2, 3]\n  s: [a, b, c]")
+    assert text == "spark.main.t holds 6 rows\n* n int e.g. 1 / 2 / 3\n* s string e.g. a / b / c"
 
 
 def test_index_upsert_and_search(spark):
