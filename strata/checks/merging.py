@@ -72,7 +72,33 @@ def promotion_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def orders_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = bronze_orders(spark, sf_dir)
     target = models.fct_orders(round_of(bronze, 0), FIRST_LOAD)
-    return upsert(target, models.fct_orders(bronze, AS_OF, loaded=target), ["order_id"])
+    gone = models.fct_orders(bronze, AS_OF, loaded=target, invalid=True)
+    return upsert(target, models.fct_orders(bronze, AS_OF, loaded=target), ["order_id"], deleted=gone)
+
+
+def merged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merged facts, without the stamp of their load: the facts of a full build."""
+    return orders_merge(spark, sf_dir).drop("_silver_ts")
+
+
+def composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A type-2 merge by two columns: every third line has another quantity."""
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+        F.max("l_quantity").alias("quantity")
+    )
+    keys = ["l_orderkey", "l_linenumber"]
+    changed = F.when(F.col("l_orderkey") % 3 == 0, F.col("quantity") + 1).otherwise(F.col("quantity"))
+    target = scd2_bootstrap(lines, FIRST_LOAD)
+    merged = scd2_merge(target, lines.withColumn("quantity", changed), keys, AS_OF)
+    return merged.select(*keys, "quantity", "_valid_from", "_valid_to", "_is_current")
+
+
+def new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch with a column the dimension lacks; where it is null nothing changes."""
+    people = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    phone = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("+"), F.col("c_custkey").cast("string")))
+    merged = scd2_merge(scd2_bootstrap(people, FIRST_LOAD), people.withColumn("phone", phone), ["c_custkey"], AS_OF)
+    return merged.select("c_custkey", "c_name", "phone", "_valid_from", "_is_current")
 
 
 def orders_merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,6 +188,9 @@ QUERIES = {
     "dim_customers_merge": customers_merge,
     "stg_events_incremental": events_incremental,
     "stg_events_first_run": events_first_run,
+    "fct_orders_merge_is_full": merged_orders,
+    "scd2_composite_key": composite_key,
+    "scd2_new_column": new_column,
     "high_water_mark": event_marks,
     "incremental_lookback": events_lookback,
     "newer_than_value": orders_after,
@@ -227,9 +256,25 @@ ORACLES = {
     "fct_orders_merge": with_inputs(
         "bronze_orders orders_v0 orders_v1",
         _FACTS
-        + """ SELECT * FROM old WHERE order_id NOT IN (SELECT order_id FROM new)
+        + """ SELECT * FROM old
+              WHERE order_id NOT IN (SELECT order_id FROM orders_v1 WHERE order_id IS NOT NULL)
               UNION ALL SELECT * FROM new""",
     ),
+    "fct_orders_merge_is_full": with_inputs("bronze_orders fct_orders", " SELECT * EXCLUDE (_silver_ts) FROM fct_orders"),
+    "scd2_composite_key": """
+      WITH lines AS (SELECT l_orderkey, l_linenumber, max(l_quantity) AS q FROM lineitem GROUP BY ALL)
+      SELECT l_orderkey, l_linenumber, q AS quantity, TIMESTAMP '2024-01-01 12:00:00' AS _valid_from,
+             CASE WHEN l_orderkey % 3 = 0 THEN TIMESTAMP '2024-02-01 00:00:00' END AS _valid_to,
+             l_orderkey % 3 <> 0 AS _is_current FROM lines
+      UNION ALL
+      SELECT l_orderkey, l_linenumber, q + 1, TIMESTAMP '2024-02-01 00:00:00', NULL, true
+      FROM lines WHERE l_orderkey % 3 = 0""",
+    "scd2_new_column": """
+      SELECT c_custkey, c_name, CAST(NULL AS VARCHAR) AS phone, TIMESTAMP '2024-01-01 12:00:00' AS _valid_from,
+             c_custkey % 2 = 1 AS _is_current FROM customer
+      UNION ALL
+      SELECT c_custkey, c_name, '+' || c_custkey, TIMESTAMP '2024-02-01 00:00:00', true
+      FROM customer WHERE c_custkey % 2 = 0""",
     "merge_counts": with_inputs(
         "bronze_orders orders_v0 orders_v1",
         _FACTS

@@ -227,7 +227,9 @@ def bucketed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = BucketedTable(spark, scratch_dir(spark, "facts"), keys=("order_id",), n_buckets=8)
     bronze_rows = bronze_orders(spark, sf_dir)
     stored.merge(models.fct_orders(round_of(bronze_rows, 0), FIRST_LOAD))
-    stored.merge(models.fct_orders(bronze_rows, AS_OF, loaded=stored.current()))
+    loaded = stored.current()
+    gone = models.fct_orders(bronze_rows, AS_OF, loaded=loaded, invalid=True)
+    stored.merge(models.fct_orders(bronze_rows, AS_OF, loaded=loaded), deleted=gone)
     return stored.current()
 
 

@@ -10,7 +10,14 @@ from pyspark.sql import types as T
 
 from strata.functions.stamps import Moment, moment
 
-_UNORDERED = (T.MapType, T.VariantType)
+
+def _ordered(kind: T.DataType) -> bool:
+    """Whether values of a type have an order: none with a map or a variant inside."""
+    if isinstance(kind, T.StructType):
+        return all(_ordered(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return _ordered(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
 
 
 def dedupe_latest(
@@ -30,7 +37,7 @@ def dedupe_latest(
         tie_break = [
             f.name
             for f in df.schema
-            if f.name not in keys and f.name != order_col and not isinstance(f.dataType, _UNORDERED)
+            if f.name not in keys and f.name != order_col and _ordered(f.dataType)
         ]
     order = [F.col(c).desc_nulls_last() for c in (order_col, *tie_break)]
     ranked = df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import time
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
@@ -12,14 +13,13 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.session import struct
+from strata.session import settle, struct
 from strata.sources.bucketed import BucketedTable
 from strata.sources.versions import VersionedTable, stored_schema
 
+#: Fixed defaults of compaction.
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 MIN_INPUT_FILES = 5
-# One short row per partition: below this the list is a few megabytes at most.
-MAX_BROADCAST_PARTITIONS = 20_000
 
 # The columns of Spark's binary-file source.
 FILE = struct(
@@ -82,29 +82,43 @@ def compact(df: DataFrame, size_bytes: int, target_bytes: int = TARGET_FILE_BYTE
 
 
 def zorder(
-    df: DataFrame, cols: Sequence[str], n_files: int, bits: int = 8, within: Sequence[str] = ()
+    df: DataFrame, cols: Sequence[str], n_files: int, bits: int | None = None, within: Sequence[str] = ()
 ) -> DataFrame:
     """``df`` in ``n_files`` range partitions along a Z-curve over ``cols``,
     inside each value of the partition columns ``within``.
 
     Ranks come from quantiles, so skewed values spread over the curve.  A hash
     of the row breaks ties, so a value that fills a third of the table is
-    spread over a third of the files.
+    spread over a third of the files.  ``bits`` per column follow from the
+    number of files unless given.
     """
-    curve = with_curve(df, cols, bits)
-    salt = F.xxhash64(*[F.col(c) for c in df.columns if not isinstance(df.schema[c].dataType, T.MapType)])
+    curve = with_curve(df, cols, curve_bits(len(cols), n_files) if bits is None else bits)
+    salt = F.xxhash64(*hashable(df))
     spread = curve.withColumn("_salt", salt).repartitionByRange(
         max(1, n_files), *within, "_curve", "_salt"
     )
     return spread.sortWithinPartitions(*within, "_curve", *cols).drop("_curve", "_salt")
 
 
+def curve_bits(n_cols: int, n_files: int) -> int:
+    """Bits per column by which the curve has at least eight steps per file."""
+    needed = math.ceil((math.log2(max(n_files, 1)) + 3) / n_cols)
+    return max(1, min(max(needed, 8), 14, 62 // n_cols))
+
+
 def with_curve(df: DataFrame, cols: Sequence[str], bits: int = 8) -> DataFrame:
-    """Add ``_curve``, the interleaved bits of the columns' quantile ranks."""
+    """Add ``_curve``, the interleaved bits of the columns' quantile ranks.
+
+    A text column is ranked by the bytes that follow the beginning all its
+    values share, so names such as ``Customer#1`` and ``Customer#2`` differ.
+    """
     if bits * len(cols) > 62:
         raise ValueError("bits times columns must stay within 62")
     numbers = [f"_n{i}" for i in range(len(cols))]
-    scaled = df.withColumns({n: _number(df.schema[c].dataType, c) for n, c in zip(numbers, cols)})
+    shared = _shared_beginnings(df, cols)
+    scaled = df.withColumns(
+        {n: _number(df.schema[c].dataType, c, shared.get(c, 0)) for n, c in zip(numbers, cols)}
+    )
     steps = 2**bits
     bounds = scaled.select(*numbers).approxQuantile(
         numbers, [i / steps for i in range(1, steps)], 1 / (4 * steps)
@@ -124,7 +138,20 @@ def with_curve(df: DataFrame, cols: Sequence[str], bits: int = 8) -> DataFrame:
     return ranked.withColumn("_curve", curve).select(*df.columns, "_curve")
 
 
-def _number(kind: T.DataType, name: str) -> Column:
+def _shared_beginnings(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
+    """For each text column the number of bytes that all its values begin with."""
+    texts = [c for c in cols if isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType))]
+    if not texts:
+        return {}
+    ends = [f(F.col(c).cast("binary")).alias(f"{name}{i}") for i, c in enumerate(texts) for f, name in ((F.min, "a"), (F.max, "b"))]
+    row = df.agg(*ends).first()
+    return {
+        c: len(os.path.commonprefix([bytes(row[f"a{i}"]), bytes(row[f"b{i}"])])) if row[f"a{i}"] is not None else 0
+        for i, c in enumerate(texts)
+    }
+
+
+def _number(kind: T.DataType, name: str, shared: int = 0) -> Column:
     """A double in the order of the column; nulls first."""
     col = F.col(name)
     if isinstance(kind, T.NumericType):
@@ -136,8 +163,8 @@ def _number(kind: T.DataType, name: str) -> Column:
     elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         number = F.unix_micros(col.cast("timestamp")).cast("double")
     else:
-        # The first six bytes of the text fit a double exactly.
-        prefix = F.hex(F.substring(col.cast("string").cast("binary"), 1, 6))
+        # Six bytes of the text fit a double exactly.
+        prefix = F.hex(F.substring(col.cast("string").cast("binary"), shared + 1, 6))
         number = F.conv(F.rpad(prefix, 12, "0"), 16, 10).cast("double")
     return F.coalesce(number, F.lit(-math.inf))
 
@@ -150,16 +177,25 @@ def optimize(
     z_order_cols: Sequence[str] = (),
     target_bytes: int = TARGET_FILE_BYTES,
     name: str | None = None,
+    min_input_files: int = MIN_INPUT_FILES,
 ) -> DataFrame:
     """Rewrite the newest version into files of about the target size, clustered
     if asked; returns a before/after record.  Older versions stay readable.
 
+    Without clustering nothing is written unless some partition has
+    ``min_input_files`` files and more than it needs, so a second call is free.
+
     A bucketed table keeps its bucket layout and clusters by its sort columns.
     """
     if z_order_cols and isinstance(table, BucketedTable):
         raise ValueError(f"{table.path} is bucketed by its keys; cluster it by sort_cols")
     started = time.monotonic()
     before = table_stats(live_files(table)).first()
+    if not z_order_cols:
+        places = [f.name for f in table.folder_fields() if f.name != "_version"] + [*table.partition_cols]
+        if rewrite_candidates(live_files(table), places, target_bytes, min_input_files).isEmpty():
+            same = Row(name or table.path, *(before["num_files"],) * 2, *(before["size_bytes"],) * 2, 0, 0.0)
+            return table.spark.createDataFrame([same], OPTIMIZE_RESULT)
     n_files = max(1, math.ceil(before["size_bytes"] / target_bytes))
     content = table.current()
     if z_order_cols:
@@ -226,7 +262,9 @@ def rewrite_partitions(
     chosen = rewrite_candidates(files, partition_cols, target_bytes, min_input_files).collect()
     if not chosen:
         return 0
-    stored = spark.read.parquet(path).schema
+    if not partition_cols:
+        return _rewrite_whole(spark, path, chosen[0]["files_needed"], sort_cols, strategy)
+    stored = spark.read.option("mergeSchema", "true").parquet(path).schema
     schema = T.StructType([*[f for f in stored if f.name not in partition_cols], *fields])
     rows = spark.read.schema(schema).option("basePath", path).parquet(*[r["folder"] for r in chosen])
     columns = rows.columns
@@ -235,14 +273,12 @@ def rewrite_partitions(
         T.StructType([*fields, T.StructField("_files", T.LongType())]),
     )
     same = [rows[c].eqNullSafe(needed[c]) for c in partition_cols]
-    if len(chosen) <= MAX_BROADCAST_PARTITIONS:
-        needed = needed.hint("broadcast")
     sized = rows.join(needed, same, "inner").select(*[rows[c] for c in columns], "_files")
     total = sum(r["files_needed"] for r in chosen)
     if strategy == "zorder":
-        sized = with_curve(sized, sort_cols)
+        sized = with_curve(sized, sort_cols, curve_bits(len(sort_cols), total))
     order = {"binpack": [], "sort": [*sort_cols], "zorder": ["_curve", *sort_cols]}[strategy]
-    salt = F.xxhash64(*columns)
+    salt = F.xxhash64(*hashable(rows))
     if order:
         packed = sized.withColumn("_salt", salt).repartitionByRange(total, *partition_cols, *order, "_salt")
         packed = packed.sortWithinPartitions(*partition_cols, *order)
@@ -256,6 +292,35 @@ def rewrite_partitions(
     return len(chosen)
 
 
+def _rewrite_whole(spark: SparkSession, path: str, n_files: int, sort_cols: Sequence[str], strategy: str) -> int:
+    """An unpartitioned folder is one partition: packed aside first, then put in its place."""
+    rows = spark.read.option("mergeSchema", "true").parquet(path)
+    if strategy == "zorder":
+        packed = zorder(rows, sort_cols, n_files)
+    elif strategy == "sort":
+        packed = rows.repartitionByRange(n_files, *sort_cols).sortWithinPartitions(*sort_cols)
+    else:
+        packed = rows.repartition(n_files)
+    settle(packed, "rewrite").write.mode("overwrite").parquet(path)
+    spark.catalog.refreshByPath(path)
+    return 1
+
+
+def hashable(df: DataFrame) -> list[Column]:
+    """Columns that a hash can take: maps, also nested ones, go as JSON text."""
+
+    def has_map(kind: T.DataType) -> bool:
+        if isinstance(kind, T.StructType):
+            return any(has_map(f.dataType) for f in kind)
+        return has_map(kind.elementType) if isinstance(kind, T.ArrayType) else isinstance(kind, T.MapType)
+
+    return [
+        F.to_json(F.struct(F.col(f.name))) if has_map(f.dataType) else F.col(f.name)
+        for f in df.schema
+        if not isinstance(f.dataType, T.VariantType)
+    ]
+
+
 def run_maintenance(
     spark: SparkSession, manifest: Sequence[Mapping[str, Any]], steps: Callable[[Mapping[str, Any]], None]
 ) -> DataFrame:

@@ -3,29 +3,55 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def checked_keys(source: DataFrame, keys: Sequence[str], nulls: bool = False) -> DataFrame:
+    """``source``, refused if a key stands in two rows or, unless ``nulls``, is null.
+
+    Of two rows for one key neither is the right one, and null keys match
+    nothing, so they would multiply with every replay.
+    """
+    null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    found = (
+        source.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(~null & (F.col("_n") > 1) if nulls else null | (F.col("_n") > 1))
+        .limit(1)
+        .collect()
+    )
+    if found:
+        key = tuple(found[0][k] for k in keys)
+        raise ValueError(f"source key {key} is " + ("null" if None in key else "repeated"))
+    return source
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
     keys: Sequence[str],
     update_cols: Sequence[str] | None = None,
+    deleted: DataFrame | None = None,
 ) -> DataFrame:
     """New content of ``target`` after merging ``source``, one row per key there.
 
     Without ``update_cols`` a matched row is replaced whole: the target rows
     the source does not name, plus the source.  With ``update_cols`` only
     those columns are overwritten and the rest keep the old value.  A null key
-    matches nothing, so such source rows are inserted.
+    matches nothing, so such source rows are inserted; a source with repeated
+    keys is refused.  ``deleted`` holds keys whose rows
+    leave the target, such as facts that have become invalid.
 
     In both forms the target is the streamed side and the source the built
     one, so Spark broadcasts a small source by its size and the target is not
     shuffled; a large source gives a sort-merge join.
     """
-    source = source.select(*target.columns)
+    source = checked_keys(source.select(*target.columns), keys, nulls=True)
+    if deleted is not None:
+        target = target.join(deleted.select(*keys).distinct(), [*keys], "left_anti")
     if update_cols is None:
         kept = target.join(source.select(*keys), [*keys], "left_anti")
         return kept.unionByName(source)

@@ -4,6 +4,7 @@ A dimension is its business columns plus ``_row_hash``, ``_valid_from``,
 ``_valid_to`` and ``_is_current``.  A merge closes the current row of every
 changed key and inserts the new version in the same run; keys absent from the
 batch stay current and equal hashes change nothing, so a replay is a no-op.
+Batches with null keys fail.
 """
 
 from __future__ import annotations
@@ -41,6 +42,29 @@ def scd2_bootstrap(
     )
 
 
+def evolve(
+    current: DataFrame, batch: DataFrame, keys: Sequence[str], hash_cols: Sequence[str] | None, style: str
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the columns of either, gaps null; null keys fail.
+
+    A batch with new columns has the hashes of the stored rows computed over
+    the new set of columns, so rows in which the new columns are null do not
+    count as changed.
+    """
+    system = ("_row_hash", "_valid_from", "_valid_to", "_is_current")
+    stored = {f.name: f.dataType for f in current.schema if f.name not in system}
+    arriving = {f.name: f.dataType for f in batch.schema if f.name not in system}
+    added = [c for c in arriving if c not in stored]
+    batch = batch.withColumns({c: F.lit(None).cast(t) for c, t in stored.items() if c not in arriving})
+    batch = batch.withColumns(
+        {k: F.coalesce(F.col(k), F.raise_error(F.lit(f"null key {k}")).cast(batch.schema[k].dataType)) for k in keys}
+    ).select(*stored, *added)
+    if added:
+        wider = current.withColumns({c: F.lit(None).cast(arriving[c]) for c in added}).select(*stored, *added, *system)
+        current = wider.withColumn("_row_hash", row_hash(hash_cols or business_columns(batch), style))
+    return current, batch
+
+
 def scd2_changes(
     current: DataFrame,
     batch: DataFrame,
@@ -53,8 +77,10 @@ def scd2_changes(
 
     ``current`` holds current rows only and ``batch`` one row per key, so no
     key repeats on either side of the full outer join and one join with one
-    shuffle decides everything.  History never takes part.
+    shuffle decides everything.  History never takes part.  Columns that only
+    one side has are null on the other.
     """
+    current, batch = evolve(current, batch, keys, hash_cols, style)
     columns = current.columns
     fresh = scd2_bootstrap(batch, as_of, hash_cols, style).select(*columns)
     old = current.select(*keys, F.struct(*columns).alias("_old"))
@@ -96,6 +122,7 @@ def scd2_changes_small_batch(
     only) and never shuffled.  The batch is read three times: pass a stored
     one.
     """
+    current, batch = evolve(current, batch, keys, hash_cols, style)
     columns = current.columns
     fresh = scd2_bootstrap(batch, as_of, hash_cols, style).select(*columns)
     incoming = fresh.select(
@@ -132,7 +159,7 @@ def scd2_merge(
     """Whole dimension after the merge; closed history passes through untouched."""
     changes = scd2_changes_small_batch if small_batch else scd2_changes
     merged = changes(target.filter("_is_current"), batch, keys, as_of, hash_cols, style)
-    return target.filter("NOT _is_current").unionByName(merged.drop("_change"))
+    return target.filter("NOT _is_current").unionByName(merged.drop("_change"), allowMissingColumns=True)
 
 
 def scd2_metrics(changes: DataFrame) -> DataFrame:

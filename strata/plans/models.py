@@ -13,6 +13,7 @@ from strata.functions.stamps import Moment, moment
 from strata.operators.dedupe import dedupe_latest
 from strata.operators.incremental import newer_than
 
+#: Fixed columns of the models.
 EVENT_COLUMNS = (
     "event_id",
     "event_type",
@@ -44,17 +45,29 @@ def stg_events(raw: DataFrame, loaded: DataFrame | None = None) -> DataFrame:
     return newer_than(staged, "_ingestion_ts", loaded, partition_col="_ingestion_date")
 
 
-def fct_orders(bronze: DataFrame, as_of: Moment = None, loaded: DataFrame | None = None) -> DataFrame:
+def fct_orders(
+    bronze: DataFrame,
+    as_of: Moment = None,
+    loaded: DataFrame | None = None,
+    lookback: str | None = None,
+    invalid: bool = False,
+) -> DataFrame:
     """Order facts: newest version per order, then the row checks.
 
+    ``invalid`` gives instead the keys whose newest version fails the checks;
+    a merge deletes their facts, so that merged facts equal a full build.
+    ``lookback`` reads late arrivals again.
+
     The checks run after deduplication on purpose: an order whose newest
     version is invalid has no fact.  Null keys can never pass, so they are
     dropped before the window.
     """
     rows = bronze.filter(F.col("order_id").isNotNull())
     if loaded is not None:
-        rows = newer_than(rows, "_ingestion_ts", loaded, target_col="_silver_ts")
+        rows = newer_than(rows, "_ingestion_ts", loaded, target_col="_silver_ts", lookback=lookback)
     latest = dedupe_latest(rows, ["order_id"])
+    if invalid:
+        return latest.filter(~F.coalesce(F.col("amount") >= 0, F.lit(False))).select("order_id")
     return latest.filter(F.col("amount") >= 0).select(
         "order_id",
         "customer_id",

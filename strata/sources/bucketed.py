@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.stamps import Moment
-from strata.operators.merge import upsert
-from strata.operators.scd2 import scd2_bootstrap, scd2_changes, with_row_hash
+from strata.operators.merge import checked_keys, upsert
+from strata.operators.scd2 import out_of_order, scd2_bootstrap, scd2_changes, with_row_hash
 from strata.operators.schema_sync import conform
 from strata.session import settle
 from strata.sources.versions import VersionedTable, evolved, next_version, stored_schema
@@ -43,10 +43,11 @@ class BucketedTable(VersionedTable):
         update_cols: Sequence[str] | None = None,
         batch_id: str | None = None,
         committed_at: Moment = None,
+        deleted: DataFrame | None = None,
     ) -> Row:
         """Upsert ``source`` (one row per key), rewriting its buckets only.
 
-        The table takes the columns of the source: new ones are null in rows
+        ``deleted`` holds keys whose rows leave the table.  The table takes the columns of the source: new ones are null in rows
         it does not touch, missing ones leave the current schema.
         """
         last, done = self._state(batch_id)
@@ -60,8 +61,11 @@ class BucketedTable(VersionedTable):
         source = settle(source, "batch")
         schema = evolved(stored_schema(last), source.schema, keep_missing=False)
         touched = self._touched(source)
+        if deleted is not None:
+            deleted = settle(deleted.select(*self.keys), "deleted")
+            touched = sorted({*touched, *self._touched(deleted)})
         target = conform(self._buckets_of(last, touched), schema, drop_unknown=True)
-        merged = upsert(target, source, self.keys, update_cols)
+        merged = upsert(target, source, self.keys, update_cols, deleted)
         version = next_version(last)
         rows = self._write(merged, version)()
         return self._commit(
@@ -80,11 +84,14 @@ class BucketedTable(VersionedTable):
 
         Rows the dimension already holds are set aside first by key and hash,
         so a full snapshot with few changes rewrites few buckets and a replay
-        rewrites none.  Closed rows are appended to the history.
+        rewrites none.  Closed rows are appended to the history.  A batch with
+        null or repeated keys is refused, and so is one whose changes do not
+        lie after the rows they would close.
         """
         last, done = self._state(batch_id)
         if done is not None:
             return done
+        batch = checked_keys(settle(batch, "batch"), self.keys)
         if last is None:
             first = scd2_bootstrap(batch, as_of, hash_cols, style)
             changes = first.withColumn("_change", F.lit("insert"))
@@ -92,7 +99,7 @@ class BucketedTable(VersionedTable):
         self._check_layout(last)
         # After an overwrite (restore, compaction) the base holds the current rows too.
         current_base = last["base"] if last["current_base"] is None else last["current_base"]
-        hashed = settle(with_row_hash(batch, hash_cols, style), "batch")
+        hashed = with_row_hash(batch, hash_cols, style)
         known = self._buckets_of(last, self._touched(hashed)).filter("_is_current")
         identity = [*self.keys, "_row_hash"]
         news = settle(hashed.join(known.select(*identity), identity, "left_anti"), "news").drop("_row_hash")
@@ -110,6 +117,10 @@ class BucketedTable(VersionedTable):
                 buckets=[],
             )
         current = self._buckets_of(last, touched).filter("_is_current")
+        if as_of is not None:
+            closing = out_of_order(current, as_of).join(news.select(*self.keys), [*self.keys], "left_semi")
+            if not closing.isEmpty():
+                raise ValueError(f"{self.path}: batch as of {as_of} is not after the current rows")
         changes = scd2_changes(current, news, self.keys, as_of, hash_cols, style)
         return self.apply_scd2(changes, batch_id, as_of, current_base, touched)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.cdc import cdc_apply
 from strata.operators.incremental import high_water_mark, newer_than, newer_than_value
-from strata.operators.merge import merge_counts, upsert
+from strata.operators.merge import checked_keys, merge_counts, upsert
 from strata.operators.scd2 import (
     out_of_order,
     scd2_bootstrap,
@@ -166,3 +166,30 @@ def test_the_mark_reaches_the_scan(spark, tmp_path):
     df = spark.read.parquet(path)
     plan = newer_than(df, "id", df, partition_col=None)._jdf.queryExecution().executedPlan().toString()
     assert "DataFilters: [isnotnull(id" in plan and "subquery" in plan.lower()
+
+
+def test_keys_that_cannot_be_merged_are_refused(spark):
+    target = frame(spark, [(1, "a")], "id INT, v STRING")
+    twice, none = (frame(spark, b, "id INT, v STRING") for b in ([(2, "x"), (2, "y")], [(None, "x")]))
+    with pytest.raises(ValueError, match="repeated"):
+        upsert(target, twice, ["id"])
+    with pytest.raises(ValueError, match="null"):
+        checked_keys(none, ["id"])
+    current = scd2_bootstrap(target, "2024-01-01")
+    with pytest.raises(Exception, match="null key id"):
+        scd2_merge(current, frame(spark, [(None, "x")], "id INT, v STRING"), ["id"], "2024-01-02").collect()
+    gone = upsert(target, frame(spark, [(3, "c")], "id INT, v STRING"), ["id"], deleted=frame(spark, [(1,)], "id INT"))
+    assert bag(gone) == [(3, "c")]
+
+
+def test_type_2_columns_come_and_go(spark):
+    base = scd2_bootstrap(frame(spark, [(1, "a"), (2, "b")], "id INT, v STRING"), "2024-01-01")
+    wider = frame(spark, [(1, "a", None), (2, "b", 5)], "id INT, v STRING, w INT")
+    merged = scd2_merge(base, wider, ["id"], "2024-01-02")
+    got = bag(merged.select("id", "v", "w", "_is_current"))
+    assert set(got) == {(1, "a", None, True), (2, "b", None, False), (2, "b", 5, True)}
+    for small in (False, True):
+        again = scd2_merge(merged, wider, ["id"], "2024-01-03", small_batch=small)
+        assert bag(again.select("id", "v", "w", "_is_current")) == got  # a replay changes nothing
+        narrow = scd2_merge(merged, frame(spark, [(2, "b")], "id INT, v STRING"), ["id"], "2024-01-03", small_batch=small)
+        assert (2, "b", None, True) in bag(narrow.select("id", "v", "w", "_is_current"))

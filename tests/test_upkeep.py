@@ -156,3 +156,23 @@ def test_index_upsert_and_search(spark):
     index = text_vectors(docs, model)
     assert catalog.search(index, model, "total revenue per customer", k=1).first()["full_name"] == "c.s.b"
     assert catalog.search(index, model, "carriers", k=2).count() == 2
+
+
+def test_rewrites_keep_all_columns_maps_and_unpartitioned_folders(spark, tmp_path):
+    path = str(tmp_path / "evolved")
+    for extra in ("beta", "gamma"):
+        rows = spark.range(4).select("id", F.lit(extra).alias(extra), F.create_map(F.lit("k"), F.col("id")).alias("m"), F.lit("x").alias("p"))
+        rows.repartition(3).write.mode("append").partitionBy("p").parquet(path)
+    assert layout.rewrite_partitions(spark, path, ["p"], min_input_files=2) == 1
+    back = spark.read.parquet(path)
+    assert set(back.columns) == {"id", "beta", "gamma", "m", "p"} and back.count() == 8
+    flat = str(tmp_path / "flat")
+    spark.range(20).repartition(6).write.parquet(flat)
+    assert layout.rewrite_partitions(spark, flat, [], ["id"], "sort", min_input_files=2) == 1
+    assert spark.read.parquet(flat).count() == 20 and len(spark.read.parquet(flat).inputFiles()) == 1
+
+
+def test_curve_tells_long_texts_apart(spark):
+    names = spark.range(1000).select(F.format_string("Customer#%09d", "id").alias("name"))
+    assert layout.with_curve(names, ["name"]).select("_curve").distinct().count() > 200
+    assert layout.curve_bits(1, 4000) == 14 and layout.curve_bits(2, 16) == 8
