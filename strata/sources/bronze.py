@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from strata.functions.ingest import with_ingest_metadata
 from strata.functions.stamps import Moment, epoch_micros, from_epoch_seconds, moment
 from strata.operators.metrics import observed
+from strata.session import path_exists
 
 HIDDEN_DAY = "_day"
 
@@ -29,7 +30,12 @@ def append(
 
     ``even_files`` lets AQE rebalance the rows to its advisory partition size,
     splitting skewed partitions, so a batch does not leave many small files.
+    A batch id that is stored already is not written again.
     """
+    if batch_id is not None and path_exists(df.sparkSession, path):
+        stored = df.sparkSession.read.parquet(path)
+        if "_batch_id" in stored.columns and not stored.filter(F.col("_batch_id") == batch_id).isEmpty():
+            return 0
     enriched = with_ingest_metadata(df, source, batch_id, as_of)
     return _write(enriched, path, partition_cols, sort_cols, even_files)
 

@@ -61,14 +61,19 @@ def _parsed(raw: DataFrame, schema: T.StructType) -> DataFrame:
     return parsed.withColumn("_bad", bad)
 
 
-def decode_messages(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    """Good messages as records with their topic, partition and offset."""
+def decode_messages(raw: DataFrame, schema: T.StructType, payload_col: str | None = None) -> DataFrame:
+    """Good messages as records with their topic, partition and offset.
+
+    ``payload_col`` keeps the whole payload text beside the declared fields, so
+    fields that the schema does not know are not lost.
+    """
     return (
         _parsed(raw, schema)
         .filter(~F.col("_bad"))
         .select(
             *[F.col(f"record.{f.name}").alias(f.name) for f in schema],
             *[F.col(source).alias(name) for name, source in POSITION.items()],
+            *([F.col("_text").alias(payload_col)] if payload_col else []),
         )
     )
 

@@ -64,9 +64,10 @@ def bronze_handler(
     source: str = "kafka",
     stream_id: str = "stream",
     as_of: Moment = None,
+    payload_col: str | None = None,
 ) -> Handler:
     """A handler that decodes a batch and appends it to ``good`` (and the
-    skipped messages to ``bad``).
+    skipped messages to ``bad``).  The batch is fetched once.
 
     The batch number makes the batch id, and a committed id is not written
     again: at-least-once delivery gives exactly one copy in the table.
@@ -74,7 +75,8 @@ def bronze_handler(
 
     def handle(batch: DataFrame, number: int) -> None:
         batch_id = f"{stream_id}-{number}"
-        records = with_ingest_metadata(decode_messages(batch, schema), source, batch_id, as_of)
+        batch = settle(batch, "stream-batch") if bad is not None else batch
+        records = with_ingest_metadata(decode_messages(batch, schema, payload_col), source, batch_id, as_of)
         good.append(records, batch_id=batch_id, committed_at=as_of)
         if bad is not None:
             skipped = with_ingest_metadata(bad_messages(batch, schema), source, batch_id, as_of)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.session import struct
+from strata.sources import bronze
 from strata.sources.messages import (
     MESSAGE, bad_messages, decode_messages, encode_messages, login, publish, read_options,
 )
@@ -189,3 +190,12 @@ def test_redelivered_rows_are_dropped_and_late_ones_kept(spark, tmp_path):
     assert deliver(2, 3, 3, 9) == [2, 3, 9]
     assert deliver(3, 2, 9, 0) == [0, 2, 3, 9]  # days late and new
     assert deliver(0, 1, 9) == [0, 1, 2, 3, 9]
+
+
+def test_unknown_fields_and_repeated_batches(spark, tmp_path):
+    kept = decode_messages(topic(spark, '{"id": 1, "note": "keep me"}'), ID, "payload").first()
+    assert (kept["id"], kept["payload"]) == (1, '{"id": 1, "note": "keep me"}')
+    path = str(tmp_path / "bronze")
+    rows = spark.range(5)
+    assert [bronze.append(rows, path, "s", b, "2024-01-01") for b in ("b1", "b1", "b2")] == [5, 0, 5]
+    assert spark.read.parquet(path).count() == 10
