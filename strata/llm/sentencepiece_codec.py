@@ -32,14 +32,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.words import EXACT_BYTES, bounded_batches, byte_class, mix, parts, words_of
+from strata.llm.words import EXACT_BYTES, bounded_batches, byte_class, mix, parts, release, words_of
 
 SPACE = "▁"
 #: Characters of distinct words that are indexed at once.
-INDEX_CHARS = 1_000_000
+INDEX_CHARS = 250_000
 _GAP = byte_class(" \n")
 _NEVER = np.iinfo(np.int32).max
-_CACHE_BITS = 21
+_CACHE_BITS = 19
 
 
 @dataclass
@@ -375,7 +375,7 @@ def _stops(texts) -> tuple[np.ndarray, ...]:
 
 
 #: Words a worker remembers at most, by model: hashes in order, where their ids begin, how many, all ids.
-REMEMBERED = 1_500_000
+REMEMBERED = 400_000
 _memory: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
 
 
@@ -410,7 +410,7 @@ def encode_column(model: Model, column: pa.Array) -> pa.Array:
         for h, b, e, spaced in spans:
             if h not in new:
                 new[h] = (SPACE if spaced else "") + raw[b:e].decode("utf-8")
-        blocks.append((texts.rows, row, kind, unit, spaces))
+        blocks.append((texts.rows, row.astype(np.int32), kind.astype(np.int8), unit, spaces.astype(np.int32)))
     if new:
         more, starts = _encode_distinct(model, list(new.values()))
         keys = np.concatenate([keys, np.fromiter(new, np.uint64, len(new))])
@@ -436,7 +436,7 @@ def encode_column(model: Model, column: pa.Array) -> pa.Array:
             split &= marked
             first[word] = begins[number] + split[word]
             size[word] = sizes[number] - split[word]
-        run = spaces - marked + split
+        run = spaces.astype(np.int64) - marked + split
         run_ids = run // longest + short[run % longest]
         total = run_ids + size
         place = np.cumsum(total) - total
@@ -499,7 +499,9 @@ def encoder(model: Model) -> Column:
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def encode(column: pa.Array) -> pa.Array:
-        return encode_column(model, column)
+        ids = encode_column(model, column)
+        release()
+        return ids
 
     return encode
 
@@ -509,18 +511,20 @@ def decoder(model: Model) -> Column:
 
     @F.arrow_udf(T.StringType())
     def decode(column: pa.Array) -> pa.Array:
-        return decode_column(model, column)
+        texts = decode_column(model, column)
+        release()
+        return texts
 
     return decode
 
 
 def encode_texts(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "token_ids") -> DataFrame:
     """All columns of ``docs`` and the ids; a column named like them is replaced."""
-    bounded_batches(docs.sparkSession, 24)
+    bounded_batches(docs.sparkSession, 5)
     return docs.withColumn(ids_col, encoder(load(path))(F.col(text_col)))
 
 
 def decode_ids(rows: DataFrame, path: str, ids_col: str = "token_ids", text_col: str = "decoded") -> DataFrame:
     """All columns of ``rows`` and the decoded text; a column named like it is replaced."""
-    bounded_batches(rows.sparkSession, 24)
+    bounded_batches(rows.sparkSession, 5)
     return rows.withColumn(text_col, decoder(load(path))(F.col(ids_col)))
