@@ -226,6 +226,15 @@ def _needed_sets(k: int, wanted: np.ndarray, column: str):
     return emit
 
 
+def _passes(wanted: np.ndarray) -> Column:
+    @F.arrow_udf(T.BooleanType())
+    def passes(column: pa.Array) -> pa.Array:
+        place = (column.to_numpy(zero_copy_only=False).view(np.uint64) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+        return pa.array((wanted[place >> 3] >> (place & 7)) & 1 == 1)
+
+    return passes
+
+
 def _may_link(percent: int) -> Column:
     @F.arrow_udf(T.BooleanType())
     def bound(x: pa.Array, y: pa.Array, n_x: pa.Array, n_y: pa.Array) -> pa.Array:
@@ -354,7 +363,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     found = settle(ngram_components(docs, id_col, text_col), "components")
     gone = found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    kept = docs.join(gone, id_col, "left_anti")
+    # a filter of fixed size lets most rows stay where they are; the join decides on the rest
+    wanted = _filter_of(gone.select(F.col(id_col).cast("long").alias("id")))
+    listed = _passes(wanted)(F.xxhash64(F.col(id_col).cast("long")))
+    kept = docs.where(~listed).unionByName(docs.where(listed).join(gone, id_col, "left_anti").select(*docs.columns))
     if found.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").isEmpty():
         return kept
     return kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(
