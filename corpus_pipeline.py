@@ -34,8 +34,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return keep_one(docs.select(*COLUMNS)).select(*COLUMNS)
+    """One document of each group of near duplicates: four fifths of their five-word shingles in common."""
+    return keep_one(docs.select(*COLUMNS), shingle=5, percent=80).select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,6 +43,8 @@ from strata.session import settle
 
 SHINGLE = 4
 PERCENT = 85
+#: What ``keep_one`` takes for near copies, unless told otherwise.
+NEAR_SHINGLE, NEAR_PERCENT = 5, 80
 #: Shingles that go last in the order: at most this many, each in this many sets or more.
 HOT_KEPT, HOT_SETS = 65_536, 24
 #: A tile of a hot shingle is dealt out to this many groups (numbered from 1, others have 0).
@@ -356,12 +358,15 @@ def ngram_components(
     )
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = NEAR_SHINGLE,
+    percent: int = NEAR_PERCENT,
+) -> DataFrame:
     """The row with the smallest id of each component, all columns.
 
     Of repeated rows one stays; rows with a null id all stay.
     """
-    found = settle(ngram_components(docs, id_col, text_col), "components")
+    found = settle(ngram_components(docs, id_col, text_col, shingle, percent), "components")
     gone = found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
     # a filter of fixed size lets most rows stay where they are; the join decides on the rest
     wanted = _filter_of(gone.select(F.col(id_col).cast("long").alias("id")))

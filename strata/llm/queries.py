@@ -54,7 +54,7 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_components(table(spark, sf_dir, "documents"))
+    return ngram_components(table(spark, sf_dir, "documents"), shingle=4, percent=85)
 
 
 def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
