@@ -10,8 +10,13 @@ replaced by one and the same value throughout, and different values by
 different ones.  So verbatim copies match and questions with other numbers,
 names and units do, but chance meetings of templates do not.
 
-An item is in a text when consistent windows cover ``SHARE`` of it and at least
-``LEAST`` windows (all, if it has fewer).  Null and empty texts match nothing;
+Windows with fewer than ``PLAIN`` plain words match verbatim only: beside the
+templates, the own words of windows with placeholders are hashed, and what
+meets by them counts whether or not the slots of its neighbours agree.
+
+An item is in a text when consistent windows cover ``SHARE`` of it, or of its
+windows with enough plain words, and at least ``LEAST`` windows (all, if it has
+fewer).  Null and empty texts match nothing;
 items without words are ignored; long texts are read whole; repeated rows give
 one pair per (text id, item id); rows with a null id are ignored; empty tables
 give an empty table.
@@ -28,7 +33,7 @@ from strata.session import settle
 
 WINDOW = 8
 SHARE, LEAST = 0.3, 3
-#: Plain words that a window must hold, so that placeholders alone never match.
+#: Plain words of a window that matches with other slots, so that placeholders alone never do.
 PLAIN = 4
 #: Item windows that are broadcast at most (24 bytes each and their slots); more are joined by shuffle.
 BROADCAST_WINDOWS = 200_000
@@ -81,7 +86,13 @@ def _with_template(frame: DataFrame, text_col: str) -> DataFrame:
 
 
 def _is_slot(word: Column) -> Column:
-    return word.startswith("<")
+    return word.isin("<num>", "<unit>", "<name>")
+
+
+def _own(text: Column) -> Column:
+    """Lower case; words in capitals are marked, as they are no names in templates either."""
+    marked = F.regexp_replace(text, rf"(?<!\S)(?=\S*?[{_CAPITAL}]{{2}})[^\s0-9{_SMALL}]++(?!\S)", "\u0001$0")
+    return F.lower(F.when(text.rlike(f"[{_CAPITAL}]{{2}}"), marked).otherwise(text))
 
 
 def _prepared(rows: DataFrame, id_col: str, text_col: str, name: str) -> DataFrame:
@@ -92,17 +103,17 @@ def _prepared(rows: DataFrame, id_col: str, text_col: str, name: str) -> DataFra
     )
     marked = F.col("_low").contains("<num>") | F.col("_low").contains("<name>")
     return _with_template(frame, "_text").select(
-        name, _words(F.col("_low")).alias("words"), F.when(marked, _words(F.lower("_text"))).alias("own")
+        name, _words(F.col("_low")).alias("words"), F.when(marked, _words(_own(F.col("_text")))).alias("own")
     )
 
 
-def _with_windows(frame: DataFrame, length: int) -> DataFrame:
-    """Adds ``_windows``, a hash for each window of ``length`` words.
+def _with_windows(frame: DataFrame, length: int, words: str = "words", name: str = "_windows") -> DataFrame:
+    """Adds ``_windows``, a hash for each window of ``length`` words (null without words).
 
     Hashes of 1, 2, 4, ... words are put together by halves, each a column of
     its own, so a window costs few steps whatever its length.
     """
-    frame = frame.withColumn("_h1", F.transform("words", lambda w: F.xxhash64(w)))
+    frame = frame.withColumn("_h1", F.transform(words, lambda w: F.xxhash64(w)))
     have = 1
 
     def joined(first: Column, second: Column, by: int) -> Column:
@@ -118,25 +129,36 @@ def _with_windows(frame: DataFrame, length: int) -> DataFrame:
             windows, reached = joined(windows, F.col(f"_h{part}"), reached), reached + part
         part //= 2
     # near the end the second half is missing: there is no window
-    return frame.withColumn(
-        "_windows", F.slice(windows, 1, F.greatest(F.size("words") - (length - 1), F.lit(0)))
-    )
+    return frame.withColumn(name, F.slice(windows, 1, F.greatest(F.size(words) - (length - 1), F.lit(0))))
 
 
 def _window_rows(prepared: DataFrame, name: str, length: int) -> DataFrame:
     """One row per window: place, hash, and the words that stand there if some are replaced.
 
+    Windows with placeholders have a second row, ``own``, with the hash of their own words.
     The outer explode infers no filter on the windows, which would be pushed
     down and compute them again.
     """
     placed = F.transform(
         "_windows",
-        lambda h, i: F.struct(h.alias("hash"), i.alias("at"), F.slice("own", i + 1, F.lit(length)).alias("own")),
+        lambda h, i: F.struct(
+            h.alias("hash"), i.alias("at"), F.slice("own", i + 1, F.lit(length)).alias("own"), F.lit(False).alias("plainly")
+        ),
+    )
+    no_words = F.lit(None).cast("array<string>")
+    plainly = F.filter(
+        F.transform(
+            "_own_windows",
+            lambda h, i: F.struct(h.alias("hash"), i.alias("at"), no_words.alias("own"), F.lit(True).alias("plainly")),
+        ),
+        lambda w: w["hash"] != F.get("_windows", w["at"]),
+    )
+    rows = _with_windows(_with_windows(prepared, length), length, "own", "_own_windows").withColumn(
+        "_rows", F.when(F.col("own").isNull(), placed).otherwise(F.concat(placed, plainly))
     )
-    rows = _with_windows(prepared, length).withColumn("_rows", placed)
     return rows.select(name, F.explode_outer("_rows").alias("w")).select(
         name, F.col("w.at").alias(f"{name}_at"), "w.hash", F.col("w.own").alias(f"{name}_own"),
-        F.lit(length).alias("length"),
+        F.col("w.plainly").alias(f"{name}_plainly"), F.lit(length).alias("length"),
     )
 
 
@@ -162,8 +184,13 @@ def contaminated_pairs(
     kinds = F.slice("words", F.col("item_at") + 1, F.col("length"))
     of_items = of_items.join(prepared.select("item", "words"), "item").withColumn("kinds", kinds).drop("words")
     plain = F.size(F.filter("kinds", lambda w: ~_is_slot(w)))
-    of_items = settle(of_items.where(plain >= F.least(F.lit(PLAIN), F.col("length"))), "item_windows")
-    sizes = of_items.groupBy("item").agg(F.countDistinct("item_at").alias("n_windows"))
+    exact = F.col("item_plainly") | (plain == F.col("length"))
+    of_items = of_items.withColumn("rich", plain >= F.least(F.lit(PLAIN), F.col("length"))).withColumn("exact", exact)
+    of_items = settle(of_items.where("rich or exact").drop("item_plainly"), "item_windows")
+    rich_at = F.when(F.col("rich"), F.col("item_at"))
+    sizes = of_items.groupBy("item").agg(
+        F.countDistinct("item_at").alias("n_windows"), F.countDistinct(rich_at).alias("n_rich")
+    )
     small = of_items.count() <= BROADCAST_WINDOWS
     side = F.broadcast(of_items) if small else of_items
     texts = _prepared(docs, id_col, text_col, "doc")
@@ -177,27 +204,39 @@ def contaminated_pairs(
         F.filter(F.sequence(F.lit(0), F.col("length") - 1), lambda k: _is_slot(F.get("kinds", k))),
         lambda k: F.struct(F.get("item_own", k).alias("a"), F.get("doc_own", k).alias("b")),
     )
+    pairs = F.when(~F.col("exact"), pairs)
+    place = F.struct("item_at", "rich")
     # along one alignment an item has each window once, so these groups are as small as the item
     aligned = (
-        met.select("doc", "item", "shift", "item_at", pairs.alias("pairs"))
+        met.select("doc", "item", "shift", "exact", place.alias("place"), pairs.alias("pairs"))
         .groupBy("doc", "item", "shift")
         .agg(
-            F.collect_set("item_at").alias("places"),
+            F.collect_set("place").alias("places"),
+            F.collect_set(F.when(F.col("exact"), F.col("place"))).alias("exact_places"),
             F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
         )
     )
     n = F.size("pairs")
     consistent = (F.size(F.array_distinct(F.col("pairs.a"))) == n) & (F.size(F.array_distinct(F.col("pairs.b"))) == n)
     found = (
-        aligned.where(consistent)
-        .withColumn("same", F.forall("pairs", lambda p: p["a"] == p["b"]))
-        .select("doc", "item", "same", F.explode("places").alias("item_at"))
+        aligned.withColumn("consistent", consistent)
+        .withColumn("same", ~F.col("consistent") | F.forall("pairs", lambda p: p["a"] == p["b"]))
+        .withColumn("places", F.when(F.col("consistent"), F.col("places")).otherwise(F.col("exact_places")))
+        .select("doc", "item", "same", F.explode("places").alias("place"))
         .groupBy("doc", "item")
-        .agg(F.countDistinct("item_at").alias("n_matched"), F.max("same").alias("verbatim"))
+        .agg(
+            F.countDistinct("place.item_at").alias("n_matched"),
+            F.countDistinct(F.when(F.col("place.rich"), F.col("place.item_at"))).alias("n_rich_matched"),
+            F.max("same").alias("verbatim"),
+        )
     )
-    needed = F.least(F.col("n_windows"), F.greatest(F.lit(LEAST), F.ceil(F.col("n_windows") * SHARE)))
+
+    def enough(matched: str, windows: str) -> Column:
+        n = F.col(windows)
+        return (n > 0) & (F.col(matched) >= F.least(n, F.greatest(F.lit(LEAST), F.ceil(n * SHARE))))
+
     return (
         found.join(sizes, "item")
-        .where(F.col("n_matched") >= needed)
+        .where(enough("n_matched", "n_windows") | enough("n_rich_matched", "n_rich"))
         .select(F.col("doc").alias(id_col), F.col("item").alias(item_id_col), "n_matched", "n_windows", "verbatim")
     )
