@@ -14,7 +14,11 @@ Windows with fewer than ``PLAIN`` plain words match verbatim only: beside the
 templates, the own words of windows with placeholders are hashed, and what
 meets by them counts whether or not the slots of its neighbours agree.
 
-An item is in a text when consistent windows cover ``SHARE`` of it, or of its
+Punctuation around words is left out of windows; it only tells where sentences
+end.  A passage of ``LITERAL`` words in a row that agree verbatim counts whatever
+share of the item it is.
+
+Otherwise an item is in a text when consistent windows cover ``SHARE`` of it, or of its
 windows with enough plain words, and at least ``LEAST`` windows (all, if it has
 fewer).  Null and empty texts match nothing;
 items without words are ignored; long texts are read whole; repeated rows give
@@ -33,6 +37,8 @@ from strata.session import settle
 
 WINDOW = 8
 SHARE, LEAST = 0.3, 3
+#: So many words of an item in a row, word for word, are a quotation of it.
+LITERAL = 13
 #: Plain words of a window that matches with other slots, so that placeholders alone never do.
 PLAIN = 4
 #: Item windows that are broadcast at most (24 bytes each and their slots); more are joined by shuffle.
@@ -46,6 +52,8 @@ UNITS = (
 
 #: Letters of Latin alphabets.
 _CAPITAL, _SMALL = "A-ZÀ-ÖØ-Þ", "a-zß-öø-ÿ"
+#: Punctuation around a word; % may be a unit.
+_OUTER = r"(?<![\p{P}&&[^%]])[\p{P}&&[^%]]++(?!\S)|(?<!\S)[\p{P}&&[^%]]++"
 _SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -53,6 +61,11 @@ def _words(text: Column) -> Column:
     return F.split(F.btrim(text, F.lit(" \t\n\v\f\r")), _SPACE)
 
 
+def _bare(text: Column) -> Column:
+    """Without punctuation around words; words of nothing else vanish."""
+    return F.regexp_replace(text, _OUTER, "")
+
+
 def _with_template(frame: DataFrame, text_col: str) -> DataFrame:
     """Adds ``_low``, the text with typed placeholders; words keep their places.
 
@@ -102,8 +115,11 @@ def _prepared(rows: DataFrame, id_col: str, text_col: str, name: str) -> DataFra
         F.col(id_col).alias(name), text.alias("_text")
     )
     marked = F.col("_low").contains("<num>") | F.col("_low").contains("<name>")
-    return _with_template(frame, "_text").select(
-        name, _words(F.col("_low")).alias("words"), F.when(marked, _words(_own(F.col("_text")))).alias("own")
+    own = F.when(marked, _words(_own(_bare(F.col("_text")))))
+    return (
+        _with_template(frame, "_text")
+        .select(name, _words(_bare(F.col("_low"))).alias("words"), own.alias("own"))
+        .where(F.get("words", F.lit(0)) != "")
     )
 
 
@@ -218,16 +234,25 @@ def contaminated_pairs(
     )
     n = F.size("pairs")
     consistent = (F.size(F.array_distinct(F.col("pairs.a"))) == n) & (F.size(F.array_distinct(F.col("pairs.b"))) == n)
+
+    def quoted(at: Column, i: Column) -> Column:
+        """Whether enough windows in a row begin here."""
+        more = LITERAL - window
+        return F.coalesce(F.get("exact_at", i + more) - at == more, F.lit(False))
+
     found = (
         aligned.withColumn("consistent", consistent)
         .withColumn("same", ~F.col("consistent") | F.forall("pairs", lambda p: p["a"] == p["b"]))
+        .withColumn("exact_at", F.array_sort(F.col("exact_places.item_at")))
+        .withColumn("quoted", F.exists(F.transform("exact_at", quoted), lambda q: q))
         .withColumn("places", F.when(F.col("consistent"), F.col("places")).otherwise(F.col("exact_places")))
-        .select("doc", "item", "same", F.explode("places").alias("place"))
+        .select("doc", "item", "same", "quoted", F.explode("places").alias("place"))
         .groupBy("doc", "item")
         .agg(
             F.countDistinct("place.item_at").alias("n_matched"),
             F.countDistinct(F.when(F.col("place.rich"), F.col("place.item_at"))).alias("n_rich_matched"),
             F.max("same").alias("verbatim"),
+            F.max("quoted").alias("quoted"),
         )
     )
 
@@ -237,6 +262,6 @@ def contaminated_pairs(
 
     return (
         found.join(sizes, "item")
-        .where(enough("n_matched", "n_windows") | enough("n_rich_matched", "n_rich"))
+        .where(enough("n_matched", "n_windows") | enough("n_rich_matched", "n_rich") | F.col("quoted"))
         .select(F.col("doc").alias(id_col), F.col("item").alias(item_id_col), "n_matched", "n_windows", "verbatim")
     )

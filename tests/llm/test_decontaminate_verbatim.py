@@ -36,3 +36,28 @@ def test_items_of_few_plain_words_are_found_as_copies_only(spark, items):
     )
     assert got[0, 1] == (1, 1, True) and got[1, 2] == (9, 9, True) and got[2, 3] == (2, 2, True)
     assert (3, 1) in got and (3, 2) in got and all(d <= 3 for d, _ in got)
+
+
+LONG = (
+    "The old mill stands by the river. Every spring, the water rises to the second step; then the miller, Tom Baker, "
+    "opens 3 gates. How many gates are open after 5 days, if nobody closes one at night? (Answer in words.) "
+    "Show each step of your work and say why the order of the steps does not change the result in the end."
+)
+
+
+def test_other_punctuation_and_quotations(spark):
+    items = spark.createDataFrame([(1, LONG)], "item_id long, text string")
+    words = LONG.split()
+    texts = [
+        LONG.replace(",", "").replace(".", "").replace(";", ""),
+        "As they say: \u201c" + LONG + "\u201d",
+        "before it " + " ".join(words[10:23]) + " and after",
+        " ".join(words[: len(words) // 2]),
+        # twelve words in a row are too few
+        "before it " + " ".join(words[10:22]) + " and after",
+        "... -- !! ?",
+    ]
+    got = found(spark, items, texts)
+    assert set(got) == {(d, 1) for d in range(4)}
+    assert got[0, 1][0] == got[0, 1][1] == got[1, 1][0] and all(v[2] for v in got.values())
+    assert found(spark, items.selectExpr("item_id", "'?! - ...' text"), ["?! - ...", "a"]) == {}
