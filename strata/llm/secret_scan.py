@@ -6,9 +6,11 @@ more), ``hex`` (16 or more hexadecimal digits).  The method adds ``entropy``:
 every run of 20 or more token characters is a candidate; a window slides over
 the candidate with running character counts, so each step changes two terms of
 the entropy, and windows above the threshold of the candidate's character class
-join into one span.  Allow-listed candidates (placeholders, plain words,
-numbers, identifiers in UUID form, parts of web addresses) are suppressed, and
-so are spans that a base span already covers.
+join into one span.  Allow-listed candidates (placeholders, plain words
+and names made of them with one digit at most, numbers, identifiers in UUID
+form, hosts and paths of web addresses) are suppressed, and so are spans that a
+base span already covers.  Letters of one case that could be words are taken
+for words.
 
 Null and empty texts have no spans; long texts are scanned whole, in blocks;
 repeated rows get equal results; an empty table gives an empty table.
@@ -47,9 +49,20 @@ THRESHOLDS = {"hex": 3.0, "lower": 3.7, "mixed": 3.8, "base64": 3.9}
 #: Allow-list: candidates that look random and are not secret.
 ALLOWED = re.compile(
     r"(?i)^(?:[0-9_=+/-]+|[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}|.*(?:example|sample|placeholder|"
-    r"changeme|dummy|redacted|lorem|abcdefgh|12345678).*|(?:[a-z]+[-_/+=]+)*[a-z]+[-_/+=]*)$",
+    r"changeme|dummy|redacted|lorem|abcdefgh|12345678).*)$",
     re.ASCII,
 )
+#: Parts of names in one case or camel case; a word has vowels and no long run of consonants.
+_PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+_VOWELS = re.compile(r"(?i)[aeiouy]")
+_CONSONANTS = re.compile(r"(?i)[^aeiouy]{6}")
+#: Share of the letters that lie in words, from which a candidate is made of words.
+PLAIN_SHARE = 0.7
+#: What ends the surroundings of a candidate, and how many bytes of them are looked at.
+_EDGE = re.compile(rb"[\s\"'<>(),;{}|`\[\]]")
+AROUND = 2_048
+_SCHEME = re.compile(rb"[A-Za-z][A-Za-z0-9+.-]*://[^?#]*\Z")
+_HOST = re.compile(rb"(?:[^\s@/]+@)?(?:[a-z0-9_-]+\.)+[a-z]{2,18}\.?(?:[:/?#].*)?\Z", re.DOTALL)
 _TERM = [0.0] + [n * math.log2(n) for n in range(1, WINDOW + 1)]
 
 SPAN_TYPE = T.ArrayType(
@@ -94,15 +107,36 @@ def random_span(word: str) -> tuple[int, int] | None:
     return (first, last) if first >= 0 else None
 
 
+def made_of_words(word: str) -> bool:
+    """Whether most letters lie in parts that read like words, with one digit at most."""
+    if sum(c.isdigit() for c in word) > 1:
+        return False
+    found = _PART.findall(word)
+    like = sum(
+        len(p)
+        for p in found
+        if len(p) > 2 and len(_VOWELS.findall(p)) >= 0.25 * len(p) and not _CONSONANTS.search(p)
+    )
+    return like >= PLAIN_SHARE * sum(map(len, found))
+
+
+def _in_address(texts: Texts, row: int, begin: int, end: int) -> bool:
+    """Whether a candidate after ``://``, a stop or an at sign is in the host or path of an address."""
+    before = texts.data[max(begin - AROUND, texts.start[row]) : begin].tobytes()
+    if not before.endswith((b"://", b".", b"@")):
+        return False
+    before = _EDGE.split(before)[-1]
+    if _SCHEME.search(before):
+        return True
+    after = _EDGE.split(texts.data[end : min(end + AROUND, texts.start[row + 1])].tobytes(), maxsplit=1)[0]
+    return _HOST.match(before + texts.data[begin:end].tobytes() + after) is not None
+
+
 def _entropy_spans(texts: Texts) -> list[tuple[int, int, int]]:
     found = []
     for row, begin, end in zip(*runs(texts, _TOKEN, CANDIDATE_LEAST), strict=True):
         word = texts.data[begin:end].tobytes().decode("ascii")
-        before = texts.data[max(begin - 3, texts.start[row]) : begin].tobytes()
-        if ALLOWED.match(word) or before.endswith((b"://", b".", b"@")):
-            continue
-        digits = sum(c.isdigit() for c in word)
-        if digits < 2 or digits == len(word):
+        if ALLOWED.match(word) or made_of_words(word) or _in_address(texts, row, begin, end):
             continue
         span = random_span(word)
         if span:
