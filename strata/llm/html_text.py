@@ -4,8 +4,11 @@ A tokenizer feeds a tree builder that supplies the tags authors may leave out
 (paragraphs, list items, table parts, definitions, options) and drops stray end
 tags.  A walk over the tree leaves out what is not shown (scripts, styles,
 templates, the head, ``hidden``, inline or simple style-sheet ``display: none``
-and ``visibility: hidden``, closed details) and emits all other text: blocks on
-their own lines, a blank line around paragraphs, headings, lists and tables,
+and ``visibility: hidden``, closed details) and emits all other text.  Style
+rules inside conditions (print, narrow screens, ``@supports``) do not count; of
+the others that match, importance, the kind of selector and order decide.
+Formulas are text within the line, with a stroke in fractions; of drawings the
+text elements are shown.  Blocks are on their own lines, a blank line around paragraphs, headings, lists and tables,
 list items with their marks and indents, table cells padded to the width of
 their column, white space kept in ``pre``.
 
@@ -32,8 +35,13 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp noframes noembed iframe".split())
 #: Elements whose content is never shown as text.
 HIDDEN = frozenset(
-    "head script style template noscript iframe object canvas audio video svg math datalist noframes noembed title".split()
+    "head script style template noscript iframe object canvas audio video datalist noframes noembed title".split()
 )
+#: Elements of drawings and formulas that are not shown where they stand.
+_SVG_HIDDEN = frozenset("defs symbol desc metadata clippath mask pattern marker".split())
+_MATH_HIDDEN = frozenset(("annotation", "annotation-xml"))
+_SVG_TEXT = frozenset(("text", "foreignobject"))
+_MATH_LEAF = frozenset("mi mn mo mtext ms".split())
 #: Elements with a blank line around them, and those on lines of their own.
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset hr".split())
 BLOCK = SPACED | frozenset(
@@ -59,8 +67,11 @@ _P_CLOSERS = BLOCK - frozenset("html body option optgroup legend caption".split(
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
 _LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?+")
-_NOT_SHOWN = re.compile(r"(?i)(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))")
-_RULE = re.compile(r"([^{}]++)\{([^{}]*+)\}")
+_SHOWING = re.compile(r"(?i)(?:^|[;\s])(display|visibility)\s*:\s*([\w-]+)[^;!]*(!\s*important)?")
+_BRACE = re.compile(r"[{}]")
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.DOTALL)
+#: Media queries that hold for a reader at a screen.
+_SCREEN = re.compile(r"(?i)(?:^|,)\s*(?:only\s+)?(?:all|screen)\s*(?:,|$)")
 _SIMPLE = re.compile(r"([a-zA-Z][\w-]*)?(?:([.#])([\w-]+))?$")
 _SPACE = re.compile(r"[ \t\n\f\r]+")
 
@@ -78,11 +89,15 @@ class Node:
         return found
 
 
-def parse(page: str) -> tuple[Node, set[tuple[str, str, str]]]:
-    """The tree of a page and the simple selectors its style sheets hide."""
+#: By simple selector: property, (important, kind of selector, order), and whether it hides.
+Rules = dict[tuple[str, str, str], list[tuple[str, tuple[bool, int, int], bool]]]
+
+
+def parse(page: str) -> tuple[Node, Rules]:
+    """The tree of a page and what its style sheets show and hide by simple selectors."""
     root = Node("html")
     open_nodes = [root]
-    hidden_rules: set[tuple[str, str, str]] = set()
+    sheets: list[str] = []
     # where the open elements of each tag stand in the stack, so nothing is searched for
     where: dict[str, list[int]] = {}
     at, size = 0, len(page)
@@ -153,7 +168,8 @@ def parse(page: str) -> tuple[Node, set[tuple[str, str, str]]]:
             inside = open_nodes[-1].tag
             if tag in ("td", "th") and inside in _SECTION | {"table"}:
                 push("tr", "")
-        if tag in VOID:
+        closed = raw.endswith("/") and (tag in ("svg", "math") or where.get("svg") or where.get("math"))
+        if tag in VOID or closed:
             open_nodes[-1].children.append(Node(tag, raw))
             continue
         node = push(tag, raw)
@@ -161,44 +177,92 @@ def parse(page: str) -> tuple[Node, set[tuple[str, str, str]]]:
             close = re.compile(f"</{tag}(?=[\\s/>])", re.IGNORECASE).search(page, at)
             content = page[at : close.start() if close else size]
             if tag == "style":
-                hidden_rules |= _hidden_selectors(content)
+                media = node.attributes().get("media", "").strip()
+                sheets += [content] if not media or _SCREEN.search(media) else []
             elif tag in ("textarea", "title"):
                 node.children.append(html.unescape(content))
             pop_to(len(open_nodes) - 1)
             end = page.find(">", close.end()) if close else -1
             at = end + 1 if end >= 0 else size
-    return root, hidden_rules
+    return root, _rules(sheets)
+
+
+def _declared(body: str) -> dict[str, tuple[bool, bool]]:
+    """For display and visibility: whether it is important and whether it hides; the last one of equal weight counts."""
+    found: dict[str, tuple[bool, bool]] = {}
+    for name, value, important in _SHOWING.findall(body):
+        name, hides = name.lower(), value.lower() in ("none", "hidden", "collapse")
+        if important or not found.get(name, (False,))[0]:
+            found[name] = (bool(important), hides)
+    return found
+
+
+def _unconditional(sheet: str) -> list[tuple[str, str]]:
+    """Selectors and body of each rule that holds whatever the medium."""
+    found: list[tuple[str, str]] = []
+    sheet = _COMMENT.sub("", sheet)
+    at, prelude = 0, ""
+    inside: list[bool] = []  # for each open block: whether the rules in it hold
+    for brace in _BRACE.finditer(sheet):
+        text, at = sheet[at : brace.start()], brace.end()
+        if brace[0] == "{":
+            prelude = text.rpartition(";")[2].strip()
+            name, _, condition = prelude.partition(" ")
+            name, _, more = name.lower().partition("(")
+            holds = name == "@layer" or name == "@media" and not more and bool(_SCREEN.search(condition.strip()))
+            inside.append(holds if prelude.startswith("@") else not prelude)
+            continue
+        if inside:
+            inside.pop()
+            if prelude and not prelude.startswith("@") and all(inside):
+                found.append((prelude, text))
+        prelude = ""
+    return found
 
 
-def _hidden_selectors(sheet: str) -> set[tuple[str, str, str]]:
-    found = set()
-    for selectors, body in _RULE.findall(re.sub(r"/\*.*?\*/", "", sheet, flags=re.DOTALL)):
-        if _NOT_SHOWN.search(body):
+def _rules(sheets: list[str]) -> Rules:
+    rules: Rules = {}
+    order, hiding = 0, False
+    for selectors, body in (rule for sheet in sheets for rule in _unconditional(sheet)):
+        for name, (important, hides) in _declared(body).items():
             for selector in selectors.split(","):
                 m = _SIMPLE.match(selector.strip())
                 if m and selector.strip():
-                    found.add((m[1].lower() if m[1] else "", m[2] or "", m[3] or ""))
-    return found
+                    key = (m[1].lower() if m[1] else "", m[2] or "", m[3] or "")
+                    weight = {"#": 100, ".": 10}.get(key[1], 0) + bool(key[0])
+                    rules.setdefault(key, []).append((name, (important, weight, order), hides))
+                    order, hiding = order + 1, hiding or hides
+    return rules if hiding else {}
 
 
-def _shown(node: Node, rules: set[tuple[str, str, str]]) -> bool:
+def _shown(node: Node, rules: Rules, drawing: bool = False) -> bool:
     if node.tag in HIDDEN:
         return False
     if not node.raw and not rules:
         return node.tag != "dialog"
     given = node.attributes()
-    if "hidden" in given or _NOT_SHOWN.search(given.get("style", "")):
+    if "hidden" in given:
         return False
     if node.tag == "dialog" and "open" not in given:
         return False
+    decided: dict[str, tuple[tuple[bool, int, int], bool]] = {}
+    if drawing:
+        for name in ("display", "visibility"):
+            if given.get(name, "").strip().lower() in ("none", "hidden", "collapse"):
+                decided[name] = ((False, -1, -1), True)
     if rules:
-        names = given.get("class", "").split()
-        for tag, kind, name in rules:
-            if tag and tag != node.tag:
-                continue
-            if not kind or kind == "." and name in names or kind == "#" and name == given.get("id"):
-                return False
-    return True
+        named = [(".", name) for name in given.get("class", "").split()]
+        named += [("#", given["id"])] if "id" in given else []
+        keys = {(tag, *kind) for tag in ("", node.tag) for kind in (("", ""), *named)}
+        for key in keys:
+            for name, weight, hides in rules.get(key, ()):
+                if name not in decided or weight > decided[name][0]:
+                    decided[name] = (weight, hides)
+    for name, (important, hides) in _declared(given.get("style", "")).items():
+        weight = (important, 1000, 0)
+        if name not in decided or weight > decided[name][0]:
+            decided[name] = (weight, hides)
+    return not any(hides for _, hides in decided.values())
 
 
 class Flow:
@@ -288,17 +352,27 @@ def render(page: str) -> str:
     tables: list[list[list[tuple[list[str], int]]]] = []
     counters: list[int | None] = []
     kept = 0
+    # open drawings and text elements in them, open formulas and their tokens
+    svg = labels = math = tokens = 0
     # each entry: a node to enter or leave, or a piece of text
     todo: list[tuple[bool, Node | str]] = [(True, root)]
     while todo:
         entering, node = todo.pop()
         if isinstance(node, str):
-            flow.text(node, kept > 0)
+            # white space between the tokens of a formula is none, and of drawings only text elements are shown
+            if (not math or tokens or node.strip()) and (not svg or labels):
+                flow.text(node, kept > 0)
             continue
         tag = node.tag
         if entering:
-            if not _shown(node, rules):
+            if not _shown(node, rules, svg > 0):
+                continue
+            if svg and tag in _SVG_HIDDEN or math and tag in _MATH_HIDDEN:
                 continue
+            svg, math = svg + (tag == "svg"), math + (tag == "math")
+            labels, tokens = labels + (svg > 0 and tag in _SVG_TEXT), tokens + (math > 0 and tag in _MATH_LEAF)
+            if svg and tag in _SVG_TEXT or math and tag == "mtd":
+                flow.text(" ", False)
             if tag == "br":
                 flow.break_line(True)
                 continue
@@ -342,8 +416,15 @@ def render(page: str) -> str:
                 children = [c for c in children if isinstance(c, Node) and c.tag == "summary"]
             if tag in ("table", "tr", *_SECTION):  # white space between the parts of a table is none
                 children = [c for c in children if not isinstance(c, str) or c.strip()]
+            if math and tag == "mfrac":
+                parts = [c for c in children if not isinstance(c, str) or c.strip()]
+                children = [x for c in parts for x in ("/", c)][1:]
             todo.extend((True, c) for c in reversed(children))
             continue
+        labels, tokens = labels - (svg > 0 and tag in _SVG_TEXT), tokens - (math > 0 and tag in _MATH_LEAF)
+        if svg and tag in _SVG_TEXT or math and tag == "mtd":
+            flow.text(" ", False)
+        svg, math = svg - (tag == "svg"), math - (tag == "math")
         if tag in ("td", "th") and tables:
             span = min(max(_number(node.attributes().get("colspan"), 1), 1), 100) if node.raw else 1
             tables[-1][-1].append((flow.finish(), span))
