@@ -12,7 +12,9 @@ from strata.llm.html_text import extract_text
 from strata.llm.katz import katz_scores
 from strata.llm.lattice import near_duplicates
 from strata.llm.ngram_join import ngram_components
+from strata.llm.oracles import ORACLES
 from strata.llm.pii import find_personal_data
+from strata.llm.prefix_trie import conversations_of, prefix_trie, with_shared_heads
 from strata.llm.quality import score_quality
 from strata.llm.secret_scan import scan_secrets
 from strata.llm.sentencepiece_codec import decode_ids, encode_texts
@@ -100,6 +102,10 @@ def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz_scores(table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(with_shared_heads(conversations_of(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality": op2_quality,
@@ -111,6 +117,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_lattice": op9_lattice,
     "op10_katz": op10_katz,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
