@@ -58,4 +58,48 @@ SELECT f.conv_id, f.depth::BIGINT AS depth, f.parent_conv_id, f.n_convs::BIGINT
 FROM family f JOIN below b USING (path)
 """
 
-ORACLES: dict[str, str] = {"op13_prefix_trie": OP13_TRIE}
+_AZ = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_TERMS = (
+    f"regexp_extract_all(translate(coalesce(text, ''), '{_AZ}', '{_AZ.lower()}'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+OP11_RANKED = f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS terms FROM documents),
+wanted AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+totals AS (SELECT count(*) FILTER (len(terms) > 0) AS documents, sum(len(terms))::BIGINT AS total FROM docs),
+counts AS (
+  SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(terms) AS term FROM docs)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY rid, term),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(documents) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM counts, totals GROUP BY term),
+scores AS (
+  SELECT q.item_id, d.doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(d.terms) * documents) // total))))::BIGINT AS score
+  FROM wanted q JOIN counts c USING (term) JOIN weights USING (term) JOIN docs d USING (rid), totals
+  GROUP BY q.item_id, d.rid, d.doc_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+OP12_WARC = """
+WITH digests AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+firsts AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first
+  FROM digests),
+named AS (SELECT *, CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to FROM firsts)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+FROM named
+"""
+
+ORACLES: dict[str, str] = {
+    "op11_ranked_search": OP11_RANKED,
+    "op12_warc": OP12_WARC,
+    "op13_prefix_trie": OP13_TRIE,
+}

@@ -16,12 +16,17 @@ from strata.llm.oracles import ORACLES
 from strata.llm.pii import find_personal_data
 from strata.llm.prefix_trie import conversations_of, prefix_trie, with_shared_heads
 from strata.llm.quality import score_quality
+from strata.llm.ranked_search import ranked_search
 from strata.llm.secret_scan import scan_secrets
 from strata.llm.sentencepiece_codec import decode_ids, encode_texts
 from strata.llm.toxicity import score_toxicity
+from strata.llm.warc import normalise, read_records, with_first_copies, write_archives
+from strata.session import scratch_dir
 
 #: A public model of 32,000 pieces; any model of its kind will do.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+#: The date in the records of the given pages, which have none.
+CRAWLED = "2024-01-01T00:00:00Z"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -102,6 +107,24 @@ def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz_scores(table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10, share=90)
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark, "warc")
+    pages = with_first_copies(table(spark, sf_dir, "pages"))
+    archives = write_archives(pages, f"{folder}/whole", CRAWLED)
+    payload = F.col("payload")
+    return read_records(normalise(archives, f"{folder}/members")).select(
+        "page_id",
+        F.coalesce(F.octet_length(payload).cast("long"), "declared_bytes").alias("payload_bytes"),
+        F.coalesce(F.sha2(payload, 256), "declared_digest").alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(with_shared_heads(conversations_of(table(spark, sf_dir, "conversations"))))
 
@@ -117,6 +140,8 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_lattice": op9_lattice,
     "op10_katz": op10_katz,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_warc": op12_warc,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
