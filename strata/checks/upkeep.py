@@ -11,7 +11,7 @@ from strata.checks.fixtures import AS_OF, SCHEMAS, bronze_orders, table, with_in
 from strata.operators import catalog, layout, quality
 from strata.operators.vectors import centroid, vector_topk
 from strata.plans.models import fct_orders
-from strata.session import scratch_dir
+from strata.session import scratch_dir, settle
 from strata.sources.versions import VersionedTable
 
 CATALOGUED = tuple(SCHEMAS)
@@ -77,6 +77,42 @@ def rewrite_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).withColumn("partitions_rewritten", F.lit(touched))
 
 
+def compact_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bin packing of one fragmented partition, twice: all other files keep
+    their names, and the second run writes nothing."""
+    path = _partitioned(spark, sf_dir)
+    priority = table(spark, sf_dir, "orders").schema["o_orderpriority"]
+    listings = [settle(layout.file_listing(spark, path, [priority]), "listing")]
+    packed = []
+    for _ in range(2):
+        packed.append(layout.rewrite_partitions(spark, path, ["o_orderpriority"]))
+        listings.append(settle(layout.file_listing(spark, path, [priority]), "listing"))
+    before, after, later = listings
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    lost = before.filter(~urgent).join(after, "path", "left_anti").agg(F.count(F.lit(1)))
+    moved = after.join(later, "path", "left_anti").agg(F.count(F.lit(1)))
+    return spark.read.parquet(path).withColumns(
+        {
+            "other_files_changed": lost.scalar(),
+            "urgent_files": after.filter(urgent).agg(F.count(F.lit(1))).scalar(),
+            "packed_again": F.lit(packed[1]).cast("bigint"),
+            "files_changed_again": moved.scalar(),
+        }
+    )
+
+
+def compact_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A partitioned, versioned table: every partition gets the files its size needs."""
+    stored = VersionedTable(spark, scratch_dir(spark, "sized"), ("o_orderstatus",))
+    stored.append(table(spark, sf_dir, "orders").repartition(16, "o_orderkey"), committed_at=AS_OF)
+    files = settle(layout.live_files(stored), "listing")
+    need = files.groupBy("o_orderstatus").agg(F.ceil(F.sum("length") / F.lit(SMALL)).alias("needed"))
+    layout.optimize(stored, target_bytes=SMALL)
+    got = layout.live_files(stored).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("files"))
+    same = need.join(got, "o_orderstatus", "left").agg(F.bool_and(F.col("needed") == F.col("files")))
+    return stored.current().withColumn("as_needed", same.scalar())
+
+
 def table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files and partitioning as listed; bytes only as a sign of life."""
     path = scratch_dir(spark, "stats")
@@ -177,6 +213,8 @@ QUERIES = {
     "compact": compact,
     "zorder": zorder,
     "rewrite_partitions": rewrite_partitions,
+    "compact_again": compact_again,
+    "compact_target": compact_target,
     "table_stats": table_stats,
     "maintenance_report": maintenance_report,
     "assert_non_negative": assert_non_negative,
@@ -233,6 +271,11 @@ ORACLES = {
     "compact": "SELECT *, true AS fewer_files FROM orders",
     "zorder": "SELECT *, true AS all_narrow FROM orders",
     "rewrite_partitions": "SELECT *, CAST(1 AS INTEGER) AS partitions_rewritten FROM orders",
+    "compact_again": """
+      SELECT *, CAST(0 AS BIGINT) AS other_files_changed, CAST(1 AS BIGINT) AS urgent_files,
+             CAST(0 AS BIGINT) AS packed_again, CAST(0 AS BIGINT) AS files_changed_again
+      FROM orders""",
+    "compact_target": "SELECT *, true AS as_needed FROM orders",
     "table_stats": """
       SELECT count(DISTINCT o_orderpriority) AS num_files, true AS has_bytes,
              'o_orderpriority' AS partitioning, count(*) AS num_rows FROM orders""",

@@ -5,21 +5,25 @@ from __future__ import annotations
 import math
 import os
 import time
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from itertools import batched
 from typing import Any
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.operators.packing import pack_files
 from strata.session import settle, struct
-from strata.sources.bucketed import BucketedTable
+from strata.sources.bucketed import BUCKET, BucketedTable
 from strata.sources.versions import VersionedTable, stored_schema
 
 #: Fixed defaults of compaction.
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 MIN_INPUT_FILES = 5
+#: Partitions that one round of a rewrite reads; bounds the lists on the driver.
+ROUND_PARTITIONS = 1_000
 
 # The columns of Spark's binary-file source.
 FILE = struct(
@@ -184,29 +188,33 @@ def optimize(
 
     Without clustering nothing is written unless some partition has
     ``min_input_files`` files and more than it needs, so a second call is free.
+    A partition is dealt out to as many tasks as it needs files.
 
-    A bucketed table keeps its bucket layout and clusters by its sort columns.
+    A bucketed table keeps its bucket layout and clusters by its sort columns;
+    only its buckets with many files are rewritten.
     """
     if z_order_cols and isinstance(table, BucketedTable):
         raise ValueError(f"{table.path} is bucketed by its keys; cluster it by sort_cols")
     started = time.monotonic()
     before = table_stats(live_files(table)).first()
-    if not z_order_cols:
-        places = [f.name for f in table.folder_fields() if f.name != "_version"] + [*table.partition_cols]
-        if rewrite_candidates(live_files(table), places, target_bytes, min_input_files).isEmpty():
-            same = Row(name or table.path, *(before["num_files"],) * 2, *(before["size_bytes"],) * 2, 0, 0.0)
-            return table.spark.createDataFrame([same], OPTIMIZE_RESULT)
-    n_files = max(1, math.ceil(before["size_bytes"] / target_bytes))
-    content = table.current()
-    if z_order_cols:
-        content = zorder(content, z_order_cols, n_files, within=table.partition_cols)
-    elif isinstance(table, BucketedTable):
-        pass  # the table brings its buckets together itself
-    elif table.partition_cols:
-        content = content.hint("rebalance", *table.partition_cols)
-    else:
-        content = compact(content, before["size_bytes"], target_bytes)
-    commit = table.overwrite(content, "optimize")
+    files = live_files(table)
+    same = Row(name or table.path, *(before["num_files"],) * 2, *(before["size_bytes"],) * 2, 0, 0.0)
+    commit: Row | None = None
+    if isinstance(table, BucketedTable):
+        commit = _optimize_buckets(table, files, target_bytes, min_input_files)
+    elif z_order_cols:
+        n_files = max(1, math.ceil(before["size_bytes"] / target_bytes))
+        content = zorder(table.current(), z_order_cols, n_files, within=table.partition_cols)
+        commit = table.overwrite(content, "optimize")
+    elif not rewrite_candidates(files, table.partition_cols, target_bytes, min_input_files).isEmpty():
+        content = table.current()
+        if table.partition_cols:
+            content = dealt_by_size(content, files, table.partition_cols, target_bytes)
+        else:
+            content = compact(content, before["size_bytes"], target_bytes)
+        commit = table.overwrite(content, "optimize")
+    if commit is None:
+        return table.spark.createDataFrame([same], OPTIMIZE_RESULT)
     after = table_stats(live_files(table)).first()
     result = Row(
         name or table.path,
@@ -220,6 +228,38 @@ def optimize(
     return table.spark.createDataFrame([result], OPTIMIZE_RESULT)
 
 
+def _optimize_buckets(table: BucketedTable, files: DataFrame, target_bytes: int, min_input_files: int) -> Row | None:
+    """Rewrite the buckets with many files; closed rows of a type-2 table stay where they are."""
+    if "_is_current" in files.columns:
+        files = files.filter("_is_current")
+    fragmented = rewrite_candidates(files, [BUCKET], target_bytes, min_input_files)
+    buckets = sorted(r[BUCKET] for r in fragmented.select(BUCKET).collect())  # at most n_buckets
+    if not buckets:
+        return None
+    chosen = files.filter(F.col(BUCKET).isin(buckets))
+    return table.rewrite(buckets, lambda rows: dealt_by_size(rows, chosen, [BUCKET], target_bytes))
+
+
+def dealt_by_size(
+    rows: DataFrame, files: DataFrame, partition_cols: Sequence[str], target_bytes: int
+) -> DataFrame:
+    """``rows`` in as many tasks per partition as its listed ``files`` need at the target size.
+
+    Every partition has its own tasks, rows go to them by hash, so a hot
+    partition does not land in one task and no file mixes with another's size.
+    """
+    need = F.greatest(F.ceil(F.sum("length") / F.lit(target_bytes)), F.lit(1)).cast("int")
+    sizes = files.groupBy(*partition_cols).agg(need.alias("_files"))
+    before = F.sum("_files").over(Window.orderBy(*partition_cols).rowsBetween(Window.unboundedPreceding, -1))
+    placed = settle(sizes.withColumn("_first", F.coalesce(before, F.lit(0)).cast("int")), "sizes")
+    total = placed.agg(F.sum("_files")).first()[0] or 1
+    of = placed.withColumnsRenamed({c: f"_of_{c}" for c in partition_cols})
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in partition_cols]
+    salt = F.coalesce(F.col("_first") + F.pmod(F.xxhash64(*hashable(rows)), F.col("_files")), F.lit(0))
+    dealt = rows.join(of, same, "left").select(*rows.columns, salt.cast("int").alias("_task"))
+    return dealt.repartitionById(total, F.col("_task")).drop("_task")
+
+
 def rewrite_candidates(
     files: DataFrame,
     partition_cols: Sequence[str],
@@ -247,11 +287,13 @@ def rewrite_partitions(
     target_bytes: int = TARGET_FILE_BYTES,
     min_input_files: int = MIN_INPUT_FILES,
 ) -> int:
-    """Rewrite, in place, only the partitions with many small files.
+    """Rewrite, in place, only what is fragmented.
 
-    ``binpack`` packs, ``sort`` orders by ``sort_cols``, ``zorder`` clusters
-    along their Z-curve.  A partition is split over as many tasks as it needs
-    files, so a hot one does not land in one task.  Dynamic partition
+    ``binpack`` packs small files and leaves all others as they are
+    (:mod:`strata.operators.packing`).  ``sort`` orders by ``sort_cols`` and
+    ``zorder`` clusters along their Z-curve, both within the partitions that
+    have many files: such a partition is split over as many tasks as it needs
+    files, so a hot one does not land in one task, and dynamic partition
     overwrite leaves the other partitions alone.  Returns the number of
     partitions rewritten.
     """
@@ -259,37 +301,47 @@ def rewrite_partitions(
     # the folder it came from whatever its type looks like.
     fields = [T.StructField(c, T.StringType()) for c in partition_cols]
     files = file_listing(spark, path, fields)
-    chosen = rewrite_candidates(files, partition_cols, target_bytes, min_input_files).collect()
-    if not chosen:
-        return 0
+    if strategy == "binpack":
+        return pack_files(spark, path, files, partition_cols, target_bytes, min_input_files)["partitions"]
+    chosen = rewrite_candidates(files, partition_cols, target_bytes, min_input_files)
     if not partition_cols:
-        return _rewrite_whole(spark, path, chosen[0]["files_needed"], sort_cols, strategy)
-    stored = spark.read.option("mergeSchema", "true").parquet(path).schema
+        whole = chosen.first()
+        return 0 if whole is None else _rewrite_whole(spark, path, whole["files_needed"], sort_cols, strategy)
+    rewritten = 0
+    for some in batched(_in_order(chosen, partition_cols), ROUND_PARTITIONS):
+        _rewrite_some(spark, path, some, fields, sort_cols, strategy)
+        rewritten += len(some)
+    return rewritten
+
+
+def _in_order(chosen: DataFrame, partition_cols: Sequence[str]) -> Iterator[Row]:
+    return settle(chosen, "rewrite").orderBy(*partition_cols).toLocalIterator()
+
+
+def _rewrite_some(
+    spark: SparkSession,
+    path: str,
+    chosen: Sequence[Row],
+    fields: Sequence[T.StructField],
+    sort_cols: Sequence[str],
+    strategy: str,
+) -> None:
+    partition_cols = [f.name for f in fields]
+    folders = [r["folder"] for r in chosen]
+    stored = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(*folders).schema
     schema = T.StructType([*[f for f in stored if f.name not in partition_cols], *fields])
-    rows = spark.read.schema(schema).option("basePath", path).parquet(*[r["folder"] for r in chosen])
+    rows = spark.read.schema(schema).option("basePath", path).parquet(*folders)
     columns = rows.columns
-    needed = spark.createDataFrame(
-        [tuple(r[c] for c in partition_cols) + (r["files_needed"],) for r in chosen],
-        T.StructType([*fields, T.StructField("_files", T.LongType())]),
-    )
-    same = [rows[c].eqNullSafe(needed[c]) for c in partition_cols]
-    sized = rows.join(needed, same, "inner").select(*[rows[c] for c in columns], "_files")
     total = sum(r["files_needed"] for r in chosen)
-    if strategy == "zorder":
-        sized = with_curve(sized, sort_cols, curve_bits(len(sort_cols), total))
-    order = {"binpack": [], "sort": [*sort_cols], "zorder": ["_curve", *sort_cols]}[strategy]
+    sized = with_curve(rows, sort_cols, curve_bits(len(sort_cols), total)) if strategy == "zorder" else rows
+    order = {"sort": [*sort_cols], "zorder": ["_curve", *sort_cols]}[strategy]
     salt = F.xxhash64(*hashable(rows))
-    if order:
-        packed = sized.withColumn("_salt", salt).repartitionByRange(total, *partition_cols, *order, "_salt")
-        packed = packed.sortWithinPartitions(*partition_cols, *order)
-    else:
-        packed = sized.withColumn("_salt", F.pmod(salt, F.col("_files")))
-        packed = packed.repartition(total, *partition_cols, "_salt")
+    packed = sized.withColumn("_salt", salt).repartitionByRange(total, *partition_cols, *order, "_salt")
+    packed = packed.sortWithinPartitions(*partition_cols, *order)
     packed.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         *partition_cols
     ).parquet(path)
     spark.catalog.refreshByPath(path)
-    return len(chosen)
 
 
 def _rewrite_whole(spark: SparkSession, path: str, n_files: int, sort_cols: Sequence[str], strategy: str) -> int:
@@ -297,10 +349,8 @@ def _rewrite_whole(spark: SparkSession, path: str, n_files: int, sort_cols: Sequ
     rows = spark.read.option("mergeSchema", "true").parquet(path)
     if strategy == "zorder":
         packed = zorder(rows, sort_cols, n_files)
-    elif strategy == "sort":
-        packed = rows.repartitionByRange(n_files, *sort_cols).sortWithinPartitions(*sort_cols)
     else:
-        packed = rows.repartition(n_files)
+        packed = rows.repartitionByRange(n_files, *sort_cols).sortWithinPartitions(*sort_cols)
     settle(packed, "rewrite").write.mode("overwrite").parquet(path)
     spark.catalog.refreshByPath(path)
     return 1

@@ -9,7 +9,7 @@ bounds all lists.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row
@@ -21,7 +21,7 @@ from strata.operators.merge import checked_keys, upsert
 from strata.operators.scd2 import out_of_order, scd2_bootstrap, scd2_changes, with_row_hash
 from strata.operators.schema_sync import conform
 from strata.session import settle
-from strata.sources.versions import VersionedTable, evolved, next_version, stored_schema
+from strata.sources.versions import VersionedTable, evolved, latest_commit, next_version, stored_schema
 
 BUCKET = "_bucket"
 
@@ -124,6 +124,22 @@ class BucketedTable(VersionedTable):
         changes = scd2_changes(current, news, self.keys, as_of, hash_cols, style)
         return self.apply_scd2(changes, batch_id, as_of, current_base, touched)
 
+    def rewrite(self, buckets: Sequence[int], shape: Callable[[DataFrame], DataFrame]) -> Row:
+        """Write some buckets again in another shape (``shape`` sees ``_bucket``); the rest stays.
+
+        Of a type-2 table the current rows are written; history is not read.
+        """
+        last = self._required(latest_commit(self.commits()), "no commits")
+        content = self._buckets_of(last, buckets)
+        if last["current_base"] is not None:
+            content = content.filter("_is_current")
+        version = next_version(last)
+        rows = self._write(content, version, shape=lambda df: shape(df.withColumn(BUCKET, self.bucket())))()
+        return self._commit(
+            version, last["base"], "optimize", None, None, stored_schema(last), rows,
+            current_base=last["current_base"], buckets=sorted(buckets),
+        )
+
     # -- layout ----------------------------------------------------------
 
     def folder_fields(self) -> list[T.StructField]:

@@ -251,11 +251,16 @@ class VersionedTable:
         return tuple(found.first())
 
     def _write(
-        self, df: DataFrame, version: int, drop: Sequence[str] = (), **counts: Column
+        self,
+        df: DataFrame,
+        version: int,
+        drop: Sequence[str] = (),
+        shape: Callable[[DataFrame], DataFrame] | None = None,
+        **counts: Column,
     ) -> Callable[..., int]:
         """Write one version's folder; rows are counted in the writing stage, so
         repeated tasks of earlier stages do not count."""
-        watched, read_counts = observed(self._shape(df), **counts)
+        watched, read_counts = observed((shape or self._shape)(df), **counts)
         written = watched.drop(*drop)
         if self.sort_cols:
             written = written.sortWithinPartitions(*self.sort_cols)

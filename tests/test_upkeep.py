@@ -6,8 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strata.operators import catalog, layout, quality
+from strata.operators import catalog, layout, packing, quality
 from strata.operators.vectors import approximate_topk, centroid, text_vectorizer, text_vectors, vector_topk
+from strata.sources.bucketed import BucketedTable
 from strata.sources.versions import VersionedTable
 from tests.test_silver import bag
 
@@ -176,3 +177,60 @@ def test_curve_tells_long_texts_apart(spark):
     names = spark.range(1000).select(F.format_string("Customer#%09d", "id").alias("name"))
     assert layout.with_curve(names, ["name"]).select("_curve").distinct().count() > 200
     assert layout.curve_bits(1, 4000) == 14 and layout.curve_bits(2, 16) == 8
+
+
+def test_packing_plan_fills_groups_and_leaves_large_files(spark):
+    sizes = [(f"/t/p={p}/f{i}", n, p) for p, ns in {"a": [10, 20, 30, 40, 60, 70], "b": [5, 5], "c": [45] * 9}.items() for i, n in enumerate(ns)]
+    files = spark.createDataFrame(sizes, "path STRING, length LONG, p STRING")
+    plan = packing.packing_plan(files, ["p"], 100, 3).groupBy("p", "group").agg(F.sum("length"), F.count("*"))
+    got = sorted((r[0], r[2], r[3]) for r in plan.collect())
+    assert got == [("a", 100, 4), *[("c", 90, 2)] * 4]
+
+
+def test_interrupted_packing_is_finished_by_the_next_run(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "p")
+    df = spark.range(400).withColumn("part", F.col("id") % 2)
+    df.repartition(6, "id").write.partitionBy("part").parquet(path)
+    real = packing._finish
+
+    def dies(*args):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(packing, "_finish", dies)
+    with pytest.raises(RuntimeError):
+        layout.rewrite_partitions(spark, path, ["part"])
+    monkeypatch.setattr(packing, "_finish", real)
+    assert len(files(f"{path}/part=0")) == 6
+    assert packing.recover(spark, path) == 1
+    assert [len(files(f"{path}/part={i}")) for i in (0, 1)] == [1, 1] and not os.path.exists(f"{path}/_packing")
+    assert bag(spark.read.parquet(path).select("id")) == bag(spark.range(400))
+    assert packing.recover(spark, path) == 0
+
+
+def test_packing_works_in_rounds_and_merges_schemas(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(packing, "ROUND_FILES", 4)
+    path = str(tmp_path / "p")
+    for i in range(3):
+        more = spark.range(60).withColumn("part", F.col("id") % 5).withColumn(f"c{i}", F.lit(i))
+        more.repartition(2, "id").write.mode("append").partitionBy("part").parquet(path)
+    assert layout.rewrite_partitions(spark, path, ["part"]) == 5
+    stored = spark.read.option("mergeSchema", "true").parquet(path)
+    assert stored.count() == 180 and [stored.filter(F.col(f"c{i}") == i).count() for i in range(3)] == [60] * 3
+    assert all(len(files(f"{path}/part={i}")) == 1 for i in range(5))
+
+
+def test_optimize_rewrites_only_fragmented_buckets(spark, tmp_path):
+    table = BucketedTable(spark, str(tmp_path / "b"), keys=("id",), n_buckets=4)
+    rows = spark.range(2000).withColumn("v", F.lit(1))
+    table.overwrite(rows)
+    table.rewrite([2], lambda df: df.repartition(7, "id"))
+    assert table.current().count() == 2000
+    before = {r["path"] for r in layout.live_files(table).filter("_bucket <> 2").collect()}
+    record = layout.optimize(table).first()
+    live = layout.live_files(table)
+    assert {r["path"] for r in live.filter("_bucket <> 2").collect()} == before
+    assert live.filter("_bucket = 2").count() == 1 and record["files_before"] - record["files_after"] == 6
+    assert bag(table.current().select("id")) == bag(spark.range(2000))
+    assert layout.optimize(table).first()["rows"] == 0
+    table.merge(spark.createDataFrame([(5, 9), (5000, 9)], "id LONG, v INT"))
+    assert table.current().count() == 2001 and table.current().filter("v = 9").count() == 2
