@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from strata.checks.fixtures import AS_OF, messages, table, with_inputs
 from strata.functions import query_params
 from strata.session import scratch_dir, settle, struct
-from strata.sources.messages import bad_messages, decode_messages, encode_messages
+from strata.sources.messages import bad_messages, decode_messages, encode_messages, payload_field
 from strata.sources.paged import PagedApi, page_records, read_pages, until_last_page
 from strata.sources.versions import VersionedTable
 from strata.streaming.ingest import bronze_handler, dedup_handler, read_files, run_batches
@@ -106,10 +106,12 @@ def _landed_messages(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def _ingested(spark: SparkSession, sf_dir: str, deliveries: int = 1) -> tuple[VersionedTable, VersionedTable]:
+def _ingested(
+    spark: SparkSession, sf_dir: str, deliveries: int = 1, schema: T.StructType = EVENT, payload_col: str | None = None
+) -> tuple[VersionedTable, VersionedTable]:
     good = VersionedTable(spark, scratch_dir(spark, "stream-good"))
     bad = VersionedTable(spark, scratch_dir(spark, "stream-bad"))
-    handle = bronze_handler(EVENT, good, bad, stream_id="events", as_of=AS_OF)
+    handle = bronze_handler(schema, good, bad, stream_id="events", as_of=AS_OF, payload_col=payload_col)
 
     def deliver(batch: DataFrame, number: int) -> None:
         for _ in range(deliveries):
@@ -124,6 +126,18 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ingested(spark, sf_dir)[0].current().drop("_batch_id")
 
 
+def stream_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored messages of which one field is declared; the others come from the kept payload."""
+    good, _ = _ingested(spark, sf_dir, schema=struct(event_id=T.LongType()), payload_col="_payload")
+    return good.current().select(
+        "event_id",
+        payload_field("_payload", "$.event_type").alias("event_type"),
+        payload_field("_payload", "$.user_id", "bigint").alias("user_id"),
+        payload_field("_payload", "$.value", "double").alias("value"),
+        payload_field("_payload", "$.none").alias("none"),
+    )
+
+
 def stream_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ingested(spark, sf_dir)[1].current().select(*POSITION, "payload")
 
@@ -146,6 +160,20 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.current().withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+def stream_dedup_restamped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two thirds of the events arrive, then all of them a day later: copies
+    with another stamp are not stored, the rest is, late as it is."""
+    landing, offsets = (scratch_dir(spark, f"dedup-{part}") for part in ("in", "offsets"))
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value", "ts")
+    out = VersionedTable(spark, scratch_dir(spark, "dedup-out"))
+    again = events.withColumn("ts", F.col("ts") + F.make_dt_interval(F.lit(1)))
+    for part in (events.filter("event_id % 3 > 0"), again):
+        part.write.mode("append").parquet(landing)
+        handle = dedup_handler(out, ["event_id"], "ts", n_buckets=16)
+        run_batches(read_files(spark, landing, events.schema), handle, offsets).awaitTermination()
+    return out.current()
+
+
 # -- federation ----------------------------------------------------------------
 
 
@@ -177,6 +205,8 @@ QUERIES = {
     "stream_bad_messages": stream_bad,
     "stream_bronze": stream_bronze,
     "stream_dedup": stream_dedup,
+    "stream_dedup_restamped": stream_dedup_restamped,
+    "stream_payload": stream_payload,
     "federated_join": federated_join,
 }
 
@@ -215,6 +245,12 @@ ORACLES = {
             FROM messages WHERE kind = '{}'""",
     ),
     "stream_dedup": "SELECT event_id, event_type, value, ts FROM events",
+    "stream_dedup_restamped": """
+      SELECT event_id, event_type, value, CASE WHEN event_id % 3 = 0 THEN ts + INTERVAL 1 DAY ELSE ts END AS ts
+      FROM events""",
+    "stream_payload": with_inputs(
+        "messages", " SELECT event_id, event_type, user_id, value, CAST(NULL AS VARCHAR) AS none FROM messages WHERE kind = '{}'"
+    ),
     "federated_join": """
       SELECT r_name, c_mktsegment, count(*) AS customers,
              CAST(sum(CAST(c_acctbal AS DECIMAL(18, 2))) AS DOUBLE) AS balance

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,44 +47,80 @@ def login(mechanism: str, user: str, password: str) -> dict[str, str]:
     }
 
 
-def _parsed(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    """Messages with ``record`` and ``_bad``.
+def parse_messages(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """Each message once: its position, ``payload`` text, ``record`` and ``bad``.
 
     A payload is bad when it is null, not JSON, or JSON of another shape than
-    an object; each message is parsed once.
+    an object.  Store the result before taking both sides from it.
     """
+    position = [F.col(source).alias(name) for name, source in POSITION.items()]
+    text, record = _record(schema)
+    parsed = raw.select(*position, text.alias("payload"), record.alias("record"))
+    return parsed.withColumn("bad", ~_good(F.col("record")))
+
+
+def _record(schema: T.StructType) -> tuple[Column, Column]:
+    """The payload text, and the record in it with the parser's verdict."""
     full = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     text = F.col("value").cast("string")
-    record = F.from_json(text, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    parsed = raw.withColumns({"_text": text, "record": record})
-    bad = F.col("_text").isNull() | F.col("record").isNull() | F.col(f"record.{_CORRUPT}").isNotNull()
-    return parsed.withColumn("_bad", bad)
+    return text, F.from_json(text, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+
+
+def _good(record: Column) -> Column:
+    return record.isNotNull() & record[_CORRUPT].isNull()
+
+
+def good_records(parsed: DataFrame, schema: T.StructType, payload_col: str | None = None) -> DataFrame:
+    """The records of parsed messages with their positions.
+
+    ``payload_col`` names a VARIANT column that holds the whole message, so
+    fields that the schema lacks are kept and can be read by path
+    (:func:`payload_field`).
+    """
+    return parsed.filter(~F.col("bad")).select(*_columns(schema, payload_col, F.col("payload")))
+
+
+def skipped_messages(parsed: DataFrame) -> DataFrame:
+    """Position and payload text of the bad ones among parsed messages."""
+    return parsed.filter("bad").select(*POSITION, "payload")
+
+
+def _columns(schema: T.StructType, payload_col: str | None, text: Column) -> list[Column]:
+    whole = [payload_variant(text).alias(payload_col)] if payload_col else []
+    return [*[F.col(f"record.{f.name}").alias(f.name) for f in schema], *[F.col(c) for c in POSITION], *whole]
+
+
+def payload_variant(text: Column) -> Column:
+    """A JSON text as VARIANT; what is no valid JSON stays a string."""
+    return F.coalesce(F.try_parse_json(text), text.cast(T.VariantType()))
+
+
+def payload_field(payload: str | Column, path: str, kind: str = "string") -> Column:
+    """A field of a kept message by its path such as ``$.a.b[0]``; null if absent or of another kind."""
+    return F.try_variant_get(payload, path, kind)
 
 
-def decode_messages(raw: DataFrame, schema: T.StructType, payload_col: str | None = None) -> DataFrame:
+def decode_messages(
+    raw: DataFrame, schema: T.StructType, payload_col: str | None = None, variant: bool = False
+) -> DataFrame:
     """Good messages as records with their topic, partition and offset.
 
-    ``payload_col`` keeps the whole payload text beside the declared fields, so
-    fields that the schema does not know are not lost.
+    ``payload_col`` keeps the whole payload beside the declared fields, as text
+    or, with ``variant``, as VARIANT, so fields that the schema does not know
+    are not lost.  The filter stands inside the generator: a filter behind the
+    parser would be pushed below it and parse every message twice.
     """
-    return (
-        _parsed(raw, schema)
-        .filter(~F.col("_bad"))
-        .select(
-            *[F.col(f"record.{f.name}").alias(f.name) for f in schema],
-            *[F.col(source).alias(name) for name, source in POSITION.items()],
-            *([F.col("_text").alias(payload_col)] if payload_col else []),
-        )
-    )
+    text, record = _record(schema)
+    position = [F.col(source).alias(name) for name, source in POSITION.items()]
+    kept = raw.select(*position, text.alias("_text"), F.explode(F.filter(F.array(record), _good)).alias("record"))
+    if payload_col and not variant:
+        return kept.select(*_columns(schema, None, F.col("_text")), F.col("_text").alias(payload_col))
+    return kept.select(*_columns(schema, payload_col, F.col("_text")))
 
 
 def bad_messages(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """The skipped messages: position and payload text."""
-    return (
-        _parsed(raw, schema)
-        .filter("_bad")
-        .select(*[F.col(source).alias(name) for name, source in POSITION.items()], F.col("_text").alias("payload"))
-    )
+    return skipped_messages(parse_messages(raw, schema))
 
 
 def encode_messages(df: DataFrame, key_col: str, topic: str | None = None) -> DataFrame:

@@ -5,15 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.functions.ingest import with_ingest_metadata
 from strata.functions.stamps import Moment
-from strata.sources.messages import MESSAGE, bad_messages, decode_messages
+from strata.operators.layout import hashable
 from strata.session import settle
+from strata.sources.messages import MESSAGE, decode_messages, good_records, parse_messages, skipped_messages
 from strata.sources.versions import VersionedTable
 
 Handler = Callable[[DataFrame, int], None]
@@ -64,46 +65,82 @@ def bronze_handler(
     source: str = "kafka",
     stream_id: str = "stream",
     as_of: Moment = None,
-    payload_col: str | None = None,
+    payload_col: str | None = "_payload",
 ) -> Handler:
     """A handler that decodes a batch and appends it to ``good`` (and the
-    skipped messages to ``bad``).  The batch is fetched once.
+    skipped messages to ``bad``).  The batch is fetched and parsed once.
 
-    The batch number makes the batch id, and a committed id is not written
-    again: at-least-once delivery gives exactly one copy in the table.
+    Unless ``payload_col`` is None the whole message is kept under it as
+    VARIANT.  The batch number makes the batch id, and a committed id is not
+    written again: at-least-once delivery gives exactly one copy in the table.
     """
 
     def handle(batch: DataFrame, number: int) -> None:
         batch_id = f"{stream_id}-{number}"
-        batch = settle(batch, "stream-batch") if bad is not None else batch
-        records = with_ingest_metadata(decode_messages(batch, schema, payload_col), source, batch_id, as_of)
-        good.append(records, batch_id=batch_id, committed_at=as_of)
-        if bad is not None:
-            skipped = with_ingest_metadata(bad_messages(batch, schema), source, batch_id, as_of)
+        if bad is None:
+            records = decode_messages(batch, schema, payload_col, variant=True)
+        else:
+            parsed = settle(parse_messages(batch, schema), "stream-batch")
+            records = good_records(parsed, schema, payload_col)
+            skipped = with_ingest_metadata(skipped_messages(parsed), source, batch_id, as_of)
             bad.append(skipped, batch_id=batch_id, committed_at=as_of)
+        good.append(with_ingest_metadata(records, source, batch_id, as_of), batch_id=batch_id, committed_at=as_of)
 
     return handle
 
 
-def dedup_handler(table: VersionedTable, keys: Sequence[str], ts_col: str, stream_id: str = "stream") -> Handler:
+KEY_BUCKET = "_key_bucket"
+
+
+def known_keys(table: VersionedTable, keys: Sequence[str], n_buckets: int = 64) -> VersionedTable:
+    """The keys that ``table`` holds, in hash buckets beside it.
+
+    A table that was filled before it had this index gets it on first use.
+    """
+    index = VersionedTable(table.spark, f"{table.path}/keys", (KEY_BUCKET,))
+    if index.latest() is None and table.latest() is not None:
+        index.overwrite(_with_bucket(table.current().select(*keys).distinct(), keys, n_buckets), "create")
+    return index
+
+
+def _with_bucket(rows: DataFrame, keys: Sequence[str], n_buckets: int) -> DataFrame:
+    return rows.withColumn(KEY_BUCKET, F.pmod(F.xxhash64(*keys), F.lit(n_buckets)).cast("int"))
+
+
+def unknown_rows(index: VersionedTable, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` (with their key bucket) whose keys the index lacks; only the buckets they touch are read."""
+    touched = [r[0] for r in rows.select(KEY_BUCKET).distinct().collect()]  # at most the number of buckets
+    if index.latest() is None:
+        return rows
+    known = index.current().filter(F.col(KEY_BUCKET).isin(touched))
+    named = known.select(*[F.col(k).alias(f"_known_{k}") for k in (KEY_BUCKET, *keys)])
+    same = [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in (KEY_BUCKET, *keys)]
+    return rows.join(named, reduce(lambda a, b: a & b, same), "left_anti")
+
+
+def dedup_handler(
+    table: VersionedTable, keys: Sequence[str], ts_col: str, stream_id: str = "stream", n_buckets: int = 64
+) -> Handler:
     """A handler that appends the rows of a batch whose keys ``table`` lacks.
 
-    A redelivered row has the stamp of its first copy, so only stored rows
-    within the batch's own range of stamps are compared (null stamps with null
-    stamps).  Rows may be late by any time: a new one is stored whenever it
-    comes, a copy never twice.
+    Keys are looked up in hash buckets (:func:`known_keys`), so a batch is
+    compared with the buckets it touches and with key columns only, whatever
+    its stamps: a new row is stored however late it comes, a copy never, not
+    even under another stamp.  Of copies in one batch the earliest stays.
+
+    The rows are committed before their keys and both under the batch id, so a
+    batch that is delivered again after a crash between the two adds the keys
+    and nothing else.
     """
 
     def handle(batch: DataFrame, number: int) -> None:
-        rows = settle(batch.dropDuplicates([*keys]), "stream-dedup")
-        if table.latest() is not None:
-            span = rows.agg(F.min(ts_col).alias("low"), F.max(ts_col).alias("high"))
-            low, high = span.select("low").scalar(), span.select("high").scalar()
-            stored = table.current()
-            stored = stored.filter(F.col(ts_col).between(low, high) | F.col(ts_col).isNull())
-            known = stored.select(*[F.col(k).alias(f"_{k}") for k in keys])
-            same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-            rows = rows.join(known, same, "left_anti")
-        table.append(rows, batch_id=f"{stream_id}-{number}")
+        batch_id = f"{stream_id}-{number}"
+        earliest = Window.partitionBy(*keys).orderBy(F.col(ts_col).asc_nulls_last(), F.xxhash64(*hashable(batch)))
+        first = batch.withColumn("_nth", F.row_number().over(earliest)).filter("_nth = 1").drop("_nth")
+        rows = settle(_with_bucket(first, keys, n_buckets), "stream-dedup")
+        index = known_keys(table, keys, n_buckets)
+        news = settle(unknown_rows(index, rows, keys), "stream-news")
+        table.append(news.drop(KEY_BUCKET), batch_id=batch_id)
+        index.append(news.select(*keys, KEY_BUCKET).repartition(KEY_BUCKET), batch_id=batch_id)
 
     return handle

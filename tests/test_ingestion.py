@@ -7,11 +7,13 @@ from pyspark.sql import types as T
 from strata.session import struct
 from strata.sources import bronze
 from strata.sources.messages import (
-    MESSAGE, bad_messages, decode_messages, encode_messages, login, publish, read_options,
+    MESSAGE, bad_messages, decode_messages, encode_messages, login, payload_field, publish, read_options,
 )
 from strata.sources.paged import PagedApi, page_records, paged_source, read_pages, until_last_page
 from strata.sources.versions import VersionedTable
-from strata.streaming.ingest import bronze_handler, dedup_handler, read_files, run_batches
+from strata.streaming.ingest import (
+    KEY_BUCKET, bronze_handler, dedup_handler, known_keys, read_files, run_batches, unknown_rows,
+)
 from tests.test_silver import bag
 
 ID = struct(id=T.LongType())
@@ -199,3 +201,59 @@ def test_unknown_fields_and_repeated_batches(spark, tmp_path):
     rows = spark.range(5)
     assert [bronze.append(rows, path, "s", b, "2024-01-01") for b in ("b1", "b1", "b2")] == [5, 0, 5]
     assert spark.read.parquet(path).count() == 10
+
+
+def test_whole_messages_are_kept_as_variant(spark):
+    rows = topic(spark, '{"id": 1, "deep": {"a": [1, {"b": 2.5}]}, "id2": "x"}', '{"id": 2, "a": 1, "a": 2}', "bad", None)
+    got = decode_messages(rows, ID, "payload", variant=True)
+    assert got.schema["payload"].dataType.simpleString() == "variant"
+    read = got.select(
+        "id", payload_field("payload", "$.deep.a[1].b", "double").alias("b"), payload_field("payload", "$.id2", "int").alias("i")
+    )
+    assert sorted(tuple(r) for r in read.collect()) == [(1, 2.5, None), (2, None, None)]
+    plan = decode_messages(rows, ID, "payload", variant=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") + plan.count("jsontostructs") == 1
+
+
+def test_keys_are_looked_up_in_touched_buckets_only(spark, tmp_path):
+    out = VersionedTable(spark, str(tmp_path / "out"))
+    handle = dedup_handler(out, ["a", "b"], "ts", n_buckets=8)
+    rows = spark.createDataFrame([(i, None if i % 2 else "x", i) for i in range(50)], "a INT, b STRING, ts INT")
+    handle(rows, 0)
+    handle(rows.withColumn("ts", F.col("ts") + 1000).unionByName(rows.selectExpr("a + 40", "b", "ts").toDF("a", "b", "ts")), 1)
+    got = {(r["a"], r["b"]): r["ts"] for r in out.current().collect()}
+    assert len(got) == 90 == out.current().count() and got[(3, None)] == 3 and got[(55, None)] == 15
+    index = known_keys(out, ["a", "b"], 8)
+    few = rows.filter("a = 7").withColumn(KEY_BUCKET, F.lit(5))
+    plan = unknown_rows(index, few, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    pruned = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert KEY_BUCKET in pruned and "5" in pruned
+
+
+def test_crash_between_rows_and_keys_stores_rows_once(spark, tmp_path, monkeypatch):
+    out = VersionedTable(spark, str(tmp_path / "out"))
+    rows = spark.createDataFrame([(i, i) for i in range(20)], "a INT, ts INT")
+    handle = dedup_handler(out, ["a"], "ts")
+    handle(rows.filter("a < 5"), 0)
+    real = VersionedTable.append
+
+    def dies(self, *args, **kwargs):
+        if self.path.endswith("keys"):
+            raise RuntimeError("lost")
+        return real(self, *args, **kwargs)
+
+    monkeypatch.setattr(VersionedTable, "append", dies)
+    with pytest.raises(RuntimeError):
+        handle(rows, 1)
+    monkeypatch.setattr(VersionedTable, "append", real)
+    handle(rows, 1)
+    handle(rows.withColumn("ts", F.lit(99)), 2)
+    assert sorted(tuple(r) for r in out.current().collect()) == [(i, i) for i in range(20)]
+
+
+def test_key_index_of_an_older_table_is_made_on_first_use(spark, tmp_path):
+    out = VersionedTable(spark, str(tmp_path / "out"))
+    rows = spark.createDataFrame([(1, 1), (2, 2)], "a INT, ts INT")
+    out.append(rows)
+    dedup_handler(out, ["a"], "ts")(rows.selectExpr("a + 1 AS a", "ts"), 0)
+    assert sorted(r["a"] for r in out.current().collect()) == [1, 2, 3]
