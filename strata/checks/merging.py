@@ -22,6 +22,7 @@ from strata.operators.metrics import transform_metrics
 from strata.operators.scd2 import scd2_bootstrap, scd2_changes, scd2_merge, scd2_metrics
 from strata.operators.schema_sync import sync_append
 from strata.plans import models
+from strata.session import settle
 
 FIRST_LOAD = "2024-01-01 12:00:00"
 HASHED = ["email", "tier", "region"]
@@ -71,9 +72,9 @@ def promotion_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = bronze_orders(spark, sf_dir)
-    target = models.fct_orders(round_of(bronze, 0), FIRST_LOAD)
-    gone = models.fct_orders(bronze, AS_OF, loaded=target, invalid=True)
-    return upsert(target, models.fct_orders(bronze, AS_OF, loaded=target), ["order_id"], deleted=gone)
+    target = settle(models.fct_orders(round_of(bronze, 0), FIRST_LOAD), "facts")
+    changed, gone = models.order_changes(bronze, target, AS_OF)
+    return upsert(target, changed, ["order_id"], deleted=gone, stored=True)
 
 
 def merged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

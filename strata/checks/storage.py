@@ -106,6 +106,57 @@ def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("daily")
 
 
+def _late_views(spark: SparkSession, sf_dir: str, arrivals: int) -> DataFrame:
+    """Orders as they arrive: those of even keys at once up to 1997; later days,
+    late orders of the last days and orders without a date with the second arrival."""
+    orders = table(spark, sf_dir, "orders").withColumn(
+        "day", F.when(F.col("o_orderkey") % 50 != 3, F.to_date("o_orderdate"))
+    )
+    split = F.lit("1997-12-31").cast("date")
+    late = (F.col("o_orderkey") % 4 == 1) & (F.col("day") > F.date_sub(split, 20))
+    second = (F.col("day") > split) | late | (F.col("day").isNull() & (F.col("o_orderkey") % 100 == 3))
+    seen = orders if arrivals > 1 else orders.filter(~F.coalesce(second, F.lit(False)))
+    register_views(spark, {"arrived_orders": seen})
+    return seen
+
+
+LATE_SQL = "SELECT day, count(*) AS orders, max(o_totalprice) AS dearest FROM arrived_orders GROUP BY day"
+
+
+def gold_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three incremental builds with a lookback equal a full build, late days and undated rows included."""
+    store = GoldStore(spark, scratch_dir(spark, "gold"))
+    for arrivals in (1, 2, 2):
+        _late_views(spark, sf_dir, arrivals)
+        store.build_incremental("by_day", LATE_SQL, "day", lookback="30 days")
+    return store.read("by_day")
+
+
+def gold_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mark of a second build comes from the commit of the first; both marks are shown."""
+    _silver_views(spark, sf_dir)
+    store = GoldStore(spark, scratch_dir(spark, "gold"))
+    early = f"SELECT * FROM ({DAILY_SQL}) WHERE order_date <= DATE '1997-12-31'"
+    store.build_incremental("daily", early, "order_date", cluster_by=["region"])
+    store.build_incremental("daily", DAILY_SQL, "order_date", cluster_by=["region"])
+    marks = store.table("daily", store.read("daily")).commits().select("version", F.col("marks")["order_date"].alias("mark"))
+    return store.read("daily").withColumns(
+        {f"mark_{v}": marks.filter(F.col("version") == v).select("mark").scalar() for v in (0, 1)}
+    )
+
+
+def bronze_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches sent again are looked up in the ledger; the counts are those of the second round."""
+    path = scratch_dir(spark, "bronze")
+    orders = table(spark, sf_dir, "orders")
+    parts = [(f"b{i}", orders.filter(F.col("o_orderkey") % 3 == i), DAYS[i]) for i in range(3)]
+    for batch, rows, day in parts[:2]:
+        bronze.append(rows, path, "orders_api", batch, day)
+    written = [bronze.append(rows, path, "orders_api", batch, day) for batch, rows, day in parts]
+    again = F.element_at(F.lit(written), (F.col("o_orderkey") % 3 + 1).cast("int")).cast("bigint")
+    return bronze.read(spark, path).withColumn("written_again", again)
+
+
 def gold_ltv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lifetime-value model stored clustered by tier and region."""
     store = GoldStore(spark, scratch_dir(spark, "gold"))
@@ -280,6 +331,9 @@ QUERIES = {
     "silver_snapshot": silver_snapshot,
     "gold_build": gold_build,
     "gold_incremental": gold_incremental,
+    "gold_lookback": gold_lookback,
+    "gold_marks": gold_marks,
+    "bronze_replay": bronze_replay,
     "gold_ltv_clustered": gold_ltv,
     "mv_refresh": mv_refresh,
     "external_table": external_table,
@@ -345,6 +399,22 @@ ORACLES = {
     ),
     "gold_build": with_inputs(_MODELS, _DAILY),
     "gold_incremental": with_inputs(_MODELS, _DAILY),
+    "gold_lookback": """
+      SELECT day, count(*) AS orders, max(o_totalprice) AS dearest
+      FROM (SELECT *, CASE WHEN o_orderkey % 50 <> 3 THEN CAST(o_orderdate AS DATE) END AS day FROM orders)
+      GROUP BY day""",
+    "gold_marks": with_inputs(
+        _MODELS,
+        f"""
+        SELECT *, CAST((SELECT max(order_date) FROM ({_DAILY}) WHERE order_date <= DATE '1997-12-31') AS VARCHAR) AS mark_0,
+               CAST((SELECT max(order_date) FROM ({_DAILY})) AS VARCHAR) AS mark_1
+        FROM ({_DAILY})""",
+    ),
+    "bronze_replay": """
+      SELECT o.*, TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(b AS INTEGER)) AS _ingestion_ts,
+             'orders_api' AS _source, 'b' || b AS _batch_id, DATE '2024-01-01' + CAST(b AS INTEGER) AS _ingestion_date,
+             CASE WHEN b = 2 THEN n ELSE 0 END AS written_again
+      FROM orders o JOIN (SELECT o_orderkey % 3 AS b, count(*) AS n FROM orders GROUP BY 1) ON o_orderkey % 3 = b""",
     "gold_ltv_clustered": with_inputs(_MODELS, _LTV),
     "mv_refresh": with_inputs(
         "bronze_customers",

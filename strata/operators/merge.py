@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.session import settle
+
 
 def checked_keys(source: DataFrame, keys: Sequence[str], nulls: bool = False) -> DataFrame:
     """``source``, refused if a key stands in two rows or, unless ``nulls``, is null.
@@ -35,6 +37,7 @@ def upsert(
     keys: Sequence[str],
     update_cols: Sequence[str] | None = None,
     deleted: DataFrame | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """New content of ``target`` after merging ``source``, one row per key there.
 
@@ -45,11 +48,15 @@ def upsert(
     keys is refused.  ``deleted`` holds keys whose rows
     leave the target, such as facts that have become invalid.
 
+    The source is used by the check and by both branches, so it is computed
+    once and stored, unless the caller says that it is ``stored`` already.
+
     In both forms the target is the streamed side and the source the built
     one, so Spark broadcasts a small source by its size and the target is not
     shuffled; a large source gives a sort-merge join.
     """
-    source = checked_keys(source.select(*target.columns), keys, nulls=True)
+    source = source.select(*target.columns)
+    source = checked_keys(source if stored else settle(source, "merge-source"), keys, nulls=True)
     if deleted is not None:
         target = target.join(deleted.select(*keys).distinct(), [*keys], "left_anti")
     if update_cols is None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -22,12 +23,18 @@ def transform_metrics(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def observed(df: DataFrame, **counts: Column) -> tuple[DataFrame, Callable[[str], int]]:
+def observed(df: DataFrame, **counts: Column) -> tuple[DataFrame, Callable[..., Any]]:
     """``df`` that counts while it is written, and the reader for after the write.
 
-    Always counts ``rows``; further named aggregates may be added.
+    Always counts ``rows``; further named aggregates may be added.  Numbers
+    that were not seen are 0, other values null.
     """
     watch = Observation()
     columns = [F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in counts.items()]]
     watched = df.observe(watch, *columns)
-    return watched, lambda name="rows": int(watch.get.get(name) or 0)
+
+    def read(name: str = "rows") -> Any:
+        value = watch.get.get(name)
+        return value if isinstance(value, str) or (value is None and name == "mark") else int(value or 0)
+
+    return watched, read

@@ -12,6 +12,7 @@ from strata.functions.measures import ltv_segment, percent_of
 from strata.functions.stamps import Moment, moment
 from strata.operators.dedupe import dedupe_latest
 from strata.operators.incremental import newer_than
+from strata.session import settle
 
 #: Fixed columns of the models.
 EVENT_COLUMNS = (
@@ -62,12 +63,30 @@ def fct_orders(
     version is invalid has no fact.  Null keys can never pass, so they are
     dropped before the window.
     """
+    latest = _latest_orders(bronze, loaded, lookback)
+    return _invalid_orders(latest) if invalid else _facts(latest, as_of)
+
+
+def order_changes(
+    bronze: DataFrame, loaded: DataFrame, as_of: Moment = None, lookback: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Facts to merge into ``loaded`` and the keys whose facts go, from one deduplication that is stored."""
+    latest = settle(_latest_orders(bronze, loaded, lookback), "order-changes")
+    return _facts(latest, as_of), _invalid_orders(latest)
+
+
+def _latest_orders(bronze: DataFrame, loaded: DataFrame | None, lookback: str | None) -> DataFrame:
     rows = bronze.filter(F.col("order_id").isNotNull())
     if loaded is not None:
         rows = newer_than(rows, "_ingestion_ts", loaded, target_col="_silver_ts", lookback=lookback)
-    latest = dedupe_latest(rows, ["order_id"])
-    if invalid:
-        return latest.filter(~F.coalesce(F.col("amount") >= 0, F.lit(False))).select("order_id")
+    return dedupe_latest(rows, ["order_id"])
+
+
+def _invalid_orders(latest: DataFrame) -> DataFrame:
+    return latest.filter(~F.coalesce(F.col("amount") >= 0, F.lit(False))).select("order_id")
+
+
+def _facts(latest: DataFrame, as_of: Moment) -> DataFrame:
     return latest.filter(F.col("amount") >= 0).select(
         "order_id",
         "customer_id",

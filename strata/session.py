@@ -92,6 +92,12 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def create_file(spark: SparkSession, path: str) -> None:
+    """An empty file, through the Hadoop file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True).close()
+
+
 def struct(**fields: T.DataType) -> T.StructType:
     """A schema from keyword arguments; needs no running session."""
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])

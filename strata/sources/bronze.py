@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
+from dataclasses import dataclass
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,9 +15,10 @@ from pyspark.sql import types as T
 from strata.functions.ingest import with_ingest_metadata
 from strata.functions.stamps import Moment, epoch_micros, from_epoch_seconds, moment
 from strata.operators.metrics import observed
-from strata.session import path_exists
+from strata.session import create_file, delete_path, path_exists
 
 HIDDEN_DAY = "_day"
+LEDGER = "_batches"
 
 
 def append(
@@ -30,14 +35,68 @@ def append(
 
     ``even_files`` lets AQE rebalance the rows to its advisory partition size,
     splitting skewed partitions, so a batch does not leave many small files.
-    A batch id that is stored already is not written again.
+    A batch id that is stored already is not written again: a ledger beside the
+    data has one small file per batch, so a replay looks for one file and reads
+    no data.  A batch that an earlier run began and did not finish is removed
+    first and written whole.
     """
-    if batch_id is not None and path_exists(df.sparkSession, path):
-        stored = df.sparkSession.read.parquet(path)
-        if "_batch_id" in stored.columns and not stored.filter(F.col("_batch_id") == batch_id).isEmpty():
-            return 0
     enriched = with_ingest_metadata(df, source, batch_id, as_of)
-    return _write(enriched, path, partition_cols, sort_cols, even_files)
+    if batch_id is None:
+        return _write(enriched, path, partition_cols, sort_cols, even_files)
+    ledger = BatchLedger(df.sparkSession, path)
+    if ledger.done(batch_id):
+        return 0
+    ledger.begin(batch_id)
+    written = _write(enriched, path, partition_cols, sort_cols, even_files)
+    ledger.finish(batch_id)
+    return written
+
+
+@dataclass(frozen=True)
+class BatchLedger:
+    """Which batches a bronze folder holds, one hidden file each, by a hash of the id."""
+
+    spark: SparkSession
+    path: str
+
+    def done(self, batch_id: str) -> bool:
+        """Whether the batch is stored; data from before there was a ledger is searched."""
+        if path_exists(self.spark, self._file("done", batch_id)):
+            return True
+        if path_exists(self.spark, self._file("begun", batch_id)):
+            return False
+        root = f"{self.path}/{LEDGER}"
+        older = path_exists(self.spark, f"{root}/older") or not path_exists(self.spark, root)
+        return older and path_exists(self.spark, self.path) and bool(self._files_of(batch_id))
+
+    def begin(self, batch_id: str) -> None:
+        """Note the batch; if it was noted before, remove what it left."""
+        if path_exists(self.spark, self._file("begun", batch_id)):
+            for file in self._files_of(batch_id):
+                delete_path(self.spark, file)
+            return
+        if path_exists(self.spark, self.path) and not path_exists(self.spark, f"{self.path}/{LEDGER}"):
+            create_file(self.spark, f"{self.path}/{LEDGER}/older")
+        create_file(self.spark, self._file("begun", batch_id))
+
+    def finish(self, batch_id: str) -> None:
+        create_file(self.spark, self._file("done", batch_id))
+
+    def _file(self, state: str, batch_id: str) -> str:
+        return f"{self.path}/{LEDGER}/{state}-{hashlib.sha256(batch_id.encode()).hexdigest()}"
+
+    def _files_of(self, batch_id: str) -> list[str]:
+        """Data files of one batch; an append leaves no file with rows of two."""
+        try:
+            stored = self.spark.read.parquet(self.path)
+        except AnalysisException as error:
+            if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # nothing was written yet
+                return []
+            raise
+        if "_batch_id" not in stored.columns:
+            return []
+        of_batch = stored.filter(F.col("_batch_id") == batch_id).select("_metadata.file_path").distinct()
+        return [unquote(row[0]) for row in of_batch.collect()]
 
 
 def append_by_day(

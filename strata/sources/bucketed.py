@@ -65,7 +65,7 @@ class BucketedTable(VersionedTable):
             deleted = settle(deleted.select(*self.keys), "deleted")
             touched = sorted({*touched, *self._touched(deleted)})
         target = conform(self._buckets_of(last, touched), schema, drop_unknown=True)
-        merged = upsert(target, source, self.keys, update_cols, deleted)
+        merged = upsert(target, source, self.keys, update_cols, deleted, stored=True)
         version = next_version(last)
         rows = self._write(merged, version)()
         return self._commit(

@@ -23,8 +23,10 @@ import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import UTC, datetime
+from decimal import Decimal
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,7 +49,10 @@ COMMITS = struct(
     schema_json=T.StringType(),
     buckets=T.ArrayType(T.IntegerType()),
     n_buckets=T.IntegerType(),
+    marks=T.MapType(T.StringType(), T.StringType()),
 )
+#: Before a column's name: the end of the rows that an incremental build has settled.
+SETTLED = "settled:"
 VERSION_ONLY = struct(version=T.LongType())
 
 
@@ -132,9 +137,13 @@ class VersionedTable:
         batch_id: str | None = None,
         committed_at: Moment = None,
         drop_missing: bool = False,
+        mark_col: str | None = None,
     ) -> Row:
         """Add rows; a batch id that was committed before changes nothing.
 
+        ``mark_col`` keeps the largest value of a column in the commit, taken
+        while the rows are written (:meth:`mark`).
+
         New columns join the schema and are null in old rows.  Columns the
         batch lacks stay, or with ``drop_missing`` leave the current schema;
         older versions keep them either way.
@@ -148,10 +157,11 @@ class VersionedTable:
             raise ValueError(f"{self.path}: a type-2 table takes merges only")
         if last is not None:
             schema = evolved(stored_schema(last), schema, keep_missing=not drop_missing)
-        rows = self._write(df, version)()
+        counts = self._write(df, version, **_watched_mark(mark_col))
         return self._commit(
-            version, version if last is None else last["base"], "append", batch_id, committed_at, schema, rows
-        )
+            version, version if last is None else last["base"], "append", batch_id, committed_at, schema, counts(),
+            marks=_marks(last, counts, mark_col, _kind(df, mark_col)),
+        )
 
     def overwrite(
         self,
@@ -160,14 +170,47 @@ class VersionedTable:
         batch_id: str | None = None,
         committed_at: Moment = None,
         rows_removed: int | None = None,
+        mark_col: str | None = None,
     ) -> Row:
         """Replace the whole content and its schema."""
         last, done = self._state(batch_id)
         if done is not None:
             return done
         version = next_version(last)
-        rows = self._write(df, version)()
-        return self._commit(version, version, operation, batch_id, committed_at, df.schema, rows, rows_removed)
+        counts = self._write(df, version, **_watched_mark(mark_col))
+        return self._commit(
+            version, version, operation, batch_id, committed_at, df.schema, counts(), rows_removed,
+            marks=_marks(None, counts, mark_col, _kind(df, mark_col)),
+        )
+
+    def replace_open(
+        self, rows: DataFrame, mark_col: str, settled_to: str | None, batch_id: str | None = None,
+        committed_at: Moment = None,
+    ) -> Row:
+        """Append the settled rows of an incremental build and replace its open ones.
+
+        ``rows`` has ``_is_current`` (the table's partition column), true for
+        open rows.  Settled rows written before are neither read nor written.
+        The commit keeps the mark of ``mark_col`` and the end of what is settled.
+        """
+        last, done = self._state(batch_id)
+        if done is not None:
+            return done
+        version = next_version(last)
+        counts = self._write(rows, version, **_watched_mark(mark_col))
+        return self._commit(
+            version, version if last is None else last["base"], "append", batch_id, committed_at, rows.schema, counts(),
+            current_base=version,
+            marks={
+                **(_marks(last, counts, mark_col, _kind(rows, mark_col)) or {}),
+                **({} if settled_to is None else {f"{SETTLED}{mark_col}": settled_to}),
+            },
+        )
+
+    def mark(self, col: str) -> str | None:
+        """The largest value of ``col`` that writes with ``mark_col`` have kept, as text."""
+        last = self.latest()
+        return None if last is None else (last["marks"] or {}).get(col)
 
     def apply_scd2(
         self,
@@ -290,6 +333,7 @@ class VersionedTable:
         rows_removed: int | None = None,
         current_base: int | None = None,
         buckets: Sequence[int] | None = None,
+        marks: dict[str, str] | None = None,
     ) -> Row:
         batch = batch_id or str(uuid.uuid4())
         digest = hashlib.sha256(f"{batch}/{version}".encode()).digest()
@@ -306,6 +350,7 @@ class VersionedTable:
             "schema_json": schema.json(),
             "buckets": None if buckets is None else list(buckets),
             "n_buckets": self._bucket_count(),
+            "marks": marks,
         }
         row = Row(**values)
         logged = self.spark.createDataFrame([tuple(row)], COMMITS)
@@ -321,6 +366,28 @@ class VersionedTable:
         return datetime.fromisoformat(str(at))
 
 
+def _kind(df: DataFrame, col: str | None) -> T.DataType | None:
+    return None if col is None else df.schema[col].dataType
+
+
+def _watched_mark(col: str | None) -> dict[str, Column]:
+    return {} if col is None else {"mark": F.max(col).cast("string")}
+
+
+def _marks(last: Row | None, counts: Callable[..., Any], col: str | None, kind: T.DataType | None) -> dict[str, str] | None:
+    """Marks of a commit: those of the last one, the column's own not below it.
+
+    Numbers are compared as numbers, other values as text, the order of which
+    is that of dates and stamps.
+    """
+    marks = dict((last["marks"] or {}) if last is not None else {})
+    found = None if col is None else counts("mark")
+    if found is not None:
+        order = Decimal if isinstance(kind, T.NumericType) else str
+        marks[col] = max(found, marks.get(col, found), key=order)
+    return marks or None
+
+
 def latest_commit(commits: DataFrame) -> DataFrame:
     """Newest entry of a commit history."""
     return commits.orderBy(F.col("version").desc()).limit(1)
@@ -341,11 +408,12 @@ def keep_younger_than(commits: DataFrame, retain_hours: int, now: Moment = None)
 def live_versions(commits: DataFrame, keep: DataFrame) -> DataFrame:
     """Versions whose folder some kept commit reads, among all ever committed.
 
-    The commit table holds one row per write, so expanding the ranges of the
-    kept commits is cheap and needs no range join.
+    A version is read if a kept commit at or after it begins at or before it:
+    one pass over the commits, newest first, with the smallest ``base`` so far.
     """
-    spans = keep.select(F.explode(F.sequence("base", "version")).alias("version"))
-    return commits.select("version").join(spans, "version", "left_semi")
+    starts = commits.select("version").join(keep.select("version", "base"), "version", "left")
+    later = Window.orderBy(F.col("version").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    return starts.withColumn("first", F.min("base").over(later)).filter("first <= version").select("version")
 
 
 def stored_schema(commit: Row) -> T.StructType:

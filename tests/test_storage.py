@@ -11,11 +11,11 @@ from strata.operators import layout
 from strata.operators.scd2 import scd2_bootstrap, scd2_changes
 from strata.plans.gold import GoldStore
 from strata.plans.lakehouse import Lakehouse
-from strata.session import scratch_dir, settle
+from strata.session import delete_path, scratch_dir, settle
 from strata.sources import bronze
 from strata.sources.bucketed import BucketedTable
 from strata.sources.tables import capped_query, page_of, register_external, register_views, source_table
-from strata.sources.versions import VersionedTable
+from strata.sources.versions import VersionedTable, live_versions
 from strata.tables import Layer, Registry, TableSpec, database_name, layer_path
 from tests.test_silver import bag
 
@@ -323,3 +323,84 @@ def test_scratch_lives_under_the_shared_folder(spark):
     if base:
         assert one.startswith(base)
     assert settle(rows(spark, 1)).count() == 1
+
+
+def test_marks_are_kept_with_the_write(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    rows = spark.createDataFrame([(9, "2024-01-01"), (10, None), (None, "2023-01-01")], "n LONG, d STRING")
+    assert table.mark("n") is None
+    table.append(rows, mark_col="n")
+    table.append(rows.filter("n = 9"), mark_col="n")
+    assert table.mark("n") == "10"
+    table.append(rows.filter("n IS NULL"), mark_col="d")
+    assert (table.mark("n"), table.mark("d")) == ("10", "2023-01-01")
+    table.append(rows.limit(0), mark_col="n")
+    assert table.mark("n") == "10"
+
+
+def test_gold_mark_needs_no_column_scan(spark, tmp_path):
+    store = GoldStore(spark, str(tmp_path / "g"))
+    register_views(spark, {"mark_rows": spark.range(10).selectExpr("id AS n", "id * 2 AS v")})
+    store.build_incremental("t", "SELECT * FROM mark_rows", "n")
+    register_views(spark, {"mark_rows": spark.range(15).selectExpr("id AS n", "id * 3 AS v")})
+    seen = []
+    real = VersionedTable.current
+    try:
+        VersionedTable.current = lambda self: seen.append(self.path) or real(self)
+        assert store.build_incremental("t", "SELECT * FROM mark_rows", "n") == 5
+    finally:
+        VersionedTable.current = real
+    assert seen == []
+    assert bag(store.read("t").select("n")) == bag(spark.range(15))
+
+
+def test_gold_lookback_settles_and_takes_late_rows(spark, tmp_path):
+    store = GoldStore(spark, str(tmp_path / "g"))
+    rows = []
+
+    def run(*more):
+        rows.extend(more)
+        register_views(spark, {"open_rows": spark.createDataFrame(rows, "n INT, d DATE")})
+        store.build_incremental("t", "SELECT * FROM open_rows", "d", lookback="5 days")
+        return sorted(r["n"] for r in store.read("t").collect())
+
+    day = [dt.date(2024, 1, i) for i in range(1, 31)]
+    assert run((1, day[0]), (2, day[9]), (3, None)) == [1, 2, 3]
+    assert run((4, day[6]), (5, day[19]), (6, None)) == [1, 2, 3, 4, 5, 6]
+    assert run((7, day[17]), (8, day[0])) == [1, 2, 3, 4, 5, 6, 7]  # the first day is settled
+    assert store.read("t").columns == ["n", "d"]
+    files = VersionedTable(spark, f"{tmp_path}/g/t")
+    assert files.as_of_version(0).count() == 3 and files.as_of_version(1).count() == 6
+    with pytest.raises(ValueError):
+        store.build_incremental("t", "SELECT * FROM open_rows", "d")
+
+
+def test_unfinished_batches_are_removed_and_written_whole(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "b")
+    rows = spark.range(10)
+    assert bronze.append(rows, path, "s", "old", "2024-01-01") == 10
+    delete_path(spark, f"{path}/{bronze.LEDGER}")  # as a folder from before the ledger
+    assert bronze.append(rows, path, "s", "b1", "2024-01-01") == 10
+    assert bronze.append(rows, path, "s", "old", "2024-01-01") == 0
+    real = bronze.BatchLedger.finish
+
+    def dies(self, batch_id):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(bronze.BatchLedger, "finish", dies)
+    with pytest.raises(RuntimeError):
+        bronze.append(rows, path, "s", "b 2/ü", "2024-01-02")
+    monkeypatch.setattr(bronze.BatchLedger, "finish", real)
+    assert bronze.append(rows, path, "s", "b 2/ü", "2024-01-02") == 10
+    assert bronze.append(rows, path, "s", "b 2/ü", "2024-01-02") == 0
+    assert spark.read.parquet(path).count() == 30
+
+
+def test_liveness_of_versions(spark):
+    commits = spark.createDataFrame([(v, b) for v, b in enumerate([0, 0, 0, 3, 3, 5, 5, 5])], "version LONG, base LONG")
+
+    def live(*kept):
+        keep = commits.filter(F.col("version").isin(*kept))
+        return sorted(r["version"] for r in live_versions(commits, keep).collect())
+
+    assert live(7) == [5, 6, 7] and live(4) == [3, 4] and live(1, 5) == [0, 1, 5] and live(2, 7) == [0, 1, 2, 5, 6, 7]
