@@ -222,29 +222,68 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
         reach *= 2
 
 
+def _packed(codes: np.ndarray, per: int, bits: int) -> np.ndarray:
+    """Each position's next ``per`` characters in one number."""
+    key = np.zeros(len(codes) - per + 1, np.int64)
+    for i in range(per):
+        key = (key << bits) | codes[i : len(codes) - per + 1 + i]
+    return key
+
+
+def _wanted_keys(spelled: np.ndarray, per: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Packed characters of the pieces, group by group; behind a piece's end the lowest and the highest."""
+    n, longest = spelled.shape
+    groups = -(-longest // per)
+    padded = np.full((n, groups * per), -1, np.int64)
+    padded[:, :longest] = spelled
+    low, high = np.zeros((groups, n), np.int64), np.zeros((groups, n), np.int64)
+    for g in range(groups):
+        for i in range(per):
+            column = padded[:, g * per + i]
+            low[g] = (low[g] << bits) | np.maximum(column, 0)
+            high[g] = (high[g] << bits) | np.where(column < 0, (1 << bits) - 1, column)
+    return low, high
+
+
+def _search(key: np.ndarray, order: np.ndarray, shift: int, lo: np.ndarray, hi: np.ndarray, wanted: np.ndarray,
+            upper: bool) -> np.ndarray:
+    """Binary search of each wanted key in its own range of suffixes, by the characters ``shift`` behind."""
+    lo, hi = lo.copy(), hi.copy()
+    live = np.flatnonzero(lo < hi)
+    while len(live):
+        middle = (lo[live] + hi[live]) // 2
+        seen = key[order[middle] + shift]
+        right = seen <= wanted[live] if upper else seen < wanted[live]
+        lo[live[right]] = middle[right] + 1
+        hi[live[~right]] = middle[~right]
+        live = live[lo[live] < hi[live]]
+    return lo
+
+
 def occurrences(model: Model, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each piece occurs: starts and piece ids of all edges."""
+    """Where each piece occurs: starts and piece ids of all edges.
+
+    All pieces are searched by their first characters; those that go on are
+    searched on by the next ones, within what is left of their ranges.
+    """
     longest = model.spelled.shape[1]
     order = suffix_order(text, longest)
-    padded = np.concatenate([text, np.zeros(longest, text.dtype)])
-    wanted = model.spelled
-    limits = []
-    for upper in (False, True):
-        lo = np.zeros(len(wanted), np.int64)
-        hi = np.full(len(wanted), len(order), np.int64)
-        while (lo < hi).any():
-            middle = (lo + hi) // 2
-            seen = padded[order[np.minimum(middle, len(order) - 1)][:, None] + np.arange(longest)]
-            differ = (seen != wanted) & (wanted >= 0)
-            first = differ.argmax(1)
-            i = np.arange(len(wanted))
-            less = differ[i, first] & (seen[i, first] < wanted[i, first])
-            right = (less | (~differ[i, first] if upper else False)) & (lo < hi)
-            lo = np.where(right, middle + 1, lo)
-            hi = np.where(right | (lo >= hi), hi, middle)
-        limits.append(lo)
-    first, last = limits
-    count = last - first
+    bits = int(max(text.max(initial=1), model.spelled.max(initial=1))).bit_length()
+    per = max(1, min(4, 62 // bits))
+    key = _packed(np.concatenate([text, np.zeros(longest + per, text.dtype)]).astype(np.int64), per, bits)
+    low, high = _wanted_keys(model.spelled, per, bits)
+    sorted_keys = key[order]
+    first = np.searchsorted(sorted_keys, low[0], "left")
+    last = np.searchsorted(sorted_keys, high[0], "right")
+    length = (model.spelled >= 0).sum(1)
+    for group in range(1, len(low)):
+        on = np.flatnonzero((length > group * per) & (first < last))
+        if not len(on):
+            break
+        begin, end = first[on], last[on]
+        first[on] = _search(key, order, group * per, begin, end, low[group][on], False)
+        last[on] = _search(key, order, group * per, begin, end, high[group][on], True)
+    count = np.maximum(last - first, 0)
     piece = np.repeat(model.searched, count)
     place = np.arange(len(piece)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
     return order[place], piece
@@ -374,13 +413,24 @@ def _stops(texts) -> tuple[np.ndarray, ...]:
     return row, begin, end, kind, hashed, spaces
 
 
-#: Words a worker remembers at most, by model: hashes in order, where their ids begin, how many, all ids.
+#: Words a worker remembers at most, by model: hashes in order, where their ids begin, how many, all ids,
+#: and how often each word was met.
 REMEMBERED = 400_000
-_memory: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
+_memory: dict[str, tuple[np.ndarray, ...]] = {}
 
 
 def _nothing() -> tuple[np.ndarray, ...]:
-    return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+    return (
+        np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64)
+    )
+
+
+def _common_half(keys: np.ndarray, begins: np.ndarray, sizes: np.ndarray, ids: np.ndarray, met: np.ndarray) -> tuple:
+    """What to remember of too many words: the more frequent half, older meetings counted half."""
+    keep = np.sort(np.argpartition(-met, REMEMBERED // 2)[: REMEMBERED // 2])
+    kept = ids[_spread(begins[keep], sizes[keep])]
+    size = sizes[keep]
+    return keys[keep], np.cumsum(size) - size, size, kept, met[keep] // 2
 
 
 def encode_column(model: Model, column: pa.Array) -> pa.Array:
@@ -389,7 +439,7 @@ def encode_column(model: Model, column: pa.Array) -> pa.Array:
     Every distinct word is matched once; a worker remembers those of earlier batches.
     """
     known = pc.replace_substring(pc.fill_null(column.cast(pa.large_string()), ""), SPACE, " ")
-    keys, begins, sizes, ids = _memory.get(model.name, _nothing())
+    keys, begins, sizes, ids, met = _memory.get(model.name, _nothing())
     blocks = []
     new: dict[int, str] = {}
     for texts in parts(known):
@@ -398,10 +448,14 @@ def encode_column(model: Model, column: pa.Array) -> pa.Array:
         # the same letters with and without a space before them are two units
         unit = np.where(spaces > 0, hashed, mix(hashed))
         at = np.flatnonzero(word)
-        at = at[np.argsort(unit[at])]
-        fresh = unit[at]
+        order = np.argsort(unit[at])
+        fresh = unit[at[order]]
         some = np.append(True, fresh[1:] != fresh[:-1])[: len(fresh)]
-        fresh, at = fresh[some], at[some]
+        # which of the distinct units each word is
+        which = np.empty(len(at), np.int32)
+        which[order] = np.cumsum(some, dtype=np.int32) - 1
+        fresh, at = fresh[some], at[order[some]]
+        different = fresh
         if len(keys):
             some = keys[np.minimum(np.searchsorted(keys, fresh), len(keys) - 1)] != fresh
             fresh, at = fresh[some], at[some]
@@ -410,28 +464,31 @@ def encode_column(model: Model, column: pa.Array) -> pa.Array:
         for h, b, e, spaced in spans:
             if h not in new:
                 new[h] = (SPACE if spaced else "") + raw[b:e].decode("utf-8")
-        blocks.append((texts.rows, row.astype(np.int32), kind.astype(np.int8), unit, spaces.astype(np.int32)))
+        blocks.append((texts.rows, row.astype(np.int32), kind.astype(np.int8), different, which, spaces.astype(np.int32)))
+    met = met.copy()
     if new:
         more, starts = _encode_distinct(model, list(new.values()))
         keys = np.concatenate([keys, np.fromiter(new, np.uint64, len(new))])
         order = np.argsort(keys)
         begins = np.concatenate([begins, starts[:-1] + len(ids)])[order]
         sizes = np.concatenate([sizes, np.diff(starts)])[order]
+        met = np.concatenate([met, np.zeros(len(new), np.int64)])[order]
         keys, ids = keys[order], np.concatenate([ids, more])
-    _memory[model.name] = (keys, begins, sizes, ids) if len(keys) <= REMEMBERED else _nothing()
     longest, newline = model.run_length, model.byte_ids[10]
     short = np.array([len(x) for x in model.short_runs])
     short_ids, short_at = np.concatenate(model.short_runs), np.cumsum(short) - short
     lone = ids[np.minimum(begins, max(len(ids) - 1, 0))] == model.space if len(ids) else np.zeros(0, bool)
     out, counts = [], []
-    for rows, row, kind, unit, spaces in blocks:
+    for rows, row, kind, different, which, spaces in blocks:
         word = kind == 0
         marked = word & (spaces > 0)
         first, size = np.zeros(len(row), np.int64), (kind == 1).astype(np.int64)
         # a space that no merge joins to its word belongs to the spaces before it
         split = np.zeros(len(row), bool)
         if word.any():
-            number = np.searchsorted(keys, unit[word])
+            number = np.searchsorted(keys, different)
+            met[number] += np.bincount(which, minlength=len(different))
+            number = number[which]
             split[word] = lone[number]
             split &= marked
             first[word] = begins[number] + split[word]
@@ -449,6 +506,8 @@ def encode_column(model: Model, column: pa.Array) -> pa.Array:
         tokens[_spread((place + run_ids)[word], size[word])] = ids[_spread(first[word], size[word])]
         out.append(tokens)
         counts.append(np.bincount(row, total, rows).astype(np.int64))
+    remembered = (keys, begins, sizes, ids, met)
+    _memory[model.name] = remembered if len(keys) <= REMEMBERED else _common_half(*remembered)
     offsets = np.concatenate([[0], np.cumsum(np.concatenate(counts))]) if counts else np.zeros(1)
     values = np.concatenate(out) if out else np.zeros(0, np.int32)
     mask = column.is_null() if column.null_count else None
