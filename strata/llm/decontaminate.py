@@ -20,7 +20,7 @@ share of the item it is.
 
 Otherwise an item is in a text when consistent windows cover ``SHARE`` of it, or of its
 windows with enough plain words, and at least ``LEAST`` windows (all, if it has
-fewer).  Null and empty texts match nothing;
+fewer).  White space of any kind and length counts as one space.  Null and empty texts match nothing;
 items without words are ignored; long texts are read whole; repeated rows give
 one pair per (text id, item id); rows with a null id are ignored; empty tables
 give an empty table.
@@ -28,6 +28,8 @@ give an empty table.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -108,11 +110,16 @@ def _own(text: Column) -> Column:
     return F.lower(F.when(text.rlike(f"[{_CAPITAL}]{{2}}"), marked).otherwise(text))
 
 
+def _one_spaced(text: Column) -> Column:
+    """White space of any kind and length as one space."""
+    return F.when(text.rlike(r"[\x09-\x0D]|\x20\x20"), F.regexp_replace(text, _SPACE, " ")).otherwise(text)
+
+
 def _prepared(rows: DataFrame, id_col: str, text_col: str, name: str) -> DataFrame:
     """Id and template words of each text with words; its own words where there are placeholders."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     frame = rows.where(F.col(id_col).isNotNull() & text.rlike(r"[^\x20\x09-\x0D]")).select(
-        F.col(id_col).alias(name), text.alias("_text")
+        F.col(id_col).alias(name), _one_spaced(text).alias("_text")
     )
     marked = F.col("_low").contains("<num>") | F.col("_low").contains("<name>")
     own = F.when(marked, _words(_own(_bare(F.col("_text")))))
@@ -123,11 +130,54 @@ def _prepared(rows: DataFrame, id_col: str, text_col: str, name: str) -> DataFra
     )
 
 
-def _with_windows(frame: DataFrame, length: int, words: str = "words", name: str = "_windows") -> DataFrame:
+Test = Callable[[Column], Column]
+#: Bits of the table per hash, and the bits that a hash sets.
+_BITS, _PROBES = 64, 3
+
+
+def _table_of(hashes: list[int]) -> Test:
+    """A test that is true for these hashes and for one in ten thousand others.
+
+    The table is a literal in the plan: 8 bytes for each hash.
+    """
+    m = max((_BITS * len(hashes)).bit_length(), 12)
+    words = [0] * (1 << (m - 6))
+
+    def places(h: int) -> list[int]:
+        return [(h >> (21 * i)) & ((1 << min(m, 21)) - 1) for i in range(_PROBES)]
+
+    for h in hashes:
+        for at in places(h & ((1 << 64) - 1)):
+            words[at >> 6] |= 1 << (at & 63)
+    signed = [w - (1 << 64) if w >> 63 else w for w in words]
+    table = F.from_json(F.lit(str(signed)), "array<bigint>")
+
+    def test(h: Column) -> Column:
+        hits = []
+        for i in range(_PROBES):
+            at = F.shiftrightunsigned(h, 21 * i).bitwiseAND(F.lit((1 << min(m, 21)) - 1))
+            hits.append(F.getbit(F.get(table, F.shiftright(at, 6).cast("int")), at.bitwiseAND(F.lit(63)).cast("int")) == 1)
+        return reduce(lambda x, y: x & y, hits)
+
+    return test
+
+
+@dataclass
+class Seen:
+    """Tests for the hashes of items' windows and of their first halves."""
+
+    window: Test
+    half: Test | None
+
+
+def _with_windows(
+    frame: DataFrame, length: int, words: str = "words", name: str = "_windows", seen: Seen | None = None
+) -> DataFrame:
     """Adds ``_windows``, a hash for each window of ``length`` words (null without words).
 
     Hashes of 1, 2, 4, ... words are put together by halves, each a column of
-    its own, so a window costs few steps whatever its length.
+    its own, so a window costs few steps whatever its length.  With ``seen`` a
+    text in which no item's window begins has no windows.
     """
     frame = frame.withColumn("_h1", F.transform(words, lambda w: F.xxhash64(w)))
     have = 1
@@ -136,8 +186,18 @@ def _with_windows(frame: DataFrame, length: int, words: str = "words", name: str
         later = F.slice(second, by + 1, F.greatest(F.size(second), F.lit(1)))
         return F.zip_with(first, later, lambda a, b: F.xxhash64(a, b))
 
+    def halved(column: str, longer: Column) -> Column:
+        if seen is None or seen.half is None:
+            return longer
+        none = F.slice(F.array(F.lit(0).cast("bigint")), 1, 0)
+        return F.when(F.col(words).isNotNull(), F.when(F.exists(column, seen.half), longer).otherwise(none))
+
     while 2 * have <= length:
-        frame = frame.withColumn(f"_h{2 * have}", joined(F.col(f"_h{have}"), F.col(f"_h{have}"), have))
+        longer = joined(F.col(f"_h{have}"), F.col(f"_h{have}"), have)
+        if 2 * have == length:
+            frame = frame.withColumn(f"{name}_half", F.col(f"_h{have}"))
+            longer = halved(f"_h{have}", longer)
+        frame = frame.withColumn(f"_h{2 * have}", longer)
         have *= 2
     windows, reached, part = F.col(f"_h{have}"), have, have // 2
     while part:
@@ -148,36 +208,51 @@ def _with_windows(frame: DataFrame, length: int, words: str = "words", name: str
     return frame.withColumn(name, F.slice(windows, 1, F.greatest(F.size(words) - (length - 1), F.lit(0))))
 
 
-def _window_rows(prepared: DataFrame, name: str, length: int) -> DataFrame:
+def _window_rows(prepared: DataFrame, name: str, length: int, seen: Seen | None = None) -> DataFrame:
     """One row per window: place, hash, and the words that stand there if some are replaced.
 
     Windows with placeholders have a second row, ``own``, with the hash of their own words.
+    With ``seen`` only windows that may be an item's are given.
     The outer explode infers no filter on the windows, which would be pushed
     down and compute them again.
     """
-    placed = F.transform(
-        "_windows",
-        lambda h, i: F.struct(
-            h.alias("hash"), i.alias("at"), F.slice("own", i + 1, F.lit(length)).alias("own"), F.lit(False).alias("plainly")
-        ),
-    )
+    halves = length > 1 and length & (length - 1) == 0
+
+    def at_places(windows: str) -> Column:
+        half = (lambda i: F.get(f"{windows}_half", i)) if halves and seen is None else lambda i: F.lit(None).cast("bigint")
+        rows = F.transform(windows, lambda h, i: F.struct(h.alias("hash"), i.alias("at"), half(i).alias("half")))
+        return rows if seen is None else F.filter(rows, lambda w: seen.window(w["hash"]))
+
+    def row(w: Column, own: Column, plainly: bool) -> Column:
+        return F.struct(w["hash"], w["at"], w["half"], own.alias("own"), F.lit(plainly).alias("plainly"))
+
+    placed = F.transform(at_places("_windows"), lambda w: row(w, F.slice("own", w["at"] + 1, F.lit(length)), False))
     no_words = F.lit(None).cast("array<string>")
-    plainly = F.filter(
-        F.transform(
-            "_own_windows",
-            lambda h, i: F.struct(h.alias("hash"), i.alias("at"), no_words.alias("own"), F.lit(True).alias("plainly")),
-        ),
-        lambda w: w["hash"] != F.get("_windows", w["at"]),
-    )
-    rows = _with_windows(_with_windows(prepared, length), length, "own", "_own_windows").withColumn(
-        "_rows", F.when(F.col("own").isNull(), placed).otherwise(F.concat(placed, plainly))
+    plainly = F.transform(
+        F.filter(at_places("_own_windows"), lambda w: ~w["hash"].eqNullSafe(F.get("_windows", w["at"]))),
+        lambda w: row(w, no_words, True),
     )
+    rows = _with_windows(_with_windows(prepared, length, seen=seen), length, "own", "_own_windows", seen)
+    rows = rows.withColumn("_rows", F.when(F.col("own").isNull(), placed).otherwise(F.concat(placed, plainly)))
     return rows.select(name, F.explode_outer("_rows").alias("w")).select(
-        name, F.col("w.at").alias(f"{name}_at"), "w.hash", F.col("w.own").alias(f"{name}_own"),
-        F.col("w.plainly").alias(f"{name}_plainly"), F.lit(length).alias("length"),
+        name, F.col("w.at").alias(f"{name}_at"), "w.hash", F.col("w.half").alias(f"{name}_half"),
+        F.col("w.own").alias(f"{name}_own"), F.col("w.plainly").alias(f"{name}_plainly"), F.lit(length).alias("length"),
     )
 
 
+def _seen(of_items: DataFrame) -> dict[int, Seen]:
+    """Tables of the hashes of items' windows, by their length; at most BROADCAST_WINDOWS."""
+    found: dict[int, tuple[set, set]] = {}
+    for length, window, half in of_items.select("length", "hash", "item_half").distinct().collect():
+        windows, halves = found.setdefault(length, (set(), set()))
+        windows.add(window)
+        halves.add(half)
+    return {
+        n: Seen(_table_of(sorted(windows)), None if None in halves else _table_of(sorted(halves)))
+        for n, (windows, halves) in found.items()
+    }
+
+
 def contaminated_pairs(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     item_id_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
@@ -208,10 +283,12 @@ def contaminated_pairs(
         F.countDistinct("item_at").alias("n_windows"), F.countDistinct(rich_at).alias("n_rich")
     )
     small = of_items.count() <= BROADCAST_WINDOWS
+    seen = _seen(of_items) if small else {}
+    of_items = of_items.drop("item_half")
     side = F.broadcast(of_items) if small else of_items
     texts = _prepared(docs, id_col, text_col, "doc")
     met = (
-        reduce(DataFrame.unionAll, [_window_rows(texts, "doc", n) for n in lengths])
+        reduce(DataFrame.unionAll, [_window_rows(texts, "doc", n, seen.get(n)) for n in lengths])
         .join(side, ["hash", "length"])
         .withColumn("shift", F.col("doc_at") - F.col("item_at"))
     )
