@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import pyarrow.dataset as ds
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +15,7 @@ from strata.session import scratch_dir, settle, struct
 from strata.sources.messages import bad_messages, decode_messages, encode_messages, payload_field
 from strata.sources.paged import PagedApi, page_records, read_pages, until_last_page
 from strata.sources.versions import VersionedTable
-from strata.streaming.ingest import bronze_handler, dedup_handler, read_files, run_batches
+from strata.streaming.ingest import bronze_handler, dedup_handler, read_files, run_batches, run_some_batches
 
 ORDER = struct(o_orderkey=T.LongType(), o_custkey=T.LongType(), o_totalprice=T.DoubleType())
 EVENT = struct(
@@ -27,34 +29,71 @@ EVENT = struct(
 POSITION = ["_kafka_topic", "_kafka_partition", "_kafka_offset"]
 
 
-class TableApi:
-    """A paged API served from a stored table with a dense key: page ``p`` holds
-    the keys of its slice, found through the file's row-group statistics."""
+class LandedPages:
+    """The service behind a paged source: one file per page, opened when the page is asked for."""
 
-    def __init__(self, path: str, key: str, columns: list[str]) -> None:
-        self.path, self.key, self.columns = path, key, columns
+    def __init__(self, folder: str) -> None:
+        self.folder = folder
 
     def __call__(self, params: dict) -> dict:
-        size, page = params["limit"], params["page"]
-        first = (page - 1) * size
-        key = ds.field(self.key)
-        wanted = (key >= first) & (key < first + size)
-        records = ds.dataset(self.path).to_table(columns=self.columns, filter=wanted).to_pylist()
-        return {"results": records}
+        store, root = fs.FileSystem.from_uri(self.folder)
+        place = fs.FileSelector(f"{root}/page={params['page']}", allow_not_found=True)
+        bodies = [f.path for f in store.get_file_info(place) if f.extension == "txt"]
+        if not bodies:
+            return {"results": []}
+        with store.open_input_stream(bodies[0]) as body:
+            return json.loads(body.read())
+
+
+def land_pages(rows: DataFrame, key: str, page_size: int) -> str:
+    """Write rows as numbered pages of JSON records, in the order of the key; returns the folder.
+
+    Rows are numbered within ranges of the key and the ranges by the rows
+    before them, so gaps in the keys leave none in the pages, and no task holds
+    more than its range.
+    """
+    spark = rows.sparkSession
+    ranged = settle(
+        rows.repartitionByRange(F.col(key)).withColumn("_range", F.spark_partition_id()), "ranged", ["_range"]
+    )
+    before = F.sum("n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    starts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.coalesce(before, F.lit(0)))
+    number = F.row_number().over(Window.partitionBy("_range").orderBy(key)) - 1 + F.col("before")
+    record = F.struct(*[F.col(c) for c in rows.columns])
+    pages = (
+        ranged.join(starts, "_range")
+        .select(F.floor(number / page_size).alias("_before"), key, record.alias("record"))
+        .groupBy((F.col("_before") + 1).alias("page"))
+        .agg(F.sort_array(F.collect_list("record")).alias("results"))
+    )
+    folder = scratch_dir(spark, "pages")
+    body = F.to_json(F.struct("results"))
+    pages.repartition("page").select("page", body.alias("value")).write.partitionBy("page").text(folder)
+    return folder
 
 
-def _order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page of the orders, landed once."""
-    api = PagedApi(TableApi(f"{sf_dir}/orders.parquet", "o_orderkey", ORDER.fieldNames()))
+def _order_pages(spark: SparkSession, orders: DataFrame) -> DataFrame:
+    """Every page of the orders, fetched from the files of a service and landed once."""
+    api = PagedApi(LandedPages(land_pages(orders, "o_orderkey", 500)), page_size=500)
     return until_last_page(settle(read_pages(spark, api, "order_pages"), "pages"), api.page_size)
 
 
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(*ORDER.fieldNames())
+
+
 def paged_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return page_records(_order_pages(spark, sf_dir), ORDER)
+    return page_records(_order_pages(spark, _orders(spark, sf_dir)), ORDER)
+
+
+def paged_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys with wide gaps: the pages have none, so no order is missed."""
+    sparse = _orders(spark, sf_dir).withColumn("o_orderkey", F.col("o_orderkey") * 1000 + F.col("o_custkey") % 7)
+    return page_records(_order_pages(spark, sparse), ORDER)
 
 
 def page_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _order_pages(spark, sf_dir).select("page", "n_records")
+    return _order_pages(spark, _orders(spark, sf_dir)).select("page", "n_records")
 
 
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,6 +186,47 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ingested(spark, sf_dir, deliveries=2)[0].current().select("event_id", *POSITION)
 
 
+def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches of a topic in four files; a second run goes on with what is left.
+
+    Shows which run stored each message.
+    """
+    landing, offsets = scratch_dir(spark, "some-topic"), scratch_dir(spark, "some-offsets")
+    messages(spark, sf_dir).repartitionById(4, F.col("partition")).write.parquet(landing)
+    stored = VersionedTable(spark, scratch_dir(spark, "some-batches"))
+    runs = []
+    for run in (0, 1):
+        handle = bronze_handler(EVENT, stored, source=f"run {run}", stream_id="some", as_of=AS_OF, payload_col=None)
+        runs.append(run_some_batches(read_files(spark, landing, files_per_batch=1), handle, offsets, most=3))
+    per_run = stored.current().groupBy(F.col("_source").alias("run")).agg(F.count_distinct("_kafka_partition").alias("files"))
+    total = stored.current().agg(F.count(F.lit(1)).alias("messages"), F.count_distinct("event_id").alias("events"))
+    counted = F.element_at(F.lit(runs), (F.substring("run", 5, 1).cast("int") + 1)).cast("bigint").alias("batches")
+    return per_run.select("run", "files", counted, *[total.select(c).scalar().alias(c) for c in total.columns])
+
+
+def stream_idle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query that runs on takes what lands later, a partial batch at each interval."""
+    landing, offsets = scratch_dir(spark, "idle-in"), scratch_dir(spark, "idle-offsets")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    stored = VersionedTable(spark, scratch_dir(spark, "idle-out"))
+    parts = [events.filter(F.col("event_id") % 2 == part) for part in (0, 1)]
+    parts[0].write.parquet(landing)
+    query = run_batches(
+        read_files(spark, landing, events.schema),
+        lambda batch, number: stored.append(batch, batch_id=f"idle-{number}"),
+        offsets,
+        idle_seconds=0.2,
+    )
+    try:
+        query.processAllAvailable()
+        parts[1].write.mode("append").parquet(landing)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    batches = stored.commits().agg(F.count(F.lit(1)))
+    return stored.current().withColumn("batches", batches.scalar())
+
+
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The later events arrive; then all of them are delivered, so that the
     earlier ones come late for the first time and the rest are copies."""
@@ -195,6 +275,7 @@ def federated_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "paged_source": paged_source,
+    "paged_gaps": paged_gaps,
     "page_counts": page_counts,
     "page_records": envelopes,
     "cursor_params": cursor_params,
@@ -204,6 +285,8 @@ QUERIES = {
     "stream_ingest": stream_ingest,
     "stream_bad_messages": stream_bad,
     "stream_bronze": stream_bronze,
+    "stream_batches": stream_batches,
+    "stream_idle": stream_idle,
     "stream_dedup": stream_dedup,
     "stream_dedup_restamped": stream_dedup_restamped,
     "stream_payload": stream_payload,
@@ -223,6 +306,7 @@ _INGESTED = """, TIMESTAMP '2024-02-01 00:00:00' AS _ingestion_ts, 'kafka' AS _s
 
 ORACLES = {
     "paged_source": _ORDERS,
+    "paged_gaps": "SELECT o_orderkey * 1000 + o_custkey % 7 AS o_orderkey, o_custkey, o_totalprice FROM orders",
     "page_counts": """
       SELECT o_orderkey // 500 + 1 AS page, count(*) AS n_records FROM orders GROUP BY 1
       UNION ALL
@@ -244,6 +328,14 @@ ORACLES = {
         """ SELECT event_id, topic AS _kafka_topic, part AS _kafka_partition, pos AS _kafka_offset
             FROM messages WHERE kind = '{}'""",
     ),
+    "stream_batches": with_inputs(
+        "messages",
+        """
+        SELECT 'run ' || r AS run, CAST(CASE r WHEN 0 THEN 3 ELSE 1 END AS BIGINT) AS files, CAST(CASE r WHEN 0 THEN 3 ELSE 1 END AS BIGINT) AS batches,
+               count(*) FILTER (WHERE kind = '{}') AS messages, count(DISTINCT event_id) FILTER (WHERE kind = '{}') AS events
+        FROM messages, range(2) t(r) GROUP BY r""",
+    ),
+    "stream_idle": "SELECT event_id, user_id, value, CAST(2 AS BIGINT) AS batches FROM events",
     "stream_dedup": "SELECT event_id, event_type, value, ts FROM events",
     "stream_dedup_restamped": """
       SELECT event_id, event_type, value, CASE WHEN event_id % 3 = 0 THEN ts + INTERVAL 1 DAY ELSE ts END AS ts

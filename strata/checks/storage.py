@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.checks import merging
@@ -28,7 +30,7 @@ from strata.sources import bronze
 from strata.sources.bucketed import BucketedTable
 from strata.sources.tables import capped_query, page_of, register_external, register_views
 from strata.sources.versions import VersionedTable, latest_commit
-from strata.tables import Layer, TableSpec
+from strata.tables import Layer, TableSpec, database_name, layer_path
 
 DAYS = ["2024-01-01 00:00:00", "2024-01-02 00:00:00", "2024-01-03 00:00:00"]
 
@@ -157,6 +159,80 @@ def bronze_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.read(spark, path).withColumn("written_again", again)
 
 
+def create_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Created once though asked twice, then filled; the first commit is the empty table's."""
+    nation = table(spark, sf_dir, "nation")
+    stored = VersionedTable(spark, scratch_dir(spark, "created"))
+    stored.create_if_missing(nation.schema, committed_at=DAYS[0])
+    stored.append(nation, committed_at=DAYS[1])
+    stored.create_if_missing(nation.schema, committed_at=DAYS[2])
+    commits = stored.commits()
+    return stored.current().withColumns(
+        {
+            "n_commits": commits.agg(F.count(F.lit(1))).scalar(),
+            "first_operation": commits.filter("version = 0").select("operation").scalar(),
+        }
+    )
+
+
+def write_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows come in hash order and are stored in the write order: per file, how many precede a smaller one."""
+    path = scratch_dir(spark, "ordered")
+    shuffled = table(spark, sf_dir, "events").repartition(3, "event_id")
+    bronze.append_by_day(shuffled, path, "ts", sort_cols=["user_id", "ts"])
+    stored = bronze.read(spark, path).select("*", "_metadata.file_path", "_metadata.row_index")
+    key = F.struct("user_id", "ts")
+    before = F.lag(key).over(Window.partitionBy("file_path").orderBy("row_index"))
+    misplaced = stored.select((before > key).alias("late")).agg(F.count_if("late"))
+    return bronze.read(spark, path).drop(bronze.HIDDEN_DAY).withColumn("misplaced", misplaced.scalar())
+
+
+def even_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixty tasks hold a batch; the hint brings it together, so each day has one file."""
+    path = scratch_dir(spark, "even")
+    scattered = table(spark, sf_dir, "nation").repartition(60)
+    for batch, day in enumerate(DAYS[:2]):
+        bronze.append(scattered, path, "api", f"b{batch}", day, even_files=True)
+    stored = bronze.read(spark, path)
+    files = stored.select("_ingestion_date", "_metadata.file_name").distinct().groupBy("_ingestion_date").agg(
+        F.count(F.lit(1)).alias("n_files")
+    )
+    return stored.join(files, "_ingestion_date").select("n_nationkey", "_batch_id", "_ingestion_date", "n_files")
+
+
+def layer_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One name in three layers: each table is read back from the path that the layer gives it."""
+    root = scratch_dir(spark, "named")
+    people = table(spark, sf_dir, "customer")
+    found = []
+    for i, layer in enumerate(Layer):
+        path = layer_path(f"{root}/", layer, "customers")
+        people.filter(F.col("c_custkey") % 3 == i).write.parquet(path)
+        place = F.lit(path.removeprefix(root))
+        schema = database_name(f" {layer.value}_tables " if layer is Layer.GOLD else None, layer.value)
+        found.append(spark.read.parquet(path).select("c_custkey", place.alias("place"), F.lit(schema).alias("database")))
+    return reduce(DataFrame.unionByName, found)
+
+
+def as_of_days_ago(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table as it was one day before the last commit."""
+    day_ago = F.lit(DAYS[2]).cast("timestamp_ntz") - F.make_dt_interval(F.lit(1))
+    return _versioned(spark, sf_dir).as_of_timestamp(day_ago)
+
+
+def own_batch_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches without an id get one each, the same in all their rows."""
+    path = scratch_dir(spark, "unnamed")
+    for part in (0, 1):
+        bronze.append(table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 2 == part), path, "api", as_of=AS_OF)
+    uuid = F.col("_batch_id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
+    return (
+        bronze.read(spark, path)
+        .groupBy((F.col("o_orderkey") % 2).alias("part"))
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("_batch_id").alias("n_ids"), F.bool_and(uuid).alias("uuids"))
+    )
+
+
 def gold_ltv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lifetime-value model stored clustered by tier and region."""
     store = GoldStore(spark, scratch_dir(spark, "gold"))
@@ -334,6 +410,12 @@ QUERIES = {
     "gold_lookback": gold_lookback,
     "gold_marks": gold_marks,
     "bronze_replay": bronze_replay,
+    "create_missing": create_missing,
+    "write_order": write_order,
+    "even_files": even_files,
+    "layer_names": layer_names,
+    "as_of_days_ago": as_of_days_ago,
+    "own_batch_ids": own_batch_ids,
     "gold_ltv_clustered": gold_ltv,
     "mv_refresh": mv_refresh,
     "external_table": external_table,
@@ -415,6 +497,20 @@ ORACLES = {
              'orders_api' AS _source, 'b' || b AS _batch_id, DATE '2024-01-01' + CAST(b AS INTEGER) AS _ingestion_date,
              CASE WHEN b = 2 THEN n ELSE 0 END AS written_again
       FROM orders o JOIN (SELECT o_orderkey % 3 AS b, count(*) AS n FROM orders GROUP BY 1) ON o_orderkey % 3 = b""",
+    "create_missing": "SELECT *, CAST(2 AS BIGINT) AS n_commits, 'create' AS first_operation FROM nation",
+    "write_order": "SELECT *, CAST(0 AS BIGINT) AS misplaced FROM events",
+    "even_files": """
+      SELECT n_nationkey, 'b' || b AS _batch_id, DATE '2024-01-01' + CAST(b AS INTEGER) AS _ingestion_date,
+             CAST(1 AS BIGINT) AS n_files
+      FROM nation, range(2) t(b)""",
+    "layer_names": """
+      SELECT c_custkey, ['/bronze', '/silver', '/gold'][c_custkey % 3 + 1] || '/customers' AS place,
+             ['bronze', 'silver', 'gold_tables'][c_custkey % 3 + 1] AS database
+      FROM customer""",
+    "as_of_days_ago": _BATCH.format(extra="", where="WHERE o_orderkey % 3 <= 1"),
+    "own_batch_ids": """
+      SELECT o_orderkey % 2 AS part, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_ids, true AS uuids
+      FROM orders GROUP BY 1""",
     "gold_ltv_clustered": with_inputs(_MODELS, _LTV),
     "mv_refresh": with_inputs(
         "bronze_customers",

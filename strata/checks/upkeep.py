@@ -12,6 +12,7 @@ from strata.operators import catalog, layout, quality
 from strata.operators.vectors import centroid, vector_topk
 from strata.plans.models import fct_orders
 from strata.session import scratch_dir, settle
+from strata.sources.tables import register_external
 from strata.sources.versions import VersionedTable
 
 CATALOGUED = tuple(SCHEMAS)
@@ -204,6 +205,71 @@ def index_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.index_upsert(index, docs.withColumn("document", F.concat(F.lit("again: "), "document")))
 
 
+CRAWLED = ("customer", "orders", "documents", "embeddings")
+
+
+def _registered(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = CRAWLED) -> str:
+    """Some tables as external tables of a database of the session's catalog."""
+    spark.sql("CREATE DATABASE IF NOT EXISTS strata_crawl")
+    for name in names:
+        register_external(spark, f"strata_crawl.{name}", f"{sf_dir}/{name}.parquet")
+    return "strata_crawl"
+
+
+def catalog_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of the registered tables, as the catalog has them, with their rows."""
+    database = _registered(spark, sf_dir)
+    catalog_name = spark.catalog.currentCatalog()
+    tables, columns = catalog.crawl(spark, [catalog_name], [database])
+    counts = reduce(
+        DataFrame.unionByName,
+        [
+            spark.table(f"{database}.{name}").agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
+            for name in CRAWLED
+        ],
+    )
+    return columns.join(tables, catalog.TABLE_KEY, "left_semi").join(counts, "table_name").select(
+        catalog.full_name().alias("full_name"), "position", "name", "type", "row_count"
+    )
+
+
+def catalog_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full names of the registered tables, in order, three at most."""
+    tables, _ = catalog.crawl(spark, schemas=[_registered(spark, sf_dir)])
+    return catalog.list_tables(tables, limit=3)
+
+
+QUESTIONS = {
+    "account balance and market segment of a customer": "customer",
+    "orderpriority and totalprice of orders": "orders",
+    "html source of pages with their url": "pages",
+}
+
+
+def catalog_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best table for each question, from an index that was stored, changed and read again."""
+    frames = {name: table(spark, sf_dir, name) for name in CATALOGUED}
+    tables, columns = catalog.describe_frames(spark, frames)
+    split = columns.withColumns({"name": F.regexp_replace("name", "_", " ")})
+    hints = {"c acctbal": "account balance", "c mktsegment": "market segment"}
+    known = F.create_map(*[F.lit(x) for pair in hints.items() for x in pair])
+    described = split.withColumn("description", F.coalesce(F.try_element_at(known, F.col("name")), F.lit("")))
+    docs = catalog.documents(tables, described)
+    path = scratch_dir(spark, "index")
+    catalog.save_index(docs.filter("full_name <> 'spark.main.pages'"), path)
+    catalog.upsert_index(path, docs)
+    index, model = catalog.load_index(spark, path)
+    counts = reduce(
+        DataFrame.unionByName,
+        [df.agg(F.lit(f"spark.main.{n}").alias("full_name"), F.count(F.lit(1)).alias("row_count")) for n, df in frames.items()],
+    )
+    best = [
+        catalog.search(index, model, question, 1).select(F.lit(question).alias("question"), "full_name")
+        for question in QUESTIONS
+    ]
+    return reduce(DataFrame.unionByName, best).join(counts, "full_name").select("question", "full_name", "row_count")
+
+
 def topk(spark: SparkSession, sf_dir: str, metric: str = "dot") -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return vector_topk(vectors, centroid(vectors), 5, metric=metric).select("vec_id", "label", "score")
@@ -224,6 +290,9 @@ QUERIES = {
     "catalog_columns": catalog_columns,
     "catalog_documents": catalog_documents,
     "index_upsert": index_upsert,
+    "catalog_crawl": catalog_crawl,
+    "catalog_list": catalog_list,
+    "catalog_search": catalog_search,
     "vector_topk": topk,
     "vector_topk_cosine": lambda s, d: topk(s, d, "cosine"),
 }
@@ -267,7 +336,26 @@ def _document_sql(name: str) -> str:
              'spark.main.{name} holds ' || (SELECT count(*) FROM {name}) || ' rows' || {lines} AS document"""
 
 
+_COLUMNS = """
+  SELECT 'spark_catalog.strata_crawl.' || table_name AS full_name, CAST(ordinal_position - 1 AS INTEGER) AS position,
+         column_name AS name,
+         CASE data_type WHEN 'INTEGER' THEN 'int' WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string'
+              WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+              WHEN 'FLOAT[]' THEN 'array<float>' ELSE data_type END AS type, row_count
+  FROM information_schema.columns JOIN ({counts}) USING (table_name)"""
+
+
 ORACLES = {
+    "catalog_crawl": _COLUMNS.format(
+        counts=" UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in CRAWLED)
+    ),
+    "catalog_list": " UNION ALL ".join(
+        f"SELECT 'spark_catalog.strata_crawl.{n}' AS full_name" for n in sorted(CRAWLED)[:3]
+    ),
+    "catalog_search": " UNION ALL ".join(
+        f"SELECT '{q}' AS question, 'spark.main.{n}' AS full_name, count(*) AS row_count FROM {n}"
+        for q, n in QUESTIONS.items()
+    ),
     "compact": "SELECT *, true AS fewer_files FROM orders",
     "zorder": "SELECT *, true AS all_narrow FROM orders",
     "rewrite_partitions": "SELECT *, CAST(1 AS INTEGER) AS partitions_rewritten FROM orders",

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.merge import upsert
-from strata.operators.vectors import TOP_K, text_vectors, vector_topk
-from strata.session import struct
+from strata.operators.vectors import TOP_K, text_vectorizer, text_vectors, vector_topk
+from strata.session import settle, struct
 
 SYSTEM_SCHEMAS = ("information_schema", "system")
 MAX_LISTED = 50
@@ -40,27 +40,32 @@ def full_name() -> Column:
 def crawl(
     spark: SparkSession, catalogs: Sequence[str] | None = None, schemas: Sequence[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """``(tables, columns)`` of the session's catalog, system schemas left out.
+    """``(tables, columns)`` of the named catalogs (the current one if none is
+    named), system schemas left out.
 
-    Only names and types pass through the driver, which holds them anyway.
+    A catalog that cannot be read is an error that names it.  Only names and
+    types pass through the driver, which holds them anyway.
     """
-    catalog = spark.catalog.currentCatalog()
+    current = spark.catalog.currentCatalog()
     found_tables, found_columns = [], []
-    for database in spark.catalog.listDatabases():
-        for table in spark.catalog.listTables(database.name):
-            if table.isTemporary:
-                continue
-            found_tables.append((catalog, database.name, table.name, table.description))
-            described = spark.catalog.listColumns(f"`{database.name}`.`{table.name}`")
-            found_columns += [
-                (catalog, database.name, table.name, i, c.name, c.dataType, c.description)
-                for i, c in enumerate(described)
-            ]
-    tables = spark.createDataFrame(found_tables, TABLES)
-    return (
-        visible_tables(tables, catalogs, schemas),
-        visible_tables(spark.createDataFrame(found_columns, COLUMNS), catalogs, schemas),
-    )
+    try:
+        for catalog in catalogs or [current]:
+            spark.catalog.setCurrentCatalog(catalog)
+            for database in spark.catalog.listDatabases():
+                if database.name in SYSTEM_SCHEMAS or (schemas and database.name not in schemas):
+                    continue
+                for table in spark.catalog.listTables(f"`{catalog}`.`{database.name}`"):
+                    if table.isTemporary:
+                        continue
+                    found_tables.append((catalog, database.name, table.name, table.description))
+                    described = spark.catalog.listColumns(f"`{catalog}`.`{database.name}`.`{table.name}`")
+                    found_columns += [
+                        (catalog, database.name, table.name, i, c.name, c.dataType, c.description)
+                        for i, c in enumerate(described)
+                    ]
+    finally:
+        spark.catalog.setCurrentCatalog(current)
+    return spark.createDataFrame(found_tables, TABLES), spark.createDataFrame(found_columns, COLUMNS)
 
 
 def describe_frames(
@@ -96,10 +101,10 @@ def list_tables(tables: DataFrame, limit: int = MAX_LISTED) -> DataFrame:
 def profile(df: DataFrame, samples: int = 3) -> dict[str, object]:
     """Row count and the smallest distinct values of each orderable column.
 
-    One aggregation per sample: the next value is the smallest above the last,
-    for all columns at once.  Nothing is shuffled but one row per task; the
-    values themselves, texts cut to ``SHOWN`` characters, are all that comes to
-    the driver.
+    One scan per sample, for any number of columns: the next value is the
+    smallest above the last, which is kept in a stored table of one row.
+    Nothing is shuffled but one row per task; the values themselves, texts cut
+    to ``SHOWN`` characters, are all that comes to the driver.
     """
     columns = [f.name for f in df.schema if isinstance(f.dataType, T.AtomicType)]
     rows: int | None = None
@@ -107,7 +112,7 @@ def profile(df: DataFrame, samples: int = 3) -> dict[str, object]:
     found: dict[str, list] = {c: [] for c in columns}
     for _ in range(samples):
         nexts = [F.min(F.when(above[c], F.col(c)) if c in above else F.col(c)).alias(c) for c in columns]
-        smallest = df.agg(F.count(F.lit(1)).alias("_rows"), *nexts)
+        smallest = settle(df.agg(F.count(F.lit(1)).alias("_rows"), *nexts), "profile")
         shown = [F.substring(F.col(c).cast("string"), 1, SHOWN).alias(c) for c in columns]
         row = smallest.select("_rows", *shown).first()
         rows = row["_rows"] if rows is None else rows
@@ -172,6 +177,25 @@ def index_upsert(index: DataFrame, docs: DataFrame) -> DataFrame:
     return upsert(index, docs, ["full_name"])
 
 
+def save_index(docs: DataFrame, path: str) -> None:
+    """Fit the text features on table documents and store them with the documents' vectors."""
+    model = text_vectorizer(docs)
+    model.write().overwrite().save(f"{path}/features")
+    text_vectors(docs, model).write.mode("overwrite").parquet(f"{path}/documents")
+
+
+def load_index(spark: SparkSession, path: str) -> tuple[DataFrame, PipelineModel]:
+    """A stored index and the features that questions need."""
+    return spark.read.parquet(f"{path}/documents"), PipelineModel.load(f"{path}/features")
+
+
+def upsert_index(path: str, docs: DataFrame) -> None:
+    """(Re-)index some documents of a stored index, with the features it has."""
+    index, model = load_index(docs.sparkSession, path)
+    merged = index_upsert(index, text_vectors(docs, model).select(*index.columns))
+    settle(merged, "index").write.mode("overwrite").parquet(f"{path}/documents")
+
+
 def search(index: DataFrame, model: PipelineModel, question: str, k: int = TOP_K) -> DataFrame:
     """The ``k`` indexed documents most similar to a question.
 

@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.streaming.listener import (
+    QueryIdleEvent,
+    QueryProgressEvent,
+    QueryStartedEvent,
+    QueryTerminatedEvent,
+)
 
 from strata.functions.ingest import with_ingest_metadata
 from strata.functions.stamps import Moment
@@ -58,6 +66,72 @@ def run_batches(
     return writer.trigger(processingTime=f"{idle_seconds} seconds").start()
 
 
+class _Enough(Exception):
+    """Ends a query before it handles a batch more than it was asked for."""
+
+
+class _Progress(StreamingQueryListener):
+    """Counts the batches of one query that are committed, and tells when there are enough."""
+
+    def __init__(self, most: int) -> None:
+        self.most, self.batches, self.enough = most, set(), threading.Event()
+        self.run_id: str | None = None
+
+    def onQueryStarted(self, event: QueryStartedEvent) -> None:  # noqa: N802  (Spark's name)
+        pass
+
+    def onQueryProgress(self, event: QueryProgressEvent) -> None:  # noqa: N802
+        progress = event.progress
+        if str(progress.runId) == self.run_id and progress.numInputRows:
+            self.batches.add(progress.batchId)
+            if len(self.batches) >= self.most:
+                self.enough.set()
+
+    def onQueryIdle(self, event: QueryIdleEvent) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event: QueryTerminatedEvent) -> None:  # noqa: N802
+        pass
+
+
+def run_some_batches(
+    stream: DataFrame, handler: Handler, checkpoint: str, most: int, name: str | None = None
+) -> int:
+    """Handle at most ``most`` micro-batches and return how many there were.
+
+    A listener counts the committed batches and the query is stopped when they
+    are enough.  It may have fetched one more by then: that batch is refused
+    before it is handled, so its offsets stay open and the next run begins
+    with it.
+    """
+    if most < 1:
+        return 0
+    spark, handled = stream.sparkSession, []
+
+    def guarded(batch: DataFrame, number: int) -> None:
+        if len(handled) >= most:
+            raise _Enough(f"batch {number} is left for the next run")
+        handler(batch, number)
+        handled.append(number)
+
+    progress = _Progress(most)
+    spark.streams.addListener(progress)
+    try:
+        query = run_batches(stream, guarded, checkpoint, name=name)
+        progress.run_id = str(query.runId)
+        while query.isActive and not progress.enough.wait(0.1):
+            pass
+        query.stop()
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            if len(handled) < most:  # the handler's own error
+                raise
+    finally:
+        spark.streams.removeListener(progress)
+    return len(handled)
+
+
 def bronze_handler(
     schema: T.StructType,
     good: VersionedTable,
