@@ -20,6 +20,7 @@ from strata.checks.fixtures import (
 from strata.checks.merging import FIRST_LOAD, HASHED
 from strata.checks.silver_gold import _LTV, _MODELS, customer_ltv, customers, facts
 from strata.functions import epoch_batch_id, with_ingest_metadata
+from strata.operators import layout
 from strata.operators.dedupe import dedupe_latest, to_silver
 from strata.operators.scd2 import scd2_bootstrap, scd2_changes
 from strata.plans import models
@@ -390,6 +391,32 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two arrivals, each promoted by itself: the numbers of the second are of its own rows.
+
+    Silver is partitioned by region; the file counts show that its folders are.
+    """
+    lake = Lakehouse(spark, scratch_dir(spark, "lake"), n_buckets=4)
+    lake.register(
+        TableSpec(
+            "customers", Layer.SILVER, keys=("customer_id",), scd_type=2, hash_cols=tuple(HASHED), partition_cols=("region",)
+        )
+    )
+    for ingest_round, day in enumerate(DAYS[:2]):
+        rows = round_of(bronze_customers(spark, sf_dir), ingest_round).drop("_ingestion_ts")
+        lake.ingest("customers", rows, "crm", f"b{ingest_round}", day)
+        counts = lake.promote("customers", as_of=day, only_new=True)
+    silver = lake.table("silver", "customers")
+    parted = layout.live_files(silver).filter(~F.col("path").contains("/region=")).agg(F.count(F.lit(1)).alias("n"))
+    return (
+        silver.current()
+        .groupBy("region", "tier")
+        .agg(F.count_if("_is_current").alias("current_rows"), F.count_if(~F.col("_is_current")).alias("closed_rows"))
+        .withColumns({name: F.lit(n).cast("bigint") for name, n in counts.first().asDict().items()})
+        .withColumn("files_elsewhere", parted.scalar())
+    )
+
+
 def _tier_query(spark: SparkSession, lake: Lakehouse) -> str:
     register_views(spark, {"lake_customers": lake.table("silver", "customers").current()})
     return """
@@ -401,6 +428,7 @@ QUERIES = {
     "bucketed_merge": bucketed_merge,
     "bucketed_scd2": bucketed_scd2,
     "lakehouse_pipeline": pipeline,
+    "lakehouse_increments": pipeline_increments,
     "bronze_append": bronze_append,
     "day_partitioned": day_partitioned,
     "json_landing": json_landing,
@@ -462,6 +490,27 @@ ORACLES = {
                (SELECT count(*) FROM closed) AS scd2_updates
         FROM states GROUP BY tier""",
     ),
+    "lakehouse_increments": with_inputs(
+        "bronze_customers customers_v0 customers_v1",
+        f""",
+        old AS (SELECT customer_id, tier, region, {_HASH} AS h FROM customers_v0),
+        new AS (SELECT customer_id, tier, region, {_HASH} AS h FROM customers_v1),
+        added AS (SELECT * FROM new n WHERE NOT EXISTS
+                    (SELECT 1 FROM old o WHERE o.customer_id = n.customer_id AND o.h = n.h)),
+        closed AS (SELECT o.* FROM old o JOIN new n ON o.customer_id = n.customer_id AND o.h <> n.h),
+        states AS (
+          SELECT region, tier, customer_id IN (SELECT customer_id FROM closed) AS was_closed FROM old
+          UNION ALL SELECT region, tier, false FROM added)
+        SELECT region, tier, count(*) FILTER (WHERE NOT was_closed) AS current_rows,
+               count(*) FILTER (WHERE was_closed) AS closed_rows,
+               (SELECT count(*) FROM customers_v1) AS rows_in,
+               (SELECT count(DISTINCT customer_id) FROM customers_v1) AS rows_out,
+               (SELECT count(*) - count(DISTINCT customer_id) FROM customers_v1) AS duplicates_dropped,
+               (SELECT count(*) FROM added) AS scd2_inserts,
+               (SELECT count(*) FROM closed) AS scd2_updates,
+               CAST(0 AS BIGINT) AS files_elsewhere
+        FROM states GROUP BY region, tier""",
+    ),
     "bronze_append": """
       SELECT * EXCLUDE (b), TIMESTAMP '2024-01-01 00:00:00' + to_days(b) AS _ingestion_ts, 'orders_api' AS _source,
              'b' || b AS _batch_id, DATE '2024-01-01' + b AS _ingestion_date

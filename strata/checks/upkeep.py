@@ -58,6 +58,22 @@ def zorder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.withColumn("all_narrow", narrow)
 
 
+def zorder_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clustered by names that share a beginning, but for one odd name: no file
+    spans most of both columns."""
+    odd = F.col("c_custkey") == 5
+    people = table(spark, sf_dir, "customer").withColumn("c_name", F.when(odd, "A").otherwise(F.col("c_name")))
+    path = scratch_dir(spark, "zorder-text")
+    layout.zorder(people, ["c_name", "c_acctbal"], 16).write.parquet(path)
+    stored = spark.read.parquet(path)
+    number = F.when(~odd, F.col("c_custkey"))  # in the order of the other names
+    spans = {"name": F.max(number) - F.min(number), "balance": F.max("c_acctbal") - F.min("c_acctbal")}
+    per_file = stored.groupBy(F.col("_metadata.file_name").alias("file")).agg(*[v.alias(k) for k, v in spans.items()])
+    wide = reduce(lambda a, b: a & b, [F.col(k) > stored.agg(v).scalar() * 0.8 for k, v in spans.items()])
+    verdict = per_file.agg((F.count_if(wide) == 0).alias("all_narrow"), F.count(F.lit(1)).alias("n_files"))
+    return stored.withColumns({c: verdict.select(c).scalar() for c in verdict.columns})
+
+
 def _partitioned(spark: SparkSession, sf_dir: str) -> str:
     """Orders by priority: urgent ones in many files, the others in one each."""
     path = scratch_dir(spark, "rewrite")
@@ -278,6 +294,7 @@ def topk(spark: SparkSession, sf_dir: str, metric: str = "dot") -> DataFrame:
 QUERIES = {
     "compact": compact,
     "zorder": zorder,
+    "zorder_text": zorder_text,
     "rewrite_partitions": rewrite_partitions,
     "compact_again": compact_again,
     "compact_target": compact_target,
@@ -358,6 +375,10 @@ ORACLES = {
     ),
     "compact": "SELECT *, true AS fewer_files FROM orders",
     "zorder": "SELECT *, true AS all_narrow FROM orders",
+    "zorder_text": """
+      SELECT * REPLACE (CASE WHEN c_custkey = 5 THEN 'A' ELSE c_name END AS c_name), true AS all_narrow,
+             CAST(16 AS BIGINT) AS n_files
+      FROM customer""",
     "rewrite_partitions": "SELECT *, CAST(1 AS INTEGER) AS partitions_rewritten FROM orders",
     "compact_again": """
       SELECT *, CAST(0 AS BIGINT) AS other_files_changed, CAST(1 AS BIGINT) AS urgent_files,

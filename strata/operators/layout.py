@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import os
 import time
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from itertools import batched
@@ -113,49 +112,71 @@ def curve_bits(n_cols: int, n_files: int) -> int:
 def with_curve(df: DataFrame, cols: Sequence[str], bits: int = 8) -> DataFrame:
     """Add ``_curve``, the interleaved bits of the columns' quantile ranks.
 
-    A text column is ranked by the bytes that follow the beginning all its
-    values share, so names such as ``Customer#1`` and ``Customer#2`` differ.
+    Numbers, dates and stamps are ranked by approximate quantiles.  Texts are
+    ranked among bounds that are whole values, taken at even steps from a
+    sorted sample, so names that share a beginning differ and one odd value
+    does not matter.
     """
     if bits * len(cols) > 62:
         raise ValueError("bits times columns must stay within 62")
-    numbers = [f"_n{i}" for i in range(len(cols))]
-    shared = _shared_beginnings(df, cols)
-    scaled = df.withColumns(
-        {n: _number(df.schema[c].dataType, c, shared.get(c, 0)) for n, c in zip(numbers, cols)}
-    )
     steps = 2**bits
-    bounds = scaled.select(*numbers).approxQuantile(
-        numbers, [i / steps for i in range(1, steps)], 1 / (4 * steps)
-    )
-    ranked = scaled
-    for name, cuts in zip(numbers, bounds):
-        splits = [-math.inf, *sorted({c for c in cuts if math.isfinite(c)}), math.inf]
+    texts = [c for c in cols if isinstance(df.schema[c].dataType, _TEXTS)]
+    numbers = {c: f"_n{i}" for i, c in enumerate(cols) if c not in texts}
+    ranked = df.withColumns({n: _number(df.schema[c].dataType, c) for c, n in numbers.items()})
+    cuts = ranked.select(*numbers.values()).approxQuantile(
+        [*numbers.values()], [i / steps for i in range(1, steps)], 1 / (4 * steps)
+    ) if numbers else []
+    for name, found in zip(numbers.values(), cuts):
+        splits = [-math.inf, *sorted({c for c in found if math.isfinite(c)}), math.inf]
         ranked = Bucketizer(
             splits=splits, inputCol=name, outputCol=f"{name}_rank", handleInvalid="keep"
         ).transform(ranked)
-    ranks = [F.least(F.col(f"{n}_rank").cast("long"), F.lit(steps - 1)) for n in numbers]
+    ranks = {c: F.least(F.col(f"{n}_rank").cast("long"), F.lit(steps - 1)) for c, n in numbers.items()}
+    ranks |= {c: text_rank(F.col(c), bounds, bits) for c, bounds in text_bounds(df, texts, steps).items()}
+    placed = ranked.withColumns({f"_r{i}": ranks[c] for i, c in enumerate(cols)})
     curve = F.lit(0).cast("long")
     for bit in range(bits):
-        for i, rank in enumerate(ranks):
-            one = F.shiftright(rank, bit).bitwiseAND(F.lit(1))
+        for i in range(len(cols)):
+            one = F.shiftright(F.col(f"_r{i}"), bit).bitwiseAND(F.lit(1))
             curve = curve.bitwiseOR(F.shiftleft(one, bit * len(cols) + i))
-    return ranked.withColumn("_curve", curve).select(*df.columns, "_curve")
+    return placed.withColumn("_curve", curve).select(*df.columns, "_curve")
+
 
+_TEXTS = (T.StringType, T.BinaryType)
+#: Sampled values per step of the curve, and characters of each that are looked at.
+SAMPLED_PER_STEP, LOOKED_AT = 64, 256
 
-def _shared_beginnings(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
-    """For each text column the number of bytes that all its values begin with."""
-    texts = [c for c in cols if isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType))]
-    if not texts:
+
+def text_bounds(df: DataFrame, cols: Sequence[str], steps: int) -> dict[str, list[bytes]]:
+    """For each text column ``steps - 1`` of its values, in order, at even steps of a sample."""
+    if not cols:
         return {}
-    ends = [f(F.col(c).cast("binary")).alias(f"{name}{i}") for i, c in enumerate(texts) for f, name in ((F.min, "a"), (F.max, "b"))]
-    row = df.agg(*ends).first()
-    return {
-        c: len(os.path.commonprefix([bytes(row[f"a{i}"]), bytes(row[f"b{i}"])])) if row[f"a{i}"] is not None else 0
-        for i, c in enumerate(texts)
-    }
+    total = df.count()
+    share = min(1.0, steps * SAMPLED_PER_STEP / max(total, 1))
+    cut = [F.substring(F.col(c).cast("binary"), 1, LOOKED_AT).alias(f"_t{i}") for i, c in enumerate(cols)]
+    sample = df.select(*cut).sample(share, seed=7).limit(2 * steps * SAMPLED_PER_STEP).collect()
+    bounds = {}
+    for i, c in enumerate(cols):
+        values = sorted(bytes(r[i]) for r in sample if r[i] is not None)
+        bounds[c] = [values[k * len(values) // steps] for k in range(1, steps)] if values else []
+    return bounds
+
+
+def text_rank(text: Column, bounds: Sequence[bytes], bits: int) -> Column:
+    """How many of ``2 ** bits - 1`` sorted bounds are not above the text: a binary search of ``bits`` steps."""
+    if not bounds:
+        return F.lit(0).cast("long")
+    value = text.cast("binary")
+    sorted_bounds = F.transform(F.array(*[F.lit(b.hex()) for b in bounds]), F.unhex)
+    jumps = F.array(*[F.lit(1 << b).cast("long") for b in reversed(range(bits))])
+    return F.aggregate(
+        jumps,
+        F.lit(0).cast("long"),
+        lambda at, jump: F.when(F.get(sorted_bounds, (at + jump - 1).cast("int")) <= value, at + jump).otherwise(at),
+    )
 
 
-def _number(kind: T.DataType, name: str, shared: int = 0) -> Column:
+def _number(kind: T.DataType, name: str) -> Column:
     """A double in the order of the column; nulls first."""
     col = F.col(name)
     if isinstance(kind, T.NumericType):
@@ -167,9 +188,7 @@ def _number(kind: T.DataType, name: str, shared: int = 0) -> Column:
     elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         number = F.unix_micros(col.cast("timestamp")).cast("double")
     else:
-        # Six bytes of the text fit a double exactly.
-        prefix = F.hex(F.substring(col.cast("string").cast("binary"), shared + 1, 6))
-        number = F.conv(F.rpad(prefix, 12, "0"), 16, 10).cast("double")
+        raise TypeError(f"{name}: no order along a curve for {kind.simpleString()}")
     return F.coalesce(number, F.lit(-math.inf))
 
 

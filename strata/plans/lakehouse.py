@@ -27,6 +27,10 @@ from strata.tables import Layer, Registry, TableSpec, layer_path
 PROMOTED = "rows_in LONG, rows_out LONG, duplicates_dropped LONG, scd2_inserts LONG, scd2_updates LONG"
 
 
+#: Mark of a silver table: the bronze version up to which its rows were promoted.
+PROMOTED_TO = "promoted_to"
+
+
 class Lakehouse:
     """Tables of one root folder, addressed by layer and name."""
 
@@ -49,7 +53,7 @@ class Lakehouse:
                 self.spark, path, spec.partition_cols or ("_ingestion_date",), spec.cluster_cols
             )
         if spec.layer is Layer.SILVER and spec.keys:
-            parts = ("_is_current",) if spec.scd_type == 2 else ()
+            parts = (*spec.partition_cols, *(("_is_current",) if spec.scd_type == 2 else ()))
             return BucketedTable(
                 self.spark, path, parts, spec.cluster_cols, keys=spec.keys, n_buckets=self.n_buckets
             )
@@ -69,17 +73,33 @@ class Lakehouse:
         enriched = with_ingest_metadata(rows, source, batch_id, as_of)
         return stored.append(enriched, batch_id, as_of)
 
-    def promote(self, name: str, bronze: DataFrame | None = None, as_of: Moment = None) -> DataFrame:
+    def promote(
+        self, name: str, bronze: DataFrame | None = None, as_of: Moment = None, only_new: bool = False
+    ) -> DataFrame:
         """Deduplicate bronze rows into silver: a type-2 merge, or a full
         replace for type 1.
 
         The bronze rows are read once: the deduplicated batch is written to
         scratch while both sides are counted, and every later step reads that.
         A type-2 batch that does not lie after the current rows is refused.
+        ``only_new`` takes the bronze rows that came since the last promotion
+        into a type-2 table: silver's commit keeps the bronze version it has
+        seen, and later folders alone are read.
         Returns one row of counts in the shape of ``transform_metrics``.
         """
         spec = self.registry.get(Layer.SILVER, name)
-        rows = self.table(Layer.BRONZE, name).current() if bronze is None else bronze
+        marks = None
+        if bronze is not None:
+            rows = bronze
+        elif only_new:
+            if spec.scd_type != 2:
+                raise ValueError(f"{name}: a full replace needs all rows")
+            arrived = self.table(Layer.BRONZE, name)
+            seen_to = self.table(Layer.SILVER, name).mark(PROMOTED_TO)
+            marks = {PROMOTED_TO: str(arrived.latest()["version"])}
+            rows = arrived.since(None if seen_to is None else int(seen_to))
+        else:
+            rows = self.table(Layer.BRONZE, name).current()
         if spec.scd_type == 1:
             rows = rows.filter(F.col(spec.order_col).isNotNull())
         seen, rows_in = observed(rows)
@@ -90,7 +110,7 @@ class Lakehouse:
 
         stored = self.table(Layer.SILVER, name)
         if spec.scd_type == 2:
-            inserted, closed = self._merge_scd2(stored, spec, batch, as_of)
+            inserted, closed = self._merge_scd2(stored, spec, batch, as_of, marks)
         else:
             stored.overwrite(batch, committed_at=as_of)
             inserted, closed = rows_out(), 0
@@ -98,7 +118,12 @@ class Lakehouse:
         return self.spark.createDataFrame(counts, PROMOTED)
 
     def _merge_scd2(
-        self, stored: VersionedTable, spec: TableSpec, batch: DataFrame, as_of: Moment
+        self,
+        stored: VersionedTable,
+        spec: TableSpec,
+        batch: DataFrame,
+        as_of: Moment,
+        marks: dict[str, str] | None,
     ) -> tuple[int, int]:
         if not isinstance(stored, BucketedTable):
             raise ValueError(f"{spec.name}: a type-2 table needs keys")
@@ -106,7 +131,7 @@ class Lakehouse:
             late = out_of_order(stored.current_rows(), as_of)
             if not late.isEmpty():
                 raise ValueError(f"{spec.name}: batch as of {as_of} is not after the current rows")
-        commit = stored.merge_scd2(batch, as_of, spec.hash_cols or None)
+        commit = stored.merge_scd2(batch, as_of, spec.hash_cols or None, marks=marks)
         return commit["rows_added"], commit["rows_removed"]
 
     def materialize(

@@ -21,7 +21,7 @@ from strata.operators.merge import checked_keys, upsert
 from strata.operators.scd2 import out_of_order, scd2_bootstrap, scd2_changes, with_row_hash
 from strata.operators.schema_sync import conform
 from strata.session import settle
-from strata.sources.versions import VersionedTable, evolved, latest_commit, next_version, stored_schema
+from strata.sources.versions import VersionedTable, carried, evolved, latest_commit, next_version, stored_schema
 
 BUCKET = "_bucket"
 
@@ -69,8 +69,9 @@ class BucketedTable(VersionedTable):
         version = next_version(last)
         rows = self._write(merged, version)()
         return self._commit(
-            version, last["base"], "merge", batch_id, committed_at, merged.schema, rows, buckets=touched
-        )
+            version, last["base"], "merge", batch_id, committed_at, merged.schema, rows, buckets=touched,
+            marks=carried(last),
+        )
 
     def merge_scd2(
         self,
@@ -79,6 +80,7 @@ class BucketedTable(VersionedTable):
         hash_cols: Sequence[str] | None = None,
         style: str = "null_as_empty",
         batch_id: str | None = None,
+        marks: dict[str, str] | None = None,
     ) -> Row:
         """Type-2 merge of ``batch`` (one row per key).
 
@@ -95,7 +97,7 @@ class BucketedTable(VersionedTable):
         if last is None:
             first = scd2_bootstrap(batch, as_of, hash_cols, style)
             changes = first.withColumn("_change", F.lit("insert"))
-            return self.apply_scd2(changes, batch_id, as_of)
+            return self.apply_scd2(changes, batch_id, as_of, marks=marks)
         self._check_layout(last)
         # After an overwrite (restore, compaction) the base holds the current rows too.
         current_base = last["base"] if last["current_base"] is None else last["current_base"]
@@ -115,6 +117,7 @@ class BucketedTable(VersionedTable):
                 rows_added=0,
                 current_base=current_base,
                 buckets=[],
+                marks=carried(last, marks),
             )
         current = self._buckets_of(last, touched).filter("_is_current")
         if as_of is not None:
@@ -122,7 +125,7 @@ class BucketedTable(VersionedTable):
             if not closing.isEmpty():
                 raise ValueError(f"{self.path}: batch as of {as_of} is not after the current rows")
         changes = scd2_changes(current, news, self.keys, as_of, hash_cols, style)
-        return self.apply_scd2(changes, batch_id, as_of, current_base, touched)
+        return self.apply_scd2(changes, batch_id, as_of, current_base, touched, marks)
 
     def rewrite(self, buckets: Sequence[int], shape: Callable[[DataFrame], DataFrame]) -> Row:
         """Write some buckets again in another shape (``shape`` sees ``_bucket``); the rest stays.
@@ -137,7 +140,7 @@ class BucketedTable(VersionedTable):
         rows = self._write(content, version, shape=lambda df: shape(df.withColumn(BUCKET, self.bucket())))()
         return self._commit(
             version, last["base"], "optimize", None, None, stored_schema(last), rows,
-            current_base=last["current_base"], buckets=sorted(buckets),
+            current_base=last["current_base"], buckets=sorted(buckets), marks=carried(last),
         )
 
     # -- layout ----------------------------------------------------------

@@ -93,6 +93,11 @@ class VersionedTable:
         earlier = self.commits().filter(F.col("committed_at") <= moment(at))
         return self._content(self._required(latest_commit(earlier), f"no commit at or before {at}"))
 
+    def since(self, version: int | None) -> DataFrame:
+        """Rows of the newest version that folders after ``version`` hold; all without one."""
+        last = self._required(latest_commit(self.commits()), "no commits")
+        return self._content(last, None if version is None else F.col("_version") > version)
+
     def current_rows(self) -> DataFrame:
         """Only the current rows of a type-2 table; history is not read."""
         return self.current().filter("_is_current")
@@ -219,6 +224,7 @@ class VersionedTable:
         committed_at: Moment = None,
         current_base: int | None = None,
         buckets: Sequence[int] | None = None,
+        marks: dict[str, str] | None = None,
     ) -> Row:
         """Commit the tagged changes of a type-2 merge.
 
@@ -249,6 +255,7 @@ class VersionedTable:
             counts("closed"),
             current_base=version if current_base is None else current_base,
             buckets=buckets,
+            marks=carried(last, marks),
         )
 
     def restore(self, version: int, committed_at: Moment = None) -> Row:
@@ -366,6 +373,11 @@ class VersionedTable:
         return datetime.fromisoformat(str(at))
 
 
+def carried(last: Row | None, marks: dict[str, str] | None = None) -> dict[str, str] | None:
+    """The marks of the last commit and new ones."""
+    return {**((last["marks"] or {}) if last is not None else {}), **(marks or {})} or None
+
+
 def _kind(df: DataFrame, col: str | None) -> T.DataType | None:
     return None if col is None else df.schema[col].dataType
 
