@@ -116,7 +116,12 @@ def _one_spaced(text: Column) -> Column:
 
 
 def _prepared(rows: DataFrame, id_col: str, text_col: str, name: str) -> DataFrame:
-    """Id and template words of each text with words; its own words where there are placeholders."""
+    """Id and template words of each text with words; its own words where there are placeholders.
+
+    Nothing is filtered by a computed column: Spark would compute it again
+    below every step that it is made of.  A text of punctuation only has one
+    word, the empty one.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
     frame = rows.where(F.col(id_col).isNotNull() & text.rlike(r"[^\x20\x09-\x0D]")).select(
         F.col(id_col).alias(name), _one_spaced(text).alias("_text")
@@ -126,7 +131,6 @@ def _prepared(rows: DataFrame, id_col: str, text_col: str, name: str) -> DataFra
     return (
         _with_template(frame, "_text")
         .select(name, _words(_bare(F.col("_low"))).alias("words"), own.alias("own"))
-        .where(F.get("words", F.lit(0)) != "")
     )
 
 
@@ -260,7 +264,7 @@ def contaminated_pairs(
     """One row per text and item found in it: ids, ``n_matched``, ``n_windows``, ``verbatim``."""
     prepared = settle(
         _prepared(items, item_id_col, item_text_col, "item").withColumn("n_words", F.size("words")).distinct(), "items"
-    )
+    ).where(F.get("words", F.lit(0)) != "")
     short = prepared.where(F.col("n_words") < window).select("n_words").distinct().limit(window)
     lengths = [window, *sorted(r["n_words"] for r in short.collect())]
     of_items = reduce(
