@@ -222,7 +222,7 @@ def _sums(c: np.ndarray, w: np.ndarray, n: np.ndarray, end: np.ndarray, text: np
 
 
 def _packed_sums(out: np.ndarray) -> list[np.ndarray]:
-    return [out[0].astype(np.float32), out[1], *(x.astype(np.int64) for x in out[2:])]
+    return [out[0], out[1], *(x.astype(np.int64) for x in out[2:])]
 
 
 def _deal_pairs(hot: Hot, n_parts: int):
