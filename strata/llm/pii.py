@@ -57,6 +57,10 @@ def _check_digit(digits: Column) -> Column:
     return total % 10 == 0
 
 
+#: Characters before and after a match in which its neighbours are looked for.
+REACH = 80
+
+
 def _valid(kind: str, value: Column) -> Column:
     digits = F.regexp_replace(value, "[^0-9]", "")
     if kind == "ip":
@@ -90,13 +94,16 @@ def _matches(texts: DataFrame, kind: str) -> DataFrame:
         .where("m.value is not null")
     )
     so_far = Window.partitionBy("uid").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # only the words next to a match are carried on
+    # only the words next to a match are carried on; one that does not end within reach is none
     blank = r"[\s]+"
+    before, after = F.right("m.before", F.lit(REACH)), F.left("m.after", F.lit(REACH))
+    before = F.when(F.length("m.before") > REACH, F.regexp_replace(before, r"^\S+", "")).otherwise(before)
+    after = F.when(F.length("m.after") > REACH, F.regexp_replace(after, r"\S+$", "")).otherwise(after)
     return (
         found.select(
             "uid", "i", F.col("m.value").alias("value"), F.length("m.before").alias("gap"),
-            F.substring_index(F.btrim(F.regexp_replace(F.right("m.before", F.lit(80)), blank, " ")), " ", -2).alias("left"),
-            F.substring_index(F.btrim(F.regexp_replace(F.left("m.after", F.lit(80)), blank, " ")), " ", 1).alias("right"),
+            F.substring_index(F.btrim(F.regexp_replace(before, blank, " ")), " ", -2).alias("left"),
+            F.substring_index(F.btrim(F.regexp_replace(after, blank, " ")), " ", 1).alias("right"),
         )
         .withColumn("end", F.sum(F.col("gap") + F.length("value")).over(so_far).cast("int"))
         .select(
