@@ -47,20 +47,20 @@ WINDOW = 20
 #: Bits per character from which a window is random, by character class.
 THRESHOLDS = {"hex": 3.0, "lower": 3.7, "mixed": 3.8, "base64": 3.9}
 #: Allow-list: candidates that look random and are not secret.
-ALLOWED = re.compile(
-    r"(?i)^(?:[0-9_=+/-]+|[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}|.*(?:example|sample|placeholder|"
-    r"changeme|dummy|redacted|lorem|abcdefgh|12345678).*)$",
-    re.ASCII,
-)
+ALLOWED = re.compile(r"(?i)^(?:[0-9_=+/-]+|[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})$", re.ASCII)
+#: Words of placeholders: a candidate is one if such a word is a part of its own in it, or if
+#: nothing random is left without them.
+_WORDS = "example|sample|placeholder|changeme|dummy|redacted|lorem|abcdefgh|12345678"
+PLACEHOLDER = re.compile(f"(?i){_WORDS}", re.ASCII)
+_OWN_PART = re.compile(f"(?i)(?<![A-Za-z0-9])(?:{_WORDS})(?![A-Za-z0-9])", re.ASCII)
 #: Parts of names in one case or camel case; a word has vowels and no long run of consonants.
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 _VOWELS = re.compile(r"(?i)[aeiouy]")
 _CONSONANTS = re.compile(r"(?i)[^aeiouy]{6}")
 #: Share of the letters that lie in words, from which a candidate is made of words.
 PLAIN_SHARE = 0.7
-#: What ends the surroundings of a candidate, and how many bytes of them are looked at.
-_EDGE = re.compile(rb"[\s\"'<>(),;{}|`\[\]]")
-AROUND = 2_048
+#: What ends the surroundings of a candidate.
+_EDGE = byte_class(" \t\n\v\f\r\"'<>(),;{}|`[]")
 _SCHEME = re.compile(rb"[A-Za-z][A-Za-z0-9+.-]*://[^?#]*\Z")
 _HOST = re.compile(rb"(?:[^\s@/]+@)?(?:[a-z0-9_-]+\.)+[a-z]{2,18}\.?(?:[:/?#].*)?\Z", re.DOTALL)
 _TERM = [0.0] + [n * math.log2(n) for n in range(1, WINDOW + 1)]
@@ -120,23 +120,39 @@ def made_of_words(word: str) -> bool:
     return like >= PLAIN_SHARE * sum(map(len, found))
 
 
-def _in_address(texts: Texts, row: int, begin: int, end: int) -> bool:
-    """Whether a candidate after ``://``, a stop or an at sign is in the host or path of an address."""
-    before = texts.data[max(begin - AROUND, texts.start[row]) : begin].tobytes()
-    if not before.endswith((b"://", b".", b"@")):
+def is_placeholder(word: str) -> bool:
+    """Whether a word of placeholders stands by itself, or what it is attached to is not random."""
+    if _OWN_PART.search(word):
+        return True
+    rest, n = PLACEHOLDER.subn("", word)
+    return n > 0 and (len(rest) < CANDIDATE_LEAST or made_of_words(rest) or random_span(rest) is None)
+
+
+def _in_address(texts: Texts, edges: np.ndarray, row: int, begin: int, end: int) -> bool:
+    """Whether a candidate after ``://``, a stop or an at sign is in the host or path of an address.
+
+    ``edges`` are the places of all bytes that end surroundings, in order.
+    """
+    low, high = texts.start[row], texts.start[row + 1]
+    if not texts.data[max(begin - 3, low) : begin].tobytes().endswith((b"://", b".", b"@")):
         return False
-    before = _EDGE.split(before)[-1]
-    if _SCHEME.search(before):
+    at = int(np.searchsorted(edges, begin))
+    first = max(int(edges[at - 1]) + 1, low) if at else low
+    last = min(int(edges[at]), high) if at < len(edges) else high
+    if _SCHEME.search(texts.data[first:begin].tobytes()):
         return True
-    after = _EDGE.split(texts.data[end : min(end + AROUND, texts.start[row + 1])].tobytes(), maxsplit=1)[0]
-    return _HOST.match(before + texts.data[begin:end].tobytes() + after) is not None
+    return _HOST.match(texts.data[first:last].tobytes()) is not None
 
 
 def _entropy_spans(texts: Texts) -> list[tuple[int, int, int]]:
     found = []
+    edges: np.ndarray | None = None
     for row, begin, end in zip(*runs(texts, _TOKEN, CANDIDATE_LEAST), strict=True):
         word = texts.data[begin:end].tobytes().decode("ascii")
-        if ALLOWED.match(word) or made_of_words(word) or _in_address(texts, row, begin, end):
+        if ALLOWED.match(word) or made_of_words(word) or is_placeholder(word):
+            continue
+        edges = np.flatnonzero(_EDGE[texts.data]) if edges is None else edges
+        if _in_address(texts, edges, row, begin, end):
             continue
         span = random_span(word)
         if span:
