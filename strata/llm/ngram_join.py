@@ -347,14 +347,20 @@ def ngram_components(
     links = links.unionByName(_cluster_links(member, arrays, percent))
     component = connected_components(links).withColumnRenamed("id", "key")
 
-    labelled = rows.join(component, "key", "left").withColumn("label", F.coalesce("component", "key"))
-    least = labelled.where("size > 0").groupBy("label").agg(F.min("id").alias("least"))
-    return labelled.join(least, "label", "left").select(
+    # one row per set from here on, however many texts have it; stored sides let Spark split a hot key or label
+    sets = settle(rows.groupBy("key").agg(F.min("id").alias("first"), F.max("size").alias("size")), "distinct-sets")
+    labelled = settle(
+        sets.where("size > 0").join(component, "key", "left").withColumn("label", F.coalesce("component", "key")), "labels"
+    )
+    least = settle(labelled.groupBy("label").agg(F.min("first").alias("least")), "least")
+    of_set = settle(labelled.select("key", "label").join(least, "label").select("key", "least"), "set-components")
+    return rows.join(of_set, "key", "left").select(
         F.col("id").alias(id_col),
         F.col("size").alias("n_shingles"),
         F.when(F.col("size") > 0, F.when(F.col("id").isNotNull(), F.col("least"))).otherwise(F.col("id")).alias(
             "component_id"
         ),
+        F.col("key").alias("set_key"),
     )
 
 
@@ -364,19 +370,34 @@ def keep_one(
 ) -> DataFrame:
     """The row with the smallest id of each component, all columns.
 
-    Of repeated rows one stays; rows with a null id all stay.
+    Of repeated rows one stays; rows that share an id and differ in their texts
+    are decided each by its own text; rows with a null id all stay.
     """
     found = settle(ngram_components(docs, id_col, text_col, shingle, percent), "components")
+    ids = found.where(F.col(id_col).isNotNull()).groupBy(id_col).count()
+    twice = settle(ids.where("count > 1").select(id_col), "repeated-ids")
     gone = found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
     # a filter of fixed size lets most rows stay where they are; the join decides on the rest
-    wanted = _filter_of(gone.select(F.col(id_col).cast("long").alias("id")))
-    listed = _passes(wanted)(F.xxhash64(F.col(id_col).cast("long")))
-    kept = docs.where(~listed).unionByName(docs.where(listed).join(gone, id_col, "left_anti").select(*docs.columns))
-    if found.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").isEmpty():
+    asked = gone.unionByName(twice)
+    listed = _passes(_filter_of(asked.select(F.col(id_col).cast("long").alias("id"))))(F.xxhash64(F.col(id_col).cast("long")))
+    rest = docs.where(listed).join(asked, id_col, "left_anti").select(*docs.columns)
+    kept = docs.where(~listed).unionByName(rest)
+    if twice.isEmpty():
         return kept
-    return kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(
-        kept.where(F.col(id_col).isNull())
-    )
+    left = found.where(F.col(id_col) == F.col("component_id")).select(id_col, "set_key").distinct()
+    keyed = docs.join(twice, id_col, "left_semi").withColumn("set_key", _set_key(shingle)(F.col(text_col)))
+    decided = keyed.join(left, [id_col, "set_key"], "left_semi").dropDuplicates([id_col, "set_key"])
+    return kept.unionByName(decided.select(*docs.columns))
+
+
+def _set_key(shingle: int):
+    """A column function: the key of a text's set."""
+
+    @F.arrow_udf(T.LongType())
+    def key(column: pa.Array) -> pa.Array:
+        return pa.array([_key(s) for texts in parts(column) for s in _sets(texts, shingle)], pa.int64())
+
+    return key
 
 
 def _tiles(texts: DataFrame, shingle: int, percent: int, hot: np.ndarray) -> DataFrame:
