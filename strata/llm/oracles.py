@@ -98,7 +98,92 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM named
 """
 
+
+def _either(name: str) -> str:
+    """A pattern for ASCII letters in either case."""
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in name)
+
+
+def _placed(kind: str, number: int, pattern: str, valid: str) -> str:
+    """Matches of a pattern with their spans in characters: gaps and matches before them add up."""
+    quoted = pattern.replace("'", "''")
+    return f"""
+      SELECT doc_id, '{kind}' AS kind, {number} AS k, start, start + length(hit) AS stop
+      FROM (
+        SELECT doc_id, hits[i] AS hit,
+               list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+                 + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS start
+        FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i
+              FROM (SELECT doc_id, regexp_extract_all(t, '{quoted}') AS hits, regexp_split_to_array(t, '{quoted}') AS gaps
+                    FROM texts)))
+      WHERE {valid}"""
+
+
+def _base_spans(matches: list[str], kinds: list[str], order: str) -> str:
+    counts = ", ".join(f"count(*) FILTER (kind = '{x}') AS n_{x}" for x in kinds)
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({" UNION ALL ".join(matches)}),
+joined AS (
+  SELECT doc_id, {counts},
+         string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT), ',' ORDER BY {order}) AS spans
+  FROM found GROUP BY doc_id)
+SELECT doc_id, {", ".join(f"coalesce(n_{x}, 0) AS n_{x}" for x in kinds)}, sha256(coalesce(spans, '')) AS base_sha256
+FROM texts LEFT JOIN joined USING (doc_id)
+"""
+
+
+_NAMES = "|".join(_either(x) for x in ("password", "passwd", "secret", "token", "api_?key"))
+_ASSIGN = rf"""({_NAMES})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+
+BASE_SECRETS = _base_spans(
+    [
+        _placed("assign", 0, _ASSIGN, "length(regexp_extract(hit, '" + _ASSIGN.replace("'", "''") + "', 2)) >= 12"),
+        _placed("access", 1, "AKIA[A-Z0-9]+", "length(hit) >= 18"),
+        _placed("hex", 2, "[0-9a-f]+", "length(hit) >= 16"),
+    ],
+    ["assign", "access", "hex"],
+    "start, k",
+)
+
+_DIGITS = "regexp_replace(hit, '[^0-9]', '', 'g')"
+_LUHN = f"""(SELECT sum(CASE WHEN j % 2 = 1 THEN d ELSE 2 * d - CASE WHEN d > 4 THEN 9 ELSE 0 END END) % 10 = 0
+             FROM (SELECT j, CAST(substr(reverse({_DIGITS}), CAST(j AS INTEGER), 1) AS INTEGER) AS d
+                   FROM (SELECT unnest(range(1, length({_DIGITS}) + 1)) AS j)))"""
+BASE_PII = _base_spans(
+    [
+        _placed("email", 0, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
+        _placed(
+            "ip", 1, r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+            "list_bool_and(list_transform(string_split(hit, '.'), lambda x: CAST(x AS HUGEINT) <= 255))",
+        ),
+        _placed("card", 2, r"[0-9]([\x20-]?[0-9])+", f"length({_DIGITS}) BETWEEN 13 AND 19 AND {_LUHN}"),
+        _placed("phone", 3, r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 9 AND 15"),
+    ],
+    ["email", "ip", "card", "phone"],
+    "k, start",
+)
+
+BASE_MODEL = f"""
+WITH texts AS (
+  SELECT doc_id, {crc32("doc_id::VARCHAR")} % 5 = 1 AS held_out,
+         regexp_extract_all(translate(coalesce(text, ''), '{_AZ}', '{_AZ.lower()}'), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents),
+tokens AS (
+  SELECT doc_id, held_out, unnest(list_append(list_transform(words, lambda w: 'w' || w), 'end')) AS token FROM texts),
+counts AS (SELECT token, count(*) AS c FROM tokens WHERE NOT held_out GROUP BY token),
+totals AS (SELECT sum(c) AS n, count(*) AS v FROM counts)
+SELECT doc_id, any_value(held_out) AS held_out, count(*) AS n_tokens, count(c) AS n_known,
+       CAST(any_value(n) AS BIGINT) AS train_tokens,
+       round(sum(log10((coalesce(c, 0) + 0.5) / (n + 0.5 * (v + 1)))), 6) AS base_score
+FROM tokens LEFT JOIN counts USING (token), totals
+GROUP BY doc_id
+"""
+
 ORACLES: dict[str, str] = {
+    "base_secrets": BASE_SECRETS,
+    "base_personal_data": BASE_PII,
+    "base_model": BASE_MODEL,
     "op11_ranked_search": OP11_RANKED,
     "op12_warc": OP12_WARC,
     "op13_prefix_trie": OP13_TRIE,

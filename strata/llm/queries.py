@@ -129,6 +129,25 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(with_shared_heads(conversations_of(table(spark, sf_dir, "conversations"))))
 
 
+# What SQL can say of operators that it cannot express as a whole.
+
+
+def base_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract columns of ``op6_secret_scan`` that the base patterns decide."""
+    return op6_secret_scan(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
+
+
+def base_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract columns of ``op5_pii`` that the base patterns decide."""
+    return op5_pii(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
+
+
+def base_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract columns of ``op10_katz`` but the model's own score."""
+    base = F.round("base_score", 6).alias("base_score")
+    return op10_katz(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", base)
+
+
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality": op2_quality,
@@ -143,6 +162,9 @@ QUERIES: dict[str, Query] = {
     "op11_ranked_search": op11_ranked_search,
     "op12_warc": op12_warc,
     "op13_prefix_trie": op13_prefix_trie,
+    "base_secrets": base_secrets,
+    "base_personal_data": base_personal_data,
+    "base_model": base_model,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
