@@ -92,6 +92,15 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly under ``path``, by one listing."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(target):
+        return []
+    return [s.getPath().getName() for s in store.listStatus(target) if s.isDirectory()]
+
+
 def create_file(spark: SparkSession, path: str) -> None:
     """An empty file, through the Hadoop file system."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

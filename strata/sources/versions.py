@@ -34,7 +34,7 @@ from strata.functions.stamps import Moment, moment
 from strata.operators.metrics import observed
 from strata.operators.scd2 import CLOSE, INSERT
 from strata.operators.schema_sync import schema_changes
-from strata.session import delete_path, path_exists, read_or_empty, struct
+from strata.session import child_folders, delete_path, path_exists, read_or_empty, struct
 
 COMMITS = struct(
     version=T.LongType(),
@@ -112,10 +112,19 @@ class VersionedTable:
         """Rows of one commit, by partition-pruned folders and its own schema."""
         schema = stored_schema(commit)
         stored = T.StructType([*schema.fields, *self.folder_fields()])
-        data = read_or_empty(self.spark, f"{self.path}/data", stored)
+        data = self._folders_between(commit["base"], commit["version"], stored)
         live = self.live_filter(commit)
         return data.filter(live if only is None else live & only).select(*schema.fieldNames())
 
+    def _folders_between(self, first: int, last: int, schema: T.StructType) -> DataFrame:
+        """The folders of some versions and no others, so that Spark lists their files only."""
+        root = f"{self.path}/data"
+        folders = [f for f in child_folders(self.spark, root) if f.startswith("_version=")]
+        wanted = [f"{root}/{f}" for f in folders if first <= int(f.removeprefix("_version=")) <= last]
+        if not wanted:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", root).parquet(*wanted)
+
     def folder_fields(self) -> list[T.StructField]:
         """Partition columns of the folders that are not columns of the table."""
         return [T.StructField("_version", T.LongType())]
