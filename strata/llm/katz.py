@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.labelled import held_out
-from strata.llm.words import bounded_batches, mix, parts, words_of
+from strata.llm.words import bounded_batches, mix, parts, release, words_of
 from strata.session import settle
 
 END, START = np.uint64(1), np.uint64(2)
@@ -306,6 +306,9 @@ def _meet_words(hot: Hot, n_parts: int):
         word = np.concatenate([x[0][x[1]] for x in loaded])
         history = np.concatenate([x[2][x[3]] for x in loaded])
         train = np.concatenate([x[4] for x in loaded])
+        # of each block only who refers to its pairs is needed from here on
+        loaded = [(len(x[1]), *x[5:9]) for x in loaded]
+        release()
         uw, wi = _numbered(word)
         uh, hi = _numbered(history)
         del word, history
@@ -316,6 +319,7 @@ def _meet_words(hot: Hot, n_parts: int):
         wc = np.where(known >= 0, known, own_count)
 
         # histories: pairs by count, then words after it by count
+        del train
         one = np.zeros(len(c), np.int32)
         one[pi] = np.arange(len(pi), dtype=np.int32)
         pair_h, pair_w = hi[one], wc[wi[one]]
@@ -342,11 +346,10 @@ def _meet_words(hot: Hot, n_parts: int):
 
         asking: list[tuple[np.ndarray, ...]] = []
         sizes, at = np.zeros(len(names), np.int64), 0
-        for number, x in enumerate(loaded):
-            pairs = len(x[1])
-            entry = np.repeat(np.arange(at, at + pairs), x[5].astype(np.int64))
+        for number, (pairs, refs, of_text, times, rows_of_block) in enumerate(loaded):
+            entry = np.repeat(np.arange(at, at + pairs), refs.astype(np.int64))
             at += pairs
-            text, n, sizes[number] = x[6].astype(np.int64), x[7].astype(np.int64), int(x[8][0])
+            text, n, sizes[number] = of_text.astype(np.int64), times.astype(np.int64), int(rows_of_block[0])
             cc, ww = c[pi[entry]], wc[wi[entry]]
             sums = _sums(cc, ww, n, uw[wi[entry]] == END, text, int(sizes[number]))
             name = names[number]
@@ -363,6 +366,8 @@ def _meet_words(hot: Hot, n_parts: int):
             used, which = np.unique(number[i], return_inverse=True)
             body = _pack(uh[dictionary], code, np.array(names)[used], sizes[used], which, text[i], n[i])
             out.append(("asks", q, b"", body))
+        del asking, to, number, h, text, n, loaded
+        release()
         return pd.DataFrame(out, columns=["kind", "part", "head", "body"])
 
     return meet
