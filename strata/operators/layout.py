@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.packing import pack_files
-from strata.session import settle, struct
+from strata.session import scratch_scope, settle, struct
 from strata.sources.bucketed import BUCKET, BucketedTable
 from strata.sources.versions import VersionedTable, stored_schema
 
@@ -214,6 +214,13 @@ def optimize(
     """
     if z_order_cols and isinstance(table, BucketedTable):
         raise ValueError(f"{table.path} is bucketed by its keys; cluster it by sort_cols")
+    with scratch_scope(table.spark):
+        return _optimize(table, z_order_cols, target_bytes, name, min_input_files)
+
+
+def _optimize(
+    table: VersionedTable, z_order_cols: Sequence[str], target_bytes: int, name: str | None, min_input_files: int
+) -> DataFrame:
     started = time.monotonic()
     before = table_stats(live_files(table)).first()
     files = live_files(table)

@@ -17,7 +17,7 @@ from strata.operators.merge import upsert
 from strata.operators.scd2 import out_of_order
 from strata.operators.schema_sync import conform
 from strata.plans.gold import GoldStore
-from strata.session import scratch_dir
+from strata.session import scratch_dir, scratch_scope
 from strata.sources.bucketed import BucketedTable
 from strata.sources.tables import register_external
 from strata.sources.versions import VersionedTable
@@ -87,7 +87,11 @@ class Lakehouse:
         seen, and later folders alone are read.
         Returns one row of counts in the shape of ``transform_metrics``.
         """
-        spec = self.registry.get(Layer.SILVER, name)
+        with scratch_scope(self.spark):
+            return self._promote(self.registry.get(Layer.SILVER, name), bronze, as_of, only_new)
+
+    def _promote(self, spec: TableSpec, bronze: DataFrame | None, as_of: Moment, only_new: bool) -> DataFrame:
+        name = spec.name
         marks = None
         if bronze is not None:
             rows = bronze

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 _local_scratch: dict[str, str] = {}
+_scopes = threading.local()
 _shipped: set[str] = set()
 
 
@@ -42,7 +46,29 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         app = spark.conf.get("spark.app.id", "local")
         base = _local_scratch.setdefault(app, "") or tempfile.mkdtemp(prefix="strata-")
         _local_scratch[app] = base
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    for made in getattr(_scopes, "open", [])[-1:]:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch folders made in the block are deleted when it ends without an error.
+
+    For work that has stored its result elsewhere by then: frames that still
+    read such a folder cannot be used afterwards.  Scopes nest, and each thread
+    has its own.
+    """
+    stack = _scopes.__dict__.setdefault("open", [])
+    stack.append([])
+    try:
+        yield
+    except BaseException:
+        stack.pop()
+        raise
+    for path in stack.pop():
+        delete_path(spark, path)
 
 
 def ship_package(spark: SparkSession) -> None:

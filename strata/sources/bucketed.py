@@ -20,7 +20,7 @@ from strata.functions.stamps import Moment
 from strata.operators.merge import checked_keys, upsert
 from strata.operators.scd2 import out_of_order, scd2_bootstrap, scd2_changes, with_row_hash
 from strata.operators.schema_sync import conform
-from strata.session import settle
+from strata.session import scratch_scope, settle
 from strata.sources.versions import VersionedTable, carried, evolved, latest_commit, next_version, stored_schema
 
 BUCKET = "_bucket"
@@ -50,6 +50,17 @@ class BucketedTable(VersionedTable):
         ``deleted`` holds keys whose rows leave the table.  The table takes the columns of the source: new ones are null in rows
         it does not touch, missing ones leave the current schema.
         """
+        with scratch_scope(self.spark):
+            return self._merge(source, update_cols, batch_id, committed_at, deleted)
+
+    def _merge(
+        self,
+        source: DataFrame,
+        update_cols: Sequence[str] | None,
+        batch_id: str | None,
+        committed_at: Moment,
+        deleted: DataFrame | None,
+    ) -> Row:
         last, done = self._state(batch_id)
         if done is not None:
             return done
@@ -90,6 +101,18 @@ class BucketedTable(VersionedTable):
         null or repeated keys is refused, and so is one whose changes do not
         lie after the rows they would close.
         """
+        with scratch_scope(self.spark):
+            return self._merge_scd2(batch, as_of, hash_cols, style, batch_id, marks)
+
+    def _merge_scd2(
+        self,
+        batch: DataFrame,
+        as_of: Moment,
+        hash_cols: Sequence[str] | None,
+        style: str,
+        batch_id: str | None,
+        marks: dict[str, str] | None,
+    ) -> Row:
         last, done = self._state(batch_id)
         if done is not None:
             return done

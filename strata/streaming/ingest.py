@@ -21,7 +21,7 @@ from pyspark.sql.streaming.listener import (
 from strata.functions.ingest import with_ingest_metadata
 from strata.functions.stamps import Moment
 from strata.operators.layout import hashable
-from strata.session import settle
+from strata.session import scratch_scope, settle
 from strata.sources.messages import MESSAGE, decode_messages, good_records, parse_messages, skipped_messages
 from strata.sources.versions import VersionedTable
 
@@ -151,14 +151,15 @@ def bronze_handler(
 
     def handle(batch: DataFrame, number: int) -> None:
         batch_id = f"{stream_id}-{number}"
-        if bad is None:
-            records = decode_messages(batch, schema, payload_col, variant=True)
-        else:
-            parsed = settle(parse_messages(batch, schema), "stream-batch")
-            records = good_records(parsed, schema, payload_col)
-            skipped = with_ingest_metadata(skipped_messages(parsed), source, batch_id, as_of)
-            bad.append(skipped, batch_id=batch_id, committed_at=as_of)
-        good.append(with_ingest_metadata(records, source, batch_id, as_of), batch_id=batch_id, committed_at=as_of)
+        with scratch_scope(good.spark):
+            if bad is None:
+                records = decode_messages(batch, schema, payload_col, variant=True)
+            else:
+                parsed = settle(parse_messages(batch, schema), "stream-batch")
+                records = good_records(parsed, schema, payload_col)
+                skipped = with_ingest_metadata(skipped_messages(parsed), source, batch_id, as_of)
+                bad.append(skipped, batch_id=batch_id, committed_at=as_of)
+            good.append(with_ingest_metadata(records, source, batch_id, as_of), batch_id=batch_id, committed_at=as_of)
 
     return handle
 
@@ -211,10 +212,11 @@ def dedup_handler(
         batch_id = f"{stream_id}-{number}"
         earliest = Window.partitionBy(*keys).orderBy(F.col(ts_col).asc_nulls_last(), F.xxhash64(*hashable(batch)))
         first = batch.withColumn("_nth", F.row_number().over(earliest)).filter("_nth = 1").drop("_nth")
-        rows = settle(_with_bucket(first, keys, n_buckets), "stream-dedup")
-        index = known_keys(table, keys, n_buckets)
-        news = settle(unknown_rows(index, rows, keys), "stream-news")
-        table.append(news.drop(KEY_BUCKET), batch_id=batch_id)
-        index.append(news.select(*keys, KEY_BUCKET).repartition(KEY_BUCKET), batch_id=batch_id)
+        with scratch_scope(table.spark):
+            rows = settle(_with_bucket(first, keys, n_buckets), "stream-dedup")
+            index = known_keys(table, keys, n_buckets)
+            news = settle(unknown_rows(index, rows, keys), "stream-news")
+            table.append(news.drop(KEY_BUCKET), batch_id=batch_id)
+            index.append(news.select(*keys, KEY_BUCKET).repartition(KEY_BUCKET), batch_id=batch_id)
 
     return handle

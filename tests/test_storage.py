@@ -11,7 +11,7 @@ from strata.operators import layout
 from strata.operators.scd2 import scd2_bootstrap, scd2_changes
 from strata.plans.gold import GoldStore
 from strata.plans.lakehouse import Lakehouse
-from strata.session import delete_path, scratch_dir, settle
+from strata.session import delete_path, scratch_dir, scratch_scope, settle
 from strata.sources import bronze
 from strata.sources.bucketed import BucketedTable
 from strata.sources.tables import capped_query, page_of, register_external, register_views, source_table
@@ -404,3 +404,27 @@ def test_liveness_of_versions(spark):
         return sorted(r["version"] for r in live_versions(commits, keep).collect())
 
     assert live(7) == [5, 6, 7] and live(4) == [3, 4] and live(1, 5) == [0, 1, 5] and live(2, 7) == [0, 1, 2, 5, 6, 7]
+
+
+def test_scratch_of_finished_work_is_deleted(spark, tmp_path):
+    made = []
+    with scratch_scope(spark):
+        made.append(scratch_dir(spark, "outer"))
+        settle(spark.range(3), "outer").count()
+        with scratch_scope(spark):
+            made.append(scratch_dir(spark, "inner"))
+            spark.range(3).write.parquet(made[-1])
+        assert not os.path.exists(made[-1])
+        spark.range(3).write.parquet(made[0])
+    assert not os.path.exists(made[0])
+    with pytest.raises(RuntimeError), scratch_scope(spark):
+        made.append(scratch_dir(spark, "failed"))
+        spark.range(3).write.parquet(made[-1])
+        raise RuntimeError
+    assert os.path.exists(made[-1])
+    root = os.path.dirname(made[-1])
+    before = set(os.listdir(root))
+    table = BucketedTable(spark, str(tmp_path / "m"), keys=("id",), n_buckets=2)
+    for i in range(2):
+        table.merge(rows(spark, 1, 2, 3 + i))
+    assert ids(table.current()) == [1, 2, 3, 4] and set(os.listdir(root)) == before
