@@ -36,7 +36,9 @@ from strata.llm.words import EXACT_BYTES, bounded_batches, byte_class, mix, part
 
 SPACE = "▁"
 #: Characters of distinct words that are indexed at once.
-INDEX_CHARS = 250_000
+INDEX_CHARS = 150_000
+#: Bytes of text whose words are looked up at once.
+PART_BYTES = 500_000
 _GAP = byte_class(" \n")
 _NEVER = np.iinfo(np.int32).max
 _CACHE_BITS = 19
@@ -245,6 +247,10 @@ def _wanted_keys(spelled: np.ndarray, per: int, bits: int) -> tuple[np.ndarray,
     return low, high
 
 
+#: Packed pieces by model, characters in a number, and bits of a character.
+_keys: dict[tuple[str, int, int], tuple[np.ndarray, np.ndarray]] = {}
+
+
 def _search(key: np.ndarray, order: np.ndarray, shift: int, lo: np.ndarray, hi: np.ndarray, wanted: np.ndarray,
             upper: bool) -> np.ndarray:
     """Binary search of each wanted key in its own range of suffixes, by the characters ``shift`` behind."""
@@ -271,7 +277,9 @@ def occurrences(model: Model, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     bits = int(max(text.max(initial=1), model.spelled.max(initial=1))).bit_length()
     per = max(1, min(4, 62 // bits))
     key = _packed(np.concatenate([text, np.zeros(longest + per, text.dtype)]).astype(np.int64), per, bits)
-    low, high = _wanted_keys(model.spelled, per, bits)
+    low, high = _keys.get((model.name, per, bits)) or _keys.setdefault(
+        (model.name, per, bits), _wanted_keys(model.spelled, per, bits)
+    )
     sorted_keys = key[order]
     first = np.searchsorted(sorted_keys, low[0], "left")
     last = np.searchsorted(sorted_keys, high[0], "right")
@@ -442,7 +450,7 @@ def encode_column(model: Model, column: pa.Array) -> pa.Array:
     keys, begins, sizes, ids, met = _memory.get(model.name, _nothing())
     blocks = []
     new: dict[int, str] = {}
-    for texts in parts(known):
+    for texts in parts(known, PART_BYTES):
         row, begin, end, kind, hashed, spaces = _stops(texts)
         word = kind == 0
         # the same letters with and without a space before them are two units

@@ -182,8 +182,8 @@ def as_long(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
-def parts(column: pa.Array | pa.ChunkedArray) -> Iterator[Texts]:
-    """Consecutive rows with about ``2 * BLOCK`` bytes of text each, rows whole.
+def parts(column: pa.Array | pa.ChunkedArray, size: int = 2 * BLOCK) -> Iterator[Texts]:
+    """Consecutive rows with about ``size`` bytes of text each, rows whole.
 
     Only one part is copied at a time, and freed memory goes back to the system,
     since a worker process outlives its tasks.
@@ -196,7 +196,7 @@ def parts(column: pa.Array | pa.ChunkedArray) -> Iterator[Texts]:
     start = np.frombuffer(column.buffers()[1] or b"\0" * 8, kind)[column.offset : column.offset + len(column) + 1]
     at = 0
     while at < len(column):
-        to = int(np.searchsorted(start, start[at] + 2 * BLOCK, "right")) - 1
+        to = int(np.searchsorted(start, start[at] + size, "right")) - 1
         to = min(max(to, at + 1), len(column))
         yield texts_of(column.slice(at, to - at))
         at = to
