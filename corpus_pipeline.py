@@ -18,13 +18,12 @@ from pyspark.sql import functions as F
 from strata.llm.decontaminate import contaminated_pairs
 from strata.llm.ngram_join import keep_one
 from strata.llm.quality import keep_good
+from strata.llm.queries import PIECES
 from strata.llm.secret_scan import redact_secrets
 from strata.llm.sentencepiece_codec import encode_texts
 from strata.session import settle
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: A public model of 32,000 pieces; any model of its kind will do.
-PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
