@@ -1,6 +1,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from strata.llm import decontaminate as D
 from strata.llm.queries import op7_decontaminate, table
@@ -89,3 +90,18 @@ def test_odd_rows(spark, items, odd_documents, no_documents):
     assert [r["doc_id"] for r in D.contaminated_pairs(twice, items).collect()] == [1]
     plan = D.contaminated_pairs(twice, items)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_white_space_of_any_kind_is_one_space(spark, items):
+    other = "If Carol buys 9 kg of apples and Dave buys 3 kg of pears, how much does Carol carry in total?"
+    texts = [other, other.replace(" ", "  "), other.replace(" ", "\t"), re.sub("(.{30}) ", "\\1\n", other), other.replace(" ", " \r\n ")]
+    got = pairs(spark, items, texts)
+    assert {k: v[:2] for k, v in got.items()} == {(i, 1): (14, 14) for i in range(5)}
+
+
+def test_table_of_hashes_knows_its_own(spark):
+    frame = spark.range(20_000).select(F.xxhash64("id").alias("h"), "id")
+    own = [r["h"] for r in frame.where("id < 5000").collect()]
+    test = D._table_of(own)
+    hits = frame.select("id", test(F.col("h")).alias("hit")).where("hit").collect()
+    assert sum(r["id"] < 5000 for r in hits) == 5000 and len(hits) < 5000 + 30
