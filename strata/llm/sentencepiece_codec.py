@@ -39,6 +39,8 @@ SPACE = "▁"
 INDEX_CHARS = 150_000
 #: Bytes of text whose words are looked up at once.
 PART_BYTES = 500_000
+#: Megabytes of an Arrow batch at most.
+ARROW_MB = 2
 _GAP = byte_class(" \n")
 _NEVER = np.iinfo(np.int32).max
 _CACHE_BITS = 19
@@ -423,7 +425,7 @@ def _stops(texts) -> tuple[np.ndarray, ...]:
 
 #: Words a worker remembers at most, by model: hashes in order, where their ids begin, how many, all ids,
 #: and how often each word was met.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 _memory: dict[str, tuple[np.ndarray, ...]] = {}
 
 
@@ -587,11 +589,11 @@ def decoder(model: Model) -> Column:
 
 def encode_texts(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "token_ids") -> DataFrame:
     """All columns of ``docs`` and the ids; a column named like them is replaced."""
-    bounded_batches(docs.sparkSession, 5)
+    bounded_batches(docs.sparkSession, ARROW_MB)
     return docs.withColumn(ids_col, encoder(load(path))(F.col(text_col)))
 
 
 def decode_ids(rows: DataFrame, path: str, ids_col: str = "token_ids", text_col: str = "decoded") -> DataFrame:
     """All columns of ``rows`` and the decoded text; a column named like it is replaced."""
-    bounded_batches(rows.sparkSession, 5)
+    bounded_batches(rows.sparkSession, ARROW_MB)
     return rows.withColumn(text_col, decoder(load(path))(F.col(ids_col)))
