@@ -139,39 +139,52 @@ Test = Callable[[Column], Column]
 _BITS, _PROBES = 64, 3
 
 
-def _table_of(hashes: list[int]) -> Test:
-    """A test that is true for these hashes and for one in ten thousand others.
+@dataclass
+class BitTable:
+    """A test that is true for some hashes and for one in ten thousand others.
 
-    The table is a literal in the plan: 8 bytes for each hash.
+    The table is a literal in the plan, 8 bytes for each hash: up to 20
+    characters a word in every text that Spark's driver makes of the plan.
     """
-    m = max((_BITS * len(hashes)).bit_length(), 12)
-    words = [0] * (1 << (m - 6))
 
-    def places(h: int) -> list[int]:
-        return [(h >> (21 * i)) & ((1 << min(m, 21)) - 1) for i in range(_PROBES)]
+    table: Column
+    mask: int
 
-    for h in hashes:
-        for at in places(h & ((1 << 64) - 1)):
-            words[at >> 6] |= 1 << (at & 63)
-    signed = [w - (1 << 64) if w >> 63 else w for w in words]
-    table = F.from_json(F.lit(str(signed)), "array<bigint>")
+    def __call__(self, h: Column) -> Column:
+        return self.within(lambda test: test(h))
+
+    def within(self, make: Callable[[Test], Column]) -> Column:
+        """What ``make`` makes of the test; the literal stands there once, however often the test is used."""
+        return F.get(F.transform(F.array(self.table), lambda table: make(lambda h: self._holds(table, h))), F.lit(0))
 
-    def test(h: Column) -> Column:
+    def _holds(self, table: Column, h: Column) -> Column:
         hits = []
         for i in range(_PROBES):
-            at = F.shiftrightunsigned(h, 21 * i).bitwiseAND(F.lit((1 << min(m, 21)) - 1))
+            at = F.shiftrightunsigned(h, 21 * i).bitwiseAND(F.lit(self.mask))
             hits.append(F.getbit(F.get(table, F.shiftright(at, 6).cast("int")), at.bitwiseAND(F.lit(63)).cast("int")) == 1)
         return reduce(lambda x, y: x & y, hits)
 
-    return test
+
+def _table_of(hashes: list[int]) -> BitTable:
+    m = max((_BITS * len(hashes)).bit_length(), 12)
+    words, mask = [0] * (1 << (m - 6)), (1 << min(m, 21)) - 1
+
+    def places(h: int) -> list[int]:
+        return [(h >> (21 * i)) & mask for i in range(_PROBES)]
+
+    for h in hashes:
+        for at in places(h & ((1 << 64) - 1)):
+            words[at >> 6] |= 1 << (at & 63)
+    signed = [w - (1 << 64) if w >> 63 else w for w in words]
+    return BitTable(F.from_json(F.lit(str(signed)), "array<bigint>"), mask)
 
 
 @dataclass
 class Seen:
     """Tests for the hashes of items' windows and of their first halves."""
 
-    window: Test
-    half: Test | None
+    window: BitTable
+    half: BitTable | None
 
 
 def _with_windows(
@@ -194,7 +207,8 @@ def _with_windows(
         if seen is None or seen.half is None:
             return longer
         none = F.slice(F.array(F.lit(0).cast("bigint")), 1, 0)
-        return F.when(F.col(words).isNotNull(), F.when(F.exists(column, seen.half), longer).otherwise(none))
+        begins = seen.half.within(lambda test: F.exists(column, test))
+        return F.when(F.col(words).isNotNull(), F.when(begins, longer).otherwise(none))
 
     while 2 * have <= length:
         longer = joined(F.col(f"_h{have}"), F.col(f"_h{have}"), have)
@@ -222,22 +236,26 @@ def _window_rows(prepared: DataFrame, name: str, length: int, seen: Seen | None
     """
     halves = length > 1 and length & (length - 1) == 0
 
-    def at_places(windows: str) -> Column:
+    def at_places(windows: str, test: Test | None) -> Column:
         half = (lambda i: F.get(f"{windows}_half", i)) if halves and seen is None else lambda i: F.lit(None).cast("bigint")
         rows = F.transform(windows, lambda h, i: F.struct(h.alias("hash"), i.alias("at"), half(i).alias("half")))
-        return rows if seen is None else F.filter(rows, lambda w: seen.window(w["hash"]))
+        return rows if test is None else F.filter(rows, lambda w: test(w["hash"]))
 
     def row(w: Column, own: Column, plainly: bool) -> Column:
         return F.struct(w["hash"], w["at"], w["half"], own.alias("own"), F.lit(plainly).alias("plainly"))
 
-    placed = F.transform(at_places("_windows"), lambda w: row(w, F.slice("own", w["at"] + 1, F.lit(length)), False))
     no_words = F.lit(None).cast("array<string>")
-    plainly = F.transform(
-        F.filter(at_places("_own_windows"), lambda w: ~w["hash"].eqNullSafe(F.get("_windows", w["at"]))),
-        lambda w: row(w, no_words, True),
-    )
+
+    def both(test: Test | None = None) -> Column:
+        placed = F.transform(at_places("_windows", test), lambda w: row(w, F.slice("own", w["at"] + 1, F.lit(length)), False))
+        plainly = F.transform(
+            F.filter(at_places("_own_windows", test), lambda w: ~w["hash"].eqNullSafe(F.get("_windows", w["at"]))),
+            lambda w: row(w, no_words, True),
+        )
+        return F.when(F.col("own").isNull(), placed).otherwise(F.concat(placed, plainly))
+
     rows = _with_windows(_with_windows(prepared, length, seen=seen), length, "own", "_own_windows", seen)
-    rows = rows.withColumn("_rows", F.when(F.col("own").isNull(), placed).otherwise(F.concat(placed, plainly)))
+    rows = rows.withColumn("_rows", both() if seen is None else seen.window.within(both))
     return rows.select(name, F.explode_outer("_rows").alias("w")).select(
         name, F.col("w.at").alias(f"{name}_at"), "w.hash", F.col("w.half").alias(f"{name}_half"),
         F.col("w.own").alias(f"{name}_own"), F.col("w.plainly").alias(f"{name}_plainly"), F.lit(length).alias("length"),

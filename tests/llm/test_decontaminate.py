@@ -105,3 +105,14 @@ def test_table_of_hashes_knows_its_own(spark):
     test = D._table_of(own)
     hits = frame.select("id", test(F.col("h")).alias("hit")).where("hit").collect()
     assert sum(r["id"] < 5000 for r in hits) == 5000 and len(hits) < 5000 + 30
+
+
+def test_tables_of_item_windows_stand_in_the_plan_once_for_each_step(spark):
+    """The driver writes the plan out again and again, so a table in each probe fills its memory."""
+    item = "a farmer keeps 12 hens in 4 sheds and sells all their eggs each week"
+    docs = spark.createDataFrame([(1, item), (2, "nothing of the kind is written in here today")], "doc_id LONG, text STRING")
+    found = D.contaminated_pairs(docs, spark.createDataFrame([(7, item)], "item_id LONG, text STRING"))
+    assert [tuple(r) for r in found.select("doc_id", "item_id").collect()] == [(1, 7)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    tables = re.findall(r"(?:-?[0-9]+, *){63,}-?[0-9]+", plan)
+    assert len(tables) == 3  # beginnings of texts and of their own words, and windows of both
