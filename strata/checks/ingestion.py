@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -137,11 +138,17 @@ def encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- streams -----------------------------------------------------------------
 
 
+#: Messages in one file of a landed topic, which one task sorts, and bytes of its parts that are read apart.
+MESSAGES_PER_FILE, PART_BYTES = 500_000, 16 * 1024 * 1024
+
+
 def _landed_messages(spark: SparkSession, sf_dir: str) -> str:
-    """The topic as files, one per topic partition."""
+    """The topic as files, each a range of a topic partition or of some, and of bounded size."""
     path = scratch_dir(spark, "topic")
     rows = messages(spark, sf_dir)
-    rows.repartition(4, "partition").sortWithinPartitions("offset").write.parquet(path)
+    n_files = max(4, math.ceil(rows.count() / MESSAGES_PER_FILE))
+    ranged = rows.repartitionByRange(n_files, "partition", "offset").sortWithinPartitions("partition", "offset")
+    ranged.write.option("parquet.block.size", PART_BYTES).parquet(path)
     return path
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.checks import ingestion
 from strata.session import struct
 from strata.sources import bronze
 from strata.sources.messages import (
@@ -257,3 +258,19 @@ def test_key_index_of_an_older_table_is_made_on_first_use(spark, tmp_path):
     out.append(rows)
     dedup_handler(out, ["a"], "ts")(rows.selectExpr("a + 1 AS a", "ts"), 0)
     assert sorted(r["a"] for r in out.current().collect()) == [1, 2, 3]
+
+
+def test_a_landed_topic_has_files_of_bounded_size(spark, tmp_path, monkeypatch):
+    """One task sorts a file, so its messages must not grow with the topic; copies and null keys stay."""
+    monkeypatch.setattr(ingestion, "MESSAGES_PER_FILE", 200, raising=False)
+    key = F.when(F.col("id") % 100 == 9, None).when(F.col("id") % 100 == 8, F.col("id") - 1).otherwise(F.col("id"))
+    events = spark.range(4000).select(
+        key.alias("event_id"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("ts"), F.lit(1).cast("long").alias("user_id"),
+        F.lit("view").alias("event_type"), F.lit(0.5).alias("value"), F.lit("{}").alias("props"),
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    landed = spark.read.parquet(ingestion._landed_messages(spark, str(tmp_path)))
+    sizes = landed.groupBy(F.input_file_name().alias("file"), "partition").count().groupBy("file").agg(F.sum("count").alias("n"))
+    assert max(r["n"] for r in sizes.collect()) < 2 * 200
+    assert bag(landed) == bag(ingestion.messages(spark, str(tmp_path)))
+    assert ingestion.stream_bad(spark, str(tmp_path)).count() == bad_messages(landed, ingestion.EVENT).count() > 300
